@@ -45,7 +45,7 @@ labelled AS (
 
 def document_rows(spark, sf_dir):
     """Texts as records: the source is the file, the id the position, the folded text the key."""
-    return table(spark, sf_dir, "documents").select(
+    return table(spark, sf_dir, "documents", "doc_id").select(
         "doc_id", "source", "lang", text_id(normalize_text(F.col("text"))).alias("key_id")
     )
 
@@ -134,7 +134,7 @@ SELECT doc_id, n_fields, first_seen FROM (
 def dedup_richest_query(spark, sf_dir):
     """Of equal texts the one with most labels."""
     rows = (
-        table(spark, sf_dir, "documents")
+        table(spark, sf_dir, "documents", "doc_id")
         .withColumn("norm", normalize_text(F.col("text")))
         .select("doc_id", F.when(F.col("norm") != "", F.sha2("norm", 256)).alias("record_key"))
         .join(table(spark, sf_dir, "labels"), "doc_id", "left")
@@ -223,7 +223,7 @@ def merge_existing_new_query(spark, sf_dir):
 )
 def first_per_file_query(spark, sf_dir):
     """The aggregate behind F1, with the carried text of the first row."""
-    rows = table(spark, sf_dir, "documents").select(
+    rows = table(spark, sf_dir, "documents", "doc_id").select(
         "source", "doc_id", normalize_text(F.col("text")).alias("norm")
     )
     keyed = rows.withColumn("key_id", text_id(F.col("norm")))

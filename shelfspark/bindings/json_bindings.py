@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfspark.bindings.tables import Registry, table
 from shelfspark.functions.keys import key_parts
-from shelfspark.functions.records import count_fields, count_listed, drop_listed, record_to_json
+from shelfspark.functions.records import count_listed, drop_listed, field_names, record_to_json
 from shelfspark.plans.clean import clean_documents, keyed_items
 from shelfspark.plans.merge import merge_documents
 from shelfspark.session import scratch_dir
@@ -42,7 +42,7 @@ def order_documents(spark: SparkSession, sf_dir: str, broken: bool) -> DataFrame
 
     With ``broken``, documents of expensive orders lose their last character.
     """
-    o = table(spark, sf_dir, "orders")
+    o = table(spark, sf_dir, "orders", "o_orderkey")
     k, c = F.col("o_orderkey"), F.col("o_custkey")
     p, s, y = F.col("o_orderpriority"), F.col("o_orderstatus"), F.year("o_orderdate")
     isbn = F.when(s == "F", _join("978-", c.cast("string"), "-x"))
@@ -225,8 +225,8 @@ def no_unwrap(spark, sf_dir):
 @query("drop_fields", _CLEAN + "SELECT file, pos, dropped AS record FROM keyed")
 def drop_fields(spark, sf_dir):
     """Items without the listed fields, nulls and key order kept."""
-    items = explode_items(_clean_unwrapped(spark, sf_dir))
-    return items.select("file", "pos", drop_listed(F.col("is_object"), F.col("raw")).alias("record"))
+    items = drop_listed(explode_items(_clean_unwrapped(spark, sf_dir)))
+    return items.select("file", "pos", F.col("raw").alias("record"))
 
 
 @query(
@@ -240,10 +240,9 @@ def drop_custom_fields(spark, sf_dir):
     """C1 with the caller's own list."""
     own = ("year", "book_id")
     is_object, raw = F.col("is_object"), F.col("raw")
-    left = F.when(is_object, count_fields(drop_listed(is_object, raw, own)))
-    return explode_items(_clean_unwrapped(spark, sf_dir)).select(
-        "file", "pos", count_listed(is_object, raw, own).alias("n_listed"), left.alias("n_left")
-    )
+    items = explode_items(_clean_unwrapped(spark, sf_dir)).withColumn("n_listed", count_listed(is_object, raw, own))
+    left = F.when(is_object, F.size(field_names(raw)))
+    return drop_listed(items, own, "n_listed").select("file", "pos", "n_listed", left.alias("n_left"))
 
 
 @query("removed_field_counts", _CLEAN + "SELECT file, sum(n_listed)::BIGINT AS removed FROM keyed GROUP BY file")
@@ -432,13 +431,13 @@ def json_roundtrip(spark, sf_dir):
     """
     out = scratch_dir(spark, "roundtrip")
     key = F.col("s_suppkey")
-    item = "array<struct<book_id:bigint,kind:string,title:string,year:int>>"
+    item = "struct<book_id:bigint,kind:string,title:string,year:int>"
     books = F.array(
-        F.struct(key, F.lit("name"), F.col("s_name"), F.col("s_nationkey")),
+        F.struct(key, F.lit("name"), F.col("s_name"), F.col("s_nationkey")).cast(item),
         F.struct(
             key, F.lit("nation"), F.concat(F.lit("Nation "), F.col("s_nationkey")), F.lit(None).cast("int")
-        ),
-    ).cast(item)
+        ).cast(item),
+    )
     docs = table(spark, sf_dir, "supplier").select(F.struct(key.alias("key")).alias("meta"), books.alias("books"))
     docs.write.option("maxRecordsPerFile", 1).option("ignoreNullFields", "false").json(f"{out}/docs")
     scanned = parse_documents(scan_json_documents(spark, [f"{out}/docs"]), "failfast")

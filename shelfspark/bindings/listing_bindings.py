@@ -59,7 +59,7 @@ def listing_html():
 
 
 def listing_pages(spark, sf_dir):
-    return table(spark, sf_dir, "part").withColumn("html", listing_html())
+    return table(spark, sf_dir, "part", "p_partkey").withColumn("html", listing_html())
 
 
 @query(
@@ -136,7 +136,7 @@ SELECT {id}, word, excerpt[1:500] AS head, right(excerpt, 200) AS tail FROM z
 )
 def keyword_context_query(spark, sf_dir):
     """I15 on whole pages."""
-    pages = table(spark, sf_dir, "pages").select(
+    pages = table(spark, sf_dir, "pages", "page_id").select(
         "page_id", keyword_context(F.col("html"), ("tionhe", "</h1>")).alias("c")
     )
     return pages.where("c is not null").select("page_id", "c.word", "c.head", "c.tail")
@@ -181,7 +181,8 @@ WITH p AS (
     event_type <> 'error' AS ok,
     CASE WHEN event_type = 'purchase' THEN (event_id + floor(value * 20))::BIGINT END AS total_pages FROM events)
 """
-_TAKEN = _PAGES + """,
+# Adds to the CTE ``p`` where each section stops.
+_STOPS = """
 g AS (SELECT *, ok AND n_books > 0 AS good FROM p),
 k AS (SELECT *, first_value(CASE WHEN good AND total_pages > 0 THEN total_pages END IGNORE NULLS)
   OVER (PARTITION BY base ORDER BY page ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS tk FROM g),
@@ -189,8 +190,8 @@ s AS (SELECT *, coalesce(max(CASE WHEN (good AND coalesce(page + 1 >= tk, FALSE)
     OVER (PARTITION BY base ORDER BY page ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS stopped,
   coalesce(sum(good::INTEGER) OVER (PARTITION BY base ORDER BY page ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
     AS done FROM k)
-SELECT base, page, n_books FROM s WHERE good AND stopped = 0
 """
+_TAKEN = _PAGES.rstrip() + "," + _STOPS + "SELECT base, page, n_books FROM s WHERE good AND stopped = 0\n"
 
 
 @query(
@@ -238,7 +239,7 @@ WITH p AS (
   SELECT p_brand AS base, p_partkey AS page, p_type <> 'SMALL' AS ok, p_partkey, p_size, p_brand,
     (p_brand <> 'Brand#1')::INTEGER + (p_size > 10)::INTEGER AS n_books,
     CASE WHEN p_size > 20 THEN p_size + 41 END AS total_pages FROM part),
-""" + _TAKEN.split("),\n", 1)[1].split("SELECT base, page, n_books", 1)[0].rstrip() + """,
+""" + _STOPS.rstrip() + """,
 used AS (SELECT * FROM s WHERE good AND stopped = 0)
 SELECT base, page, 0 AS block_no, 'https://books.example/detail/book' || p_partkey || '.html' AS detail_url
 FROM used WHERE p_brand <> 'Brand#1'

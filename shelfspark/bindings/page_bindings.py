@@ -58,13 +58,13 @@ def detail_html():
         )).otherwise(""),
         F.when(size > 5, cat('<h1 class="nomargin">\n', name, " </h1>")).otherwise(""),
         F.when(size > 20, cat('<h3 class="nomargin">Серия: ', kind, "</h3>")).otherwise(""),
-        F.when(size > 9, cat("<table><tr><td>Издательство: ", brand, " </td></tr></table>")).otherwise(""),
+        F.when(size > 9, cat("<tr><td>Издательство: ", brand, " </td></tr>")).otherwise(""),
         F.when(size > 12, cat(
             '<a href="/qna/ref/binding/">Переплет</a>: твердый; ', size + 100, " страниц; ", size + 1950, " г."
         )).otherwise(""),
         F.when(size > 15, cat('<a href="/qna/ref/isbn/">ISBN</a>: 978-', pid, " ;")).otherwise(""),
         '<a href="/qna/ref/format/">Формат</a>:\xa0', size, "x90<br>",
-        "<table><tr><td>Язык: <i>рус</i>ский </td></tr></table>",
+        "<tr><td>Язык: <i>рус</i>ский </td></tr>",
         '<small class="ltgray">На сайте с ', size, " мая</small>",
         image,
         '<img src="/chart/cnt.php?id=', pid, '&amp;c=1">',
@@ -78,7 +78,7 @@ def detail_html():
 
 def detail_pages(spark, sf_dir):
     url = F.concat(F.lit(HOST + "/detail/book"), "p_partkey", F.lit(".html"))
-    return table(spark, sf_dir, "part").withColumns({"url": url, "html": detail_html()})
+    return table(spark, sf_dir, "part", "p_partkey").withColumns({"url": url, "html": detail_html()})
 
 
 _BOOKS = """
@@ -196,7 +196,7 @@ FROM pages""",
 )
 def extract_page_fields(spark, sf_dir):
     """I6, I9 on the given pages with a rule set of their own."""
-    return apply_rules(table(spark, sf_dir, "pages"), PAGE_RULES).drop("url", "html")
+    return apply_rules(table(spark, sf_dir, "pages", "page_id"), PAGE_RULES).drop("url", "html")
 
 
 @query(
@@ -210,7 +210,7 @@ FROM pages""",
 def page_links(spark, sf_dir):
     """I7's link list over whole pages."""
     link = r'<a href="([^"]+)">([^<]+)</a>'
-    pages = table(spark, sf_dir, "pages").select(
+    pages = table(spark, sf_dir, "pages", "page_id").select(
         "page_id", all_groups(F.col("html"), link, 1).alias("urls"), all_groups(F.col("html"), link, 2).alias("names")
     )
     return pages.select(
@@ -237,7 +237,7 @@ def multi_group(spark, sf_dir):
         FieldRule(_URL_PARTS, {"scheme": (1, ()), "host": (2, ()), "path": (3, ())}),
         FieldRule(r"/(\d+)", {"number": (1, (lambda c: c.try_cast("int"),))}),
     )
-    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    pages = table(spark, sf_dir, "pages", "page_id").select("page_id", "url")
     return apply_rules(pages, rules, html="url").drop("url")
 
 
@@ -263,8 +263,8 @@ def classify_page_query(spark, sf_dir):
         F.lit("raw"), html, F.lit("text"), strip_tags(html), F.lit("blank"), blank,
         F.lit("refused"), F.concat(html, F.lit("Try harder")),
     )
-    pages = table(spark, sf_dir, "pages").select("page_id", F.explode(variants).alias("variant", "html"))
-    return pages.withColumns(classify_page(F.col("html"))).drop("html")
+    pages = table(spark, sf_dir, "pages", "page_id").select("page_id", F.explode(variants).alias("variant", "html"))
+    return classify_page(pages).drop("html")
 
 
 _JOB = "WITH " + _BOOKS + """,

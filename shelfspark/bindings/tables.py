@@ -6,9 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shelfspark.session import spread
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+def table(spark: SparkSession, sf_dir: str, name: str, *spread_by: str) -> DataFrame:
+    """A given table; ``spread_by`` names an identifying column when per-row work is costly."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df, *spread_by) if spread_by else df
 
 
 class Registry:

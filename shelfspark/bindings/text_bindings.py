@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shelfspark.bindings.tables import Registry, table
-from shelfspark.functions.keys import dedup_key, key_parts
+from shelfspark.functions.keys import key_parts, with_dedup_key
 from shelfspark.functions.text import WS_CLASS, decode_entities, normalize_isbn, normalize_text, strip_tags
 from shelfspark.functions.urls import extract_id
 from shelfspark.sources.html import decode_page, encode_page
@@ -40,13 +40,13 @@ def normalize_isbn_query(spark, sf_dir):
 )
 def normalize_text_query(spark, sf_dir):
     """I2 on whole texts."""
-    return table(spark, sf_dir, "documents").select("doc_id", normalize_text(F.col("text")).alias("norm"))
+    return table(spark, sf_dir, "documents", "doc_id").select("doc_id", normalize_text(F.col("text")).alias("norm"))
 
 
 @query("normalize_text_exact")
 def normalize_text_exact(spark, sf_dir):
     """I2 with full case folding, which SQL has no function for."""
-    return table(spark, sf_dir, "documents").select("doc_id", normalize_text(F.col("text"), True).alias("norm"))
+    return table(spark, sf_dir, "documents", "doc_id").select("doc_id", normalize_text(F.col("text"), True).alias("norm"))
 
 
 @query(
@@ -61,17 +61,16 @@ FROM part""",
 )
 def dedup_keys(spark, sf_dir):
     """I3 in both modes; small parts lack a year."""
-    fields = (F.col("p_name"), F.col("p_brand"), F.col("p_type"), F.when(F.col("p_size") > 5, F.col("p_size")))
-
-    def shown(key):
-        return F.when(key.isNotNull(), F.array_join(key_parts(key), "|"))
-
-    keyed = table(spark, sf_dir, "part").withColumns(
-        {"four": dedup_key(_isbn(), *fields, mode="4fields"), "only": dedup_key(_isbn(), mode="isbn")}
-    )
-    return keyed.select(
-        "p_partkey", shown(F.col("four")).alias("key_four"), shown(F.col("only")).alias("key_isbn")
-    )
+    fields = {
+        "isbn": _isbn(), "title": F.col("p_name"), "author": F.col("p_brand"), "publisher": F.col("p_type"),
+        "year": F.when(F.col("p_size") > 5, F.col("p_size")),
+    }
+    part = table(spark, sf_dir, "part")
+    key = F.col("dedup_key")
+    shown = F.when(key.isNotNull(), F.array_join(key_parts(key), "|"))
+    four = with_dedup_key(part, fields, "4fields").withColumn("key_four", shown).drop("dedup_key", "key_id")
+    both = with_dedup_key(four, fields, "isbn").withColumn("key_isbn", shown)
+    return both.select("p_partkey", "key_four", "key_isbn")
 
 
 @query(
@@ -84,7 +83,7 @@ SELECT page_id, replace(replace(replace(replace(replace(replace(replace(replace(
 )
 def strip_tags_decode(spark, sf_dir):
     """I9, I10 on whole pages."""
-    return table(spark, sf_dir, "pages").select(
+    return table(spark, sf_dir, "pages", "page_id").select(
         "page_id", decode_entities(strip_tags(F.col("html"))).alias("text")
     )
 
@@ -114,7 +113,7 @@ FROM t WHERE url <> '' AND NOT starts_with(url, '#') AND line_no >= 2""".replace
 @query("scan_url_list", _LINES_SQL)
 def scan_url_list_query(spark, sf_dir):
     """Every line of every text from the second on."""
-    lines = table(spark, sf_dir, "documents").select(
+    lines = table(spark, sf_dir, "documents", "doc_id").select(
         "doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "value")
     )
     numbered = lines.select("doc_id", (F.col("pos") + 1).cast("bigint").alias("line_no"), "value")

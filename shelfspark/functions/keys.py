@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfspark.functions.text import normalize_isbn, normalize_text
@@ -38,41 +38,52 @@ def _key(kind: str, *parts: Column) -> Column:
     )
 
 
-def dedup_key(
-    isbn: Column,
-    title: Column | None = None,
-    author: Column | None = None,
-    publisher: Column | None = None,
-    year: Column | None = None,
+def with_dedup_key(
+    df: DataFrame,
+    fields: dict[str, Column],
     mode: str = KEY_ISBN,
     exact: bool = False,
-) -> Column:
-    """Key struct, NULL when the record cannot be compared.
+    is_record: Column | None = None,
+) -> DataFrame:
+    """Add ``dedup_key`` (NULL when the record cannot be compared) and ``key_id``.
 
-    A record with an ISBN is only ever compared with records that have one. In
-    four-field mode the others need all four fields.
+    ``fields`` maps isbn, title, author, publisher and year to columns; missing ones count
+    as absent. A record with an ISBN is only ever compared with records that have one. In
+    four-field mode the others need all four fields. Rows that are no records have no key.
+
+    Normalised fields are projected first, since the key refers to each several times.
     """
-    number = normalize_isbn(isbn)
-    by_isbn = F.when(number.isNotNull(), _key(KEY_ISBN, number))
-    if key_mode(mode) == KEY_ISBN:
-        return by_isbn
-    parts = [
-        normalize_text(F.lit(None).cast("string") if c is None else c.cast("string"), exact)
-        for c in (title, author, publisher, year)
-    ]
-    complete = F.lit(True)
-    for part in parts:
-        complete = complete & (part != "")
-    return F.coalesce(by_isbn, F.when(complete, _key(KEY_FOUR_FIELDS, *parts)))
-
-
-def json_dedup_key(is_object: Column, raw: Column, mode: str = KEY_ISBN, exact: bool = False) -> Column:
-    """:func:`dedup_key` of an item held as JSON text; only the key fields are parsed."""
-    rec = F.from_json(raw, "isbn string, title string, author string, publisher string, year string")
-    key = dedup_key(
-        rec["isbn"], rec["title"], rec["author"], rec["publisher"], rec["year"], mode, exact
-    )
-    return F.when(is_object, key)
+    mode = key_mode(mode)
+    absent = F.lit(None).cast("string")
+
+    def given(name: str) -> Column:
+        value = fields.get(name, absent).cast("string")
+        return value if is_record is None else F.when(is_record, value)
+
+    parts = {"_isbn": normalize_isbn(given("isbn"))}
+    if mode == KEY_FOUR_FIELDS:
+        for name in ("title", "author", "publisher", "year"):
+            parts[f"_{name}"] = normalize_text(given(name), exact)
+    key = F.when(F.col("_isbn").isNotNull(), _key(KEY_ISBN, F.col("_isbn")))
+    if mode == KEY_FOUR_FIELDS:
+        four = [F.col(name) for name in parts if name != "_isbn"]
+        complete = F.lit(True)
+        for part in four:
+            complete = complete & (part != "")
+        key = key.when(complete, _key(KEY_FOUR_FIELDS, *four))
+    keyed = df.withColumns(parts).withColumn("dedup_key", key).drop(*parts)
+    return keyed.withColumn("key_id", key_id(F.col("dedup_key")))
+
+
+def with_json_dedup_key(
+    items: DataFrame, mode: str = KEY_ISBN, exact: bool = False, raw: str = "raw"
+) -> DataFrame:
+    """:func:`with_dedup_key` of items held as JSON text; only the key fields are parsed."""
+    schema = "isbn string, title string, author string, publisher string, year string"
+    rec = F.when(F.col("is_object"), F.from_json(raw, schema))
+    parsed = items.withColumn("_rec", rec)
+    fields = {n: F.col(f"_rec.{n}") for n in ("isbn", "title", "author", "publisher", "year")}
+    return with_dedup_key(parsed, fields, mode, exact).drop("_rec")
 
 
 def key_id(key: Column) -> Column:
@@ -80,12 +91,8 @@ def key_id(key: Column) -> Column:
 
     Grouping on 32 bytes keeps long titles, or whole texts, out of the shuffle.
     """
-    return F.when(
-        key.isNotNull(),
-        F.unhex(
-            F.sha2(F.concat_ws(_SEPARATOR, *[key[f] for f in ("kind", "k1", "k2", "k3", "k4")]), 256)
-        ),
-    )
+    text = F.concat_ws(_SEPARATOR, *[key[f] for f in ("kind", "k1", "k2", "k3", "k4")])
+    return F.when(key.isNotNull(), F.unhex(F.sha2(text, 256)))
 
 
 def text_id(text: Column) -> Column:

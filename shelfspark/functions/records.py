@@ -50,44 +50,42 @@ def field_names(raw: Column) -> Column:
     return F.array_distinct(F.map_keys(F.from_json(raw, "map<string,string>")))
 
 
-def object_json(fields: Column) -> Column:
-    """JSON object from an array of ``struct<key, json>``."""
-    return F.concat(
-        F.lit("{"),
-        F.array_join(
-            F.transform(fields, lambda f: F.concat(json_string(f["key"]), F.lit(":"), f["json"])), ","
-        ),
-        F.lit("}"),
-    )
-
-
-def object_fields(raw: Column) -> Column:
-    """``array<struct<key, json>>`` in written order; a repeated key keeps its last value."""
-    texts = F.map_entries(F.from_json(raw, "map<string,string>"))
-    kinds = F.transform(
-        F.map_entries(F.from_json(raw, "map<string,variant>")),
-        lambda e: F.schema_of_variant(e["value"]) == "STRING",
+def json_members(fields: Column) -> Column:
+    """``"key":value`` texts from an array of ``struct<key, json>``."""
+    return F.transform(fields, lambda f: F.concat(json_string(f["key"]), F.lit(":"), f["json"]))
+
+
+def with_object_fields(df: DataFrame, name: str, raw: Column) -> DataFrame:
+    """Add ``name``: ``array<struct<key, json>>`` in written order; a repeated key keeps its
+    last value. NULL where ``raw`` is NULL.
+
+    The text is parsed once for the spelling of the values and once for their kinds.
+    """
+    parsed = df.withColumns(
+        {
+            "_texts": F.map_entries(F.from_json(raw, "map<string,string>")),
+            "_values": F.map_values(F.from_json(raw, "map<string,variant>")),
+        }
     )
     entries = F.zip_with(
-        texts,
-        kinds,
-        lambda e, is_text: F.struct(
+        F.col("_texts"),
+        F.col("_values"),
+        lambda e, v: F.struct(
             e["key"].alias("key"),
-            F.when(is_text, json_string(e["value"]))
+            F.when(F.schema_of_variant(v) == "STRING", json_string(e["value"]))
             .otherwise(F.coalesce(e["value"], F.lit("null")))
             .alias("json"),
         ),
     )
-    keys = F.array_distinct(F.transform(texts, lambda e: e["key"]))
-    return F.when(F.size(keys) == F.size(texts), entries).otherwise(
-        F.transform(
-            keys, lambda k: F.element_at(F.filter(entries, lambda e: e["key"] == k), -1)
-        )
+    keys = F.array_distinct(F.transform("_texts", lambda e: e["key"]))
+    parsed = parsed.withColumns({"_entries": entries, "_keys": keys}).drop("_texts", "_values")
+    last = F.transform(
+        "_keys", lambda k: F.element_at(F.filter("_entries", lambda e: e["key"] == k), -1)
+    )
+    repeated = F.size("_keys") < F.size("_entries")
+    return parsed.withColumn(name, F.when(repeated, last).otherwise(F.col("_entries"))).drop(
+        "_entries", "_keys"
     )
-
-
-def count_fields(raw: Column) -> Column:
-    return F.size(field_names(raw))
 
 
 def count_listed(is_object: Column, raw: Column, fields: Sequence[str] = DEFAULT_DROP_FIELDS) -> Column:
@@ -96,10 +94,22 @@ def count_listed(is_object: Column, raw: Column, fields: Sequence[str] = DEFAULT
     return F.when(is_object, present).otherwise(F.lit(0))
 
 
-def drop_listed(is_object: Column, raw: Column, fields: Sequence[str] = DEFAULT_DROP_FIELDS) -> Column:
-    """The item without the listed fields; anything but an object passes untouched."""
-    kept = F.filter(object_fields(raw), lambda e: ~F.array_contains(_names(fields), e["key"]))
-    return F.when(count_listed(is_object, raw, fields) > 0, object_json(kept)).otherwise(raw)
+def drop_listed(
+    items: DataFrame, fields: Sequence[str] = DEFAULT_DROP_FIELDS, n_listed: str | None = None
+) -> DataFrame:
+    """Items whose ``raw`` has lost the listed fields; anything but an object passes untouched.
+
+    ``n_listed`` names a column with the count, if there is one. Only objects that have a
+    listed field are taken apart.
+    """
+    columns = items.columns
+    if n_listed is None:
+        n_listed = "_n_listed"
+        items = items.withColumn(n_listed, count_listed(F.col("is_object"), F.col("raw"), fields))
+    touched = with_object_fields(items, "_fields", F.when(F.col(n_listed) > 0, F.col("raw")))
+    left = F.filter("_fields", lambda f: ~F.array_contains(_names(fields), f["key"]))
+    text = F.concat(F.lit("{"), F.array_join(json_members(left), ","), F.lit("}"))
+    return touched.withColumn("raw", F.coalesce(text, F.col("raw"))).select(columns)
 
 
 def drop_columns(df: DataFrame, fields: Sequence[str] = DEFAULT_DROP_FIELDS) -> DataFrame:

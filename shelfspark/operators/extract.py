@@ -94,16 +94,21 @@ RECORD_COLUMNS = (
 )
 
 
-def apply_rules(df: DataFrame, rules: Sequence[FieldRule], html: str = "html") -> DataFrame:
+def apply_rules(
+    df: DataFrame,
+    rules: Sequence[FieldRule],
+    html: str = "html",
+    more: dict[str, Column] | None = None,
+) -> DataFrame:
     """Add one column per rule field; NULL where the rule does not match.
 
-    Matches are projected first: each is referenced by all fields of its rule, and the
-    page itself is read by nothing else.
+    Matches are projected first, together with ``more``: each is referenced by all
+    fields of its rule, and nothing else reads the page.
     """
     matches = {
         f"_m{i}": first_match(F.col(html), r.pattern, r.dotall) for i, r in enumerate(rules)
     }
-    out = df.withColumns(matches)
+    out = df.withColumns({**matches, **(more or {})})
     fields = {}
     for i, r in enumerate(rules):
         for name, (group, post) in r.fields.items():
@@ -114,12 +119,23 @@ def apply_rules(df: DataFrame, rules: Sequence[FieldRule], html: str = "html") -
     return out.withColumns(fields).drop(*matches)
 
 
-def breadcrumb(html: Column, host: str) -> dict[str, Column]:
+def page_matches(html: Column) -> dict[str, Column]:
+    """Texts the composite fields are made of; each costs one scan of the page."""
+    return {
+        "_crumbs": first_group(html, BREADCRUMB, 1, dotall=True),
+        "_pair": first_match(html, IMAGE_PAIR),
+        "_default": first_group(html, IMAGE_DEFAULT),
+        "_small": first_group(html, IMAGE_SMALL),
+        "_sold_out": F.contains(html, F.lit(OUT_OF_STOCK)),
+        "_cell": first_group(html, STOCK_TABLE, 1, dotall=True),
+    }
+
+
+def breadcrumb(fragment: Column, host: str) -> dict[str, Column]:
     """Path, addresses, last name and last address of the catalogue links.
 
     A fragment without links still gives an empty path and an empty array.
     """
-    fragment = first_group(html, BREADCRUMB, 1, dotall=True)
     urls = all_groups(fragment, BREADCRUMB_LINK, 1)
     names = all_groups(fragment, BREADCRUMB_LINK, 2)
     return {
@@ -130,11 +146,8 @@ def breadcrumb(html: Column, host: str) -> dict[str, Column]:
     }
 
 
-def image_cascade(html: Column, host: str) -> dict[str, Column]:
+def image_cascade(pair: Column, default: Column, small: Column, host: str) -> dict[str, Column]:
     """Large and small image; else the default cover; else any small image."""
-    pair = first_match(html, IMAGE_PAIR)
-    default = first_group(html, IMAGE_DEFAULT)
-    small = first_group(html, IMAGE_SMALL)
     thumb = F.when(pair.isNotNull(), group_of(pair, IMAGE_PAIR, 2)).otherwise(F.coalesce(default, small))
     return {
         "image_large_url": F.concat(F.lit(host), group_of(pair, IMAGE_PAIR, 1)),
@@ -143,14 +156,11 @@ def image_cascade(html: Column, host: str) -> dict[str, Column]:
     }
 
 
-def in_stock(html: Column) -> Column:
+def in_stock(sold_out: Column, cell: Column) -> Column:
     """False for the fixed phrase; else decided by the first of two adjoining tables; else False."""
-    cell = first_group(html, STOCK_TABLE, 1, dotall=True)
     said_no = F.contains(F.substring(F.lower(cell), 1, STOCK_CHARS), F.lit(STOCK_NO))
     return (
-        F.when(F.contains(html, F.lit(OUT_OF_STOCK)), F.lit(False))
-        .when(cell.isNotNull(), ~said_no)
-        .otherwise(F.lit(False))
+        F.when(sold_out, F.lit(False)).when(cell.isNotNull(), ~said_no).otherwise(F.lit(False))
     )
 
 
@@ -178,10 +188,14 @@ def parse_detail_page(
 
     ``n_fields`` counts present fields; the identifier counts even when the address has none.
     """
-    out = apply_rules(pages, DETAIL_RULES, html).withColumns(
-        {**breadcrumb(F.col(html), host), **image_cascade(F.col(html), host), "in_stock": in_stock(F.col(html))}
-    )
+    out = apply_rules(pages, DETAIL_RULES, html, page_matches(F.col(html)))
     out = out.withColumns(
+        {
+            **breadcrumb(F.col("_crumbs"), host),
+            **image_cascade(F.col("_pair"), F.col("_default"), F.col("_small"), host),
+            "in_stock": F.coalesce(in_stock(F.col("_sold_out"), F.col("_cell")), F.lit(False)),
+        }
+    ).withColumns(
         {
             "detail_url": F.col(url),
             "book_id": extract_id(F.col(url)),
@@ -199,29 +213,30 @@ def parse_detail_page(
     return out.select(*keep, *RECORD_COLUMNS, present.alias("n_fields"))
 
 
-def classify_page(html: Column) -> dict[str, Column]:
-    """``status`` and ``error`` of a fetched page, before any field is extracted.
+def classify_page(pages: DataFrame, html: str = "html") -> DataFrame:
+    """Add ``status`` and ``error`` of a fetched page, before any field is extracted.
 
     ``blocked`` (the site's refusal), ``empty``, ``no_markup`` (with the start of the
     text) or ``ok``.
     """
-    blank = html.isNull() | (F.btrim(html, F.lit(WS_CHARS)) == "")
+    text, status = F.col(html), F.col("status")
+    blank = text.isNull() | (F.btrim(text, F.lit(WS_CHARS)) == "")
     marked = F.lit(False)
     for sign in MARKUP_SIGNS:
-        marked = marked | F.contains(html, F.lit(sign))
-    snippet = ws_trim(F.translate(F.substring(html, 1, SNIPPET_CHARS), "\n\r", "  "))
-    status = (
-        F.when(F.contains(html, F.lit(BLOCKED_SIGN)), "blocked")
+        marked = marked | F.contains(text, F.lit(sign))
+    snippet = ws_trim(F.translate(F.substring(text, 1, SNIPPET_CHARS), "\n\r", "  "))
+    return pages.withColumn(
+        "status",
+        F.when(F.contains(text, F.lit(BLOCKED_SIGN)), "blocked")
+        .when(marked, "ok")
         .when(blank, "empty")
-        .when(~marked, "no_markup")
-        .otherwise("ok")
-    )
-    error = (
+        .otherwise("no_markup"),
+    ).withColumn(
+        "error",
         F.when(status == "blocked", F.lit("HTTP 403"))
         .when(status == "empty", F.lit("empty response"))
-        .when(status == "no_markup", F.concat(F.lit("no markup: "), snippet))
+        .when(status == "no_markup", F.concat(F.lit("no markup: "), snippet)),
     )
-    return {"status": status, "error": error}
 
 
 def extract_records(
@@ -229,7 +244,7 @@ def extract_records(
 ) -> DataFrame:
     """One row per page: record fields with ``status`` and ``error``; status ``unparsed``
     marks a page whose identifying fields are all missing."""
-    classified = pages.withColumns(classify_page(F.col(html)))
+    classified = classify_page(pages, html)
     usable = F.when(F.col("status") == "ok", F.col(html))
     parsed = parse_detail_page(
         classified.withColumn(html, usable), host, url, html, (*keep, "status", "error")

@@ -8,19 +8,19 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.functions.keys import JOB_KEY_MODE, json_dedup_key, key_id, key_mode
+from shelfspark.functions.keys import JOB_KEY_MODE, key_mode, with_json_dedup_key
 from shelfspark.functions.records import DEFAULT_DROP_FIELDS, count_listed, drop_listed
 from shelfspark.operators.dedup import KEPT, duplicates_report, label_duplicates
 from shelfspark.operators.metrics import file_metrics, run_totals
 from shelfspark.session import staged
 from shelfspark.sources.json_docs import (
-    envelope_text,
     explode_items,
     file_table,
     parse_documents,
     require_files,
     scan_json_documents,
     unwrap_books,
+    with_envelope,
 )
 from shelfspark.sources.sinks import document_lines, write_documents, write_duplicates_report
 
@@ -44,17 +44,15 @@ def keyed_items(
     items: DataFrame, mode: str, fields: Sequence[str] = DEFAULT_DROP_FIELDS, exact: bool = False
 ) -> DataFrame:
     """Items with their duplicate key and the number of listed fields they have."""
-    is_object, raw = F.col("is_object"), F.col("raw")
-    keyed = items.withColumn("dedup_key", json_dedup_key(is_object, raw, mode, exact))
-    return keyed.withColumns(
-        {"key_id": key_id(F.col("dedup_key")), "n_listed": count_listed(is_object, raw, fields)}
-    )
+    keyed = with_json_dedup_key(items, mode, exact)
+    return keyed.withColumn("n_listed", count_listed(F.col("is_object"), F.col("raw"), fields))
 
 
 def report_fields(raw: str = "raw") -> dict:
     """Identifying fields shown for a removed record, as text."""
-    rec = F.from_json(F.col(raw), "title string, author string, publisher string, year string, isbn string")
-    return {name: rec[name] for name in ("title", "author", "publisher", "year", "isbn")}
+    names = ("title", "author", "publisher", "year", "isbn")
+    rec = F.from_json(F.col(raw), ", ".join(f"{n} string" for n in names))
+    return {n: rec[n] for n in names}
 
 
 def clean_documents(
@@ -73,31 +71,27 @@ def clean_documents(
     """
     mode = key_mode(dedup_key)
     unwrapped = unwrap_books(parse_documents(docs), "clean")
-    head, tail = envelope_text(F.col("doc"), F.col("books_key"), keep_meta)
-    files = file_table(unwrapped)
+    files = file_table(with_envelope(unwrapped, keep_meta), ("head", "tail"))
     if keep_meta:
         files = files.withColumns(
             {"meta_removed": F.lit(False), "meta_keys_removed": F.lit([]).cast("array<string>")}
         )
-    used = unwrapped.where(F.col("error").isNull() & F.col("skipped").isNull())
-    envelopes = used.select("file", head.alias("head"), tail.alias("tail"))
     items = keyed_items(explode_items(unwrapped), mode, fields, exact)
     if stage:
         files, items = staged(files, "clean-files"), staged(items, "clean-items")
+    envelopes = files.where((F.col("status") == "ok") & F.col("skipped").isNull())
     labelled = label_duplicates(items, cross_file=cross_file)
-    kept = labelled.where(F.col("label") == KEPT).select(
-        "file", "file_rank", "pos", drop_listed(F.col("is_object"), F.col("raw"), fields).alias("raw")
-    )
-    per_file = file_metrics(files, items, cross_file)
+    kept = drop_listed(labelled.where(F.col("label") == KEPT), fields, "n_listed")
+    per_file = file_metrics(files.drop("head", "tail"), items, cross_file)
     return CleanResult(
         files=files,
         items=items,
         labelled=labelled,
-        kept=kept,
+        kept=kept.select("file", "file_rank", "pos", "raw"),
         report=duplicates_report(labelled, report_fields()),
         per_file=per_file,
         totals=run_totals(per_file),
-        envelopes=envelopes,
+        envelopes=envelopes.select("file", "head", "tail"),
         mode=mode,
     )
 

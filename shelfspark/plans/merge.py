@@ -6,7 +6,6 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from shelfspark.functions.keys import JOB_KEY_MODE, key_mode
 from shelfspark.functions.records import DEFAULT_DROP_FIELDS, drop_listed
@@ -58,11 +57,12 @@ def merge_documents(
     if stage:
         files, items = staged(files, "merge-files"), staged(items, "merge-items")
     kept = items if mode is None else dedup_first_wins(items)
-    text = drop_listed(F.col("is_object"), F.col("raw"), fields) if clean_fields else F.col("raw")
+    if clean_fields:
+        kept = drop_listed(kept, fields, "n_listed")
     return MergeResult(
         files=files,
         items=items,
-        merged=kept.select("file", "file_rank", "pos", text.alias("raw")),
+        merged=kept.select("file", "file_rank", "pos", "raw"),
         metrics=merge_metrics(files, items, mode is not None, clean_fields),
         report=None
         if mode is None

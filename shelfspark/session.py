@@ -64,3 +64,13 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     path = scratch_dir(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Use all cores for costly per-row work on an input with few splits.
+
+    Nothing happens when the scan already has a task per core, as it has on large data;
+    a small single-file table is hashed on ``keys``.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.functions.records import json_string, object_fields
+from shelfspark.functions.records import json_members, json_string, with_object_fields
 from shelfspark.sources.files import (
     NoInputFiles,
     exclude_files,
@@ -103,8 +103,9 @@ def unwrap_books(docs: DataFrame, mode: str = "clean", unwrap: bool = True) -> D
     if mode not in ("clean", "merge"):
         raise ValueError(f"unknown mode {mode!r}")
     v, doc = F.col("v"), F.col("doc")
-    is_array = F.ltrim(doc, F.lit(" \t\r\n")).startswith("[")
-    is_object = F.ltrim(doc, F.lit(" \t\r\n")).startswith("{")
+    # of a document known to be valid the first character tells the kind
+    docs = docs.withColumn("_first", F.left(F.ltrim(doc, F.lit(" \t\r\n")), F.lit(1)))
+    is_array, is_object = F.col("_first") == "[", F.col("_first") == "{"
     top = F.from_json(doc, ", ".join(f"{k} string" for k in BOOKS_KEYS))
     arrays = {k: F.try_variant_get(v, f"$.{k}", "array<variant>") for k in BOOKS_KEYS}
     whole = F.when(is_array, _items(F.try_variant_get(v, "$", "array<variant>"), doc))
@@ -128,22 +129,25 @@ def unwrap_books(docs: DataFrame, mode: str = "clean", unwrap: bool = True) -> D
         found = F.when(v.isNull(), F.lit(None).cast(_ITEMS)).otherwise(F.coalesce(found, single))
         out = out.withColumn("items", found).withColumn("skipped", F.lit(None).cast("string"))
     else:
-        is_null = F.lit(False)
+        # found out without the items, so that file-level columns do not need them
+        is_null, is_list = F.lit(False), F.lit(False)
         for k in BOOKS_KEYS:
-            is_null = is_null | (
-                (F.col("books_key") == k) & F.is_variant_null(F.variant_get(v, f"$.{k}", "variant"))
-            )
+            chosen_here = F.col("books_key") == k
+            is_null = is_null | (chosen_here & F.is_variant_null(F.variant_get(v, f"$.{k}", "variant")))
+            is_list = is_list | (chosen_here & arrays[k].isNotNull())
         skipped = (
             F.when(v.isNull(), F.lit(None).cast("string"))
             .when(~is_array & ~is_object, SKIP_NOT_CONTAINER)
-            .when(is_object & (F.col("books_key").isNull() | F.coalesce(is_null, F.lit(False))), SKIP_NO_KEY)
-            .when(F.col("items").isNull(), SKIP_NOT_LIST)
+            .when(is_object & (F.col("books_key").isNull() | is_null), SKIP_NO_KEY)
+            .when(is_object & ~is_list, SKIP_NOT_LIST)
         )
         out = out.withColumn("items", F.when(v.isNotNull(), found)).withColumn("skipped", skipped)
         # only a document whose array was found has lost its envelope
         out = out.withColumn("books_key", F.when(F.col("skipped").isNull(), F.col("books_key")))
-    return out.withColumn("unwrapped", F.col("books_key").isNotNull()).withColumn(
-        "meta_keys", meta_keys(doc, F.col("books_key"))
+    return (
+        out.withColumn("unwrapped", F.col("books_key").isNotNull())
+        .withColumn("meta_keys", meta_keys(doc, F.col("books_key")))
+        .drop("_first")
     )
 
 
@@ -155,39 +159,38 @@ def meta_keys(doc: Column, books_key: Column) -> Column:
     )
 
 
-def envelope_text(doc: Column, books_key: Column, keep_meta: bool) -> tuple[Column, Column]:
-    """Text before and after the items when a document is written out again."""
-    head, tail = F.lit("["), F.lit("]")
+def with_envelope(unwrapped: DataFrame, keep_meta: bool) -> DataFrame:
+    """Add ``head`` and ``tail``, the text around the items when a document is written again."""
+    bare = {"head": F.lit("["), "tail": F.lit("]")}
     if not keep_meta:
-        return head, tail
-    fields = object_fields(doc)
-    place = F.array_position(F.transform(fields, lambda f: f["key"]), books_key).cast("int")
-
-    def joined(part: Column, before: bool) -> Column:
-        texts = F.transform(part, lambda f: F.concat(json_string(f["key"]), F.lit(":"), f["json"]))
-        comma = F.lit(",")
-        edged = F.transform(
-            texts, lambda t: F.concat(t, comma) if before else F.concat(comma, t)
-        )
-        return F.array_join(edged, "")
-
-    kept_head = F.concat(
+        return unwrapped.withColumns(bare)
+    wrapped = F.col("books_key").isNotNull()
+    out = with_object_fields(unwrapped, "_top", F.when(wrapped, F.col("doc")))
+    place = F.array_position(F.transform("_top", lambda f: f["key"]), F.col("books_key")).cast("int")
+    out = out.withColumn("_place", place)
+    before = json_members(F.slice("_top", F.lit(1), F.col("_place") - 1))
+    after = json_members(F.slice("_top", F.col("_place") + 1, F.size("_top")))
+    head = F.concat(
         F.lit("{"),
-        joined(F.slice(fields, F.lit(1), place - 1), True),
-        json_string(books_key),
+        F.array_join(F.transform(before, lambda t: F.concat(t, F.lit(","))), ""),
+        json_string(F.col("books_key")),
         F.lit(":["),
     )
-    kept_tail = F.concat(
+    tail = F.concat(
         F.lit("]"),
-        joined(F.slice(fields, place + 1, F.size(fields)), False),
+        F.array_join(F.transform(after, lambda t: F.concat(F.lit(","), t)), ""),
         F.lit("}"),
     )
-    wrapped = books_key.isNotNull()
-    return F.when(wrapped, kept_head).otherwise(head), F.when(wrapped, kept_tail).otherwise(tail)
+    return out.withColumns(
+        {
+            "head": F.when(wrapped, head).otherwise(bare["head"]),
+            "tail": F.when(wrapped, tail).otherwise(bare["tail"]),
+        }
+    ).drop("_top", "_place")
 
 
-def file_table(unwrapped: DataFrame) -> DataFrame:
-    """One row per file, without contents."""
+def file_table(unwrapped: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """One row per file, without contents; ``keep`` passes further columns on."""
     return unwrapped.select(
         "file",
         "file_rank",
@@ -198,18 +201,24 @@ def file_table(unwrapped: DataFrame) -> DataFrame:
         "unwrapped",
         F.col("unwrapped").alias("meta_removed"),
         F.col("meta_keys").alias("meta_keys_removed"),
+        *keep,
     )
 
 
 def explode_items(unwrapped: DataFrame) -> DataFrame:
     """One row per item: ``(file, file_rank, pos, is_object, raw)``; ``raw`` is JSON text."""
-    kind = F.schema_of_variant(F.col("item.v"))
-    return unwrapped.select("file", "file_rank", F.posexplode("items").alias("pos", "item")).select(
+    # a plain posexplode makes Spark infer a filter on the array and push it below the
+    # projections that parse the document, which would then be parsed many times over
+    exploded = unwrapped.select(
+        "file", "file_rank", F.posexplode_outer("items").alias("pos", "item")
+    ).where(F.col("pos").isNotNull())
+    kinds = exploded.withColumn("kind", F.schema_of_variant(F.col("item.v")))
+    return kinds.select(
         "file",
         "file_rank",
         "pos",
-        kind.startswith("OBJECT").alias("is_object"),
-        F.when(kind == "STRING", F.to_json(F.col("item.v")))
+        F.col("kind").startswith("OBJECT").alias("is_object"),
+        F.when(F.col("kind") == "STRING", F.to_json(F.col("item.v")))
         .otherwise(F.coalesce(F.col("item.t"), F.lit("null")))
         .alias("raw"),
     )

@@ -55,7 +55,7 @@ if __name__ == "__main__":
     from shelfspark.session import build_session
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = build_session("oracle", "local[8]", 8, {"spark.ui.enabled": "false", "spark.driver.memory": "16g"})
+    spark = build_session("oracle", "local[8]", 8, {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "16g"})
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
     oracles = all_oracles()
@@ -66,5 +66,5 @@ if __name__ == "__main__":
         try:
             verdict = compare(spark, con, fn, oracles[name], sf_dir) if name in oracles else f"rows only: {fn(spark, sf_dir).count()}"
         except Exception as error:  # noqa: BLE001 - report and go on with the next query
-            verdict = f"ERROR {str(error)[:1200]}"
+            verdict = "ERROR " + " ".join(str(error).split())[:600]
         print(f"{name:28s} {time.time() - start:6.1f}s {verdict[:1500] or 'match'}", flush=True)
