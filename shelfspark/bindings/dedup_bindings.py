@@ -46,21 +46,26 @@ labelled AS (
 def document_rows(spark, sf_dir):
     """Texts as records: the source is the file, the id the position, the folded text the key."""
     return table(spark, sf_dir, "documents", "doc_id").select(
-        "doc_id", "source", "lang", text_id(normalize_text(F.col("text"))).alias("key_id")
+        "doc_id",
+        "source",
+        F.col("text").isNotNull().alias("has_key"),
+        F.when(F.col("text").isNotNull(), text_id(normalize_text(F.col("text")))).alias("key_id"),
     )
 
 
 @query("dedup_first_wins", _DOCS + "SELECT doc_id, source FROM labelled WHERE label = 'kept'")
 def dedup_first_wins_query(spark, sf_dir):
     """E2, D2."""
-    kept = dedup_first_wins(document_rows(spark, sf_dir), file="source", pos="doc_id")
+    kept = dedup_first_wins(document_rows(spark, sf_dir), file="source", pos="doc_id", has_key="has_key")
     return kept.select("doc_id", "source")
 
 
 @query("label_duplicates", _DOCS + "SELECT doc_id, source, label FROM labelled")
 def label_duplicates_query(spark, sf_dir):
     """F1."""
-    labelled = label_duplicates(document_rows(spark, sf_dir), file="source", pos="doc_id")
+    labelled = label_duplicates(
+        document_rows(spark, sf_dir), file="source", pos="doc_id", has_key="has_key"
+    )
     return labelled.select("doc_id", "source", "label")
 
 
@@ -71,13 +76,16 @@ def label_duplicates_query(spark, sf_dir):
 def dedup_per_file(spark, sf_dir):
     """E2 inside files only."""
     rows = document_rows(spark, sf_dir)
-    return dedup_first_wins(rows, file="source", pos="doc_id", cross_file=False).select("source", "doc_id")
+    kept = dedup_first_wins(rows, file="source", pos="doc_id", cross_file=False, has_key="has_key")
+    return kept.select("source", "doc_id")
 
 
 @query("duplicates_report", _DOCS + "SELECT source, label AS reason, doc_id FROM labelled WHERE label <> 'kept'")
 def duplicates_report_query(spark, sf_dir):
     """B3 on texts."""
-    labelled = label_duplicates(document_rows(spark, sf_dir), file="source", pos="doc_id")
+    labelled = label_duplicates(
+        document_rows(spark, sf_dir), file="source", pos="doc_id", has_key="has_key"
+    )
     return removed_rows(labelled).select("source", F.col("label").alias("reason"), "doc_id")
 
 

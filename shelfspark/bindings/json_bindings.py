@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 from shelfspark.bindings.tables import Registry, table
 from shelfspark.functions.keys import key_parts
 from shelfspark.functions.records import count_listed, drop_listed, field_names, record_to_json
-from shelfspark.plans.clean import clean_documents, keyed_items
-from shelfspark.plans.merge import merge_documents
+from shelfspark.plans.clean import CleanJob, keyed_items
+from shelfspark.plans.merge import MergeJob
 from shelfspark.session import scratch_dir
 from shelfspark.sources.checkpoint import scan_checkpoint
-from shelfspark.sources.files import exclude_files, exclude_listed, rank_files, rank_of
+from shelfspark.sources.files import exclude_files, exclude_listed, rank_argument, rank_files, rank_of
 from shelfspark.sources.json_docs import (
     explode_items,
     file_table,
@@ -180,7 +180,7 @@ def _merge_unwrapped(spark, sf_dir):
 
 
 def _clean(spark, sf_dir, **options):
-    return clean_documents(order_documents(spark, sf_dir, broken=True), **options)
+    return CleanJob(order_documents(spark, sf_dir, broken=True), **options)
 
 
 @query(
@@ -334,7 +334,7 @@ def clean_documents_text(spark, sf_dir):
 @query("merge_records", _MERGE + "SELECT file, pos, dropped AS record FROM labelled WHERE label = 'kept'")
 def merge_records(spark, sf_dir):
     """The merge job's records."""
-    merged = merge_documents(order_documents(spark, sf_dir, broken=False)).merged
+    merged = MergeJob(order_documents(spark, sf_dir, broken=False)).merged
     return merged.select("file", "pos", F.col("raw").alias("record"))
 
 
@@ -355,7 +355,7 @@ count(*) FILTER (label <> 'kept') AS duplicates_removed,
 )
 def merge_metrics_query(spark, sf_dir):
     """E6."""
-    return merge_documents(order_documents(spark, sf_dir, broken=False)).metrics
+    return MergeJob(order_documents(spark, sf_dir, broken=False)).metrics
 
 
 @query(
@@ -367,7 +367,7 @@ def merge_metrics_query(spark, sf_dir):
 def merge_metrics_plain(spark, sf_dir):
     """E6 without de-duplication and field cleaning."""
     docs = order_documents(spark, sf_dir, broken=False)
-    return merge_documents(docs, dedup_key=None, clean_fields=False).metrics
+    return MergeJob(docs, dedup_key=None, clean_fields=False).metrics
 
 
 @query(
@@ -414,7 +414,7 @@ def order_files(spark, sf_dir):
         F.length(F.regexp_extract("url", "^([a-z]+):", 1)).alias("arg"),
     )
     return rank_files(files).select(
-        "file", F.col("file_rank.arg").alias("arg"), F.size("file_rank.parts").alias("depth")
+        "file", rank_argument(F.col("file_rank")).alias("arg"), F.size(F.split("file", "/")).alias("depth")
     )
 
 

@@ -19,6 +19,7 @@ from shelfspark.operators.extract import (
 )
 from shelfspark.functions.text import strip_tags, ws_trim
 from shelfspark.plans.detail import extract_details
+from shelfspark.session import staged
 from shelfspark.sources.sinks import failed_urls
 
 _registry = Registry()
@@ -284,7 +285,7 @@ def _detail_job(spark, sf_dir):
     url = F.concat(F.lit(HOST + "/detail/book"), "o_custkey", F.lit(".html"))
     urls = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("line_no"), url.alias("url"))
     old = pages.where("p_type = 'ECONOMY' and p_size > 5").withColumn("pos", F.col("p_partkey"))
-    existing = parse_detail_page(old, HOST, keep=("pos",))
+    existing = staged(parse_detail_page(old, HOST, keep=("pos",)), "earlier-run")
     return extract_details(urls, pages.where("p_type <> 'LARGE'"), existing, HOST)
 
 

@@ -47,7 +47,7 @@ def json_string(text: Column) -> Column:
 
 def field_names(raw: Column) -> Column:
     """Keys present in the object, explicit nulls included."""
-    return F.array_distinct(F.map_keys(F.from_json(raw, "map<string,string>")))
+    return F.array_distinct(F.json_object_keys(raw))
 
 
 def json_members(fields: Column) -> Column:

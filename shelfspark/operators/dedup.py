@@ -29,12 +29,14 @@ def first_per_file(
     carry: Sequence[str] = (),
 ) -> DataFrame:
     """One row per key and file: the first position there, with the ``carry`` columns of that row."""
-    keyed = rows.where(F.col(key).isNotNull())
-    if not carry:
-        # a fixed-width buffer keeps this a hash aggregate
-        return keyed.groupBy(key, file).agg(F.min(pos).alias(pos))
-    first = F.min(F.struct(pos, *carry)).alias("first")
-    return keyed.groupBy(key, file).agg(first).select(key, file, "first.*")
+    # The rows without a key form one group per file, dropped after the partial step. A
+    # filter on the key itself would be pushed below the projection that computes it and
+    # compute it a second time.
+    first = F.min(F.struct(pos, *carry) if carry else F.col(pos)).alias("first")
+    grouped = rows.groupBy(key, file).agg(first, F.count(key).alias("_n")).where(F.col("_n") > 0)
+    if carry:
+        return grouped.select(key, file, "first.*")
+    return grouped.select(key, file, F.col("first").alias(pos))
 
 
 def first_per_key(
@@ -49,22 +51,28 @@ def first_per_key(
     return per_file.groupBy(key).agg(first).select(key, "first.*")
 
 
+def _keyed(key: str, has_key: str | None) -> Column:
+    return F.col(has_key) if has_key else F.col(key).isNotNull()
+
+
 def label_duplicates(
     rows: DataFrame,
     key: str = "key_id",
     file: str = "file_rank",
     pos: str = "pos",
     cross_file: bool = True,
+    has_key: str | None = None,
 ) -> DataFrame:
     """Add ``label``: ``kept``, ``in_file`` or ``cross_file``.
 
     A repeat inside a file is ``in_file`` even when the first one there lost to an
-    earlier file. Rows without a key are always kept.
+    earlier file. Rows without a key are always kept. ``has_key`` names a cheap boolean
+    column equal to "the key is not NULL", which spares computing a costly key twice.
     """
     per_file = first_per_file(rows, key, file, pos)
     first_here = per_file.select(file, pos, F.lit(True).alias("_first_here"))
     labelled = rows.join(first_here, [file, pos], "left")
-    label = F.when(F.col(key).isNull(), KEPT).when(F.col("_first_here").isNull(), IN_FILE)
+    label = F.when(~_keyed(key, has_key), KEPT).when(F.col("_first_here").isNull(), IN_FILE)
     if not cross_file:
         return labelled.withColumn("label", label.otherwise(KEPT)).drop("_first_here")
     first_ever = first_per_key(per_file, key, file, pos).select(
@@ -84,15 +92,19 @@ def dedup_first_wins(
     file: str = "file_rank",
     pos: str = "pos",
     cross_file: bool = True,
+    has_key: str | None = None,
 ) -> DataFrame:
-    """Rows that stay: the first of each key (of each key and file if not ``cross_file``)."""
+    """Rows that stay: the first of each key (of each key and file if not ``cross_file``).
+
+    ``has_key`` as for :func:`label_duplicates`.
+    """
     winners = first_per_file(rows, key, file, pos)
     if cross_file:
         winners = first_per_key(winners, key, file, pos)
     marks = winners.select(file, pos, F.lit(True).alias("_wins"))
     return (
         rows.join(marks, [file, pos], "left")
-        .where(F.col(key).isNull() | F.col("_wins"))
+        .where(~_keyed(key, has_key) | F.col("_wins"))
         .drop("_wins")
     )
 
@@ -122,14 +134,16 @@ def dedup_richest(
     ``order`` must identify a row. Records whose key is NULL or empty are dropped.
     ``first_seen`` is where the key first occurred, for callers that want that order.
     """
+    # empty keys are dropped after the partial step, see first_per_file
     best = (
-        rows.where(F.col(key) != "")
-        .groupBy(key)
+        rows.groupBy(key)
         .agg(
-            F.max_by(F.col(order), F.struct(F.col(n_fields), -F.col(order))).alias(order),
+            F.max(F.struct(F.col(n_fields), (-F.col(order)).alias("back"))).alias("_best"),
             F.min(order).alias("first_seen"),
+            F.count_if(F.col(key) != "").alias("_n"),
         )
-        .select(order, "first_seen")
+        .where(F.col("_n") > 0)
+        .select((-F.col("_best.back")).alias(order), "first_seen")
     )
     return rows.join(best, order)
 

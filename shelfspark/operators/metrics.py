@@ -103,12 +103,14 @@ def merge_metrics(
         F.count("*").alias("files_count"),
         F.count_if(F.col("unwrapped")).alias("unwrapped_files"),
     )
-    compared = F.col(key).isNotNull() if dedup else F.lit(False)
-    free = items.where(~compared).agg(
-        F.count("*").alias("free_rows"), F.sum(n_listed).alias("free_fields")
+    compared = F.col(key) if dedup else F.lit(None).cast("binary")
+    keyed = items.select(file, pos, n_listed, compared.alias(key))
+    is_free = F.col(key).isNull()
+    free = keyed.agg(
+        F.count_if(is_free).alias("free_rows"), F.sum(F.when(is_free, F.col(n_listed))).alias("free_fields")
     )
     heads = (
-        items.where(compared)
+        keyed.where(F.col(key).isNotNull())
         .groupBy(key, file)
         .agg(F.min(F.struct(pos, n_listed)).alias("first"), F.count("*").alias("n_rows"))
         .groupBy(key)

@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfspark.functions.keys import JOB_KEY_MODE, key_mode, with_json_dedup_key
 from shelfspark.functions.records import DEFAULT_DROP_FIELDS, count_listed, drop_listed
-from shelfspark.operators.dedup import KEPT, duplicates_report, label_duplicates
+from shelfspark.operators.dedup import (
+    dedup_first_wins,
+    duplicates_report,
+    label_duplicates,
+    removed_rows,
+)
 from shelfspark.operators.metrics import file_metrics, run_totals
 from shelfspark.session import staged
 from shelfspark.sources.json_docs import (
@@ -25,21 +30,6 @@ from shelfspark.sources.json_docs import (
 from shelfspark.sources.sinks import document_lines, write_documents, write_duplicates_report
 
 
-@dataclass(frozen=True)
-class CleanResult:
-    """Tables of a clean run; all are lazy."""
-
-    files: DataFrame
-    items: DataFrame
-    labelled: DataFrame
-    kept: DataFrame
-    report: DataFrame
-    per_file: DataFrame
-    totals: DataFrame
-    envelopes: DataFrame
-    mode: str
-
-
 def keyed_items(
     items: DataFrame, mode: str, fields: Sequence[str] = DEFAULT_DROP_FIELDS, exact: bool = False
 ) -> DataFrame:
@@ -55,45 +45,78 @@ def report_fields(raw: str = "raw") -> dict:
     return {n: rec[n] for n in names}
 
 
-def clean_documents(
-    docs: DataFrame,
-    dedup_key: str = JOB_KEY_MODE,
-    cross_file: bool = True,
-    fields: Sequence[str] = DEFAULT_DROP_FIELDS,
-    keep_meta: bool = False,
-    exact: bool = False,
-    stage: bool = True,
-) -> CleanResult:
-    """Clean ``(file, file_rank, doc)`` rows.
+class CleanJob:
+    """Clean ``(file, file_rank, doc)`` rows; unreadable documents become error rows.
 
-    With ``stage`` the parsed items are written once to the shared folder and every
-    output is derived from them. Unreadable documents become error rows.
+    Every table is built when it is first asked for. With ``stage``, parsed items and
+    the file table are each written once to the shared folder, and all outputs are
+    derived from those.
     """
-    mode = key_mode(dedup_key)
-    unwrapped = unwrap_books(parse_documents(docs), "clean")
-    files = file_table(with_envelope(unwrapped, keep_meta), ("head", "tail"))
-    if keep_meta:
-        files = files.withColumns(
-            {"meta_removed": F.lit(False), "meta_keys_removed": F.lit([]).cast("array<string>")}
-        )
-    items = keyed_items(explode_items(unwrapped), mode, fields, exact)
-    if stage:
-        files, items = staged(files, "clean-files"), staged(items, "clean-items")
-    envelopes = files.where((F.col("status") == "ok") & F.col("skipped").isNull())
-    labelled = label_duplicates(items, cross_file=cross_file)
-    kept = drop_listed(labelled.where(F.col("label") == KEPT), fields, "n_listed")
-    per_file = file_metrics(files.drop("head", "tail"), items, cross_file)
-    return CleanResult(
-        files=files,
-        items=items,
-        labelled=labelled,
-        kept=kept.select("file", "file_rank", "pos", "raw"),
-        report=duplicates_report(labelled, report_fields()),
-        per_file=per_file,
-        totals=run_totals(per_file),
-        envelopes=envelopes.select("file", "head", "tail"),
-        mode=mode,
-    )
+
+    def __init__(
+        self,
+        docs: DataFrame,
+        dedup_key: str = JOB_KEY_MODE,
+        cross_file: bool = True,
+        fields: Sequence[str] = DEFAULT_DROP_FIELDS,
+        keep_meta: bool = False,
+        exact: bool = False,
+        stage: bool = True,
+    ) -> None:
+        self.mode = key_mode(dedup_key)
+        self.cross_file = cross_file
+        self.fields = tuple(fields)
+        self.keep_meta = keep_meta
+        self.exact = exact
+        self.stage = stage
+        self._unwrapped = unwrap_books(parse_documents(docs), "clean")
+
+    def _staged(self, df: DataFrame, label: str) -> DataFrame:
+        return staged(df, label) if self.stage else df
+
+    @cached_property
+    def files(self) -> DataFrame:
+        """One row per file, with the text around its items."""
+        files = file_table(with_envelope(self._unwrapped, self.keep_meta), ("head", "tail"))
+        if self.keep_meta:
+            nothing = {"meta_removed": F.lit(False), "meta_keys_removed": F.lit([]).cast("array<string>")}
+            files = files.withColumns(nothing)
+        return self._staged(files, "clean-files")
+
+    @cached_property
+    def items(self) -> DataFrame:
+        """All items with key and number of listed fields."""
+        items = keyed_items(explode_items(self._unwrapped), self.mode, self.fields, self.exact)
+        return self._staged(items, "clean-items")
+
+    @cached_property
+    def labelled(self) -> DataFrame:
+        return label_duplicates(self.items, cross_file=self.cross_file)
+
+    @property
+    def kept(self) -> DataFrame:
+        """Items left, without the listed fields."""
+        items = self.items.select("file", "file_rank", "pos", "is_object", "raw", "key_id", "n_listed")
+        kept = dedup_first_wins(items, cross_file=self.cross_file)
+        return drop_listed(kept, self.fields, "n_listed").select("file", "file_rank", "pos", "raw")
+
+    @property
+    def report(self) -> DataFrame:
+        return duplicates_report(removed_rows(self.labelled), report_fields())
+
+    @property
+    def per_file(self) -> DataFrame:
+        return file_metrics(self.files.drop("head", "tail"), self.items, self.cross_file)
+
+    @property
+    def totals(self) -> DataFrame:
+        return run_totals(self.per_file)
+
+    @property
+    def envelopes(self) -> DataFrame:
+        """Files that are written again: those read without error and not skipped."""
+        used = self.files.where((F.col("status") == "ok") & F.col("skipped").isNull())
+        return used.select("file", "head", "tail")
 
 
 def clean_files(
@@ -107,18 +130,18 @@ def clean_files(
     keep_meta: bool = False,
     fields: Sequence[str] = DEFAULT_DROP_FIELDS,
     report: bool = False,
-) -> CleanResult:
+) -> CleanJob:
     """Clean files and folders into a new folder ``output``; sources are never touched.
 
     ``documents`` gets the cleaned documents, ``metrics`` one row per file, ``totals`` one
     row for the run, ``report`` the removed records if asked for.
     """
     docs = scan_json_documents(spark, paths, recursive, exclude)
-    result = clean_documents(docs, dedup_key, cross_file, fields, keep_meta)
-    require_files(result.files)
-    write_documents(document_lines(result.kept, result.envelopes), f"{output}/documents")
-    result.per_file.drop("file_rank").write.json(f"{output}/metrics")
-    result.totals.write.json(f"{output}/totals")
+    job = CleanJob(docs, dedup_key, cross_file, fields, keep_meta)
+    require_files(job.files)
+    write_documents(document_lines(job.kept, job.envelopes), f"{output}/documents")
+    job.per_file.drop("file_rank").write.json(f"{output}/metrics")
+    job.totals.write.json(f"{output}/totals")
     if report:
-        write_duplicates_report(result.report, result.mode, f"{output}/report")
-    return result
+        write_duplicates_report(job.report, job.mode, f"{output}/report")
+    return job

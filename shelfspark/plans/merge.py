@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,51 +24,63 @@ from shelfspark.sources.json_docs import (
 from shelfspark.sources.sinks import write_duplicates_report, write_json_lines
 
 
-@dataclass(frozen=True)
-class MergeResult:
-    """Tables of a merge run; all are lazy. ``report`` is None without de-duplication."""
-
-    files: DataFrame
-    items: DataFrame
-    merged: DataFrame
-    metrics: DataFrame
-    report: DataFrame | None
-    mode: str | None
-
-
-def merge_documents(
-    docs: DataFrame,
-    dedup_key: str | None = JOB_KEY_MODE,
-    unwrap: bool = True,
-    clean_fields: bool = True,
-    fields: Sequence[str] = DEFAULT_DROP_FIELDS,
-    exact: bool = False,
-    stage: bool = True,
-) -> MergeResult:
+class MergeJob:
     """Merge ``(file, file_rank, doc)`` rows; ``dedup_key=None`` keeps duplicates.
 
     Listed fields go after duplicates do, so those of removed records do not count. An
-    unreadable document stops the run.
+    unreadable document stops the run. Tables are built when first asked for; with
+    ``stage``, parsed items and the file table are each written once to the shared folder.
     """
-    mode = None if dedup_key is None else key_mode(dedup_key)
-    unwrapped = unwrap_books(parse_documents(docs, "failfast"), "merge", unwrap)
-    files = file_table(unwrapped)
-    items = keyed_items(explode_items(unwrapped), mode or JOB_KEY_MODE, fields, exact)
-    if stage:
-        files, items = staged(files, "merge-files"), staged(items, "merge-items")
-    kept = items if mode is None else dedup_first_wins(items)
-    if clean_fields:
-        kept = drop_listed(kept, fields, "n_listed")
-    return MergeResult(
-        files=files,
-        items=items,
-        merged=kept.select("file", "file_rank", "pos", "raw"),
-        metrics=merge_metrics(files, items, mode is not None, clean_fields),
-        report=None
-        if mode is None
-        else duplicates_report(removed_rows(label_duplicates(items)), report_fields()),
-        mode=mode,
-    )
+
+    def __init__(
+        self,
+        docs: DataFrame,
+        dedup_key: str | None = JOB_KEY_MODE,
+        unwrap: bool = True,
+        clean_fields: bool = True,
+        fields: Sequence[str] = DEFAULT_DROP_FIELDS,
+        exact: bool = False,
+        stage: bool = True,
+    ) -> None:
+        self.mode = None if dedup_key is None else key_mode(dedup_key)
+        self.clean_fields = clean_fields
+        self.fields = tuple(fields)
+        self.exact = exact
+        self.stage = stage
+        self._unwrapped = unwrap_books(parse_documents(docs, "failfast"), "merge", unwrap)
+
+    def _staged(self, df: DataFrame, label: str) -> DataFrame:
+        return staged(df, label) if self.stage else df
+
+    @cached_property
+    def files(self) -> DataFrame:
+        return self._staged(file_table(self._unwrapped), "merge-files")
+
+    @cached_property
+    def items(self) -> DataFrame:
+        """All items with key and number of listed fields."""
+        mode = self.mode or JOB_KEY_MODE
+        items = keyed_items(explode_items(self._unwrapped), mode, self.fields, self.exact)
+        return self._staged(items, "merge-items")
+
+    @property
+    def merged(self) -> DataFrame:
+        items = self.items.select("file", "file_rank", "pos", "is_object", "raw", "key_id", "n_listed")
+        kept = items if self.mode is None else dedup_first_wins(items)
+        if self.clean_fields:
+            kept = drop_listed(kept, self.fields, "n_listed")
+        return kept.select("file", "file_rank", "pos", "raw")
+
+    @property
+    def metrics(self) -> DataFrame:
+        return merge_metrics(self.files, self.items, self.mode is not None, self.clean_fields)
+
+    @property
+    def report(self) -> DataFrame | None:
+        """Removed records; None without de-duplication."""
+        if self.mode is None:
+            return None
+        return duplicates_report(removed_rows(label_duplicates(self.items)), report_fields())
 
 
 def merge_files(
@@ -82,13 +94,13 @@ def merge_files(
     exclude_paths: Sequence[str] = (),
     report: bool = False,
     ordered: bool = False,
-) -> MergeResult:
+) -> MergeJob:
     """Merge a folder into a new folder ``output``: ``records``, ``metrics`` and ``report``."""
     docs = scan_json_documents(spark, [folder], recursive, exclude_paths=exclude_paths)
-    result = merge_documents(docs, dedup_key, unwrap, clean_fields)
-    require_files(result.files)
-    write_json_lines(result.merged, f"{output}/records", ordered)
-    result.metrics.write.json(f"{output}/metrics")
-    if report and result.report is not None:
-        write_duplicates_report(result.report, result.mode, f"{output}/report")
-    return result
+    job = MergeJob(docs, dedup_key, unwrap, clean_fields)
+    require_files(job.files)
+    write_json_lines(job.merged, f"{output}/records", ordered)
+    job.metrics.write.json(f"{output}/metrics")
+    if report and job.report is not None:
+        write_duplicates_report(job.report, job.mode, f"{output}/report")
+    return job

@@ -9,7 +9,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-FILE_RANK = "struct<arg:int,parts:array<string>>"
+# Stands for the path separator in a rank; sorts before every character of a name.
+_BEFORE_ALL = "\x01"
+_ARGUMENT_DIGITS = 6
 
 
 class NoInputFiles(ValueError):
@@ -22,7 +24,7 @@ def glob_regex(pattern: str) -> str:
 
 
 def plain_path(uri: Column) -> Column:
-    """Path part of a file URI, percent escapes resolved."""
+    """File URI, as ``_metadata.file_path`` gives it, without scheme and percent escapes."""
     escaped = F.regexp_replace(uri, r"^[a-z0-9+.-]+:/*(?=/)", "")
     return F.url_decode(F.replace(escaped, F.lit("+"), F.lit("%2B")))
 
@@ -32,9 +34,19 @@ def base_name(path: Column) -> Column:
 
 
 def rank_of(path: Column, arg: Column | int = 0) -> Column:
-    """Sort key of a file: its argument's place, then its path component by component."""
+    """Sort key of a file: its argument's place, then its path component by component.
+
+    One text instead of a struct with an array: with the separator below every other
+    character, text order equals component order (``a/b`` comes before ``a.json``).
+    """
     arg = F.lit(arg) if isinstance(arg, int) else arg
-    return F.struct(arg.cast("int").alias("arg"), F.split(path, "/").alias("parts"))
+    place = F.lpad(arg.cast("string"), _ARGUMENT_DIGITS, "0")
+    return F.concat(place, F.lit(_BEFORE_ALL), F.translate(path, "/", _BEFORE_ALL))
+
+
+def rank_argument(rank: Column) -> Column:
+    """Place of the argument a ranked file was reached through."""
+    return F.left(rank, F.lit(_ARGUMENT_DIGITS)).cast("int")
 
 
 def exclude_files(
@@ -114,7 +126,7 @@ def select_files(
     def read(target, options):
         return (
             spark.read.format("binaryFile").options(**options).load(target)
-            .select(plain_path(F.col("path")).alias("file"))
+            .select(plain_path(F.col("_metadata.file_path")).alias("file"))
         )
 
     listed = read_arguments(spark, paths, read, recursive)

@@ -40,4 +40,4 @@ def encode_page(text: Column) -> Column:
 def scan_html_pages(spark: SparkSession, path: Sequence[str] | str) -> DataFrame:
     """Stored pages as ``(file, html)``."""
     files = spark.read.format("binaryFile").load(path)
-    return files.select(plain_path(F.col("path")).alias("file"), decode_page(F.col("content")).alias("html"))
+    return files.select(plain_path(F.col("_metadata.file_path")).alias("file"), decode_page(F.col("content")).alias("html"))

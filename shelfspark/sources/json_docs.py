@@ -153,7 +153,7 @@ def unwrap_books(docs: DataFrame, mode: str = "clean", unwrap: bool = True) -> D
 
 def meta_keys(doc: Column, books_key: Column) -> Column:
     """Top-level keys that go when the envelope is stripped."""
-    keys = F.map_keys(F.from_json(doc, "map<string,string>"))
+    keys = F.json_object_keys(doc)
     return F.when(books_key.isNotNull(), F.array_except(keys, F.array(books_key))).otherwise(
         F.lit([]).cast("array<string>")
     )

@@ -84,10 +84,9 @@ def explode_range(df: DataFrame, low: Column, high: Column, name: str) -> DataFr
     However long a range is, no row holds more than ``PAGE_BLOCK`` of its numbers, and
     its blocks are spread over the tasks.
     """
-    blocks = df.withColumn("_high", high.cast("bigint")).withColumn("_low", low.cast("bigint"))
-    blocks = blocks.where(F.col("_low") < F.col("_high")).withColumn(
-        "_block", F.explode(F.sequence("_low", F.col("_high") - 1, F.lit(PAGE_BLOCK).cast("bigint")))
-    )
+    bounds = df.withColumns({"_low": low.cast("bigint"), "_high": high.cast("bigint")})
+    starts = F.sequence("_low", F.col("_high") - 1, F.lit(PAGE_BLOCK).cast("bigint"))
+    blocks = bounds.withColumn("_block", F.explode(F.when(F.col("_low") < F.col("_high"), starts)))
     # a block is one row for up to PAGE_BLOCK pages, so spreading blocks is cheap
     blocks = blocks.repartition("_low", "_high", "_block")
     last = F.least(F.col("_block") + PAGE_BLOCK, F.col("_high")) - 1
@@ -121,29 +120,38 @@ def expand_page_range(
     text = F.coalesce(F.col(spec), F.lit(""))
     total = F.lit(None).cast("bigint") if total is None else total.cast("bigint")
     wants_all = (text == "") | (F.lower(text) == "all")
-    part = ws_trim(F.col("_part"))
-    dash = F.instr(part, "-")
-    low_text = ws_trim(F.when(dash > 0, F.substring(part, F.lit(1), dash - 1)).otherwise(part))
-    high_text = ws_trim(F.when(dash > 0, F.substring(part, dash + 1, F.length(part))).otherwise(part))
+    whole = F.array(F.lit(None).cast("string"))
+    parts = specs.withColumn("_part", F.explode(F.when(wants_all, whole).otherwise(F.split(text, ","))))
+    parts = parts.withColumn("_part", ws_trim(F.col("_part")))
+    part, dash = F.col("_part"), F.col("_dash")
+    parts = parts.withColumn("_dash", F.instr(part, "-"))
 
     def number(value: Column) -> Column:
-        digits = F.when(value.rlike(r"^[+-]?[0-9]+$"), value.try_cast("bigint"))
-        return F.coalesce(
-            digits, F.raise_error(F.concat(F.lit("not a page number: "), F.col("_part"))).cast("bigint")
-        )
-
-    low, high = number(low_text), number(high_text)
-    checked = (
-        F.when((low < 1) | (high < 1), F.raise_error(F.lit("page numbers start at 1")).cast("bigint"))
-        .when(low > high, F.raise_error(F.concat(F.lit("reversed range: "), part)).cast("bigint"))
-        .otherwise(low - 1)
+        value = ws_trim(value)
+        return F.when(value.rlike(r"^[+-]?[0-9]+$"), value.try_cast("bigint"))
+
+    def fail(what: str) -> Column:
+        return F.raise_error(F.concat(F.lit(what + ": "), F.coalesce(part, F.lit("")))).cast("bigint")
+
+    # the place of the dash is projected before, the numbers here, the checks after
+    parts = parts.withColumns(
+        {
+            "_lo": number(F.when(dash > 0, F.substring(part, F.lit(1), dash - 1)).otherwise(part)),
+            "_hi": number(F.when(dash > 0, F.substring(part, dash + 1, F.length(part))).otherwise(part)),
+        }
     )
-    known = F.coalesce(total, F.raise_error(F.lit("all needs a total")).cast("bigint"))
-    parts = specs.withColumn(
-        "_part", F.explode(F.when(wants_all, F.array(F.lit(None).cast("string"))).otherwise(F.split(text, ",")))
+    lo, hi = F.col("_lo"), F.col("_hi")
+    checked = (
+        F.when(lo.isNull() | hi.isNull(), fail("not a page number"))
+        .when((lo < 1) | (hi < 1), fail("page numbers start at 1"))
+        .when(lo > hi, fail("reversed range"))
+        .otherwise(lo - 1)
     )
-    is_all = F.col("_part").isNull()
-    ranged = parts.withColumn("_from", F.when(is_all, F.lit(0).cast("bigint")).otherwise(checked)).withColumn(
-        "_to", F.when(is_all, known).otherwise(high)
+    known = F.coalesce(total, fail("all needs a total"))
+    ranged = parts.withColumns(
+        {
+            "_from": F.when(part.isNull(), F.lit(0).cast("bigint")).otherwise(checked),
+            "_to": F.when(part.isNull(), known).otherwise(hi),
+        }
     )
     return explode_range(ranged, F.col("_from"), F.col("_to"), "page").select(*by, "page").distinct()
