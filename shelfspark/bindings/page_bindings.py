@@ -284,8 +284,9 @@ def _detail_job(spark, sf_dir):
     pages = detail_pages(spark, sf_dir)
     url = F.concat(F.lit(HOST + "/detail/book"), "o_custkey", F.lit(".html"))
     urls = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("line_no"), url.alias("url"))
-    old = pages.where("p_type = 'ECONOMY' and p_size > 5").withColumn("pos", F.col("p_partkey"))
-    existing = staged(parse_detail_page(old, HOST, keep=("pos",)), "earlier-run")
+    old = pages.where("p_type = 'ECONOMY' and p_size > 5")
+    old = old.withColumns({"run": F.lit(0), "pos": F.col("p_partkey")})
+    existing = staged(parse_detail_page(old, HOST, keep=("run", "pos")), "earlier-run")
     return extract_details(urls, pages.where("p_type <> 'LARGE'"), existing, HOST)
 
 

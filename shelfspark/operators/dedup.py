@@ -127,23 +127,27 @@ def dedup_richest(
     rows: DataFrame,
     key: str = "record_key",
     n_fields: str = "n_fields",
-    order: str = "pos",
+    order: str | Sequence[str] = "pos",
 ) -> DataFrame:
     """Per key the record with most fields, the earlier one on a tie.
 
-    ``order`` must identify a row. Records whose key is NULL or empty are dropped.
-    ``first_seen`` is where the key first occurred, for callers that want that order.
+    ``order`` names one or more integer columns that together identify a row. Records
+    whose key is NULL or empty are dropped. ``first_seen`` is where the key first
+    occurred, for callers that want that order; a struct if ``order`` has several columns.
     """
+    order = [order] if isinstance(order, str) else list(order)
+    backwards = [(-F.col(name)).alias(name) for name in order]
+    first = F.min(F.struct(*order) if len(order) > 1 else F.col(order[0]))
     # empty keys are dropped after the partial step, see first_per_file
     best = (
         rows.groupBy(key)
         .agg(
-            F.max(F.struct(F.col(n_fields), (-F.col(order)).alias("back"))).alias("_best"),
-            F.min(order).alias("first_seen"),
+            F.max(F.struct(F.col(n_fields).alias("_fields"), *backwards)).alias("_best"),
+            first.alias("first_seen"),
             F.count_if(F.col(key) != "").alias("_n"),
         )
         .where(F.col("_n") > 0)
-        .select((-F.col("_best.back")).alias(order), "first_seen")
+        .select(*[(-F.col(f"_best.{name}")).alias(name) for name in order], "first_seen")
     )
     return rows.join(best, order)
 

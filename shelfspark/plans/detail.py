@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfspark.operators.dedup import dedup_richest
@@ -12,6 +12,22 @@ from shelfspark.operators.extract import RECORD_COLUMNS, extract_records
 from shelfspark.operators.membership import drop_already_added, merge_existing_new, url_plan
 from shelfspark.operators.metrics import run_metrics
 from shelfspark.session import staged
+from shelfspark.sources.checkpoint import scan_checkpoint
+from shelfspark.sources.sinks import write_failed_urls, write_results_with_meta
+from shelfspark.sources.text_lists import scan_url_list
+
+# Records of all runs are ordered by the run that found them, then by input line.
+BOOK_SCHEMA = (
+    "run int, pos bigint, detail_url string, book_id string, title_from_title string, "
+    "author_from_title string, meta_description string, category_path string, "
+    "category_urls array<string>, category string, category_url string, author string, "
+    "author_key string, author_search_url string, title string, series string, "
+    "publisher string, binding string, pages int, year int, isbn string, format string, "
+    "language string, date_added string, image_large_url string, image_thumb_url string, "
+    "has_image boolean, view_counter_id string, annotation string, in_stock boolean, "
+    "in_stock_text string, prev_book_url string, next_book_url string, n_fields int"
+)
+_COLUMNS = ("run", "pos", *RECORD_COLUMNS, "n_fields")
 
 
 @dataclass(frozen=True)
@@ -29,13 +45,14 @@ def extract_details(
     pages: DataFrame,
     existing: DataFrame,
     host: str,
+    run: int = 1,
     stage: bool = True,
 ) -> DetailResult:
     """Extract the pages of URLs that have no record yet and join old and new records.
 
     ``urls`` is ``(line_no, url)`` with ``line_no`` unique, ``pages`` ``(url, html)`` with
-    one page per URL, ``existing`` ``(pos, record columns..., n_fields)``. The URL filter
-    runs before any page is looked at. A URL without a stored page failed to load.
+    one page per URL, ``existing`` has ``BOOK_SCHEMA`` with runs below ``run``. The URL
+    filter runs before any page is looked at. A URL without a stored page failed to load.
     """
     plan = url_plan(urls, existing.select(F.col("detail_url").alias("url")))
     todo = plan.where(~F.col("is_processed")).select("url", "line_no")
@@ -43,21 +60,52 @@ def extract_details(
     results = extract_records(found, host, keep=("line_no", "url"))
     if stage:
         results = staged(results, "detail-results")
-    new = drop_already_added(
-        results.where(F.col("status") == "ok").withColumnRenamed("line_no", "pos"), existing
-    )
+    good = results.where(F.col("status") == "ok").withColumnRenamed("line_no", "pos")
+    new = drop_already_added(good.withColumn("run", F.lit(run)), existing)
     return DetailResult(plan, results, final_books(existing, new), run_metrics(plan, results, existing))
 
 
 def final_books(existing: DataFrame, new: DataFrame) -> DataFrame:
-    """Old and new records, per address the one with most fields, old ones first on a tie.
+    """Old and new records, per address the one with most fields, the older on a tie.
+
+    The order columns of a record are where its address first occurred.
+    """
+    both = merge_existing_new(existing.select(*_COLUMNS), new.select(*_COLUMNS)).drop("gen")
+    keyed = both.withColumn("record_key", F.coalesce("detail_url", "book_id"))
+    best = dedup_richest(keyed, order=("run", "pos"))
+    return best.select(
+        F.col("first_seen.run").alias("run"),
+        F.col("first_seen.pos").alias("pos"),
+        *RECORD_COLUMNS,
+        "n_fields",
+    )
+
+
+def detail_files(
+    spark: SparkSession,
+    url_list: str,
+    pages: DataFrame,
+    output: str,
+    host: str,
+    resume_from: str | None = None,
+    run: int = 1,
+    start_line: int | None = None,
+    end_line: int | None = None,
+) -> DataFrame:
+    """Run the job on a URL list file; returns the records old and new.
 
-    Without a new record the old ones are returned as they are by callers that skip this.
+    Into the new folder ``output`` go the results with run statistics and the failed
+    addresses. ``resume_from`` is the output of an earlier run. With no URL left to do
+    nothing is written and the earlier records are returned as they are.
     """
-    columns = ["pos", *RECORD_COLUMNS, "n_fields"]
-    both = merge_existing_new(existing.select(columns), new.select(columns))
-    # old records sort before new ones under one unique order column
-    ordered = both.withColumn(
-        "pos", F.when(F.col("gen") == 0, F.col("pos") - F.lit(2**62)).otherwise(F.col("pos"))
-    ).withColumn("record_key", F.coalesce("detail_url", "book_id"))
-    return dedup_richest(ordered).select(*RECORD_COLUMNS, "n_fields", "first_seen")
+    if resume_from is None:
+        existing = spark.createDataFrame([], BOOK_SCHEMA)
+    else:
+        existing = scan_checkpoint(spark, f"{resume_from}/books", BOOK_SCHEMA)
+    urls = scan_url_list(spark, url_list, host, start_line, end_line).select("line_no", "url")
+    job = extract_details(urls, pages, existing, host, run)
+    if job.results.isEmpty():
+        return existing
+    write_results_with_meta(job.books, job.metrics, output)
+    write_failed_urls(job.results, f"{output}/failed")
+    return spark.read.schema(BOOK_SCHEMA).parquet(f"{output}/books")

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfspark.operators.paging import block_links, failed_pages, pagination_info, take_pages
+from shelfspark.sources.sinks import write_url_list
+from shelfspark.sources.text_lists import expand_page_range, page_list_urls, page_urls
 
 
 @dataclass(frozen=True)
@@ -43,3 +45,30 @@ def collect_links(
     used = take_pages(loaded, max_pages)
     rows = used.select("base", "page", F.posexplode("links").alias("block_no", "detail_url"))
     return ListingResult(used.drop("links"), rows, failed_pages(loaded))
+
+
+def wanted_pages(
+    sections: DataFrame, start_page: int = 0, end: str = "end_page", spec: str | None = None
+) -> DataFrame:
+    """Pages to look at, ``(base, page, url)``: up to column ``end``, or by the page
+    expressions in column ``spec``, for which ``end`` is what ``all`` means."""
+    if spec is None:
+        pages = page_urls(sections.select("base", end), F.lit(start_page), F.col(end))
+    else:
+        pages = page_list_urls(expand_page_range(sections, spec, F.col(end), by=("base",)))
+    return pages.select("base", "page", "url")
+
+
+def listing_files(
+    spark: SparkSession,
+    wanted: DataFrame,
+    stored: DataFrame,
+    output: str,
+    host: str,
+    max_pages: int | None = None,
+) -> DataFrame:
+    """Run the job and write the address list and the failed pages into ``output``."""
+    job = collect_links(wanted, stored, host, max_pages)
+    write_url_list(job.links.orderBy("base", "page", "block_no"), f"{output}/urls")
+    job.failed.write.json(f"{output}/failed")
+    return spark.read.text(f"{output}/urls").withColumnRenamed("value", "detail_url")

@@ -33,6 +33,16 @@ def earlier_batches(spark: SparkSession, path: str, schema: T.StructType, batch_
     return table.where(F.col(BATCH) < batch_id).drop(BATCH)
 
 
+def _unseen(new: DataFrame, seen: DataFrame, key: str) -> DataFrame:
+    """Rows of the (small) batch whose key is not among the (large) earlier ones.
+
+    The earlier keys are first reduced to those the batch has, so that they are scanned
+    but not shuffled while the batch fits a broadcast.
+    """
+    hits = seen.join(new.select(key), key, "left_semi").distinct()
+    return new.join(hits, key, "left_anti")
+
+
 def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
 
@@ -55,7 +65,7 @@ def dedup_batch(
         )
         winners = dedup_first_wins(batch, key, file, pos)
         # one row per key on both sides; rows without a key match nothing and stay
-        _write_batch(winners.join(known, key, "left_anti"), kept, batch_id)
+        _write_batch(_unseen(winners, known, key), kept, batch_id)
 
     return run
 
@@ -81,7 +91,7 @@ def resume_batch(
             .select(url)
         )
         first = batch.groupBy(url).agg(F.min(order).alias(order))
-        new = first.join(done, url, "left_anti")
+        new = _unseen(first, done, url)
         _write_batch(process(new).select(schema.names), results, batch_id)
 
     return run
