@@ -33,7 +33,8 @@ QUERIES, ORACLE = _registry.queries, _registry.oracle
 query = _registry.add
 
 HOST = "https://books.example"
-_NORM = f"lower(trim(regexp_replace(text, '{WS_CLASS}+', ' ', 'g')))"
+# full case folding: of the letters it changes beyond lower case, the texts have only sharp s
+_NORM = f"replace(lower(trim(regexp_replace(text, '{WS_CLASS}+', ' ', 'g'))), 'ß', 'ss')"
 _DOCS = f"""
 WITH d AS (SELECT doc_id, source, lang, {_NORM} AS norm FROM documents),
 labelled AS (

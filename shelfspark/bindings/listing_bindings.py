@@ -142,7 +142,23 @@ def keyword_context_query(spark, sf_dir):
     return pages.where("c is not null").select("page_id", "c.word", "c.head", "c.tail")
 
 
-@query("pager_context")
+_CELL = """'<td><a href="?pg=' || ({n}) || '">' || ({n} + 1) || '</a></td>'"""
+_LISTING_SQL = (
+    "'<html><body>' || CASE WHEN p_brand <> 'Brand#1' THEN @start || '<a href=\"/detail/book' || p_partkey || '.html\">'"
+    " || p_name || '</a>' || @end ELSE '' END || @start || '<b>без ссылки</b>' || @end || CASE WHEN p_size > 10 THEN"
+    " @start || '<img><a' || chr(10) || 'href=\"/detail/book' || (p_partkey + 1) || '.html\">n</a>' || @end ELSE '' END"
+    " || CASE WHEN p_size > 2 THEN '<table><tr><td>Страницы:</td>' || "
+    + " || ".join(_CELL.format(n=n) for n in ("p_size", "p_size - 1", "p_size + 9", "p_size"))
+    + " || '<td class=\"selected\"><a href=\"?pg=' || p_size || '\">' || (p_size + 1) || '</a></td>' || CASE WHEN p_size > 20"
+    " THEN '<td><a href=\"?pg=' || (p_size + 40) || '\"><img src=\"r.gif\" alt=\"На последнюю страницу\"></a></td>'"
+    " ELSE '' END || '</tr></table>хвост' ELSE '' END || '</body></html>'"
+).replace("@start", f"'{_BLOCK_START}'").replace("@end", "('<br clear=\"all\" />' || chr(10) || '</div>')")
+
+
+@query(
+    "pager_context",
+    _CONTEXT.format(id="p_partkey", text=f"({_LISTING_SQL})", a="Страницы", b="страниц", table="part"),
+)
 def pager_context(spark, sf_dir):
     """I15 on listing pages, cut at the table end."""
     pages = listing_pages(spark, sf_dir).select("p_partkey", keyword_context(F.col("html")).alias("c"))

@@ -42,7 +42,7 @@ def with_dedup_key(
     df: DataFrame,
     fields: dict[str, Column],
     mode: str = KEY_ISBN,
-    exact: bool = False,
+    exact: bool = True,
     is_record: Column | None = None,
 ) -> DataFrame:
     """Add ``dedup_key`` (NULL when the record cannot be compared) and ``key_id``.
@@ -76,7 +76,7 @@ def with_dedup_key(
 
 
 def with_json_dedup_key(
-    items: DataFrame, mode: str = KEY_ISBN, exact: bool = False, raw: str = "raw"
+    items: DataFrame, mode: str = KEY_ISBN, exact: bool = True, raw: str = "raw"
 ) -> DataFrame:
     """:func:`with_dedup_key` of items held as JSON text; only the key fields are parsed."""
     schema = "isbn string, title string, author string, publisher string, year string"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -42,21 +44,50 @@ def collapse_ws(text: Column) -> Column:
     return F.btrim(F.regexp_replace(text, WS_CLASS + "+", " "))
 
 
+@lru_cache(maxsize=1)
+def _rare_letters() -> str:
+    """Pattern for letters whose case folding is not lower-casing plus sharp s to ss.
+
+    Python's character database is the rule. Neighbours closer than 16 places share a
+    range: a text caught without need only takes the slower way to the same result. The
+    capital sigma is added because its lower case depends on its place in the word.
+    """
+    odd = [
+        c for c in range(0x110000)
+        if chr(c).casefold() != chr(c).lower().replace("ß", "ss") or chr(c) == "Σ"
+    ]
+    ranges = []
+    for c in odd:
+        if ranges and c - ranges[-1][1] < 16:
+            ranges[-1][1] = c
+        else:
+            ranges.append([c, c])
+    return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in ranges) + "]"
+
+
 @F.pandas_udf(T.StringType())
-def exact_casefold(text: pd.Series) -> pd.Series:
-    """Full Unicode case folding, for alphabets where ``lower`` is not enough."""
-    return text.str.casefold()
+def _python_casefold(text: pd.Series) -> pd.Series:
+    return text.map(lambda t: None if t is None else t.casefold())
+
+
+def casefold(text: Column) -> Column:
+    """Full Unicode case folding.
+
+    Texts in which lower-casing is not enough (some Greek, Armenian or Cherokee letters,
+    ligatures) are handed to Python; of all others only a NULL is.
+    """
+    native = F.replace(F.lower(text), F.lit("ß"), F.lit("ss"))
+    return F.coalesce(_python_casefold(F.when(text.rlike(_rare_letters()), text)), native)
 
 
-def normalize_text(text: Column, exact: bool = False) -> Column:
+def normalize_text(text: Column, exact: bool = True) -> Column:
     """Comparison form of a text field; NULL becomes the empty string.
 
-    The default stays in generated code and folds case with ``lower``, which equals
-    full case folding for Cyrillic and, but for a few letters such as the German
-    sharp s, for Latin. ``exact=True`` pays for an Arrow round trip to cover those too.
+    ``exact=False`` folds case with ``lower`` alone and needs no Python worker; it gives
+    the same for Cyrillic and, but for a few letters such as the sharp s, for Latin.
     """
-    folded = exact_casefold(collapse_ws(text)) if exact else F.lower(collapse_ws(text))
-    return F.coalesce(folded, F.lit(""))
+    # folding neither makes nor changes whitespace, so collapsing can come last
+    return F.coalesce(collapse_ws(casefold(text) if exact else F.lower(text)), F.lit(""))
 
 
 def normalize_isbn(text: Column) -> Column:

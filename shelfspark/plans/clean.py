@@ -31,7 +31,7 @@ from shelfspark.sources.sinks import document_lines, write_documents, write_dupl
 
 
 def keyed_items(
-    items: DataFrame, mode: str, fields: Sequence[str] = DEFAULT_DROP_FIELDS, exact: bool = False
+    items: DataFrame, mode: str, fields: Sequence[str] = DEFAULT_DROP_FIELDS, exact: bool = True
 ) -> DataFrame:
     """Items with their duplicate key and the number of listed fields they have."""
     keyed = with_json_dedup_key(items, mode, exact)
@@ -60,7 +60,7 @@ class CleanJob:
         cross_file: bool = True,
         fields: Sequence[str] = DEFAULT_DROP_FIELDS,
         keep_meta: bool = False,
-        exact: bool = False,
+        exact: bool = True,
         stage: bool = True,
     ) -> None:
         self.mode = key_mode(dedup_key)

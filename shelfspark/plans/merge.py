@@ -39,7 +39,7 @@ class MergeJob:
         unwrap: bool = True,
         clean_fields: bool = True,
         fields: Sequence[str] = DEFAULT_DROP_FIELDS,
-        exact: bool = False,
+        exact: bool = True,
         stage: bool = True,
     ) -> None:
         self.mode = None if dedup_key is None else key_mode(dedup_key)

@@ -14,6 +14,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # sort-merge becomes hash join at run time where every partition of a side is this small
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     # JSON objects that repeat a key keep the last value
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
