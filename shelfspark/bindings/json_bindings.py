@@ -47,19 +47,24 @@ def order_documents(spark: SparkSession, sf_dir: str, broken: bool) -> DataFrame
     p, s, y = F.col("o_orderpriority"), F.col("o_orderstatus"), F.year("o_orderdate")
     isbn = F.when(s == "F", _join("978-", c.cast("string"), "-x"))
     order, customer = _join("Order ", k.cast("string")), _join("Customer ", c.cast("string"))
-    main = _object(
-        title=order, author=customer, publisher=p, year=y, isbn=isbn,
-        detail_url=_join("/detail/book", k.cast("string"), ".html"), book_id=k,
-        in_stock=F.lit(None).cast("boolean"),
-    )
-    other = _object(
-        title=customer, author=_join("  Customer   ", c.cast("string"), " "), publisher=p, year=y,
-        format=F.lit("pdf"),
-    )
-    again = _object(
-        title=_join("ORDER  ", k.cast("string")), author=_join("customer ", c.cast("string")), publisher=p,
-        year=y.cast("string"), isbn=F.lower(F.translate(isbn, "-", " ")), category_url=F.lit("http://c"),
-    )
+    texts = {
+        "main": _object(
+            title=order, author=customer, publisher=p, year=y, isbn=isbn,
+            detail_url=_join("/detail/book", k.cast("string"), ".html"), book_id=k,
+            in_stock=F.lit(None).cast("boolean"),
+        ),
+        "other": _object(
+            title=customer, author=_join("  Customer   ", c.cast("string"), " "), publisher=p, year=y,
+            format=F.lit("pdf"),
+        ),
+        "again": _object(
+            title=_join("ORDER  ", k.cast("string")), author=_join("customer ", c.cast("string")),
+            publisher=p, year=y.cast("string"), isbn=F.lower(F.translate(isbn, "-", " ")),
+            category_url=F.lit("http://c"),
+        ),
+    }
+    o = o.withColumns(texts)
+    main, other, again = (F.col(name) for name in texts)
     doc = (
         F.when(p == "1-URGENT", _join('{"meta":{"status":"', s, '"},"books":[', main, ",", again, ", ", other, "]}"))
         .when(p == "2-HIGH", _join("[", main, ',"note ', k.cast("string"), '",null,5,', other, "]"))

@@ -59,22 +59,23 @@ def with_object_fields(df: DataFrame, name: str, raw: Column) -> DataFrame:
     """Add ``name``: ``array<struct<key, json>>`` in written order; a repeated key keeps its
     last value. NULL where ``raw`` is NULL.
 
-    The text is parsed once for the spelling of the values and once for their kinds.
+    The text is parsed twice: a VARIANT tells strings apart but respells numbers and
+    reorders nested keys, plain text does neither.
     """
+    values = F.map_values(F.from_json(raw, "map<string,variant>"))
     parsed = df.withColumns(
         {
             "_texts": F.map_entries(F.from_json(raw, "map<string,string>")),
-            "_values": F.map_values(F.from_json(raw, "map<string,variant>")),
+            "_values": F.transform(values, lambda v: F.to_json(v)),
         }
     )
+    # a string is taken as it was written out, quotes and all; anything else as it was read
     entries = F.zip_with(
         F.col("_texts"),
         F.col("_values"),
         lambda e, v: F.struct(
             e["key"].alias("key"),
-            F.when(F.schema_of_variant(v) == "STRING", json_string(e["value"]))
-            .otherwise(F.coalesce(e["value"], F.lit("null")))
-            .alias("json"),
+            F.when(v.startswith('"'), v).otherwise(F.coalesce(e["value"], F.lit("null"))).alias("json"),
         ),
     )
     keys = F.array_distinct(F.transform("_texts", lambda e: e["key"]))
