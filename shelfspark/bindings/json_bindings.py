@@ -330,7 +330,7 @@ def clean_documents_text(spark, sf_dir):
     """
     result = _clean(spark, sf_dir, keep_meta=True)
     lines = document_lines(result.kept, result.envelopes)
-    ordered = F.array_sort(F.collect_list(F.struct("seq", "line")))
+    ordered = F.array_sort(F.collect_list(F.struct("rank", "seq", "line")))
     return lines.groupBy("file").agg(
         F.array_join(F.transform(ordered, lambda x: x["line"]), "").alias("text")
     )

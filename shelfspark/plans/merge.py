@@ -21,7 +21,7 @@ from shelfspark.sources.json_docs import (
     scan_json_documents,
     unwrap_books,
 )
-from shelfspark.sources.sinks import write_duplicates_report, write_json_lines
+from shelfspark.sources.sinks import write_duplicates_report, write_json_array, write_json_lines
 
 
 class MergeJob:
@@ -94,12 +94,20 @@ def merge_files(
     exclude_paths: Sequence[str] = (),
     report: bool = False,
     ordered: bool = False,
+    as_array: bool = False,
 ) -> MergeJob:
-    """Merge a folder into a new folder ``output``: ``records``, ``metrics`` and ``report``."""
+    """Merge a folder into a new folder ``output``: ``records``, ``metrics`` and ``report``.
+
+    Records are JSON Lines, in input order if ``ordered``; with ``as_array`` their part
+    files in name order form one JSON array.
+    """
     docs = scan_json_documents(spark, [folder], recursive, exclude_paths=exclude_paths)
     job = MergeJob(docs, dedup_key, unwrap, clean_fields)
     require_files(job.files)
-    write_json_lines(job.merged, f"{output}/records", ordered)
+    if as_array:
+        write_json_array(job.merged, f"{output}/records")
+    else:
+        write_json_lines(job.merged, f"{output}/records", ordered)
     job.metrics.write.json(f"{output}/metrics")
     if report and job.report is not None:
         write_duplicates_report(job.report, job.mode, f"{output}/report")

@@ -21,36 +21,53 @@ def write_json_lines(items: DataFrame, path: str, ordered: bool = False, raw: st
 
 
 def document_lines(items: DataFrame, envelopes: DataFrame, raw: str = "raw") -> DataFrame:
-    """Items and envelopes as lines which, joined in order, form one JSON document per file.
+    """Items and envelopes as lines ``(file, rank, seq, line)`` which, joined in order, form
+    one JSON document per file.
 
     ``envelopes`` has ``file``, ``head`` and ``tail``. The comma goes in front of every
-    item but the first of its file. Nothing is collected: a file with most of the items
-    spreads over many partitions.
+    item but the first of its document. Nothing is collected: a document with most of the
+    items spreads over many partitions.
     """
-    first = items.groupBy("file").agg(F.min("pos").alias("pos")).withColumn("_first", F.lit(True))
+    place = ["file", "file_rank", "pos"]
+    first = items.groupBy("file").agg(F.min(F.struct("file_rank", "pos")).alias("first"))
+    marks = first.select("file", "first.*", F.lit(True).alias("_first"))
     comma = F.when(F.col("_first"), F.lit("")).otherwise(F.lit(","))
-    body = items.join(first, ["file", "pos"], "left").select(
-        "file", F.col("pos").cast("bigint").alias("seq"), F.concat(comma, F.col(raw)).alias("line")
+    body = items.join(marks, place, "left").select(
+        "file",
+        F.col("file_rank").alias("rank"),
+        F.col("pos").cast("bigint").alias("seq"),
+        F.concat(comma, F.col(raw)).alias("line"),
     )
-    head = envelopes.select("file", F.lit(-1).cast("bigint").alias("seq"), F.col("head").alias("line"))
-    tail = envelopes.select(
-        "file", F.lit(2**63 - 1).cast("bigint").alias("seq"), F.col("tail").alias("line")
-    )
-    return head.union(body).union(tail)
+
+    def edge(rank: str, text: str) -> DataFrame:
+        return envelopes.select(
+            "file", F.lit(rank).alias("rank"), F.lit(0).cast("bigint").alias("seq"), F.col(text).alias("line")
+        )
+
+    # ranks start with a digit: the empty text sorts before them, the last character after
+    return edge("", "head").union(body).union(edge("\U0010ffff", "tail"))
 
 
 def write_documents(lines: DataFrame, path: str) -> None:
     """One folder ``source_file=...`` per document; its part files in name order are the text."""
+    order = ("source_file", "rank", "seq")
     (
         lines.withColumnRenamed("file", "source_file")
-        .repartitionByRange("source_file", "seq")
-        .sortWithinPartitions("source_file", "seq")
+        .repartitionByRange(*order)
+        .sortWithinPartitions(*order)
         .select("source_file", "line")
         .write.partitionBy("source_file")
         .text(path)
     )
 
 
+def write_json_array(items: DataFrame, path: str, name: str = "merged") -> None:
+    """All items in input order as one JSON array, spread over part files."""
+    spark = items.sparkSession
+    envelope = spark.createDataFrame([(name, "[", "]")], "file string, head string, tail string")
+    write_documents(document_lines(items.withColumn("file", F.lit(name)), envelope), path)
+
+
 def write_duplicates_report(report: DataFrame, dedup_key: str, path: str) -> None:
     """Removed records under ``duplicates``, their number and the key under ``summary``."""
     counted = Observation("duplicates_report")

@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,25 +20,26 @@ from shelfspark.operators.dedup import dedup_first_wins
 BATCH = "batch"
 
 
+def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """All rows written so far, with the batch that wrote them."""
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])).parquet(path)
+
+
 def earlier_batches(spark: SparkSession, path: str, schema: T.StructType, batch_id: int) -> DataFrame:
     """Rows written by batches before ``batch_id``; the batch folders are pruned, not scanned."""
-    full = T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])
-    try:
-        table = spark.read.schema(full).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        table = spark.createDataFrame([], full)
+    if batch_id == 0:
+        return spark.createDataFrame([], schema)
+    table = read_batches(spark, path, schema)
     return table.where(F.col(BATCH) < batch_id).drop(BATCH)
 
 
-def _unseen(new: DataFrame, seen: DataFrame, key: str) -> DataFrame:
-    """Rows of the (small) batch whose key is not among the (large) earlier ones.
+def _unseen(new: DataFrame, batch: DataFrame, seen: DataFrame, key: str) -> DataFrame:
+    """Rows of ``new`` whose key is not among the (many) earlier ones.
 
-    The earlier keys are first reduced to those the batch has, so that they are scanned
-    but not shuffled while the batch fits a broadcast.
+    The earlier keys are first reduced to those the (small) batch has, so that they are
+    scanned but not shuffled while the batch fits a broadcast.
     """
-    hits = seen.join(new.select(key), key, "left_semi").distinct()
+    hits = seen.join(batch.select(key).distinct(), key, "left_semi").distinct()
     return new.join(hits, key, "left_anti")
 
 
@@ -65,7 +65,7 @@ def dedup_batch(
         )
         winners = dedup_first_wins(batch, key, file, pos)
         # one row per key on both sides; rows without a key match nothing and stay
-        _write_batch(_unseen(winners, known, key), kept, batch_id)
+        _write_batch(_unseen(winners, batch, known, key), kept, batch_id)
 
     return run
 
@@ -91,7 +91,7 @@ def resume_batch(
             .select(url)
         )
         first = batch.groupBy(url).agg(F.min(order).alias(order))
-        new = _unseen(first, done, url)
+        new = _unseen(first, batch, done, url)
         _write_batch(process(new).select(schema.names), results, batch_id)
 
     return run
@@ -109,8 +109,3 @@ def run_available(
     )
     query.awaitTermination()
     return query
-
-
-def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """All rows written so far, with the batch that wrote them."""
-    return spark.read.schema(T.StructType([*schema.fields, T.StructField(BATCH, T.LongType())])).parquet(path)

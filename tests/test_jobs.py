@@ -117,6 +117,24 @@ def test_merge_without_dedup_and_unwrap(spark, folder, tmp_path):
     assert job.report is None
 
 
+def test_merge_to_one_array(spark, folder, tmp_path):
+    merge_files(spark, str(folder), str(tmp_path / "out"), as_array=True)
+    parts = sorted((tmp_path / "out/records/source_file=merged").glob("part-*"))
+    array = json.loads("".join(p.read_text(encoding="utf-8") for p in parts))
+    assert [r["title"] for r in array] == ["Степь", "Лирика", "Сказки"]
+
+
+def test_merge_in_order(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    for f in range(5):
+        write(source / f"{f}.json", [{"n": 100 * f + i} for i in range(50)])
+    merge_files(spark, str(source), str(tmp_path / "out"), ordered=True)
+    parts = sorted((tmp_path / "out/records").glob("part-*"))
+    lines = "".join(p.read_text() for p in parts).splitlines()
+    assert [json.loads(line)["n"] for line in lines] == [100 * f + i for f in range(5) for i in range(50)]
+
+
 def test_merge_by_isbn_only(spark, folder, tmp_path):
     m = merge_files(spark, str(folder), str(tmp_path / "out"), dedup_key="ISBN ").metrics.first()
     assert (m.in_file_duplicates, m.cross_file_duplicates, m.items_count) == (1, 0, 4)
