@@ -33,7 +33,10 @@ def first_per_file(
     # filter on the key itself would be pushed below the projection that computes it and
     # compute it a second time.
     first = F.min(F.struct(pos, *carry) if carry else F.col(pos)).alias("first")
-    grouped = rows.groupBy(key, file).agg(first, F.count(key).alias("_n")).where(F.col("_n") > 0)
+    # A file is never NULL. Saying so keeps Spark from inferring it for one use of this
+    # table and not for another, whose plans would then differ and share no shuffle.
+    placed = rows.where(F.col(file).isNotNull())
+    grouped = placed.groupBy(key, file).agg(first, F.count(key).alias("_n")).where(F.col("_n") > 0)
     if carry:
         return grouped.select(key, file, "first.*")
     return grouped.select(key, file, F.col("first").alias(pos))

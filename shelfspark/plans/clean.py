@@ -18,6 +18,7 @@ from shelfspark.operators.dedup import (
 )
 from shelfspark.operators.metrics import file_metrics, run_totals
 from shelfspark.session import staged
+from shelfspark.sources.files import inside
 from shelfspark.sources.json_docs import (
     explode_items,
     file_table,
@@ -133,10 +134,12 @@ def clean_files(
 ) -> CleanJob:
     """Clean files and folders into a new folder ``output``; sources are never touched.
 
+    Files below ``output`` are no input, should it lie in one of the folders.
+
     ``documents`` gets the cleaned documents, ``metrics`` one row per file, ``totals`` one
     row for the run, ``report`` the removed records if asked for.
     """
-    docs = scan_json_documents(spark, paths, recursive, exclude)
+    docs = scan_json_documents(spark, paths, recursive, [*exclude, inside(output)])
     job = CleanJob(docs, dedup_key, cross_file, fields, keep_meta)
     require_files(job.files)
     write_documents(document_lines(job.kept, job.envelopes), f"{output}/documents")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfspark.operators.paging import block_links, failed_pages, pagination_info, take_pages
+from shelfspark.session import staged
 from shelfspark.sources.sinks import write_url_list
 from shelfspark.sources.text_lists import expand_page_range, page_list_urls, page_urls
 
@@ -22,12 +23,13 @@ class ListingResult:
 
 
 def collect_links(
-    wanted: DataFrame, stored: DataFrame, host: str, max_pages: int | None = None
+    wanted: DataFrame, stored: DataFrame, host: str, max_pages: int | None = None, stage: bool = True
 ) -> ListingResult:
-    """``wanted`` is ``(base, page, url)``, ``stored`` ``(url, html)``.
+    """``wanted`` is ``(base, page, url)``, ``stored`` ``(url, html)`` with one page per URL.
 
     A wanted page that is not stored failed to load. Blocks without a detail link do not
-    count as records.
+    count as records. With ``stage`` what was found on the pages is written once to the
+    shared folder, since several steps need it.
     """
     links = F.filter(block_links(F.col("html"), host), lambda u: u.isNotNull())
     loaded = (
@@ -42,6 +44,8 @@ def collect_links(
             F.when(~F.col("ok"), F.lit("page not stored")).alias("error"),
         )
     )
+    if stage:
+        loaded = staged(loaded, "listing-pages")
     used = take_pages(loaded, max_pages)
     rows = used.select("base", "page", F.posexplode("links").alias("block_no", "detail_url"))
     return ListingResult(used.drop("links"), rows, failed_pages(loaded))

@@ -13,6 +13,7 @@ from shelfspark.operators.dedup import dedup_first_wins, duplicates_report, labe
 from shelfspark.operators.metrics import merge_metrics
 from shelfspark.plans.clean import keyed_items, report_fields
 from shelfspark.session import staged
+from shelfspark.sources.files import inside
 from shelfspark.sources.json_docs import (
     explode_items,
     file_table,
@@ -101,7 +102,7 @@ def merge_files(
     Records are JSON Lines, in input order if ``ordered``; with ``as_array`` their part
     files in name order form one JSON array.
     """
-    docs = scan_json_documents(spark, [folder], recursive, exclude_paths=exclude_paths)
+    docs = scan_json_documents(spark, [folder], recursive, [inside(output)], exclude_paths)
     job = MergeJob(docs, dedup_key, unwrap, clean_fields)
     require_files(job.files)
     if as_array:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import fnmatch
+import glob
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -23,6 +24,11 @@ def glob_regex(pattern: str) -> str:
     return "^" + fnmatch.translate(pattern).removesuffix(r"\Z").removesuffix(r"\z") + r"\z"
 
 
+def inside(folder: str) -> str:
+    """Pattern for everything below ``folder``."""
+    return "*" + glob.escape(folder.rstrip("/")) + "/*"
+
+
 def plain_path(uri: Column) -> Column:
     """File URI, as ``_metadata.file_path`` gives it, without scheme and percent escapes."""
     escaped = F.regexp_replace(uri, r"^[a-z0-9+.-]+:/*(?=/)", "")

@@ -17,9 +17,9 @@ from shelfspark.sources.files import (
     NoInputFiles,
     exclude_files,
     plain_path,
-    rank_files,
     rank_of,
     read_arguments,
+    select_files,
 )
 from shelfspark.sources.text_lists import numbered_lines
 
@@ -53,8 +53,10 @@ def scan_json_documents(
     )
     docs = docs.withColumn("file_rank", rank_of(F.col("file"), F.col("arg")))
     if len(paths) > 1:
-        # a file reached through two arguments keeps its first rank only
-        docs = docs.join(rank_files(docs), ["file", "file_rank"], "left_semi")
+        # a file reached through two arguments keeps its first rank only; ranks come from
+        # the listing, which reads no contents
+        ranks = select_files(spark, paths, recursive, exclude, exclude_paths)
+        docs = docs.join(ranks, ["file", "file_rank"], "left_semi")
     return docs.select("file", "file_rank", "doc")
 
 

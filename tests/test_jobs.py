@@ -124,6 +124,14 @@ def test_merge_to_one_array(spark, folder, tmp_path):
     assert [r["title"] for r in array] == ["Степь", "Лирика", "Сказки"]
 
 
+def test_output_inside_the_input_is_no_input(spark, folder):
+    out = folder / "out [1]"
+    job = merge_files(spark, str(folder), str(out / "a"), report=True)
+    assert job.metrics.first().files_count == 2
+    again = clean_files(spark, [str(folder)], str(out / "b"), recursive=True, exclude=["*/a/*"])
+    assert again.totals.first().files_processed == 2
+
+
 def test_merge_in_order(spark, tmp_path):
     source = tmp_path / "in"
     source.mkdir()

@@ -61,6 +61,13 @@ def test_scans_read_only_needed_columns(spark):
     }
 
 
+@needs_tables
+def test_both_marks_share_the_shuffle_by_key(spark):
+    df = all_queries()["label_duplicates"](spark, SF_DIR)
+    df.collect()
+    assert "ReusedExchange" in plan(df)
+
+
 def test_scratch_dir_is_the_named_folder(spark):
     root = spark.conf.get("spark.checkpoint.dir", None)
     a, b = scratch_dir(spark, "x"), scratch_dir(spark, "x")
