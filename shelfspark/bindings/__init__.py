@@ -1,7 +1,7 @@
 """The operators bound to the driver's tables: one named query each, with its SQL check.
 
 Each module has ``QUERIES`` (name -> function of session and folder) and ``ORACLE``
-(name -> the same result as SQL). Inputs the reference tables lack, such as JSON
+(name -> the same result as SQL). Inputs the given tables lack, such as JSON
 documents or detail pages, are derived by Spark from every row of a given table.
 """
 

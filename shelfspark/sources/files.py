@@ -75,8 +75,12 @@ def exclude_files(
 
 
 def exclude_listed(files: DataFrame, listed: DataFrame, path: str = "file") -> DataFrame:
-    """:func:`exclude_files` for a table of exact paths of any size."""
-    return files.join(listed.select(path).distinct(), path, "left_anti")
+    """:func:`exclude_files` for a table of exact paths of any size.
+
+    The paths are not made distinct: an anti-join does not mind, and with two plain
+    shuffles below it Spark can split a path that fills a partition.
+    """
+    return files.join(listed.select(path), path, "left_anti")
 
 
 def rank_files(files: DataFrame, path: str = "file", arg: str = "arg") -> DataFrame:

@@ -68,3 +68,16 @@ def test_resume_retries_failures_only(spark, folders):
     broken["names"] = ["u3"]
     arrive(spark, [("u2", 4), ("u1", 5), ("u3", 6)], schema, source)
     assert run()[2:] == [(1, "u2", 4, "ok"), (1, "u3", 6, "empty")]
+
+
+def test_resume_in_small_batches(spark, folders):
+    source, out, progress = folders
+    schema = "url string, line_no bigint"
+    result = spark.createDataFrame([], "url string, line_no bigint, status string").schema
+    for wave in ([("u1", 1), ("u2", 2)], [("u2", 3), ("u3", 4)], [("u1", 5), ("u3", 6), ("u4", 7)]):
+        arrive(spark, wave, schema, source)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+    run_available(stream, resume_batch(out, lambda new: new.withColumn("status", F.lit("ok")), result), progress)
+    rows = read_batches(spark, f"{out}/results", result).collect()
+    assert sorted(r.url for r in rows) == ["u1", "u2", "u3", "u4"]
+    assert len({r.batch for r in rows}) > 1
