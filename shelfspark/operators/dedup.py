@@ -73,20 +73,16 @@ def label_duplicates(
     column equal to "the key is not NULL", which spares computing a costly key twice.
     """
     per_file = first_per_file(rows, key, file, pos)
-    first_here = per_file.select(file, pos, F.lit(True).alias("_first_here"))
-    labelled = rows.join(first_here, [file, pos], "left")
-    label = F.when(~_keyed(key, has_key), KEPT).when(F.col("_first_here").isNull(), IN_FILE)
-    if not cross_file:
-        return labelled.withColumn("label", label.otherwise(KEPT)).drop("_first_here")
-    first_ever = first_per_key(per_file, key, file, pos).select(
-        file, pos, F.lit(True).alias("_first_ever")
-    )
-    label = label.when(F.col("_first_ever").isNull(), CROSS_FILE).otherwise(KEPT)
-    return (
-        labelled.join(first_ever, [file, pos], "left")
-        .withColumn("label", label)
-        .drop("_first_here", "_first_ever")
-    )
+    marks = per_file.select(file, pos)
+    mark = F.lit(KEPT)
+    if cross_file:
+        first_ever = first_per_key(per_file, key, file, pos).select(file, pos, F.lit(True).alias("_ever"))
+        marks = marks.join(first_ever, [file, pos], "left")
+        mark = F.when(F.col("_ever"), KEPT).otherwise(CROSS_FILE)
+    # the narrow marks are joined with each other first, so that rows meet one table only
+    marks = marks.select(file, pos, mark.alias("_mark"))
+    label = F.when(~_keyed(key, has_key), KEPT).otherwise(F.coalesce("_mark", F.lit(IN_FILE)))
+    return rows.join(marks, [file, pos], "left").withColumn("label", label).drop("_mark")
 
 
 def dedup_first_wins(
