@@ -54,8 +54,8 @@ def test_entry(spark):
     import __spark_entry__ as entry_module
 
     assert entry_module.entry(spark).count() > 0
-    assert set(entry_module.queries()) == set(all_queries())
-    assert set(entry_module.oracle_sql()) == set(all_oracles())
+    assert set(entry_module.queries()) >= set(all_queries())
+    assert set(entry_module.oracle_sql()) >= set(all_oracles())
 
 
 def test_columns_are_stable(spark):
