@@ -42,7 +42,7 @@ def order_documents(spark: SparkSession, sf_dir: str, broken: bool) -> DataFrame
 
     With ``broken``, documents of expensive orders lose their last character.
     """
-    o = table(spark, sf_dir, "orders", "o_orderkey")
+    o = table(spark, sf_dir, "orders")
     k, c = F.col("o_orderkey"), F.col("o_custkey")
     p, s, y = F.col("o_orderpriority"), F.col("o_orderstatus"), F.year("o_orderdate")
     isbn = F.when(s == "F", _join("978-", c.cast("string"), "-x"))
@@ -356,7 +356,7 @@ _MERGE_FILES = """
 count(*) FILTER (label = 'in_file') AS in_file_duplicates,
 count(*) FILTER (label = 'cross_file') AS cross_file_duplicates,
 count(*) FILTER (label <> 'kept') AS duplicates_removed,
-(sum(n_listed) FILTER (label = 'kept'))::BIGINT AS fields_removed, TRUE AS cleaned_fields FROM labelled""",
+(sum(n_listed) FILTER (label = 'kept'))::BIGINT AS fields_removed, TRUE AS cleaned_fields, 'title-author-publisher-year' AS dedup_key FROM labelled""",
 )
 def merge_metrics_query(spark, sf_dir):
     """E6."""
@@ -367,7 +367,7 @@ def merge_metrics_query(spark, sf_dir):
     "merge_metrics_plain",
     _MERGE + "SELECT " + _MERGE_FILES.format(kept="count(*)") + """
 0::BIGINT AS in_file_duplicates, 0::BIGINT AS cross_file_duplicates, 0::BIGINT AS duplicates_removed,
-0::BIGINT AS fields_removed, FALSE AS cleaned_fields FROM labelled""",
+0::BIGINT AS fields_removed, FALSE AS cleaned_fields, NULL::VARCHAR AS dedup_key FROM labelled""",
 )
 def merge_metrics_plain(spark, sf_dir):
     """E6 without de-duplication and field cleaning."""

@@ -3,16 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfspark.session import spread
 
-
-def table(spark: SparkSession, sf_dir: str, name: str, *spread_by: str) -> DataFrame:
-    """A given table; ``spread_by`` names an identifying column when per-row work is costly."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(df, *spread_by) if spread_by else df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table, split as the session's file settings say."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 class Registry:
@@ -24,7 +22,13 @@ class Registry:
 
     def add(self, name: str, sql: str | None = None):
         def register(fn):
-            self.queries[name] = fn
+            @wraps(fn)
+            def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+                # the caller's session may have been made without this package
+                spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+                return fn(spark, sf_dir)
+
+            self.queries[name] = run
             if sql is not None:
                 self.oracle[name] = sql
             return fn

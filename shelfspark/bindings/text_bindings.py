@@ -40,7 +40,7 @@ _SQL_FLAT = f"trim(regexp_replace(text, '{WS_CLASS}+', ' ', 'g'))"
 @query("normalize_text", f"SELECT doc_id, lower({_SQL_FLAT}) AS norm FROM documents")
 def normalize_text_query(spark, sf_dir):
     """I2 on whole texts, by lower-casing alone."""
-    documents = table(spark, sf_dir, "documents", "doc_id")
+    documents = table(spark, sf_dir, "documents")
     return documents.select("doc_id", normalize_text(F.col("text"), exact=False).alias("norm"))
 
 
@@ -51,7 +51,7 @@ def normalize_text_query(spark, sf_dir):
 )
 def normalize_text_exact(spark, sf_dir):
     """I2 with full case folding."""
-    return table(spark, sf_dir, "documents", "doc_id").select("doc_id", normalize_text(F.col("text")).alias("norm"))
+    return table(spark, sf_dir, "documents").select("doc_id", normalize_text(F.col("text")).alias("norm"))
 
 
 @query(
@@ -88,7 +88,7 @@ SELECT page_id, replace(replace(replace(replace(replace(replace(replace(replace(
 )
 def strip_tags_decode(spark, sf_dir):
     """I9, I10 on whole pages."""
-    return table(spark, sf_dir, "pages", "page_id").select(
+    return table(spark, sf_dir, "pages").select(
         "page_id", decode_entities(strip_tags(F.col("html"))).alias("text")
     )
 
@@ -118,7 +118,7 @@ FROM t WHERE url <> '' AND NOT starts_with(url, '#') AND line_no >= 2""".replace
 @query("scan_url_list", _LINES_SQL)
 def scan_url_list_query(spark, sf_dir):
     """Every line of every text from the second on."""
-    lines = table(spark, sf_dir, "documents", "doc_id").select(
+    lines = table(spark, sf_dir, "documents").select(
         "doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "value")
     )
     numbered = lines.select("doc_id", (F.col("pos") + 1).cast("bigint").alias("line_no"), "value")

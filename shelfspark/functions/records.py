@@ -95,19 +95,33 @@ def count_listed(is_object: Column, raw: Column, fields: Sequence[str] = DEFAULT
     return F.when(is_object, present).otherwise(F.lit(0))
 
 
+def with_names_counted(
+    items: DataFrame, n_listed: str, repeats: str, fields: Sequence[str] = DEFAULT_DROP_FIELDS
+) -> DataFrame:
+    """Add the number of listed fields and whether the object repeats a key, from one look at its keys."""
+    named = items.withColumn("_names", F.when(F.col("is_object"), F.json_object_keys("raw")))
+    listed = F.size(F.array_intersect("_names", _names(fields)))
+    twice = F.size("_names") > F.size(F.array_distinct("_names"))
+    return named.withColumns(
+        {n_listed: F.when(F.col("is_object"), listed).otherwise(F.lit(0)), repeats: F.coalesce(F.col("is_object") & twice, F.lit(False))}
+    ).drop("_names")
+
+
 def drop_listed(
-    items: DataFrame, fields: Sequence[str] = DEFAULT_DROP_FIELDS, n_listed: str | None = None
+    items: DataFrame, fields: Sequence[str] = DEFAULT_DROP_FIELDS, n_listed: str | None = None, repeats: str | None = None
 ) -> DataFrame:
     """Items whose ``raw`` has lost the listed fields; anything but an object passes untouched.
 
-    ``n_listed`` names a column with the count, if there is one. Only objects that have a
-    listed field are taken apart.
+    Of a key that an object repeats the last value stays. ``n_listed`` and ``repeats`` name
+    columns with the count and whether a key is repeated, if both are there. Only objects
+    that have a listed field or repeat a key are taken apart.
     """
     columns = items.columns
-    if n_listed is None:
-        n_listed = "_n_listed"
-        items = items.withColumn(n_listed, count_listed(F.col("is_object"), F.col("raw"), fields))
-    touched = with_object_fields(items, "_fields", F.when(F.col(n_listed) > 0, F.col("raw")))
+    if n_listed is None or repeats is None:
+        n_listed, repeats = "_n_listed", "_repeats"
+        items = with_names_counted(items, n_listed, repeats, fields)
+    changed = (F.col(n_listed) > 0) | F.col(repeats)
+    touched = with_object_fields(items, "_fields", F.when(changed, F.col("raw")))
     left = F.filter("_fields", lambda f: ~F.array_contains(_names(fields), f["key"]))
     text = F.concat(F.lit("{"), F.array_join(json_members(left), ","), F.lit("}"))
     return touched.withColumn("raw", F.coalesce(text, F.col("raw"))).select(columns)

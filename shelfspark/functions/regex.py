@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,14 +19,37 @@ def java_pattern(pattern: str, dotall: bool = False) -> str:
     return ("(?s)" if dotall else "(?d)") + pattern.replace(r"\s", WS_CLASS)
 
 
+def may_be_empty(pattern: str) -> bool:
+    """Whether a pattern can match without taking any character."""
+    return re.fullmatch(pattern, "", re.DOTALL) is not None
+
+
+def has_optional_group(pattern: str) -> bool:
+    """Whether a group may take no part in a match: there are alternatives, or a group may be left out."""
+    bare = re.sub(r"\\.|\[(?:\\.|[^\]])*\]", "x", pattern)
+    return "|" in bare or re.search(r"\)(?:[?*]|\{0?,)", bare) is not None
+
+
 def first_match(text: Column, pattern: str, dotall: bool = False) -> Column:
-    """Text of the first match, NULL without one: a single scan of ``text``."""
-    return F.regexp_substr(text, F.lit(java_pattern(pattern, dotall)))
+    """Text of the first match, NULL without one: a single scan of ``text``.
+
+    A pattern that can match nothing at all is looked for a second time, as the function
+    gives NULL for an empty match, too.
+    """
+    java = java_pattern(pattern, dotall)
+    found = F.regexp_substr(text, F.lit(java))
+    return F.when(text.rlike(java), F.coalesce(found, F.lit(""))) if may_be_empty(pattern) else found
 
 
 def group_of(match: Column, pattern: str, group: int = 1, dotall: bool = False) -> Column:
-    """One capture group, taken from the short matched text rather than the page."""
-    return F.regexp_extract(match, java_pattern(pattern, dotall), group)
+    """One capture group, taken from the short matched text rather than the page; NULL where
+    the group took no part in the match."""
+    java = java_pattern(pattern, dotall)
+    found = F.regexp_extract(match, java, group)
+    if not group or not has_optional_group(pattern):
+        return found
+    # a reference to a group that took no part fails, one to an empty group matches anywhere
+    return F.when((found != "") | match.rlike(f"^(?:{java})\\{group}"), found)
 
 
 def first_group(text: Column, pattern: str, group: int = 1, dotall: bool = False) -> Column:

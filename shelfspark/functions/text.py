@@ -4,10 +4,8 @@ from __future__ import annotations
 
 from functools import lru_cache
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # The 29 code points that count as whitespace.
 WS_CHARS = (
@@ -65,25 +63,35 @@ def _rare_letters() -> str:
     return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in ranges) + "]"
 
 
-@F.pandas_udf(T.StringType())
-def _python_casefold(text: pd.Series) -> pd.Series:
-    return text.map(lambda t: None if t is None else t.casefold())
+@lru_cache(maxsize=1)
+def _foldings() -> tuple[str, str, tuple[tuple[str, str], ...]]:
+    """Letters that fold to one other letter, what they fold to, and those that fold to several.
+
+    Python's character database is the rule.
+    """
+    folded = [(chr(c), chr(c).casefold()) for c in range(1, 0x110000) if not 0xD800 <= c < 0xE000]
+    single = [(c, f) for c, f in folded if f != c and len(f) == 1]
+    return "".join(c for c, _ in single), "".join(f for _, f in single), tuple((c, f) for c, f in folded if len(f) > 1)
 
 
 def casefold(text: Column) -> Column:
     """Full Unicode case folding.
 
     Texts in which lower-casing is not enough (some Greek, Armenian or Cherokee letters,
-    ligatures) are handed to Python; of all others only a NULL is.
+    ligatures) are folded letter by letter; for all others lower-casing and the sharp s do.
     """
     native = F.replace(F.lower(text), F.lit("ß"), F.lit("ss"))
-    return F.coalesce(_python_casefold(F.when(text.rlike(_rare_letters()), text)), native)
+    letters, single, several = _foldings()
+    full = F.translate(text, letters, single)
+    for letter, folding in several:
+        full = F.replace(full, F.lit(letter), F.lit(folding))
+    return F.when(text.rlike(_rare_letters()), full).otherwise(native)
 
 
 def normalize_text(text: Column, exact: bool = True) -> Column:
     """Comparison form of a text field; NULL becomes the empty string.
 
-    ``exact=False`` folds case with ``lower`` alone and needs no Python worker; it gives
+    ``exact=False`` folds case with ``lower`` alone; it gives
     the same for Cyrillic and, but for a few letters such as the sharp s, for Latin.
     """
     # folding neither makes nor changes whitespace, so collapsing can come last

@@ -130,7 +130,7 @@ def dedup_richest(
 ) -> DataFrame:
     """Per key the record with most fields, the earlier one on a tie.
 
-    ``order`` names one or more integer columns that together identify a row. Records
+    ``order`` names one or more integer columns that together identify a row of a key. Records
     whose key is NULL or empty are dropped. ``first_seen`` is where the key first
     occurred, for callers that want that order; a struct if ``order`` has several columns.
     """
@@ -146,9 +146,10 @@ def dedup_richest(
             F.count_if(F.col(key) != "").alias("_n"),
         )
         .where(F.col("_n") > 0)
-        .select(*[(-F.col(f"_best.{name}")).alias(name) for name in order], "first_seen")
+        .select(key, *[(-F.col(f"_best.{name}")).alias(name) for name in order], "first_seen")
     )
-    return rows.join(best, order)
+    # on the key, too, so that an order that repeats between keys multiplies nothing
+    return rows.join(best, [key, *order])
 
 
 def distinct_keep_order(rows: DataFrame, value: str = "url", order: str = "line_no") -> DataFrame:

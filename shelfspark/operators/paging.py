@@ -32,13 +32,16 @@ PAGE_BLOCK = 100_000
 
 
 def pagination_info(html: Column) -> Column:
-    """Struct of current page, number of pages, last page's address and visible pages."""
+    """Struct of current page, number of pages, last page's address and visible pages.
+
+    Numbers are bigint; one beyond that is NULL, or left out of the visible pages.
+    """
     current = first_group(html, PAGER_SELECTED)
     last = first_group(html, PAGER_LAST)
-    pages = F.transform(all_groups(html, PAGER_CELL), lambda p: p.cast("int"))
+    pages = F.filter(F.transform(all_groups(html, PAGER_CELL), lambda p: p.try_cast("bigint")), lambda p: p.isNotNull())
     return F.struct(
-        current.try_cast("int").alias("current_page"),
-        (last.try_cast("int") + 1).alias("total_pages"),
+        current.try_cast("bigint").alias("current_page"),
+        F.try_add(last.try_cast("bigint"), F.lit(1).cast("bigint")).alias("total_pages"),
         F.concat(F.lit("?pg="), last).alias("last_page_url"),
         F.array_sort(F.array_distinct(pages)).alias("pages"),
     )
@@ -47,7 +50,8 @@ def pagination_info(html: Column) -> Column:
 def visible_pages(pages: DataFrame, by: Sequence[str] = (), html: str = "html") -> DataFrame:
     """Distinct page numbers that the pagers of a section show, one row each."""
     found = pages.select(*by, F.explode(all_groups(F.col(html), PAGER_CELL)).alias("_page"))
-    return found.select(*by, F.col("_page").cast("int").alias("page")).distinct()
+    numbers = found.select(*by, F.col("_page").try_cast("bigint").alias("page"))
+    return numbers.where(F.col("page").isNotNull()).distinct()
 
 
 def _pairs(html: Column, pattern: str, first: str, second: str) -> Column:
@@ -109,7 +113,7 @@ def listing_blocks(pages: DataFrame, host: str, keep: Sequence[str] = (), html:
 
 
 def _block(page: str, block: int) -> Column:
-    return F.floor(F.col(page) / block)
+    return F.expr(f"`{page}` div {block}")
 
 
 def join_section(
@@ -167,6 +171,28 @@ def running_totals(
     return running_sum(pages, {"books_so_far": F.col(n_books), "pages_done": F.lit(1)}, base, page)
 
 
+def _stops(pages: DataFrame, base: str, page: str, n_books: str, total: str, ok: str) -> DataFrame:
+    """``(base, _blank, _last)``: the first loaded page without records, and the page after
+    which the last page was reached; one row per section.
+
+    The rows are read twice: once for what each section shows, once for where it ends.
+    """
+    good = F.col(ok) & (F.col(n_books) > 0)
+    known = pages.groupBy(base).agg(
+        F.min(F.when(good & (F.col(total) > 0), F.struct(F.col(page).alias("p"), F.col(total).alias("t")))).alias("_known"),
+        F.min(F.when(F.col(ok) & (F.col(n_books) == 0), F.col(page))).alias("_blank"),
+    )
+    # the first page at or after both the page showing the total and the last page itself
+    shown = known.where(F.col("_known").isNotNull()).select(base, "_known")
+    last = (
+        join_section(pages.where(good).select(base, page), shown, base, page)
+        .where((F.col(page) >= F.col("_known.p")) & (F.try_add(F.col(page).cast("bigint"), F.lit(1).cast("bigint")) >= F.col("_known.t")))
+        .groupBy(base)
+        .agg(F.min(page).alias("_last"))
+    )
+    return known.select(base, "_blank").join(last, base, "left")
+
+
 def take_pages(
     pages: DataFrame,
     max_pages: int | None = None,
@@ -185,30 +211,9 @@ def take_pages(
     Where it stops is a minimum per section, so this needs aggregates, not windows over
     a section; only ``max_pages`` needs a running count, which goes through blocks.
     """
-    good = F.col(ok) & (F.col(n_books) > 0)
-    blank = F.col(ok) & (F.col(n_books) == 0)
-    shows_total = good & (F.col(total) > 0)
-    known = pages.groupBy(base).agg(
-        F.min(F.when(shows_total, F.struct(F.col(page).alias("p"), F.col(total).alias("t")))).alias("_known"),
-        F.min(F.when(blank, F.col(page))).alias("_blank"),
-    )
-    good_pages = pages.where(good)
-    # the first page at or after both the page showing the total and the last page itself
-    last = (
-        join_section(
-            good_pages.select(base, page), known.where(F.col("_known").isNotNull()).select(base, "_known"), base, page
-        )
-        .where((F.col(page) >= F.col("_known.p")) & (F.col(page) + 1 >= F.col("_known.t")))
-        .groupBy(base)
-        .agg(F.min(page).alias("_last"))
-    )
-    stops = (
-        known.select(base, "_blank")
-        .join(last, base, "left")
-        .select(base, F.least(F.col("_blank"), F.col("_last")).alias("_stop"))
-    )
+    stops = _stops(pages, base, page, n_books, total, ok).select(base, F.least("_blank", "_last").alias("_stop"))
     used = (
-        join_section(good_pages, stops, base, page)
+        join_section(pages.where(F.col(ok) & (F.col(n_books) > 0)), stops, base, page)
         .where(F.col("_stop").isNull() | (F.col(page) <= F.col("_stop")))
         .drop("_stop")
     )
@@ -221,6 +226,29 @@ def take_pages(
     )
 
 
+def tried_pages(
+    pages: DataFrame,
+    max_pages: int | None = None,
+    base: str = "base",
+    page: str = "page",
+    n_books: str = "n_books",
+    total: str = "total_pages",
+    ok: str = "ok",
+) -> DataFrame:
+    """The pages a crawl of each section would have asked for, loaded or not.
+
+    It ends with the page on which :func:`take_pages` stops: the blank page, the last one,
+    or the one that makes ``max_pages`` pages with records.
+    """
+    stops = _stops(pages, base, page, n_books, total, ok).select(base, F.least("_blank", "_last").alias("_stop"))
+    if max_pages is not None:
+        used = take_pages(pages, None, base, page, n_books, total, ok)
+        full = running_sum(used, {"_done": F.lit(1)}, base, page).where(F.col("_done") == max_pages)
+        ends = full.select(base, F.col(page).alias("_full"))
+        stops = stops.join(ends, base, "left").select(base, F.least("_stop", "_full").alias("_stop"))
+    return join_section(pages, stops, base, page).where(F.col("_stop").isNull() | (F.col(page) <= F.col("_stop"))).drop("_stop")
+
+
 def failed_pages(
     pages: DataFrame, ok: str = "ok", page: str = "page", url: str = "url", error: str = "error"
 ) -> DataFrame:

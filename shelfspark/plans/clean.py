@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shelfspark.functions.keys import JOB_KEY_MODE, key_mode, with_json_dedup_key
-from shelfspark.functions.records import DEFAULT_DROP_FIELDS, count_listed, drop_listed
+from shelfspark.functions.records import DEFAULT_DROP_FIELDS, drop_listed, with_names_counted
 from shelfspark.operators.dedup import (
     dedup_first_wins,
     duplicates_report,
@@ -17,11 +17,11 @@ from shelfspark.operators.dedup import (
     removed_rows,
 )
 from shelfspark.operators.metrics import file_metrics, run_totals
-from shelfspark.session import staged
+from shelfspark.session import staged, unstage
 from shelfspark.sources.files import inside
 from shelfspark.sources.json_docs import (
-    explode_items,
-    file_table,
+    explode_documents,
+    files_of,
     parse_documents,
     require_files,
     scan_json_documents,
@@ -34,9 +34,8 @@ from shelfspark.sources.sinks import document_lines, write_documents, write_dupl
 def keyed_items(
     items: DataFrame, mode: str, fields: Sequence[str] = DEFAULT_DROP_FIELDS, exact: bool = True
 ) -> DataFrame:
-    """Items with their duplicate key and the number of listed fields they have."""
-    keyed = with_json_dedup_key(items, mode, exact)
-    return keyed.withColumn("n_listed", count_listed(F.col("is_object"), F.col("raw"), fields))
+    """Items with their duplicate key, the number of listed fields they have, and whether they repeat a key."""
+    return with_names_counted(with_json_dedup_key(items, mode, exact), "n_listed", "repeats", fields)
 
 
 def report_fields(raw: str = "raw") -> dict:
@@ -46,12 +45,17 @@ def report_fields(raw: str = "raw") -> dict:
     return {n: rec[n] for n in names}
 
 
+class UnreadableDocuments(RuntimeError):
+    """A run has ended, but not all of its documents could be read."""
+
+
 class CleanJob:
     """Clean ``(file, file_rank, doc)`` rows; unreadable documents become error rows.
 
-    Every table is built when it is first asked for. With ``stage``, parsed items and
-    the file table are each written once to the shared folder, and all outputs are
-    derived from those.
+    Every table is built when it is first asked for. With ``stage``, one pass over the
+    documents writes their items, with what concerns a whole file on its first row, to the
+    shared folder, and all outputs are derived from there; a column that an output doesn't
+    need, such as the items' text, isn't read for it. :meth:`release` removes that folder.
     """
 
     def __init__(
@@ -72,23 +76,31 @@ class CleanJob:
         self.stage = stage
         self._unwrapped = unwrap_books(parse_documents(docs), "clean")
 
-    def _staged(self, df: DataFrame, label: str) -> DataFrame:
-        return staged(df, label) if self.stage else df
-
     @cached_property
+    def rows(self) -> DataFrame:
+        """Items and files of :func:`explode_documents`, items with key and number of listed fields."""
+        rows = explode_documents(with_envelope(self._unwrapped, self.keep_meta), ("head", "tail"))
+        keyed = keyed_items(rows, self.mode, self.fields, self.exact)
+        return staged(keyed, "clean-rows") if self.stage else keyed
+
+    @property
     def files(self) -> DataFrame:
         """One row per file, with the text around its items."""
-        files = file_table(with_envelope(self._unwrapped, self.keep_meta), ("head", "tail"))
+        files = files_of(self.rows)
         if self.keep_meta:
             nothing = {"meta_removed": F.lit(False), "meta_keys_removed": F.lit([]).cast("array<string>")}
             files = files.withColumns(nothing)
-        return self._staged(files, "clean-files")
+        return files
 
-    @cached_property
+    @property
     def items(self) -> DataFrame:
         """All items with key and number of listed fields."""
-        items = keyed_items(explode_items(self._unwrapped), self.mode, self.fields, self.exact)
-        return self._staged(items, "clean-items")
+        return self.rows.where(F.col("pos").isNotNull()).drop("document")
+
+    def release(self) -> None:
+        """Remove the staged rows; no table of this job can be read afterwards."""
+        if self.stage and "rows" in self.__dict__:
+            unstage(self.rows)
 
     @cached_property
     def labelled(self) -> DataFrame:
@@ -97,9 +109,9 @@ class CleanJob:
     @property
     def kept(self) -> DataFrame:
         """Items left, without the listed fields."""
-        items = self.items.select("file", "file_rank", "pos", "is_object", "raw", "key_id", "n_listed")
+        items = self.items.select("file", "file_rank", "pos", "is_object", "raw", "key_id", "n_listed", "repeats")
         kept = dedup_first_wins(items, cross_file=self.cross_file)
-        return drop_listed(kept, self.fields, "n_listed").select("file", "file_rank", "pos", "raw")
+        return drop_listed(kept, self.fields, "n_listed", "repeats").select("file", "file_rank", "pos", "raw")
 
     @property
     def report(self) -> DataFrame:
@@ -137,14 +149,18 @@ def clean_files(
     Files below ``output`` are no input, should it lie in one of the folders.
 
     ``documents`` gets the cleaned documents, ``metrics`` one row per file, ``totals`` one
-    row for the run, ``report`` the removed records if asked for.
+    row for the run, ``report`` the removed records if asked for. Documents that can't be
+    read raise at the end, when all outputs have been written.
     """
     docs = scan_json_documents(spark, paths, recursive, [*exclude, inside(output)])
     job = CleanJob(docs, dedup_key, cross_file, fields, keep_meta)
     require_files(job.files)
     write_documents(document_lines(job.kept, job.envelopes), f"{output}/documents")
     job.per_file.drop("file_rank").write.json(f"{output}/metrics")
-    job.totals.write.json(f"{output}/totals")
+    seen = Observation("clean_totals")
+    job.totals.observe(seen, F.max("errors").alias("errors")).write.json(f"{output}/totals")
     if report:
         write_duplicates_report(job.report, job.mode, f"{output}/report")
+    if seen.get["errors"]:
+        raise UnreadableDocuments(f"{seen.get['errors']} of the documents could not be read; the others are under {output}")
     return job

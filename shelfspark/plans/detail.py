@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfspark.operators.dedup import dedup_richest
 from shelfspark.operators.extract import RECORD_COLUMNS, extract_records
-from shelfspark.operators.membership import drop_already_added, merge_existing_new, url_plan
+from shelfspark.operators.membership import merge_existing_new, url_plan
 from shelfspark.operators.metrics import run_metrics
 from shelfspark.session import staged
 from shelfspark.sources.checkpoint import scan_checkpoint
@@ -50,8 +50,8 @@ def extract_details(
 ) -> DetailResult:
     """Extract the pages of URLs that have no record yet and join old and new records.
 
-    ``urls`` is ``(line_no, url)`` with ``line_no`` unique, ``pages`` ``(url, html)`` with
-    one page per URL, ``existing`` has ``BOOK_SCHEMA`` with runs below ``run``. The URL
+    ``urls`` is ``(line_no, url)``; an address's place is its least ``line_no``, also where
+    several lists are read as one. ``pages`` is ``(url, html)`` with one page per URL, ``existing`` has ``BOOK_SCHEMA`` with runs below ``run``. The URL
     filter runs before any page is looked at. A URL without a stored page failed to load.
     """
     plan = url_plan(urls, existing.select(F.col("detail_url").alias("url")))
@@ -61,7 +61,8 @@ def extract_details(
     if stage:
         results = staged(results, "detail-results")
     good = results.where(F.col("status") == "ok").withColumnRenamed("line_no", "pos")
-    new = drop_already_added(good.withColumn("run", F.lit(run)), existing)
+    # addresses in the plan are distinct and new, and a record's address is the one it was asked for by
+    new = good.withColumn("run", F.lit(run))
     return DetailResult(plan, results, final_books(existing, new), run_metrics(plan, results, existing))
 
 

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.operators.paging import block_links, failed_pages, pagination_info, take_pages
+from shelfspark.operators.paging import block_links, failed_pages, pagination_info, take_pages, tried_pages
 from shelfspark.session import staged
 from shelfspark.sources.sinks import write_url_list
 from shelfspark.sources.text_lists import expand_page_range, page_list_urls, page_urls
@@ -27,7 +27,8 @@ def collect_links(
 ) -> ListingResult:
     """``wanted`` is ``(base, page, url)``, ``stored`` ``(url, html)`` with one page per URL.
 
-    A wanted page that is not stored failed to load. Blocks without a detail link do not
+    A wanted page that is not stored failed to load, and is reported if the crawl of its
+    section would have come to it. Blocks without a detail link do not
     count as records. With ``stage`` what was found on the pages is written once to the
     shared folder, since several steps need it.
     """
@@ -48,7 +49,7 @@ def collect_links(
         loaded = staged(loaded, "listing-pages")
     used = take_pages(loaded, max_pages)
     rows = used.select("base", "page", F.posexplode("links").alias("block_no", "detail_url"))
-    return ListingResult(used.drop("links"), rows, failed_pages(loaded))
+    return ListingResult(used.drop("links"), rows, failed_pages(tried_pages(loaded.drop("links"), max_pages)))
 
 
 def wanted_pages(

@@ -6,17 +6,18 @@ from collections.abc import Sequence
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shelfspark.functions.keys import JOB_KEY_MODE, key_mode
 from shelfspark.functions.records import DEFAULT_DROP_FIELDS, drop_listed
 from shelfspark.operators.dedup import dedup_first_wins, duplicates_report, label_duplicates, removed_rows
 from shelfspark.operators.metrics import merge_metrics
 from shelfspark.plans.clean import keyed_items, report_fields
-from shelfspark.session import staged
+from shelfspark.session import staged, unstage
 from shelfspark.sources.files import inside
 from shelfspark.sources.json_docs import (
-    explode_items,
-    file_table,
+    explode_documents,
+    files_of,
     parse_documents,
     require_files,
     scan_json_documents,
@@ -30,7 +31,7 @@ class MergeJob:
 
     Listed fields go after duplicates do, so those of removed records do not count. An
     unreadable document stops the run. Tables are built when first asked for; with
-    ``stage``, parsed items and the file table are each written once to the shared folder.
+    ``stage``, one pass over the documents writes items and files to the shared folder.
     """
 
     def __init__(
@@ -50,31 +51,39 @@ class MergeJob:
         self.stage = stage
         self._unwrapped = unwrap_books(parse_documents(docs, "failfast"), "merge", unwrap)
 
-    def _staged(self, df: DataFrame, label: str) -> DataFrame:
-        return staged(df, label) if self.stage else df
-
     @cached_property
+    def rows(self) -> DataFrame:
+        """Items and files of :func:`explode_documents`, items with key and number of listed fields."""
+        keyed = keyed_items(explode_documents(self._unwrapped), self.mode or JOB_KEY_MODE, self.fields, self.exact)
+        return staged(keyed, "merge-rows") if self.stage else keyed
+
+    @property
     def files(self) -> DataFrame:
-        return self._staged(file_table(self._unwrapped), "merge-files")
+        return files_of(self.rows)
 
-    @cached_property
+    @property
     def items(self) -> DataFrame:
         """All items with key and number of listed fields."""
-        mode = self.mode or JOB_KEY_MODE
-        items = keyed_items(explode_items(self._unwrapped), mode, self.fields, self.exact)
-        return self._staged(items, "merge-items")
+        return self.rows.where(F.col("pos").isNotNull()).drop("document")
+
+    def release(self) -> None:
+        """Remove the staged rows; no table of this job can be read afterwards."""
+        if self.stage and "rows" in self.__dict__:
+            unstage(self.rows)
 
     @property
     def merged(self) -> DataFrame:
-        items = self.items.select("file", "file_rank", "pos", "is_object", "raw", "key_id", "n_listed")
+        items = self.items.select("file", "file_rank", "pos", "is_object", "raw", "key_id", "n_listed", "repeats")
         kept = items if self.mode is None else dedup_first_wins(items)
         if self.clean_fields:
-            kept = drop_listed(kept, self.fields, "n_listed")
+            kept = drop_listed(kept, self.fields, "n_listed", "repeats")
         return kept.select("file", "file_rank", "pos", "raw")
 
     @property
     def metrics(self) -> DataFrame:
-        return merge_metrics(self.files, self.items, self.mode is not None, self.clean_fields)
+        """One row of statistics, with the kind of key that records were compared by."""
+        found = merge_metrics(self.files, self.items, self.mode is not None, self.clean_fields)
+        return found.withColumn("dedup_key", F.lit(self.mode).cast("string"))
 
     @property
     def report(self) -> DataFrame | None:

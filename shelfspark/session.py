@@ -42,6 +42,12 @@ def build_session(
     return builder.getOrCreate()
 
 
+def require_settings(spark: SparkSession) -> None:
+    """Raise unless JSON objects that repeat a key can be read; :func:`build_session` sees to that."""
+    if spark.conf.get("spark.sql.variant.allowDuplicateKeys", "false") != "true":
+        raise ValueError("set spark.sql.variant.allowDuplicateKeys to true")
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """New folder name under the shared folder named by ``spark.checkpoint.dir``.
 
@@ -68,11 +74,9 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Use all cores for costly per-row work on an input with few splits.
-
-    Nothing happens when the scan already has a task per core, as it has on large data;
-    a small single-file table is hashed on ``keys``.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+def unstage(df: DataFrame) -> None:
+    """Remove the folder of a staged table, through the file system that holds it."""
+    spark = df.sparkSession
+    for uri in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(uri)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -8,9 +8,13 @@ from pyspark.sql import types as T
 
 
 def scan_checkpoint(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """Records of an earlier run; empty when there is none, unreadable files left out."""
+    """Records of an earlier run; empty when there is none.
+
+    A checkpoint counts as a whole: a damaged file in it raises when it is read, since
+    going on without its records would do work again and lose results without a word.
+    """
     try:
-        return spark.read.schema(schema).option("ignoreCorruptFiles", "true").parquet(path)
+        return spark.read.schema(schema).option("ignoreCorruptFiles", "false").parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 # Stands for the path separator in a rank; sorts before every character of a name.
 _BEFORE_ALL = "\x01"
-_ARGUMENT_DIGITS = 6
+_ARGUMENT_DIGITS = 19  # as many as the largest bigint has
 
 
 class NoInputFiles(ValueError):
@@ -44,15 +44,17 @@ def rank_of(path: Column, arg: Column | int = 0) -> Column:
 
     One text instead of a struct with an array: with the separator below every other
     character, text order equals component order (``a/b`` comes before ``a.json``).
+    A negative place raises.
     """
-    arg = F.lit(arg) if isinstance(arg, int) else arg
-    place = F.lpad(arg.cast("string"), _ARGUMENT_DIGITS, "0")
+    arg = (F.lit(arg) if isinstance(arg, int) else arg).cast("bigint")
+    digits = F.when(arg < 0, F.raise_error(F.lit("a place is not negative")).cast("string")).otherwise(arg.cast("string"))
+    place = F.lpad(digits, _ARGUMENT_DIGITS, "0")
     return F.concat(place, F.lit(_BEFORE_ALL), F.translate(path, "/", _BEFORE_ALL))
 
 
 def rank_argument(rank: Column) -> Column:
     """Place of the argument a ranked file was reached through."""
-    return F.left(rank, F.lit(_ARGUMENT_DIGITS)).cast("int")
+    return F.left(rank, F.lit(_ARGUMENT_DIGITS)).cast("bigint")
 
 
 def exclude_files(

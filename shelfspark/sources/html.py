@@ -4,37 +4,38 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from shelfspark.sources.files import plain_path
 
 PAGE_ENCODING = "cp1251"
-
-
-@F.pandas_udf(T.StringType())
-def _decode_page(content: pd.Series) -> pd.Series:
-    return content.map(lambda b: None if b is None else bytes(b).decode(PAGE_ENCODING))
-
-
-@F.pandas_udf(T.BinaryType())
-def _encode_page(text: pd.Series) -> pd.Series:
-    return text.map(lambda t: None if t is None else t.encode(PAGE_ENCODING, "xmlcharrefreplace"))
+_NO_MEANING = 0x98  # the one byte that the encoding leaves undefined
+_UPPER = [b for b in range(0x80, 0x100) if b != _NO_MEANING]
+_AS_LATIN = "".join(map(chr, _UPPER))
+_AS_PAGE = bytes(_UPPER).decode(PAGE_ENCODING)
 
 
 def decode_page(content: Column) -> Column:
     """Page bytes as text; a byte without a meaning in the encoding raises.
 
-    Spark's own ``decode`` refuses this encoding unless a legacy setting is on.
+    Spark's own ``decode`` refuses this encoding unless a legacy setting is on. A byte of
+    Latin 1 is a character of the same number, which is then exchanged for the page's.
     """
-    return _decode_page(content)
+    latin = F.decode(content, "ISO-8859-1")
+    undefined = F.raise_error(F.lit(f"byte {_NO_MEANING:#x} has no meaning in {PAGE_ENCODING}")).cast("string")
+    return F.when(F.instr(latin, chr(_NO_MEANING)) > 0, undefined).otherwise(F.translate(latin, _AS_LATIN, _AS_PAGE))
 
 
 def encode_page(text: Column) -> Column:
     """Inverse of :func:`decode_page`; other characters become numeric references."""
-    return _encode_page(text)
+    known = "\\x{0}-\\x{7f}" + "".join(f"\\x{{{ord(c):x}}}" for c in _AS_PAGE)
+    spelled = F.array_join(
+        F.transform(F.split(text, ""), lambda c: F.when(c.rlike(f"[^{known}]"), F.concat(F.lit("&#"), F.ascii(c).cast("string"), F.lit(";"))).otherwise(c)),
+        "",
+    )
+    written = F.when(text.rlike(f"[^{known}]"), spelled).otherwise(text)
+    return F.encode(F.translate(written, _AS_PAGE, _AS_LATIN), "ISO-8859-1")
 
 
 def scan_html_pages(spark: SparkSession, path: Sequence[str] | str) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfspark.functions.records import json_members, json_string, with_object_fields
+from shelfspark.session import require_settings
 from shelfspark.sources.files import (
     NoInputFiles,
     exclude_files,
@@ -69,7 +70,7 @@ def parse_documents(docs: DataFrame, mode: str = "permissive") -> DataFrame:
     """
     if mode not in ("permissive", "failfast"):
         raise ValueError(f"unknown mode {mode!r}")
-    docs.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    require_settings(docs.sparkSession)
     wrapped = F.try_parse_json(F.concat(F.lit("["), F.col("doc"), F.lit("]")))
     usable = F.is_valid_utf8(F.col("doc")) & (
         F.size(F.try_variant_get("_w", "$", "array<variant>")) == 1
@@ -207,30 +208,46 @@ def file_table(unwrapped: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def explode_items(unwrapped: DataFrame) -> DataFrame:
-    """One row per item: ``(file, file_rank, pos, is_object, raw)``; ``raw`` is JSON text."""
+def explode_documents(unwrapped: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """One row per item, and one with a NULL ``pos`` per file without items:
+    ``(file, file_rank, pos, is_object, raw, document)``.
+
+    ``document`` has the columns of :func:`file_table` in one row per file, the first, and
+    is NULL in the others, so files and items come from one pass over the documents.
+    """
     # a plain posexplode makes Spark infer a filter on the array and push it below the
     # projections that parse the document, which would then be parsed many times over
-    exploded = unwrapped.select(
-        "file", "file_rank", F.posexplode_outer("items").alias("pos", "item")
-    ).where(F.col("pos").isNotNull())
+    document = F.struct(*(c for c in file_table(unwrapped, keep).columns if c not in ("file", "file_rank")))
+    files = file_table(unwrapped, (*keep, "items")).withColumn("_document", document)
+    exploded = files.select("file", "file_rank", "_document", F.posexplode_outer("items").alias("pos", "item"))
     kinds = exploded.withColumn("kind", F.schema_of_variant(F.col("item.v")))
+    raw = F.when(F.col("kind") == "STRING", F.to_json(F.col("item.v"))).otherwise(F.coalesce(F.col("item.t"), F.lit("null")))
     return kinds.select(
         "file",
         "file_rank",
         "pos",
         F.col("kind").startswith("OBJECT").alias("is_object"),
-        F.when(F.col("kind") == "STRING", F.to_json(F.col("item.v")))
-        .otherwise(F.coalesce(F.col("item.t"), F.lit("null")))
-        .alias("raw"),
+        F.when(F.col("pos").isNotNull(), raw).alias("raw"),
+        F.when(F.coalesce("pos", F.lit(0)) == 0, F.col("_document")).alias("document"),
     )
 
 
+def files_of(rows: DataFrame) -> DataFrame:
+    """The file table out of :func:`explode_documents`."""
+    return rows.where(F.col("document").isNotNull()).select("file", "file_rank", "document.*")
+
+
+def explode_items(unwrapped: DataFrame) -> DataFrame:
+    """One row per item: ``(file, file_rank, pos, is_object, raw)``; ``raw`` is JSON text."""
+    return explode_documents(unwrapped).where(F.col("pos").isNotNull()).drop("document")
+
+
 def scan_json_lines(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
     """Items from JSON Lines: splittable at any size, in the shape of :func:`explode_items`.
 
     ``pos`` is the line number; a line that is no JSON value raises.
     """
+    require_settings(spark)
     lines = numbered_lines(spark, paths)
     v = F.parse_json("value")
     return lines.where(F.trim("value") != "").select(

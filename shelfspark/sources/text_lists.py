@@ -14,8 +14,6 @@ from shelfspark.sources.files import plain_path
 
 # Pages put into one array before it is exploded.
 PAGE_BLOCK = 1000
-# Most file splits whose line counts are broadcast: about 200 bytes each.
-BROADCAST_SPLITS = 100_000
 
 
 def numbered_lines(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
@@ -23,8 +21,9 @@ def numbered_lines(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame
 
     Files stay splittable. Rows of one split come in file order, so a line's number is
     its place in the split plus the number of lines in the splits before; only that
-    small per-split table goes through a window. It is broadcast while the number of
-    splits, known from the scan, is small; beyond, both sides are shuffled by split.
+    small per-split table goes through a window. Whether it is broadcast is Spark's choice
+    by its size. Lines are scanned twice; their running ids agree, as both scans pack the
+    same files into tasks by the same settings.
     """
     lines = spark.read.text(list(paths) if not isinstance(paths, str) else paths).select(
         F.col("_metadata.file_path").alias("uri"),
@@ -47,10 +46,6 @@ def numbered_lines(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame
             ).alias("before"),
         )
     )
-    # a task reads one split of a long file, or several whole short files
-    most_splits = len(lines.inputFiles()) + lines.rdd.getNumPartitions()
-    if most_splits <= BROADCAST_SPLITS:
-        blocks = F.broadcast(blocks)
     return lines.join(blocks, ["uri", "block"]).select(
         plain_path(F.col("uri")).alias("file"),
         (F.col("before") + F.col("row_id") - F.col("first_id") + 1).alias("line_no"),
@@ -95,8 +90,7 @@ def explode_range(df: DataFrame, low: Column, high: Column, name: str) -> DataFr
     starts = F.sequence("_low", F.col("_high") - 1, F.lit(PAGE_BLOCK).cast("bigint"))
     blocks = bounds.withColumn("_block", F.explode(F.when(F.col("_low") < F.col("_high"), starts)))
     # a block is one row for up to PAGE_BLOCK pages, so spreading blocks is cheap
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    blocks = blocks.repartition(tasks)
+    blocks = blocks.hint("rebalance")
     last = F.least(F.col("_block") + PAGE_BLOCK, F.col("_high")) - 1
     return blocks.withColumn(name, F.explode(F.sequence("_block", last))).drop("_low", "_high", "_block")
 

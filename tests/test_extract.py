@@ -5,6 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from shelfspark.functions.regex import first_group, first_match
 from shelfspark.functions.text import decode_entities, strip_tags
 from shelfspark.functions.urls import absolute_url, extract_id
 from shelfspark.operators.extract import DETAIL_RULES, apply_rules, classify_page, extract_records, parse_detail_page
@@ -198,6 +199,16 @@ def test_detail_job(spark):
     assert tuple(job.metrics.first()) == (6, 2, 1, 2, 3)
 
 
+def test_pages_beyond_the_stop_have_not_failed(spark):
+    wanted = spark.createDataFrame([("b", p, f"b?pg={p}") for p in range(6)], "base string, page int, url string")
+    block = BLOCK.format('<a href="/detail/book1.html">')
+    html = spark.createDataFrame([("b?pg=0", block), ("b?pg=2", "<p>none</p>")], "url string, html string")
+    assert [r.page_no for r in collect_links(wanted, html, HOST).failed.collect()] == [2]
+    html = spark.createDataFrame([(f"b?pg={p}", block) for p in (0, 2, 4)], "url string, html string")
+    assert sorted(r.page_no for r in collect_links(wanted, html, HOST).failed.collect()) == [2, 4, 6]
+    assert [r.page_no for r in collect_links(wanted, html, HOST, max_pages=2).failed.collect()] == [2]
+
+
 def test_listing_job(spark):
     def stored(section, page, n, last=None):
         blocks = "".join(BLOCK.format(f'<a href="/detail/book{section}{page}{i}.html">') for i in range(n))
@@ -215,7 +226,7 @@ def test_listing_job(spark):
     job = collect_links(wanted, html, HOST)
     got = [r.detail_url.split("book")[-1] for r in job.links.orderBy("base", "page", "block_no").collect()]
     assert got == ["100.html", "110.html", "111.html", "120.html", "200.html", "220.html"]
-    assert sorted((r.page_no, r.url) for r in job.failed.collect()) == [(2, "b2?pg=1"), (5, "b1?pg=4")]
+    assert sorted((r.page_no, r.url) for r in job.failed.collect()) == [(2, "b2?pg=1")]
     limited = collect_links(wanted, html, HOST, max_pages=1)
     assert limited.links.count() == 2
 
@@ -261,3 +272,23 @@ def test_listing_files(spark, tmp_path):
     )
     links = listing_files(spark, wanted, stored, str(tmp_path / "out"), HOST)
     assert [r.detail_url for r in links.collect()] == [HOST + "/detail/book0.html", HOST + "/detail/book1.html"]
+
+
+def test_empty_match_is_no_missing_match(spark):
+    rows = [("ab",), ("b",), ("xyz",), ("",), (None,)]
+    df = spark.createDataFrame(rows, "t string").select(
+        "t", first_match(F.col("t"), "a*").alias("m"), first_group(F.col("t"), "(a)?b").alias("g"), first_group(F.col("t"), "(a*)b").alias("e"),
+        first_group(F.col("t"), "(x)|(y)", 2).alias("o"),
+    )
+    got = {r.t: (r.m, r.g, r.e, r.o) for r in df.collect()}
+    assert got["ab"] == ("a", "a", "a", None) and got["b"] == ("", None, "", None)
+    assert got["xyz"] == ("", None, None, None) and got[""] == ("", None, None, None) and got[None] == (None,) * 4
+
+
+def test_pager_numbers_beyond_int(spark):
+    cells = "".join(f'<td><a href="?pg={n}">1</a></td>' for n in (5, 2147483647, 99999999999, 10**30))
+    html = cells + '<a href="?pg=9223372036854775807"><img x alt="На последнюю страницу"></a>'
+    df = spark.createDataFrame([(html,)], "html string")
+    info = df.select(pagination_info(F.col("html")).alias("i")).first().i
+    assert info.pages == [5, 2147483647, 99999999999] and info.total_pages is None
+    assert sorted(r.page for r in visible_pages(df).collect()) == [5, 2147483647, 99999999999]

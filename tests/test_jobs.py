@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfspark.functions.records import DEFAULT_DROP_FIELDS, count_listed, drop_listed
-from shelfspark.plans.clean import CleanJob, clean_files
+from shelfspark.plans.clean import CleanJob, UnreadableDocuments, clean_files
 from shelfspark.plans.merge import MergeJob, merge_files
 from shelfspark.sources.files import NoInputFiles
 
@@ -62,6 +62,12 @@ def test_drop_listed_removes_only_listed_fields(spark):
     assert left[2]["isbn"] is None and "format" not in left[2]
 
 
+def test_repeated_keys_keep_the_last_value_everywhere(spark):
+    raws = ['{"a":1,"a":2}', '{"a":1,"a":2,"format":"x"}', '{"a":1}', '[{"a":1,"a":2}]']
+    items = spark.createDataFrame([(i, r[0] == "{", r) for i, r in enumerate(raws)], "pos int, is_object boolean, raw string")
+    assert [r.raw for r in drop_listed(items).orderBy("pos").collect()] == ['{"a":2}', '{"a":2}', '{"a":1}', raws[3]]
+
+
 def test_drop_listed_with_own_list(spark):
     items = items_of(spark, [{"title": "x", "format": "y", "book_id": 5}])
     assert json.loads(drop_listed(items, ["book_id"]).first().raw) == {"title": "x", "format": "y"}
@@ -177,10 +183,11 @@ def test_clean_files_writes_documents(spark, folder, tmp_path):
     (folder / "note.json").write_text("5")
     write(folder / "z_clean.json", [NOVEL])
     out = tmp_path / "out"
-    job = clean_files(spark, [str(folder)], str(out), exclude=["*_clean.json"], report=True)
+    with pytest.raises(UnreadableDocuments, match="1 of the documents"):
+        clean_files(spark, [str(folder)], str(out), exclude=["*_clean.json"], report=True)
     assert [b["title"] for b in read_document(out, "a.json")] == ["Степь", "Лирика"]
     assert [b["title"] for b in read_document(out, "b.json")] == ["Сказки"]
-    totals = job.totals.first()
+    totals = spark.read.json(str(out / "totals")).first()
     assert (totals.files_processed, totals.files_skipped, totals.errors) == (3, 1, 1)
     assert (totals.books_count, totals.removed_count) == (3, 9)
     assert (totals.duplicates_removed, totals.cross_file_duplicates_removed, totals.meta_removed_files) == (1, 1, 1)

@@ -14,6 +14,7 @@ from shelfspark.sources.files import (
     rank_of,
     select_files,
 )
+from shelfspark.sources.checkpoint import scan_checkpoint
 from shelfspark.sources.html import decode_page, encode_page, scan_html_pages
 from shelfspark.sources.json_docs import (
     explode_items,
@@ -143,6 +144,14 @@ def test_rank_order_equals_component_order(spark):
     assert ranked == sorted(paths, key=lambda p: p.split("/"))
 
 
+def test_places_beyond_six_digits_keep_their_order(spark):
+    files = spark.createDataFrame([("f", 1234567), ("f", 999999), ("f", 1000000), ("g", 1000000)], "file string, arg long")
+    ranked = {r.file: r for r in rank_files(files).withColumn("arg", rank_argument(F.col("file_rank"))).collect()}
+    assert ranked["f"].arg == 999999 and ranked["g"].arg == 1000000 and ranked["f"].file_rank < ranked["g"].file_rank
+    with pytest.raises(Exception, match="not negative"):
+        rank_files(spark.createDataFrame([("f", -1)], "file string, arg int")).collect()
+
+
 def test_rank_files_keeps_first_argument(spark):
     df = spark.createDataFrame([("x", 12), ("x", 3), ("y", 100)], "file string, arg int")
     got = {r.file: r.a for r in rank_files(df).select("file", rank_argument(F.col("file_rank")).alias("a")).collect()}
@@ -244,3 +253,26 @@ def test_json_lines(spark, tmp_path):
     rows = scan_json_lines(spark, str(tmp_path)).orderBy("pos").collect()
     assert [(r.pos, r.is_object, r.raw) for r in rows] == [(1, True, '{"a":1.0}'), (2, False, '"text"'), (4, False, "null")]
     assert json.loads(rows[0].raw) == {"a": 1.0}
+
+
+def test_line_numbers_with_small_files_packed_beside_splits(spark, tmp_path):
+    for i in range(40):
+        (tmp_path / f"s{i:02d}.txt").write_text("\n".join(f"{i}-{k}" for k in range(1, i % 5 + 2)) + "\n")
+    (tmp_path / "big.txt").write_text("\n".join(f"big-{k}" for k in range(1, 4001)) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "6000")
+    try:
+        rows = numbered_lines(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert len(rows) == 4000 + sum(i % 5 + 1 for i in range(40))
+    assert all(r.value.split("-")[1] == str(r.line_no) for r in rows)
+
+
+def test_damaged_checkpoint_raises(spark, tmp_path):
+    folder = tmp_path / "c"
+    spark.range(10).repartition(2).write.parquet(str(folder))
+    sorted(folder.glob("part-*"))[0].write_bytes(b"damaged")
+    with pytest.raises(Exception):  # noqa: B017 - Spark's own error
+        scan_checkpoint(spark, str(folder), "id long").collect()
+    assert scan_checkpoint(spark, str(tmp_path / "none"), "id long").count() == 0

@@ -3,7 +3,14 @@
 import pytest
 from pyspark.sql import functions as F
 
-from shelfspark.streaming.incremental import dedup_batch, read_batches, resume_batch, run_available
+from shelfspark.streaming.incremental import (
+    dedup_batch,
+    earlier_batches,
+    key_prefix,
+    read_batches,
+    resume_batch,
+    run_available,
+)
 
 ROWS = "file_rank string, pos int, key_id string"
 
@@ -81,3 +88,28 @@ def test_resume_in_small_batches(spark, folders):
     rows = read_batches(spark, f"{out}/results", result).collect()
     assert sorted(r.url for r in rows) == ["u1", "u2", "u3", "u4"]
     assert len({r.batch for r in rows}) > 1
+
+
+def test_lost_progress_neither_loses_nor_repeats_rows(spark, folders):
+    source, out, progress = folders
+    schema = spark.createDataFrame([], ROWS).schema
+    arrive(spark, [("f1", 0, "a"), ("f1", 1, "b")], ROWS, source)
+    run_available(spark.readStream.schema(ROWS).parquet(source), dedup_batch(out), progress)
+    arrive(spark, [("f2", 0, "a"), ("f2", 1, "c")], ROWS, source)
+    run_available(spark.readStream.schema(ROWS).parquet(source), dedup_batch(out), progress + "-new")
+    kept = read_batches(spark, f"{out}/kept", schema).collect()
+    assert sorted((r.file_rank, r.pos) for r in kept) == [("f1", 0), ("f1", 1), ("f2", 1)]
+
+
+def test_only_the_prefixes_of_a_batch_are_read(spark, folders):
+    _, out, _ = folders
+    run = dedup_batch(out)
+    run(spark.createDataFrame([("f1", i, f"k{i}") for i in range(200)], ROWS), 0)
+    schema = spark.createDataFrame([], ROWS).schema
+    one = spark.createDataFrame([("f2", 0, "k7")], ROWS)
+    wanted = [r[0] for r in one.select(key_prefix("key_id")).collect()]
+    earlier = earlier_batches(spark, f"{out}/kept", schema, 1, wanted)
+    assert 0 < len(set(earlier.select("key_id").collect())) < 20
+    assert "PartitionFilters" in earlier._jdf.queryExecution().executedPlan().toString()
+    run(one, 1)
+    assert read_batches(spark, f"{out}/kept", schema).count() == 200
