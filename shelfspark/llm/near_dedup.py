@@ -7,10 +7,12 @@ tells how similar the sets are, precisely where they are similar. Candidates who
 are too far apart are no further work. The rest is decided on the full sets.
 
 Only components are wanted, so a bucket's members aren't paired with each other. Texts with
-equal sets are one class. Then, in rounds, each bucket names one member its hub and each
-member of another component meets the hub closest to it; what is linked is one component
-from there on. Last, the pairs of a bucket that are still in different components are all
-compared, so no link between different texts is lost to a hub.
+equal sets are one class. Then each bucket names its most central member its hub, the one
+that shares buckets with most others, and each member meets the hub closest to it; what is
+linked is one component from there on. Last, in buckets that still hold several components,
+every member outside the largest visits blocks of the others and is compared with each of
+another component there, so no link between different texts is lost to a hub. A block is a
+bounded task, and only links leave it.
 """
 
 from __future__ import annotations
@@ -32,8 +34,8 @@ from shelfspark.session import staged
 BANDS, ROWS = 40, 5  # at similarity 0.8 a pair shares no band once in 8 million pairs
 WORDS = 8  # 64-bit words of an odd sketch
 DEVIATIONS = 5  # standard deviations by which a pair at the threshold may look less alike
-HUB_ROUNDS = 2
 GROUP = 128  # members that meet one copy of a hub
+BLOCK = 1024  # documents of a block, about
 
 _SIGNED = pa.schema(
     [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_key", pa.binary()), ("bands", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64()))]
@@ -111,6 +113,15 @@ def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]
             yield pa.RecordBatch.from_arrays([ids.slice(at, 256), pa.array(part, pa.binary())], ["doc_id", "shingles"])
 
 
+def _similar(one: np.ndarray, many: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which of ``many`` sets have at least ``percent`` hundredths of the union in common with ``one``."""
+    sizes = np.array([len(m) for m in many])
+    flat = np.concatenate(many)
+    hit = one[np.minimum(np.searchsorted(one, flat), len(one) - 1)] == flat
+    common = np.add.reduceat(hit, np.concatenate([[0], np.cumsum(sizes)[:-1]]), dtype=np.int64)
+    return 100 * common >= percent * (len(one) + sizes - common)
+
+
 def _meet(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by hub and share of its members, the hub's own row (null member) first."""
     found = None
@@ -121,12 +132,56 @@ def _meet(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Record
             mine = np.frombuffer(data, np.uint64)
             if member is None:
                 found = mine
-                continue
-            place = np.minimum(np.searchsorted(found, mine), len(found) - 1)
-            common = int((found[place] == mine).sum())
-            if 100 * common >= percent * (len(found) + len(mine) - common):
+            elif _similar(found, [mine], percent)[0]:
                 linked.append((hub, member))
-        yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in linked], pa.int64()) for i in (0, 1)], ["a", "b"])
+        yield _pairs(linked)
+
+
+def _pairs(rows: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x[i] for x in rows], pa.int64()) for i in (0, 1)], ["a", "b"])
+
+
+class _Residents:
+    """The documents of one block, and what a visitor is linked with there."""
+
+    def __init__(self) -> None:
+        self.rows: list[tuple] = []
+
+    def ready(self) -> None:
+        self.ids, self.parts, sketches, self.sets = zip(*self.rows, strict=True)
+        self.part_of = np.array(self.parts)
+        self.sketches = np.array(sketches, np.int64).view(np.uint64)
+        self.sizes = np.array([len(x) for x in self.sets])
+        self.rows = []
+
+    def links(self, part: int, sketch: np.ndarray, mine: np.ndarray, percent: int, farthest: int) -> list[int]:
+        """One resident of each other component that the visitor is linked with."""
+        sizes = 100 * np.minimum(self.sizes, len(mine)) >= percent * np.maximum(self.sizes, len(mine))
+        far = np.bitwise_count(self.sketches ^ sketch).sum(1)
+        near = np.flatnonzero((self.part_of != part) & sizes & (far <= farthest))
+        if not len(near):
+            return []
+        linked = near[_similar(mine, [self.sets[i] for i in near], percent)]
+        return list({self.parts[i]: self.ids[i] for i in linked}.values())
+
+
+def _visit(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by block, its residents before its visitors."""
+    here, block, farthest = _Residents(), None, largest_distance(percent / 100)
+    for batch in batches:
+        names = ("home", "block", "visits", "doc_id", "part", "sketch", "shingles")
+        linked = []
+        for home, no, visits, doc, part, sketch, data in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
+            if (home, no) != block:
+                here, block = _Residents(), (home, no)
+            mine = np.frombuffer(data, np.uint64)
+            if not visits:
+                here.rows.append((doc, part, sketch, mine))
+                continue
+            if here.rows:
+                here.ready()
+            linked += [(other, doc) for other in here.links(part, np.array(sketch, np.int64).view(np.uint64), mine, percent, farthest)]
+        yield _pairs(linked)
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -175,26 +230,20 @@ def near_duplicates(
     able = signed.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     classes = staged(able.groupBy("set_key").agg(F.min("doc_id").alias("class_id")), "classes")
 
-    # a rare class, whose id stands for several sets because rows repeat an id, keeps them all
+    # a class whose id stands for several sets, because rows repeat an id, keeps them all
     first = able.join(classes, "set_key").where(F.col("doc_id") == F.col("class_id"))
     first = first.dropDuplicates(["set_key"]).select("doc_id", "n_shingles", "bands", "sketch")
     in_band = first.select("doc_id", F.explode("bands").alias("bucket"))
-    full = in_band.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    buckets = staged(in_band.join(full, "bucket").select("bucket", "doc_id"), "buckets")
-    alike = buckets.select("doc_id").distinct()
-    wanted = texts.join(alike, "doc_id", "left_semi").mapInArrow(partial(_sets, k=k), "doc_id long, shingles binary")
+    full = in_band.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    buckets = _packed(in_band.join(full, "bucket").select("bucket", "doc_id", "n"), "buckets")
+    central = buckets.groupBy("doc_id").agg(F.sum("n").alias("central"))
+    alike = _packed(central.join(first.select("doc_id", "n_shingles", "sketch").dropDuplicates(["doc_id"]), "doc_id"), "alike")
+    wanted = texts.join(alike.select("doc_id"), "doc_id", "left_semi").mapInArrow(partial(_sets, k=k), "doc_id long, shingles binary")
     sets = staged(wanted.dropDuplicates(["doc_id"]), "sets")
-    sketches = staged(first.join(alike, "doc_id", "left_semi").select("doc_id", "n_shingles", "sketch").dropDuplicates(["doc_id"]), "sketches")
-
-    links = None
-    parts = None
-    for turn in range(HUB_ROUNDS):
-        found = confirmed(_hub_pairs(buckets, sketches, parts, turn, percent), sets, percent)
-        links = staged(found if links is None else links.unionByName(found), "links")
-        parts = connected_components(links)
-        buckets = _open_buckets(buckets, parts)
-    found = confirmed(_all_pairs(buckets, sketches, parts, percent), sets, percent)
-    parts = connected_components(links.unionByName(found))
+
+    links = _packed(confirmed(_packed(_hub_pairs(buckets, alike, percent), "hub-pairs"), sets, percent), "links")
+    parts = connected_components(links)
+    parts = connected_components(links.unionByName(_visited(buckets, alike, sets, parts, percent)))
 
     of_class = classes.join(parts, classes.class_id == parts.node, "left").select(
         "set_key", F.coalesce("component", "class_id").alias("component_id")
@@ -208,44 +257,56 @@ def near_duplicates(
     )
 
 
-def _with_part(buckets: DataFrame, parts: DataFrame | None) -> DataFrame:
-    if parts is None:
-        return buckets.withColumn("part", F.col("doc_id"))
-    named = buckets.join(parts.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    return named.select("bucket", "doc_id", F.coalesce("component", "doc_id").alias("part"))
+def _packed(df: DataFrame, label: str) -> DataFrame:
+    """Staged in fewer files than there are partitions: rows of a few numbers for some of the
+    documents are a small part of the texts' size."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return staged(df.coalesce(max(1, n // 8)), label)
 
 
-def _open_buckets(buckets: DataFrame, parts: DataFrame) -> DataFrame:
-    """Buckets that still hold more than one component, with all their members."""
-    named = _with_part(buckets, parts)
-    still = named.groupBy("bucket").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi")
-    return staged(buckets.join(still.select("bucket"), "bucket", "left_semi"), "buckets")
+def _hubs(buckets: DataFrame, alike: DataFrame) -> DataFrame:
+    """``(bucket, hub, hub_central)``: the most central member of each bucket, the least id on a tie."""
+    order = F.struct("central", (-F.col("doc_id")).alias("id"))
+    top = buckets.join(alike.select("doc_id", "central"), "doc_id").groupBy("bucket").agg(F.max(order).alias("top"))
+    return top.select("bucket", (-F.col("top.id")).alias("hub"), F.col("top.central").alias("hub_central"))
 
 
-def _hub_pairs(buckets: DataFrame, sketches: DataFrame, parts: DataFrame | None, turn: int, percent: int) -> DataFrame:
-    """Each member with the closest of the hubs of its buckets that is in another component.
-
-    A hub is the member that comes first in an order of all documents, another in each
-    turn, so a group's buckets mostly agree on it.
-    """
-    named = _with_part(buckets, parts)
-    first = F.min_by(F.struct("doc_id", "part"), F.struct(F.xxhash64("doc_id", F.lit(turn)), "doc_id"))
-    hubs = named.groupBy("bucket").agg(first.alias("h"))
-    met = named.join(hubs, "bucket").where(F.col("part") != F.col("h.part"))
-    pairs = met.select(F.col("h.doc_id").alias("hub"), F.col("doc_id").alias("member")).distinct()
-    x, y = sketches.alias("x"), sketches.alias("y")
+def _hub_pairs(buckets: DataFrame, alike: DataFrame, percent: int) -> DataFrame:
+    """Each member with the closest of the hubs of its buckets, by their sketches."""
+    met = buckets.join(_hubs(buckets, alike), "bucket").where(F.col("doc_id") != F.col("hub"))
+    pairs = met.select("hub", F.col("doc_id").alias("member")).distinct()
+    x, y = alike.alias("x"), alike.alias("y")
     near = pairs.join(x, F.col("member") == F.col("x.doc_id")).join(y, F.col("hub") == F.col("y.doc_id"))
     near = near.where(_may_link(percent)).select("hub", "member", _distance().alias("far"))
     return near.groupBy("member").agg(F.min(F.struct("far", "hub")).alias("best")).select("best.hub", "member")
 
 
-def _all_pairs(buckets: DataFrame, sketches: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
-    """All pairs of a bucket in different components whose sketches are close enough.
+def _visited(buckets: DataFrame, alike: DataFrame, sets: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
+    """Links between different components that share a bucket, one at least for each pair of
+    components that is linked in it.
 
-    The rarer side is the hub, as members are dealt out by hub.
+    A document's home is the most central of its buckets' hubs, and the documents of a home
+    are dealt into blocks. A bucket's members outside its largest component visit the blocks
+    of all its members.
     """
-    rows = _with_part(buckets, parts).join(sketches, "doc_id")
-    x, y = rows.alias("x"), rows.alias("y")
-    apart = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.doc_id") < F.col("y.doc_id")) & (F.col("x.part") != F.col("y.part"))
-    pairs = x.join(y, apart & _may_link(percent))
-    return pairs.select(F.col("x.doc_id").alias("hub"), F.col("y.doc_id").alias("member")).distinct()
+    named = buckets.select("bucket", "doc_id").join(parts.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    named = named.select("bucket", "doc_id", F.coalesce("component", "doc_id").alias("part"))
+    sizes = named.groupBy("bucket", "part").agg(F.count("*").alias("n")).groupBy("bucket")
+    several = sizes.agg(F.max(F.struct("n", "part")).alias("most"), F.count("*").alias("parts")).where("parts > 1")
+    several = several.select("bucket", F.col("most.part").alias("largest"))
+    named = _packed(named.join(several, "bucket"), "open-buckets")
+
+    hubs = _hubs(named, alike)
+    homes = named.join(hubs, "bucket").groupBy("doc_id", "part").agg(F.max(F.struct("hub_central", "hub")).alias("h"))
+    homes = homes.select("doc_id", "part", F.col("h.hub").alias("home"))
+    blocks = homes.groupBy("home").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    placed = homes.join(blocks, "home").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")))
+    residents = _packed(placed.select("doc_id", "part", "home", "block"), "residents")
+
+    in_bucket = named.join(residents.drop("part"), "doc_id").select("bucket", "home", "block").distinct()
+    visitors = named.where(F.col("part") != F.col("largest")).select("bucket", "doc_id", "part")
+    visits = visitors.join(in_bucket, "bucket").select("doc_id", "part", "home", "block").distinct()
+    both = residents.withColumn("visits", F.lit(False)).unionByName(visits.withColumn("visits", F.lit(True)))
+    whole = both.join(alike.select("doc_id", "sketch"), "doc_id").join(sets, "doc_id")
+    ordered = whole.repartition("home", "block").sortWithinPartitions("home", "block", "visits", "doc_id")
+    return ordered.mapInArrow(partial(_visit, percent=percent), "a long, b long")
