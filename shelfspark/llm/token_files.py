@@ -14,8 +14,10 @@ them by equal ones. Where a part begins follows from the prefix sums of the part
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 from functools import partial
 
@@ -31,45 +33,105 @@ from tokenizers import Tokenizer
 from shelfspark.llm.words import id_and_text
 from shelfspark.session import scratch_dir
 
-# A worker forgets the ids of pieces beyond this many; results don't depend on it.
-REMEMBERED = 600_000
+# A worker forgets pieces that it hasn't met among the last this many new ones; results don't depend on it.
+REMEMBERED = 200_000
+CHUNK = 128  # documents encoded at a time
+_PIECE = re.compile(" ?[^ ]+")
 _ODD_SPACE = re.compile(r" \s|^ | $")
 
 
-class PieceEncoder:
-    """Ids of whole texts, encoded piece by piece.
+def _byte_letters() -> dict[int, str]:
+    """The letter by which a byte-level vocabulary writes each byte: printable ones as
+    themselves, the others as the letters from U+0100 on."""
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+_BYTES = _byte_letters()
+_SPACE = _BYTES[32]
+_TAIL = ".,!:;?"
+_LATIN_END = "\u0250"  # letters before it are letters by any version of the character database
+
+
+def _is_word(piece: str) -> bool:
+    """Whether a piece is Latin letters throughout, after one space or none."""
+    letters = piece[1:] if piece[:1] == " " else piece
+    return letters.isalpha() and (letters.isascii() or max(letters) < _LATIN_END)
+
+
+class PieceEncoder(dict):
+    """Ids of whole texts, encoded piece by piece; as a dict, the ids of the pieces met so far.
 
     A byte-level pre-tokenizer always begins a new token where white space follows other
-    text, so a text may be cut before such a space and the ids of the pieces joined. Most
-    pieces recur, and each is encoded once. Texts with an added token's characters are
-    encoded whole.
+    text, so a text may be cut before such a space and the ids of the pieces joined. It also
+    begins one between a letter or digit and the points after it, and takes a word as one
+    token. Most pieces recur, and each is encoded once. Texts with an added token's
+    characters, and all texts where the tokenizer is of another kind, are encoded whole.
     """
 
     def __init__(self, path: str) -> None:
+        super().__init__()
+        self.before: dict[str, bytes] = {}
         self.tokenizer = Tokenizer.from_file(path)
-        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
-        self.known: dict[str, bytes] = {}
+        self.model, self.code = self.tokenizer.model, "H" if self.dtype.itemsize == 2 else "I"
+        made = json.loads(self.tokenizer.to_str())
+        before = made["pre_tokenizer"] or {}
+        self.cuts = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before["add_prefix_space"]
+        self.cuts = self.cuts and made["normalizer"] is None and made["post_processor"] is None and made["model"]["type"] == "BPE"
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.dtype).tobytes() for e in found]
 
+    def _word(self, piece: str) -> bytes:
+        if piece.isascii():
+            letters = _SPACE + piece[1:] if piece[0] == " " else piece
+        else:
+            letters = piece.encode().decode("latin-1").translate(_BYTES)
+        return array(self.code, [t.id for t in self.model.tokenize(letters)]).tobytes()
+
+    def __missing__(self, piece: str) -> bytes:
+        """Ids of a piece that isn't known yet, or not any more."""
+        if piece in self.before:
+            ids = self[piece] = self.before[piece]
+            return ids
+        at = piece.find("\n")
+        if 0 < at < len(piece) - 1 and not piece[at - 1].isspace() and not piece[at + 1].isspace():
+            # a sole line feed is a token of its own
+            return self[piece[:at]] + self["\n"] + self[piece[at + 1 :]]
+        core = piece.rstrip(_TAIL)
+        if _is_word(core):
+            ids = self.get(core)
+            if ids is None:
+                ids = self[core] = self._word(core)
+        elif len(core) < len(piece) and core[-1:].isalnum() and core[-1:] < _LATIN_END:
+            ids = self[core]
+        else:
+            ids = self[piece] = self._ids([piece])[0]
+            return ids
+        if len(core) < len(piece):
+            ids += self[piece[len(core) :]]
+            self[piece] = ids
+        return ids
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids as bytes of ``dtype``, one entry per text."""
-        cut = [None if any(a in t for a in self.added) else self._pieces(t) for t in texts]
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = list(set().union(*(p for p in cut if p)) - self.known.keys())
-        self.known.update(zip(new, self._ids(new), strict=True))
-        get = self.known.__getitem__
-        return [self._ids([t])[0] if p is None else b"".join(map(get, p)) for t, p in zip(texts, cut, strict=True)]
+        if not self.cuts:
+            return self._ids(texts)
+        if len(self) > REMEMBERED:
+            self.before = dict(self)
+            self.clear()
+        get = self.__getitem__
+        return [self._ids([t])[0] if any(a in t for a in self.added) else b"".join(map(get, self._pieces(t))) for t in texts]
 
     @staticmethod
     def _pieces(text: str) -> list[str]:
-        first, *rest = text.split(" ")
         if not _ODD_SPACE.search(text):
-            return [first, *(" " + x for x in rest)]
+            return _PIECE.findall(text)
+        first, *rest = text.split(" ")
         # white space that isn't one space before other text goes with the piece it follows
         pieces, blank = [first], ""
         for x in rest:
@@ -127,8 +189,8 @@ def _write_ids(batches: Iterator[pa.RecordBatch], folder: str, tokenizer: str, e
     end = b"" if end_id is None else np.array([end_id], model.dtype).tobytes()
     file = None
     for batch in batches:
-        for at in range(0, batch.num_rows, 512):
-            rows = batch.slice(at, 512)
+        for at in range(0, batch.num_rows, CHUNK):
+            rows = batch.slice(at, CHUNK)
             if file is None:
                 file = _Whole(folder, "ids", part)
             data = [x + end for x in model.encode([t or "" for t in rows.column("text").to_pylist()])]
@@ -183,7 +245,7 @@ def write_token_files(
     spark = docs.sparkSession
     n = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = id_and_text(docs, id_col, text_col).where(F.col("doc_id").isNotNull())
-    ordered = texts.repartitionByRange(n, "doc_id", "text").sortWithinPartitions("doc_id", "text")
+    ordered = texts.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
     wrote = ordered.mapInArrow(partial(_write_ids, folder=folder, tokenizer=tokenizer, end_id=end_id), "part int, doc_id long, n_tokens long")
     wrote.withColumn("at", F.monotonically_increasing_id()).write.mode("overwrite").parquet(f"{folder}/counts")
     counts = spark.read.parquet(f"{folder}/counts")
