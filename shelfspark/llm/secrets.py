@@ -1,6 +1,6 @@
 """Secrets in texts: candidates by pattern, false positives removed by a random forest.
 
-A candidate is a private-key header or a long run of key characters with a digit. Its features
+A candidate is a private-key header, a provider's key, or a long run of key characters with a digit. Its features
 are its length and make-up, how often the class of characters changes from one to the next,
 how much of it common word parts cover, what the document's path says, and the words around
 it. A random forest is trained on labelled findings and scores every candidate. Everything
@@ -24,7 +24,7 @@ AROUND = 40  # code points before and after a candidate that count as its neighb
 THRESHOLD = 0.5
 
 CANDIDATE = (
-    r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"
+    r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----|(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])"
     r"|(?<![A-Za-z0-9+/_\-])(?=[A-Za-z+/_\-]*+[0-9])[A-Za-z0-9+/_\-]{12,}+={0,2}"
 )
 
@@ -56,7 +56,7 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     path = docs[path_col].cast("string") if path_col else F.lit(None).cast("string")
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"), path.alias("path"))
-    hinted = F.when(F.col("text").rlike(r"[0-9][A-Za-z0-9+/_\-]{5}|[A-Za-z0-9+/_\-]{5}[0-9]|PRIVATE KEY"), F.col("text"))
+    hinted = F.when(F.col("text").rlike(r"[0-9][A-Za-z0-9+/_\-]{5}|[A-Za-z0-9+/_\-]{5}[0-9]|PRIVATE KEY|AKIA"), F.col("text"))
     found = with_matches(rows, "found", hinted, CANDIDATE)
     around = F.transform(
         "found",
