@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from shelfspark.llm.labelled import labelled_sample
 from shelfspark.llm.words import as_bytes, id_and_text, is_held_out, mixed
 
-SAMPLE = 3000  # labelled documents of each label that the model learns from, at most
+SAMPLE = 2500  # labelled documents of each label that the model learns from, at most
 SPAN, DECAY = 7, 0.7
 LANDMARKS = 250
 TURNS = 3
@@ -44,16 +44,20 @@ REMEMBERED = 400_000  # a worker forgets the scores of words beyond this many; r
 _LOOKS = str.maketrans("0134578@$€áàâãåéèêëíìîïóòôõúùûçñýÿ", "oieastbase" + "aaaaa" + "eeee" + "iiii" + "oooo" + "uuu" + "cnyy")
 _LETTER = {chr(ord("a") + i): i + 1 for i in range(26)} | {"ä": 27, "ö": 28, "ü": 29}
 _END, _OTHER = 30, 31
-_WIDTH = LONGEST + 2
+_POINTS = ".,;:!?\"'()[]{}|#%&<>…«»“”"
 _APART = re.compile(r"(?<!\S)(?:[^\W\d_][ .*_-]+){2,}[^\W\d_](?!\S)")
 _OFFSETS = [(i, j, k) for k in range(3, SPAN) for j in range(2, k) for i in range(1, j)]
 
 
 def units_of(word: str) -> list[str]:
     """Letters of a word, in windows of at most LONGEST; none where fewer than three are left."""
-    low = word.lower()
-    core = low.strip(".,;:!?\"'()[]{}|#%&<>…«»“”")
-    letters = "".join([c for c in core.translate(_LOOKS) if c.isalpha()]) if any(c.isalpha() for c in core) else ""
+    letters = word.lower()
+    if not letters.isalpha():
+        letters = letters.strip(_POINTS)
+    if not (letters.isalpha() and letters.isascii()):
+        if not any(map(str.isalpha, letters)):
+            return []
+        letters = "".join(filter(str.isalpha, letters.translate(_LOOKS)))
     if len(letters) < 3:
         return []
     if len(letters) <= LONGEST:
@@ -64,15 +68,32 @@ def units_of(word: str) -> list[str]:
 def words_of(text: str) -> set[str]:
     """Distinct words of a text and its runs of single letters written apart."""
     found = set(text.split())
-    found.update("".join(m.split()) for m in _APART.findall(text))
+    # a run of letters worth looking at has three that differ
+    if sum(len(w) == 1 and w.isalpha() for w in found) >= 3:
+        found.update("".join(m.split()) for m in _APART.findall(text))
     return found
 
 
+def _letter_codes() -> np.ndarray:
+    out = np.full(0x250, _OTHER, np.int32)
+    out[0] = 0
+    for letter, code in _LETTER.items():
+        out[ord(letter)] = code
+    return out
+
+
+_CODES = _letter_codes()
+
+
 def _letters(units: list[str]) -> np.ndarray:
-    width = max(map(len, units), default=0) + 2
-    out = np.zeros((len(units), width + SPAN), np.int32)
-    for row, unit in zip(out, units, strict=True):
-        row[: len(unit) + 2] = [_END, *[_LETTER.get(c, _OTHER) for c in unit], _END]
+    """Codes of the units' letters between two ends, a row each, with room for SPAN zeros."""
+    lengths = np.array([len(u) for u in units])
+    width = int(lengths.max(initial=1))
+    points = np.array(units, f"U{width}").view(np.uint32).reshape(len(units), width)
+    out = np.zeros((len(units), width + 2 + SPAN), np.int32)
+    out[:, 0] = _END
+    out[:, 1 : width + 1] = _CODES[np.minimum(points, len(_CODES) - 1)]
+    out[np.arange(len(units)), lengths + 1] = _END
     return out
 
 
@@ -195,16 +216,13 @@ def telling_units(units: list[str], docs: list[np.ndarray], y: np.ndarray) -> se
     """
     toxic = [d for d, v in zip(docs, y, strict=True) if v == 1]
     names: dict[str, int] = {}
-    of_unit = {u: np.array([names.setdefault(s, len(names)) for s in sorted(_stems(units[u]))]) for u in set(np.concatenate(toxic).tolist())}
-    of_toxic = [np.unique(np.concatenate([of_unit[u] for u in d.tolist()])) if len(d) else d for d in toxic]
+    of_toxic = [np.array(sorted({names.setdefault(s, len(names)) for u in d.tolist() for s in _stems(units[u])}), np.int32) for d in toxic]
+    if not names:
+        return set()
     n1, n0 = len(toxic), int((y == 0).sum())
     c0, c1 = np.zeros(len(names)), np.zeros(len(names))
-    known: dict[int, np.ndarray] = {}
-    for d in (d for d, v in zip(docs, y, strict=True) if v == 0 and len(d)):
-        for u in d.tolist():
-            if u not in known:
-                known[u] = of_unit[u] if u in of_unit else np.array([names[s] for s in _stems(units[u]) if s in names], np.int64)
-        c0[np.unique(np.concatenate([known[u] for u in d.tolist()]))] += 1
+    for d in (d for d, v in zip(docs, y, strict=True) if v == 0):
+        c0[list({names[s] for u in d.tolist() for s in _stems(units[u]) if s in names})] += 1
     for s in of_toxic:
         c1[s] += 1
     length = np.array([len(s) + 10 * s.endswith("$") for s in names])
@@ -216,7 +234,7 @@ def telling_units(units: list[str], docs: list[np.ndarray], y: np.ndarray) -> se
 
     # whole units that many toxic documents have, and no clean one
     sure = np.flatnonzero((apart() > 2 * bar) & (length > 10) & (c0 == 0))
-    left, chosen, out = set(range(n1)), sure.tolist(), set()
+    left, chosen = set(range(n1)), sure.tolist()
     for at, mine in enumerate(of_toxic):
         if np.isin(sure, mine).any():
             left.remove(at)
@@ -230,11 +248,9 @@ def telling_units(units: list[str], docs: list[np.ndarray], y: np.ndarray) -> se
         for at in [i for i in left if best in of_toxic[i]]:
             left.remove(at)
             c1[of_toxic[at]] -= 1
-    stems = np.array(chosen, np.int64)
-    for u, mine in of_unit.items():
-        if np.isin(mine, stems).any():
-            out.add(u)
-    return out
+    taken = set(chosen)
+    stems = {s for s, at in names.items() if at in taken}
+    return {u for d in toxic for u in d.tolist() if not stems.isdisjoint(_stems(units[u]))}
 
 
 def _one_of_copies(docs: list[np.ndarray]) -> list[int]:
@@ -325,11 +341,12 @@ def worst_units(texts: list[str], table: np.ndarray, known: dict[str, float]) ->
         known.clear()
     new = list(set().union(*words) - known.keys()) if words else []
     parts = [units_of(w) for w in new]
-    flat = sums([u for p in parts for u in p], table)
-    at = 0
-    for word, part in zip(new, parts, strict=True):
-        known[word] = flat[at : at + len(part)].max() if part else -1e9
-        at += len(part)
+    known.update(dict.fromkeys(new, -1e9))
+    full = [(w, p) for w, p in zip(new, parts, strict=True) if p]
+    if full:
+        starts = np.cumsum([0, *(len(p) for _, p in full[:-1])])
+        worst = np.maximum.reduceat(sums([u for _, p in full for u in p], table), starts)
+        known.update(zip([w for w, _ in full], worst.tolist(), strict=True))
     return np.array([max(map(known.__getitem__, w), default=-1e9) for w in words])
 
 
