@@ -46,7 +46,7 @@ def test_equals_all_windows(spark):
     docs, bench = (spark.createDataFrame(list(x.items()), s) for x, s in ((texts, "doc_id long, text string"), (items, "item_id long, text string")))
     got = {(r.doc_id, r.item_id) for r in benchmark_hits(docs, bench).collect()}
     expected = brute(Benchmark([(i, t.encode()) for i, t in items.items()], 5, 0.8), texts)
-    assert got == expected and len(got) > 40
+    assert got == expected and len(got) > 25
     kept = {r.doc_id for r in without_benchmark(docs, bench).collect()}
     assert kept == set(texts) - {d for d, _ in got}
 
