@@ -238,7 +238,8 @@ def near_duplicates(
     buckets = _packed(in_band.join(full, "bucket").select("bucket", "doc_id", "n"), "buckets")
     central = buckets.groupBy("doc_id").agg(F.sum("n").alias("central"))
     alike = _packed(central.join(first.select("doc_id", "n_shingles", "sketch").dropDuplicates(["doc_id"]), "doc_id"), "alike")
-    wanted = texts.join(alike.select("doc_id"), "doc_id", "left_semi").mapInArrow(partial(_sets, k=k), "doc_id long, shingles binary")
+    # alike at every size: the ids outgrow a broadcast soon
+    wanted = texts.join(alike.select("doc_id").hint("merge"), "doc_id", "left_semi").mapInArrow(partial(_sets, k=k), "doc_id long, shingles binary")
     sets = staged(wanted.dropDuplicates(["doc_id"]), "sets")
 
     links = _packed(confirmed(_packed(_hub_pairs(buckets, alike, percent), "hub-pairs"), sets, percent), "links")
