@@ -72,6 +72,8 @@ class Benchmark:
         self.prints = np.concatenate(prints) if prints else np.empty((0, 8), np.uint8)
         self.of_size = {n: np.flatnonzero(np.array(self.sizes) == n) for n in sorted(set(self.sizes))}
         self.tables = {n: self._tables(which) for n, which in self.of_size.items()}
+        self.places = [np.unique(self.place(np.array(list(bag), np.uint64))) for bag in self.bags]
+        self.totals = [sum(float(self.weights[i]) * bag[int(self.known[i])] for i in at) for at, bag in zip(self.places, self.bags, strict=True)]
 
     @staticmethod
     def fingerprint(sums: np.ndarray) -> np.ndarray:
@@ -88,18 +90,21 @@ class Benchmark:
         at = self.place(found)
         return np.where(at >= 0, self.weights[at] if len(self.weights) else 1, 1).astype(np.float32)
 
-    def _tables(self, which: np.ndarray) -> list[list[np.ndarray]]:
+    def _tables(self, which: np.ndarray) -> np.ndarray:
+        """For each block and value whether each item's block differs in few enough bits."""
         near = _POP8[np.arange(256)[:, None] ^ np.arange(256)[None, :]] <= RADIUS // BLOCKS
-        return [[which[near[value, self.prints[which, block]]] for value in range(256)] for block in range(BLOCKS)]
-
-    def within(self, size: int, prints: np.ndarray) -> Iterator[tuple[int, int]]:
-        """``(window, item)`` of all fingerprints within RADIUS of an item of this size."""
-        tables = self.tables[size]
-        for window, value in enumerate(prints):
-            named = np.unique(np.concatenate([tables[b][value[b]] for b in range(BLOCKS)]))
-            far = _POP8[self.prints[named] ^ value].sum(1)
-            for item in named[far <= RADIUS]:
-                yield window, int(item)
+        return np.stack([near[:, self.prints[which, block]] for block in range(BLOCKS)])
+
+    def within(self, size: int, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Windows and items of all fingerprints within RADIUS of an item of this size."""
+        tables, which = self.tables[size], self.of_size[size]
+        named = tables[0][prints[:, 0]]
+        for block in range(1, BLOCKS):
+            named = named | tables[block][prints[:, block]]
+        windows, items = np.nonzero(named)
+        items = which[items]
+        close = _POP8[self.prints[items] ^ prints[windows]].sum(1) <= RADIUS
+        return windows[close], items[close]
 
     def exact(self, item: int, found: np.ndarray) -> float:
         """Weighted similarity of a window's shingles and an item's: shared over joint weight."""
@@ -123,26 +128,40 @@ class Benchmark:
             if len(hashes) < k:
                 continue
             found = shingles(hashes, k)
-            anchors = np.flatnonzero(self.place(found) >= 0)
-            for lo, hi in _regions(anchors, max(sizes), len(found)):
-                self._region(found[lo:hi], anchors[(anchors >= lo) & (anchors < hi)] - lo, lo, k, sizes, best)
+            placed = self.place(found)
+            for lo, hi in _regions(np.flatnonzero(placed >= 0), max(sizes), len(found)):
+                self._region(found[lo:hi], placed[lo:hi], lo, k, sizes, best)
         return [(self.ids[i], s, at) for i, (s, at) in sorted(best.items())]
 
-    def _region(self, found, anchors, base: int, k: int, sizes: list[int], best: dict) -> None:
-        total = np.concatenate([np.zeros((1, BITS)), np.cumsum(_signs(found, self.weigh(found)), 0, np.float64)])
-        held = np.concatenate([[0], np.cumsum(np.bincount(anchors, minlength=len(found)))])
+    def _region(self, found, placed, base: int, k: int, sizes: list[int], best: dict) -> None:
+        weights = self.weigh(found)
+        total = np.concatenate([np.zeros((1, BITS)), np.cumsum(_signs(found, weights), 0, np.float64)])
+        held, weight = _running(placed >= 0), _running(weights.astype(np.float64))
+        shared: dict[int, np.ndarray] = {}
         for size in sizes:
             width = size - k + 1
             starts = np.arange(max(0, len(found) - width + 1))
             starts = starts[held[starts + width] > held[starts]]
             if not len(starts):
                 continue
-            prints = self.fingerprint(np.round(total[starts + width] - total[starts], 3))
-            for window, item in self.within(size, prints):
-                at = int(starts[window])
-                alike = self.exact(item, found[at : at + width])
-                if alike >= self.similarity and alike > best.get(item, (0.0, 0))[0]:
-                    best[item] = (alike, base + at)
+            windows, items = self.within(size, self.fingerprint(np.round(total[starts + width] - total[starts], 3)))
+            for item in np.unique(items).tolist():
+                if item not in shared:
+                    shared[item] = _running(np.where(np.isin(placed, self.places[item]), weights, 0.0).astype(np.float64))
+                at = starts[windows[items == item]]
+                # what a window shares is at most the weight of its shingles that the item has
+                low = shared[item][at + width] - shared[item][at]
+                most = low / np.maximum(weight[at + width] - weight[at] + self.totals[item] - low, 1e-9)
+                for i in np.argsort(-most, kind="stable").tolist():
+                    if most[i] < max(self.similarity, best.get(item, (0.0, 0))[0]) - 1e-6:
+                        break
+                    alike = self.exact(item, found[at[i] : at[i] + width])
+                    if alike >= self.similarity and alike > best.get(item, (0.0, 0))[0]:
+                        best[item] = (alike, base + int(at[i]))
+
+
+def _running(values: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(values)])
 
 
 def _regions(anchors: np.ndarray, size: int, n: int) -> Iterator[tuple[int, int]]:
