@@ -1,17 +1,21 @@
-"""Benchmark passages in documents, by SimHash of item-sized windows.
+"""Benchmark passages in documents, by SimHash of item-sized windows and by rare shingles.
 
-The words of an item and of each window of as many words in a document become weighted
-shingles, and those a 64-bit SimHash. The fingerprint is cut into BLOCKS; a table per block
-lists under each value the items whose block differs from it in at most RADIUS // BLOCKS
-bits. Two fingerprints within RADIUS must agree that closely in some block, so the tables
-name all items within RADIUS. Their exact weighted-shingle similarity then decides.
+The words of an item and of each window of as many words in a document become shingles. Two
+measures compare them: shared over joint shingles, plain and weighted. A shingle's weight is
+1 over the number of distinct item texts that have it, in the whole benchmark; the better
+measure counts, so what items share with each other never hides a near copy of one.
 
-The radius is about 4.6 standard deviations beyond the distance expected at similarity 0.8.
-A window without any shingle of any item has similarity 0 with all of them, so fingerprints
-are made for the windows that hold at least one, at every position and for every item size.
+A window can only reach the similarity if that part of its own shingles, or of their weight,
+is known from items; others aren't looked at. For those left, candidates come from two sides.
+The weighted shingles become a 64-bit SimHash, cut into BLOCKS; a table per block lists under
+each value the items whose block differs from it in at most RADIUS // BLOCKS bits, which
+names all items within RADIUS. That is a matter of chance, so each item is also listed under
+its rarest shingles: so many that no window without any of them can reach the similarity.
+The exact similarity then decides.
 
 The benchmark travels to the tasks in blocks of at most BLOCK_CHARS characters of items,
-checked before; each block is one pass over the documents.
+made one at a time; each block is one pass over the documents. Shingles that several item
+texts share travel with all blocks, 12 bytes each, so that results don't depend on blocks.
 """
 
 from __future__ import annotations
@@ -22,11 +26,15 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfspark.llm.words import as_bytes, id_and_text, mixed, shingles, word_hashes
 
+Common = tuple[np.ndarray, np.ndarray]  # shingles and their weights
+
 BITS, BLOCKS, RADIUS = 64, 8, 23
 BLOCK_CHARS = 20_000_000
 _EDGE = b".,;:!?\"'()[]{}|*#$%&<>-"
@@ -50,12 +58,13 @@ def _signs(found: np.ndarray, weights: np.ndarray) -> np.ndarray:
 class Benchmark:
     """One block of items, ready to be looked up; small enough to send to every task."""
 
-    def __init__(self, items: list[tuple[int, bytes]], k: int, similarity: float) -> None:
+    def __init__(self, items: list[tuple[int, bytes]], k: int, similarity: float, common: Common | None = None) -> None:
+        """``common`` has the weights of the whole benchmark; without it the items are all there is."""
         self.k, self.similarity = k, similarity
         self.ids: list[int] = []
         self.sizes: list[int] = []
         self.bags: list[dict[int, int]] = []
-        found = []
+        found, texts = [], {}
         for item, text in items:
             words = passage_words(text)
             if words:
@@ -64,16 +73,49 @@ class Benchmark:
                 self.ids.append(item)
                 self.sizes.append(len(words))
                 self.bags.append(Counter(mine.tolist()))
-        often = Counter(s for bag in self.bags for s in bag)
-        self.known = np.array(sorted(often), np.uint64)
-        # a shingle that several items share says less about each
-        self.weights = np.array([1 / often[int(s)] for s in self.known], np.float32)
+                texts[b" ".join(words)] = self.bags[-1]
+        self.known = np.array(sorted({s for bag in self.bags for s in bag}), np.uint64)
+        if common is None:
+            often = Counter(s for bag in texts.values() for s in bag)
+            keys = np.array(sorted(s for s, n in often.items() if n > 1), np.uint64)
+            common = keys, np.array([1 / often[int(s)] for s in keys], np.float32)
+        self.common = common
+        self.weights = self.weigh(self.known)
         prints = [self.fingerprint(_signs(x, self.weigh(x)).sum(0)) for x in found]
         self.prints = np.concatenate(prints) if prints else np.empty((0, 8), np.uint8)
         self.of_size = {n: np.flatnonzero(np.array(self.sizes) == n) for n in sorted(set(self.sizes))}
         self.tables = {n: self._tables(which) for n, which in self.of_size.items()}
         self.places = [np.unique(self.place(np.array(list(bag), np.uint64))) for bag in self.bags]
+        self.counts = [sum(bag.values()) for bag in self.bags]
         self.totals = [sum(float(self.weights[i]) * bag[int(self.known[i])] for i in at) for at, bag in zip(self.places, self.bags, strict=True)]
+        # two sets of as many shingles share 2s / (1 + s) of them at similarity s
+        self.rare = self._rare((1 - similarity) / (1 + similarity))
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"common": None}  # sent once for all blocks
+
+    def _rare(self, part: float) -> tuple[np.ndarray, np.ndarray]:
+        """Items by known shingle, under the rarest of each: more than ``part`` of its shingles and enough of their weight."""
+        at, of = [], []
+        for item, (places, bag) in enumerate(zip(self.places, self.bags, strict=True)):
+            places = places[np.argsort(-self.weights[places], kind="stable")]
+            times = np.array([bag[int(s)] for s in self.known[places]])
+            missed, lost = np.cumsum(times), np.cumsum(times * self.weights[places].astype(np.float64))
+            enough = (missed > part * self.counts[item] + 1e-9) & (lost > (1 - self.similarity) * self.totals[item] + 1e-6)
+            n = int(np.argmax(enough)) + 1 if enough.any() else len(places)
+            at.append(places[:n])
+            of.append(np.full(n, item))
+        if not at:
+            return np.zeros(1, np.int64), np.empty(0, np.int64)
+        places, items = np.concatenate(at), np.concatenate(of)
+        order = np.argsort(places, kind="stable")
+        return np.searchsorted(places[order], np.arange(len(self.known) + 1)), items[order]
+
+    def named(self, placed: np.ndarray, rare: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+        """Items listed under any of the known shingles at these places."""
+        first, items = rare
+        found = [items[first[i] : first[i + 1]] for i in np.unique(placed[placed >= 0])]
+        return np.unique(np.concatenate(found)) if found else np.empty(0, np.int64)
 
     @staticmethod
     def fingerprint(sums: np.ndarray) -> np.ndarray:
@@ -87,8 +129,12 @@ class Benchmark:
         return np.where(self.known[at] == found, at, -1)
 
     def weigh(self, found: np.ndarray) -> np.ndarray:
-        at = self.place(found)
-        return np.where(at >= 0, self.weights[at] if len(self.weights) else 1, 1).astype(np.float32)
+        """Weights of shingles; one that no two item texts share weighs 1."""
+        keys, weights = self.common
+        if not len(keys):
+            return np.ones(len(found), np.float32)
+        at = np.minimum(np.searchsorted(keys, found), len(keys) - 1)
+        return np.where(keys[at] == found, weights[at], 1).astype(np.float32)
 
     def _tables(self, which: np.ndarray) -> np.ndarray:
         """For each block and value whether each item's block differs in few enough bits."""
@@ -107,13 +153,14 @@ class Benchmark:
         return windows[close], items[close]
 
     def exact(self, item: int, found: np.ndarray) -> float:
-        """Weighted similarity of a window's shingles and an item's: shared over joint weight."""
+        """Similarity of a window's shingles and an item's: shared over joint weight or number, whichever is more."""
         bag, mine = self.bags[item], Counter(found.tolist())
         keys = list(bag.keys() | mine.keys())
         weights = self.weigh(np.array(keys, np.uint64))
         low = sum(w * min(bag.get(s, 0), mine.get(s, 0)) for s, w in zip(keys, weights, strict=True))
         high = sum(w * max(bag.get(s, 0), mine.get(s, 0)) for s, w in zip(keys, weights, strict=True))
-        return float(low / high)
+        both = sum(min(bag.get(s, 0), mine.get(s, 0)) for s in keys)
+        return max(float(low / high), both / (self.counts[item] + len(found) - both))
 
     def matches(self, text: bytes) -> list[tuple[int, float, int]]:
         """``(item, similarity, first word)`` of the best window for each item found."""
@@ -135,29 +182,38 @@ class Benchmark:
 
     def _region(self, found, placed, base: int, k: int, sizes: list[int], best: dict) -> None:
         weights = self.weigh(found)
-        total = np.concatenate([np.zeros((1, BITS)), np.cumsum(_signs(found, weights), 0, np.float64)])
         held, weight = _running(placed >= 0), _running(weights.astype(np.float64))
-        shared: dict[int, np.ndarray] = {}
+        heavy = _running(np.where(placed >= 0, weights, 0.0).astype(np.float64))
+        total, shared = None, {}
+        listed: np.ndarray | None = None
         for size in sizes:
             width = size - k + 1
             starts = np.arange(max(0, len(found) - width + 1))
-            starts = starts[held[starts + width] > held[starts]]
+            known = (held[starts + width] - held[starts]) / width
+            part = (heavy[starts + width] - heavy[starts]) / (weight[starts + width] - weight[starts])
+            starts = starts[np.maximum(known, part) >= self.similarity - 1e-6]
             if not len(starts):
                 continue
-            windows, items = self.within(size, self.fingerprint(np.round(total[starts + width] - total[starts], 3)))
-            for item in np.unique(items).tolist():
+            if total is None:
+                total = np.concatenate([np.zeros((1, BITS)), np.cumsum(_signs(found, weights), 0, np.float64)])
+            if listed is None:
+                listed = self.named(placed, self.rare)
+            _, near = self.within(size, self.fingerprint(np.round(total[starts + width] - total[starts], 3)))
+            items = np.union1d(near, np.intersect1d(listed, self.of_size[size], assume_unique=True))
+            for item in items.tolist():
                 if item not in shared:
-                    shared[item] = _running(np.where(np.isin(placed, self.places[item]), weights, 0.0).astype(np.float64))
-                at = starts[windows[items == item]]
-                # what a window shares is at most the weight of its shingles that the item has
-                low = shared[item][at + width] - shared[item][at]
-                most = low / np.maximum(weight[at + width] - weight[at] + self.totals[item] - low, 1e-9)
+                    has = np.isin(placed, self.places[item])
+                    shared[item] = _running(np.where(has, weights, 0.0).astype(np.float64)), _running(has)
+                # what a window shares is at most its shingles that the item has
+                low, both = (x[starts + width] - x[starts] for x in shared[item])
+                joint = np.maximum(weight[starts + width] - weight[starts] + self.totals[item] - low, 1e-9)
+                most = np.maximum(low / joint, both / np.maximum(width + self.counts[item] - both, 1))
                 for i in np.argsort(-most, kind="stable").tolist():
                     if most[i] < max(self.similarity, best.get(item, (0.0, 0))[0]) - 1e-6:
                         break
-                    alike = self.exact(item, found[at[i] : at[i] + width])
+                    alike = self.exact(item, found[starts[i] : starts[i] + width])
                     if alike >= self.similarity and alike > best.get(item, (0.0, 0))[0]:
-                        best[item] = (alike, base + int(at[i]))
+                        best[item] = (alike, base + int(starts[i]))
 
 
 def _running(values: np.ndarray) -> np.ndarray:
@@ -175,29 +231,54 @@ def _regions(anchors: np.ndarray, size: int, n: int) -> Iterator[tuple[int, int]
         yield max(0, int(a) - size), min(n, int(b) + size)
 
 
+def _text_shingles(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = [(xxhash.xxh3_64_intdigest(b" ".join(words)), np.unique(shingles(word_hashes(words), k))) for words in map(passage_words, as_bytes(batch.column("t")))]
+        of = np.repeat(np.array([t for t, _ in rows], np.uint64), [len(x) for _, x in rows])
+        found = np.concatenate([np.empty(0, np.uint64), *(x for _, x in rows)])
+        yield pa.RecordBatch.from_arrays([pa.array(of.view(np.int64)), pa.array(found.view(np.int64))], ["words", "shingle"])
+
+
+def common_shingles(rows: DataFrame, k: int) -> Common:
+    """Shingles that several distinct item texts have, ascending, and their weights: 1 over how many have them."""
+    found = rows.select("t").mapInArrow(partial(_text_shingles, k=k), "words long, shingle long").distinct()
+    often = found.groupBy("shingle").agg(F.count("*").cast("int").alias("n")).where("n > 1").toArrow()
+    keys = often.column("shingle").to_numpy().view(np.uint64)
+    order = np.argsort(keys)
+    return keys[order], (1 / often.column("n").to_numpy()[order]).astype(np.float32)
+
+
 def benchmark_blocks(
     items: DataFrame, id_col: str = "item_id", text_col: str = "text", k: int = 5, similarity: float = 0.8
-) -> list[Benchmark]:
-    """The items in blocks of at most BLOCK_CHARS characters each, about, by hash of the id.
+) -> Iterator[tuple[Broadcast, Broadcast]]:
+    """The items in blocks of at most BLOCK_CHARS characters each, about, by hash of the id, and the common shingles.
 
-    Weights are those within a block. Items without an id or without words take no part.
+    A block is made and sent before the next one. Items without an id or without words take no part.
     """
+    context = items.sparkSession.sparkContext
     rows = items.select(items[id_col].cast("long").alias("item"), F.coalesce(items[text_col], F.lit("")).alias("t")).where("item is not null").distinct()
     chars = rows.agg(F.coalesce(F.sum(F.length("t")), F.lit(0))).first()[0]
     n = max(1, -(-2 * chars // BLOCK_CHARS) if chars > BLOCK_CHARS else 1)
-    out = []
+    common = common_shingles(rows, k)
+    sent = context.broadcast(common)
     for block in range(n):
         part = rows.where(F.pmod(F.xxhash64("item"), F.lit(n)) == block).orderBy("item", "t")
-        out.append(Benchmark([(r.item, r.t.encode()) for r in part.collect()], k, similarity))
-    return out
+        yield context.broadcast(Benchmark([(r.item, r.t.encode()) for r in part.toLocalIterator()], k, similarity, common)), sent
+
+
+def _received(bench, common) -> Benchmark:
+    block = bench.value
+    block.common = common.value
+    return block
 
 
-def _hits(batches: Iterator[pa.RecordBatch], bench) -> Iterator[pa.RecordBatch]:
+def _hits(batches: Iterator[pa.RecordBatch], bench, common) -> Iterator[pa.RecordBatch]:
+    block = _received(bench, common)
     for batch in batches:
         rows = [
             (doc, *hit)
             for doc, text in zip(batch.column("doc_id").to_pylist(), as_bytes(batch.column("text")), strict=True)
-            for hit in bench.value.matches(text)
+            for hit in block.matches(text)
         ]
         columns = [pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.float64(), pa.int64()))]
         yield pa.RecordBatch.from_arrays(columns, ["doc_id", "item_id", "similarity", "start_word"])
@@ -215,18 +296,19 @@ def benchmark_hits(
     are one shingle. Null or empty texts, and items without words, give no row. Rows that
     repeat an id are looked at one by one, and a null id is returned as null.
     """
-    texts, spark = id_and_text(docs, id_col, text_col), docs.sparkSession
+    texts = id_and_text(docs, id_col, text_col)
     schema = "doc_id long, item_id long, similarity double, start_word long"
     out = None
-    for block in benchmark_blocks(items, item_col, item_text_col, k, similarity):
-        found = texts.mapInArrow(partial(_hits, bench=spark.sparkContext.broadcast(block)), schema)
+    for block, common in benchmark_blocks(items, item_col, item_text_col, k, similarity):
+        found = texts.mapInArrow(partial(_hits, bench=block, common=common), schema)
         out = found if out is None else out.unionByName(found)
     return out
 
 
-def _clean(batches: Iterator[pa.RecordBatch], text: int, bench) -> Iterator[pa.RecordBatch]:
+def _clean(batches: Iterator[pa.RecordBatch], text: int, bench, common) -> Iterator[pa.RecordBatch]:
+    block = _received(bench, common)
     for batch in batches:
-        keep = [not bench.value.matches(t) for t in as_bytes(batch.column(text))]
+        keep = [not block.matches(t) for t in as_bytes(batch.column(text))]
         yield batch.filter(pa.array(keep, pa.bool_()))
 
 
@@ -235,7 +317,7 @@ def without_benchmark(
     k: int = 5, similarity: float = 0.8,
 ) -> DataFrame:
     """The rows of ``docs``, with all columns, in whose texts no item is found."""
-    spark, at = docs.sparkSession, docs.columns.index(text_col)
-    for block in benchmark_blocks(items, item_col, item_text_col, k, similarity):
-        docs = docs.mapInArrow(partial(_clean, text=at, bench=spark.sparkContext.broadcast(block)), docs.schema)
+    at = docs.columns.index(text_col)
+    for block, common in benchmark_blocks(items, item_col, item_text_col, k, similarity):
+        docs = docs.mapInArrow(partial(_clean, text=at, bench=block, common=common), docs.schema)
     return docs

@@ -1,7 +1,7 @@
 """Benchmark hits against every window of every document."""
 
 import numpy as np
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 from shelfspark.llm.decontaminate import RADIUS, Benchmark, benchmark_hits, passage_words, without_benchmark
 from shelfspark.llm.words import shingles, word_hashes
@@ -88,3 +88,47 @@ def test_edges(spark, edges, nothing):
     assert kept.columns == edges.columns and kept.count() == edges.count() - 2
     assert benchmark_hits(nothing, bench).count() == 0 and benchmark_hits(edges, bench.where("false")).count() == 0
     assert without_benchmark(edges, bench.where("false")).count() == edges.count()
+
+
+def plain(item, text, k=5):
+    """Best similarity of the item's windows, or of the whole text where it has fewer words, by counting five-word runs."""
+    a, b = item.split(), text.split()
+    def runs(w):
+        return Counter(tuple(w[i : i + k]) for i in range(len(w) - k + 1))
+    mine, n = runs(a), min(len(a), len(b))
+    return max(((mine & o).total() / (mine | o).total() for o in (runs(b[i : i + n]) for i in range(len(b) - n + 1)) if o), default=0.0)
+
+
+def templated():
+    """Items that repeat, items that share a template, and documents with a word changed in either."""
+    draw = np.random.default_rng(9)
+    same, form = words(draw, 50), words(draw, 45)
+    items = {i: " ".join(same) for i in range(10)} | {10 + i: " ".join([*form, *(f"v{i}x{j}" for j in range(15))]) for i in range(12)}
+    items |= {30 + i: " ".join(words(draw, int(draw.integers(12, 60)))) for i in range(10)}
+    texts = {}
+    for i in range(60):
+        passage = items[list(items)[i % len(items)]].split()
+        passage[int(draw.integers(len(passage)))] = "changed"
+        texts[i] = " ".join([*words(draw, 40), *passage, *words(draw, 40)])
+    return items, texts
+
+
+def test_near_copies_of_repeated_and_templated_items(spark, monkeypatch):
+    items, texts = templated()
+    docs, bench = (spark.createDataFrame(list(x.items()), s) for x, s in ((texts, "doc_id long, text string"), (items, "item_id long, text string")))
+    found = benchmark_hits(docs, bench).collect()
+    got = {(r.doc_id, r.item_id) for r in found}
+    sure = {(d, i) for d, t in texts.items() for i, item in items.items() if plain(item, t) >= 0.8}
+    assert sure <= got and len({d for d, i in sure if i < 10}) > 5 and len({d for d, i in sure if 10 <= i < 30}) > 5
+    assert got == brute(Benchmark([(i, t.encode()) for i, t in items.items()], 5, 0.8), texts)
+    # neither hits nor similarities depend on the blocks
+    monkeypatch.setattr("shelfspark.llm.decontaminate.BLOCK_CHARS", 1500)
+    assert {tuple(r) for r in benchmark_hits(docs, bench).collect()} == {tuple(r) for r in found}
+
+
+def test_rare_shingles_name_every_item_found_without_fingerprints(monkeypatch):
+    items, texts = templated()
+    bench = Benchmark([(i, t.encode()) for i, t in items.items()], 5, 0.8)
+    expected = {d: bench.matches(t.encode()) for d, t in texts.items()}
+    monkeypatch.setattr(Benchmark, "within", lambda *_: (np.empty(0, np.int64), np.empty(0, np.int64)))
+    assert {d: bench.matches(t.encode()) for d, t in texts.items()} == expected
