@@ -88,8 +88,9 @@ class Benchmark:
         self.places = [np.unique(self.place(np.array(list(bag), np.uint64))) for bag in self.bags]
         self.counts = [sum(bag.values()) for bag in self.bags]
         self.totals = [sum(float(self.weights[i]) * bag[int(self.known[i])] for i in at) for at, bag in zip(self.places, self.bags, strict=True)]
-        # two sets of as many shingles share 2s / (1 + s) of them at similarity s
+        # two sets of as many shingles share 2s / (1 + s) of them at similarity s, others at least s of the larger
         self.rare = self._rare((1 - similarity) / (1 + similarity))
+        self.rare_short = self._rare(1 - similarity)
 
     def __getstate__(self) -> dict:
         return self.__dict__ | {"common": None}  # sent once for all blocks
@@ -185,10 +186,12 @@ class Benchmark:
         held, weight = _running(placed >= 0), _running(weights.astype(np.float64))
         heavy = _running(np.where(placed >= 0, weights, 0.0).astype(np.float64))
         total, shared = None, {}
-        listed: np.ndarray | None = None
+        listed: dict[bool, np.ndarray] = {}
         for size in sizes:
-            width = size - k + 1
-            starts = np.arange(max(0, len(found) - width + 1))
+            # a document with fewer words than the item is one window
+            width = min(size - k + 1, len(found))
+            short = width < size - k + 1
+            starts = np.arange(len(found) - width + 1)
             known = (held[starts + width] - held[starts]) / width
             part = (heavy[starts + width] - heavy[starts]) / (weight[starts + width] - weight[starts])
             starts = starts[np.maximum(known, part) >= self.similarity - 1e-6]
@@ -196,10 +199,10 @@ class Benchmark:
                 continue
             if total is None:
                 total = np.concatenate([np.zeros((1, BITS)), np.cumsum(_signs(found, weights), 0, np.float64)])
-            if listed is None:
-                listed = self.named(placed, self.rare)
+            if short not in listed:
+                listed[short] = self.named(placed, self.rare_short if short else self.rare)
             _, near = self.within(size, self.fingerprint(np.round(total[starts + width] - total[starts], 3)))
-            items = np.union1d(near, np.intersect1d(listed, self.of_size[size], assume_unique=True))
+            items = np.union1d(near, np.intersect1d(listed[short], self.of_size[size], assume_unique=True))
             for item in items.tolist():
                 if item not in shared:
                     has = np.isin(placed, self.places[item])
@@ -292,7 +295,8 @@ def benchmark_hits(
 
     ``similarity`` is the best of the document's windows and ``start_word`` its first word,
     counting words that aren't punctuation alone from 0. An item is found in a document if
-    a window of as many words has at least the similarity; items with fewer than ``k`` words
+    a window of as many words, or the whole of a document with fewer, has at least the
+    similarity; items with fewer than ``k`` words
     are one shingle. Null or empty texts, and items without words, give no row. Rows that
     repeat an id are looked at one by one, and a null id is returned as null.
     """

@@ -132,3 +132,15 @@ def test_rare_shingles_name_every_item_found_without_fingerprints(monkeypatch):
     expected = {d: bench.matches(t.encode()) for d, t in texts.items()}
     monkeypatch.setattr(Benchmark, "within", lambda *_: (np.empty(0, np.int64), np.empty(0, np.int64)))
     assert {d: bench.matches(t.encode()) for d, t in texts.items()} == expected
+
+
+def test_document_with_fewer_words_than_the_item(spark):
+    item = words(np.random.default_rng(4), 40)
+    texts = {n: " ".join(item[:n]) for n in (40, 39, 36, 33, 32, 5, 2)} | {100: " ".join(item[1:]), 101: " ".join([*item[:2], *item[3:]]), 102: " ".join(words(np.random.default_rng(5), 39))}
+    items = {1: " ".join(item), 2: " ".join(item[:12])}
+    docs, bench = (spark.createDataFrame(list(x.items()), s) for x, s in ((texts, "doc_id long, text string"), (items, "item_id long, text string")))
+    got = {(r.doc_id, r.item_id) for r in benchmark_hits(docs, bench).collect()}
+    assert {d for d, i in got if i == 1} == {d for d, t in texts.items() if plain(items[1], t) >= 0.8} == {40, 39, 36, 33, 100, 101}
+    assert {d for d, i in got if i == 2} == {d for d, t in texts.items() if plain(items[2], t) >= 0.8}
+    kept = {r.doc_id for r in without_benchmark(docs, bench).collect()}
+    assert kept == set(texts) - {d for d, _ in got}
