@@ -37,8 +37,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A sample whose expected tokens have flattened shares of sources, languages and topics."""
     named = with_topic(docs, "topic")
     rows = staged(named.select("source", "lang", "topic", mixing.n_words(F.col("text")).alias("n_tokens")), "mix-rows")
-    fitted = mixing.fit_mix(rows, mixing.tempered_targets(rows, MIX_POWERS, "n_tokens"), "n_tokens")
-    weighed = fitted.applied(named)
+    weighed = mixing.fit_tempered(rows, MIX_POWERS, "n_tokens").applied(named)
     return weighed.where(mixing.kept_by_hash(F.col("mix_probability"), "doc_id", "text")).select(*docs.columns)
 
 

@@ -6,8 +6,10 @@ are the probabilities with which the documents of a cell are kept, so the expect
 the sample have the target marginals. Whether a document is kept follows from a hash of its
 id, so a task that runs again decides alike.
 
-Categories are those that targets name and ``other``, so the cells are at most the product
-of these numbers, whatever the data; that bounds what the driver and the tasks hold.
+With given targets, categories are those that they name and ``other``, so the cells are at
+most the product of these numbers. With shares tempered by powers every value is a category
+of its own, null included; the driver then rakes all cells that occur, as a hash for each
+column and two numbers, and the documents meet them in a join.
 """
 
 from __future__ import annotations
@@ -16,9 +18,12 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfspark.session import staged
+
 OTHER = "other"
 MOST_CELLS = 1_000_000
 ROUNDS, CLOSE = 1000, 1e-10
@@ -47,15 +52,15 @@ def form_topic(text: Column) -> Column:
 def tempered_targets(docs: DataFrame, powers: Mapping[str, float], tokens: str, most: int = 50) -> dict[str, dict[str, float]]:
     """Targets that flatten the present shares of tokens: each to its column's power, then scaled to 1.
 
-    Of each column the ``most`` largest categories are named, the others stay together as one.
+    Of each column the ``most`` largest categories are named. The others stay together as one,
+    whose share is the sum of theirs; :func:`fit_tempered` keeps them apart.
     """
     out = {}
     for c, power in powers.items():
-        sums = docs.groupBy(F.col(c).cast("string").alias("k")).agg(F.sum(tokens).alias("n")).where("n > 0 and k is not null")
-        top = {r.k: r.n for r in sums.orderBy(F.desc("n"), "k").limit(most).collect()}
-        total = docs.agg(F.sum(tokens)).first()[0] or 0
-        rest = total - sum(top.values())
-        flat = {k: float(n) ** power for k, n in top.items()} | ({OTHER: float(rest) ** power} if rest > 0 else {})
+        sums = docs.groupBy(F.col(c).cast("string").alias("k")).agg(F.sum(tokens).alias("n")).where("n > 0").select("k", F.pow("n", F.lit(power)).alias("p"), "n")
+        top = {r.k: r.p for r in sums.where("k is not null").orderBy(F.desc("n"), "k").limit(most).collect()}
+        rest = sums.where(F.col("k").isNull() | ~F.col("k").isin(list(top))).agg(F.sum("p")).first()[0] or 0.0
+        flat = top | ({OTHER: top.get(OTHER, 0.0) + rest} if rest > 0 else {})
         out[c] = {k: v / sum(flat.values()) for k, v in flat.items()}
     return out
 
@@ -85,6 +90,16 @@ def rake(tokens: np.ndarray, members: Sequence[np.ndarray], shares: Sequence[np.
     return weights
 
 
+def _weighed(n: np.ndarray, members: Sequence[np.ndarray], shares: Sequence[np.ndarray], budget: float | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Weight of each cell, 1 on the average of tokens, and probability."""
+    weights = rake(n, members, shares) if len(n) else n
+    top, total = weights[n > 0].max(initial=0.0), float((weights * n).sum())
+    scale = 1 / top if top > 0 else 0.0
+    if budget is not None and total > 0:
+        scale = min(scale, budget / total)
+    return np.where(n > 0, weights * n.sum(), 0.0), np.where(n > 0, np.minimum(1.0, weights * scale), 1.0)
+
+
 def _category(column: str, named: Sequence[str]) -> Column:
     value = F.col(column).cast("string")
     return F.when(value.isin(list(named)), value).otherwise(F.lit(OTHER))
@@ -129,13 +144,47 @@ def fit_mix(docs: DataFrame, targets: Targets, tokens: str, budget: float | None
         given = {str(k): float(v) for k, v in targets[c].items()}
         given.setdefault(OTHER, max(0.0, 1 - sum(given.values())))
         shares.append(np.array([given[k] for k in named]))
-    weights = rake(n, members, shares) if len(cells) else n
-    top, total = weights[n > 0].max(initial=0.0), float((weights * n).sum())
-    scale = 1 / top if top > 0 else 0.0
-    if budget is not None and total > 0:
-        scale = min(scale, budget / total)
-    rows = [(*k, float(w * n.sum()) if t > 0 else 0.0, min(1.0, float(w * scale)) if t > 0 else 1.0) for (k, t), w in zip(cells, weights, strict=True)]
-    return Mix(names, rows)
+    found = _weighed(n, members, shares, budget)
+    return Mix(names, [(*k, w, p) for (k, _), w, p in zip(cells, *(x.tolist() for x in found), strict=True)])
+
+
+@dataclass(frozen=True)
+class CellMix:
+    """Weight and probability of each cell of ``columns``, told by the hashes of their values."""
+
+    columns: list[str]
+    cells: pa.Table
+
+    def keys(self) -> dict[str, Column]:
+        return {f"_mix_{i}": F.when(F.col(c).isNull(), F.lit(0)).otherwise(F.xxhash64(F.col(c).cast("string"))) for i, c in enumerate(self.columns)}
+
+    def applied(self, docs: DataFrame) -> DataFrame:
+        """``docs`` with ``mix_weight`` and ``mix_probability``."""
+        keys = self.keys()
+        table = staged(docs.sparkSession.createDataFrame(self.cells), "mix-cells")
+        return docs.withColumns(keys).join(table, list(keys)).drop(*keys)
+
+
+def fit_tempered(docs: DataFrame, powers: Mapping[str, float], tokens: str) -> CellMix:
+    """Weights and probabilities of the cells of ``docs`` with flattened shares of tokens.
+
+    The share of each value of a column, null included, is its present one to the column's
+    power, scaled so that all make 1. Documents of cells without tokens have weight 0 and
+    are kept.
+    """
+    keys = CellMix(list(powers), pa.table({})).keys()
+    summed = docs.withColumns(keys).groupBy(*keys).agg(F.coalesce(F.sum(tokens), F.lit(0)).cast("double").alias("n")).toArrow()
+    summed = summed.sort_by([(k, "ascending") for k in keys])
+    n = summed.column("n").to_numpy()
+    members, shares = [], []
+    for k, power in zip(keys, powers.values(), strict=True):
+        members.append(np.unique(summed.column(k).to_numpy(), return_inverse=True)[1])
+        have = np.bincount(members[-1], n)
+        flat = np.where(have > 0, np.maximum(have, 1e-300) ** power, 0.0)
+        shares.append(flat / max(flat.sum(), 1e-300))
+    weight, probability = _weighed(n, members, shares)
+    cells = {k: summed.column(k) for k in keys} | {"mix_weight": pa.array(weight), "mix_probability": pa.array(probability)}
+    return CellMix(list(powers), pa.table(cells))
 
 
 def kept_by_hash(probability: Column, id_col: str, text_col: str, seed: int = 1) -> Column:

@@ -88,7 +88,8 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = with_topic(table(spark, sf_dir, "documents"))
     by_text = F.when(F.col("doc_id").isNull(), F.col("text")).alias("text")
     rows = staged(docs.select("doc_id", "source", "lang", "topic", mixing.n_words(F.col("text")).alias("n_tokens"), by_text), "mix-rows")
-    mixed = mixing.mix(rows, mixing.tempered_targets(rows, MIX_POWERS, "n_tokens"), "n_tokens")
+    weighed = mixing.fit_tempered(rows, MIX_POWERS, "n_tokens").applied(rows)
+    mixed = weighed.withColumn("mix_kept", mixing.kept_by_hash(F.col("mix_probability"), "doc_id", "text"))
     return mixed.select(
         "doc_id", "source", "lang", "topic", "n_tokens", F.round("mix_weight", 9).alias("weight"),
         F.round("mix_probability", 9).alias("probability"), F.col("mix_kept").alias("kept"),

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from shelfspark.llm.mixing import OTHER, fit_mix, form_topic, mix, n_words, rake, tempered_targets
+from shelfspark.llm.mixing import OTHER, fit_mix, fit_tempered, form_topic, mix, n_words, rake, tempered_targets
 
 TARGETS = {"source": {"a": 0.5, "b": 0.3, "c": 0.2}, "lang": {"en": 0.6, "de": 0.4}, "topic": {"x": 0.5, "y": 0.5}}
 
@@ -69,3 +69,19 @@ def test_words_and_topics(spark):
     rows = [("a b\tc\n", 3, "prose"), (None, 0, "note"), ("", 0, "note"), ("x | y", 3, "table"), ("A!! B!!", 2, "shouting")]
     df = spark.createDataFrame(rows, "t string, n int, topic string")
     assert df.where((n_words(F.col("t")) != F.col("n")) | (form_topic(F.col("t")) != F.col("topic"))).count() == 0
+
+
+def test_every_source_of_a_long_tail_has_its_share(spark):
+    # one hot source, one named like the rest, one without a name and a tail of 200
+    sizes = {"hot": 100_000, OTHER: 3000, None: 500} | {f"s{i}": 100 + i for i in range(200)}
+    rows = [(s, lang, n * m) for s, n in sizes.items() for lang, m in (("en", 3), ("de", 1))]
+    docs = spark.createDataFrame(rows, "source string, lang string, n long")
+    mixed = fit_tempered(docs, {"source": 0.7, "lang": 0.85}, "n").applied(docs).toPandas()
+    assert len(mixed) == len(rows)
+    got = (mixed.n * mixed.mix_weight).groupby(mixed.source.fillna("-")).sum()
+    flat = {s or "-": (4 * n) ** 0.7 for s, n in sizes.items()}
+    assert all(abs(got[s] / got.sum() - v / sum(flat.values())) < 1e-6 for s, v in flat.items())
+    assert fit_tempered(docs.where("false"), {"source": 0.7}, "n").applied(docs.where("false")).count() == 0
+    # what isn't named has the sum of its shares, a source named like it its own on top
+    named = tempered_targets(docs, {"source": 0.7}, "n", most=2)["source"]
+    assert named[OTHER] == pytest.approx(1 - flat["hot"] / sum(flat.values())) and set(named) == {"hot", OTHER}
