@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfspark.llm import decontaminate, mixing, near_dedup, token_files, toxicity
-from shelfspark.llm.queries import END_ID, MIX_POWERS, table, tokenizer_path, with_topic
+from shelfspark.llm.queries import END_ID, MIX_PART, MIX_POWERS, table, tokenizer_path, with_topic
 from shelfspark.session import staged
 
 
@@ -37,7 +37,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A sample whose expected tokens have flattened shares of sources, languages and topics."""
     named = with_topic(docs, "topic")
     rows = staged(named.select("source", "lang", "topic", mixing.n_words(F.col("text")).alias("n_tokens")), "mix-rows")
-    weighed = mixing.fit_tempered(rows, MIX_POWERS, "n_tokens").applied(named)
+    weighed = mixing.fit_tempered(rows, MIX_POWERS, "n_tokens", MIX_PART).applied(named)
     return weighed.where(mixing.kept_by_hash(F.col("mix_probability"), "doc_id", "text")).select(*docs.columns)
 
 

@@ -1,9 +1,11 @@
 """Mixing sources to target weights by iterative proportional fitting.
 
 Tokens are summed by cell, that is by source, language and topic. Raking scales the cells'
-weights to one marginal after the other until all hold. The weights, divided by the largest,
-are the probabilities with which the documents of a cell are kept, so the expected tokens of
-the sample have the target marginals. Whether a document is kept follows from a hash of its
+weights to one marginal after the other until all hold. Without a budget the weights, divided
+by the largest, are the probabilities with which the documents of a cell are kept, so the
+expected tokens of the sample have the target marginals, and the smallest cell may decide how
+many these are. With a budget the expected tokens are given: cells that would need more than
+they have are kept whole, and the others are raked to what is left. Whether a document is kept follows from a hash of its
 id, so a task that runs again decides alike.
 
 With given targets, categories are those that they name and ``other``, so the cells are at
@@ -90,14 +92,78 @@ def rake(tokens: np.ndarray, members: Sequence[np.ndarray], shares: Sequence[np.
     return weights
 
 
+def _filled(have: np.ndarray, share: np.ndarray, budget: float) -> np.ndarray:
+    """``budget`` tokens dealt by ``share``, but no category more than it has; the others get its rest."""
+    goal, whole = np.zeros(len(have)), np.zeros(len(have), bool)
+    while True:
+        free = np.where(whole, 0.0, share)
+        left = budget - have[whole].sum()
+        goal = np.where(whole, have, free * (max(0.0, left) / free.sum() if free.sum() > 0 else 0.0))
+        over = ~whole & (goal > have)
+        if not over.any():
+            return goal
+        whole |= over
+
+
+def rake_within(tokens: np.ndarray, members: Sequence[np.ndarray], shares: Sequence[np.ndarray], budget: float) -> np.ndarray:
+    """Probabilities of cells, at most 1, with which ``budget`` tokens are expected, with the ``shares`` as far as there are tokens.
+
+    Where a category's share is more than it has, it is kept whole. Cells that reach 1 stay
+    there, and the others are raked to what is left, until none is above. The budget is no
+    more than the categories with a share have. Where marginals contradict each other, raking
+    ends when it gains nothing more; the budget then holds, the shares as near as that came, and no
+    cell with a share gets less than about a hundredth of the budget's part of all tokens.
+    """
+    have = [np.bincount(at, tokens, len(share)) for at, share in zip(members, shares, strict=True)]
+    budget = min([budget, *(h[share > 0].sum() for h, share in zip(have, shares, strict=True))])
+    if budget <= 0:
+        return np.zeros(len(tokens))
+    goals = [_filled(h, np.where(h > 0, share, 0.0), budget) for h, share in zip(have, shares, strict=True)]
+    least = 0.01 * budget / tokens.sum()
+    loose, p = tokens > 0, np.full(len(tokens), budget / tokens.sum())
+    while loose.any():
+        n, at = tokens[loose], [m[loose] for m in members]
+        left, rest = budget - tokens[~loose].sum(), []
+        for a, m, goal in zip(at, members, goals, strict=True):
+            free = np.bincount(a, n, len(goal))
+            r = np.where((free > 0) & (goal > 0), np.maximum(goal - np.bincount(m[~loose], tokens[~loose], len(goal)), least * free), 0.0)
+            rest.append(r * (left / r.sum() if r.sum() > 0 else 0.0))
+        x, before = p[loose], np.inf
+        for turn in range(ROUNDS):
+            off = 0.0
+            for a, goal in zip(at, rest, strict=True):
+                now = np.bincount(a, n * x, len(goal))
+                x = x * np.divide(goal, now, out=np.zeros_like(goal), where=now > 0)[a]
+                off = max(off, float(np.abs(now - goal).max()) / budget)
+            if off < CLOSE:
+                break
+            if turn % 20 == 19:
+                if off > 0.9 * before:
+                    break
+                before = off
+        if off >= CLOSE:
+            x = np.where(x > 0, np.maximum(x, least), 0.0)
+        p[loose] = np.minimum(1.0, x)
+        if not (x > 1 + 1e-9).any():
+            break
+        loose[loose] = x < 1
+    loose = (tokens > 0) & (p < 1)
+    kept = float((p * tokens)[loose].sum())
+    if kept > 0:
+        p[loose] = np.minimum(1.0, p[loose] * (budget - tokens[~loose].sum()) / kept)
+    return p
+
+
 def _weighed(n: np.ndarray, members: Sequence[np.ndarray], shares: Sequence[np.ndarray], budget: float | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Weight of each cell, 1 on the average of tokens, and probability."""
-    weights = rake(n, members, shares) if len(n) else n
-    top, total = weights[n > 0].max(initial=0.0), float((weights * n).sum())
-    scale = 1 / top if top > 0 else 0.0
-    if budget is not None and total > 0:
-        scale = min(scale, budget / total)
-    return np.where(n > 0, weights * n.sum(), 0.0), np.where(n > 0, np.minimum(1.0, weights * scale), 1.0)
+    if budget is None:
+        weights = rake(n, members, shares) if len(n) else n
+        top = weights[n > 0].max(initial=0.0)
+        probability = np.minimum(1.0, weights / top) if top > 0 else weights * 0.0
+    else:
+        weights = probability = rake_within(n, members, shares, budget) if len(n) else n
+    kept = float((weights * n).sum())
+    return np.where(n > 0, weights * (n.sum() / kept if kept > 0 else 0.0), 0.0), np.where(n > 0, probability, 1.0)
 
 
 def _category(column: str, named: Sequence[str]) -> Column:
@@ -128,7 +194,8 @@ def fit_mix(docs: DataFrame, targets: Targets, tokens: str, budget: float | None
 
     A category that the targets of its column don't name, null included, is ``other``, which
     gets what the named shares leave of 1, or its own target if that is named. ``budget`` is
-    the number of tokens wanted; the sample has fewer where a probability would exceed 1.
+    the number of tokens wanted, dealt as :func:`rake_within` says; without it the sample is
+    the largest with exactly these shares.
     Documents of cells without tokens have weight 0 and are kept, as they weigh nothing.
     """
     names = {c: sorted({str(k) for k in t} | {OTHER}) for c, t in targets.items()}
@@ -165,11 +232,12 @@ class CellMix:
         return docs.withColumns(keys).join(table, list(keys)).drop(*keys)
 
 
-def fit_tempered(docs: DataFrame, powers: Mapping[str, float], tokens: str) -> CellMix:
+def fit_tempered(docs: DataFrame, powers: Mapping[str, float], tokens: str, part: float) -> CellMix:
     """Weights and probabilities of the cells of ``docs`` with flattened shares of tokens.
 
     The share of each value of a column, null included, is its present one to the column's
-    power, scaled so that all make 1. Documents of cells without tokens have weight 0 and
+    power, scaled so that all make 1. The sample's expected tokens are ``part`` of all; what
+    would need more than it has is kept whole. Documents of cells without tokens have weight 0 and
     are kept.
     """
     keys = CellMix(list(powers), pa.table({})).keys()
@@ -182,7 +250,7 @@ def fit_tempered(docs: DataFrame, powers: Mapping[str, float], tokens: str) -> C
         have = np.bincount(members[-1], n)
         flat = np.where(have > 0, np.maximum(have, 1e-300) ** power, 0.0)
         shares.append(flat / max(flat.sum(), 1e-300))
-    weight, probability = _weighed(n, members, shares)
+    weight, probability = _weighed(n, members, shares, part * float(n.sum()))
     cells = {k: summed.column(k) for k in keys} | {"mix_weight": pa.array(weight), "mix_probability": pa.array(probability)}
     return CellMix(list(powers), pa.table(cells))
 

@@ -11,6 +11,8 @@ from shelfspark.session import staged
 END_ID = 2
 # Powers to which the present shares of tokens are taken: sources are flattened most.
 MIX_POWERS = {"source": 0.7, "lang": 0.85, "topic": 1.0}
+# Expected tokens of the mixed sample, as a part of the input's.
+MIX_PART = 0.8
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -88,7 +90,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = with_topic(table(spark, sf_dir, "documents"))
     by_text = F.when(F.col("doc_id").isNull(), F.col("text")).alias("text")
     rows = staged(docs.select("doc_id", "source", "lang", "topic", mixing.n_words(F.col("text")).alias("n_tokens"), by_text), "mix-rows")
-    weighed = mixing.fit_tempered(rows, MIX_POWERS, "n_tokens").applied(rows)
+    weighed = mixing.fit_tempered(rows, MIX_POWERS, "n_tokens", MIX_PART).applied(rows)
     mixed = weighed.withColumn("mix_kept", mixing.kept_by_hash(F.col("mix_probability"), "doc_id", "text"))
     return mixed.select(
         "doc_id", "source", "lang", "topic", "n_tokens", F.round("mix_weight", 9).alias("weight"),

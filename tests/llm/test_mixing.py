@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from shelfspark.llm.mixing import OTHER, fit_mix, fit_tempered, form_topic, mix, n_words, rake, tempered_targets
+from shelfspark.llm.mixing import OTHER, fit_mix, fit_tempered, form_topic, mix, n_words, rake, rake_within, tempered_targets
 
 TARGETS = {"source": {"a": 0.5, "b": 0.3, "c": 0.2}, "lang": {"en": 0.6, "de": 0.4}, "topic": {"x": 0.5, "y": 0.5}}
 
@@ -76,12 +76,45 @@ def test_every_source_of_a_long_tail_has_its_share(spark):
     sizes = {"hot": 100_000, OTHER: 3000, None: 500} | {f"s{i}": 100 + i for i in range(200)}
     rows = [(s, lang, n * m) for s, n in sizes.items() for lang, m in (("en", 3), ("de", 1))]
     docs = spark.createDataFrame(rows, "source string, lang string, n long")
-    mixed = fit_tempered(docs, {"source": 0.7, "lang": 0.85}, "n").applied(docs).toPandas()
+    mixed = fit_tempered(docs, {"source": 0.7, "lang": 0.85}, "n", 0.01).applied(docs).toPandas()
     assert len(mixed) == len(rows)
     got = (mixed.n * mixed.mix_weight).groupby(mixed.source.fillna("-")).sum()
     flat = {s or "-": (4 * n) ** 0.7 for s, n in sizes.items()}
     assert all(abs(got[s] / got.sum() - v / sum(flat.values())) < 1e-6 for s, v in flat.items())
-    assert fit_tempered(docs.where("false"), {"source": 0.7}, "n").applied(docs.where("false")).count() == 0
+    assert fit_tempered(docs.where("false"), {"source": 0.7}, "n", 0.8).applied(docs.where("false")).count() == 0
     # what isn't named has the sum of its shares, a source named like it its own on top
     named = tempered_targets(docs, {"source": 0.7}, "n", most=2)["source"]
     assert named[OTHER] == pytest.approx(1 - flat["hot"] / sum(flat.values())) and set(named) == {"hot", OTHER}
+
+
+def test_a_rare_cell_does_not_shrink_the_sample(spark):
+    sizes = {"hot": 50_000, "rare": 10} | {f"s{i}": 5000 for i in range(18)}
+    rows = [(s, lang, n * m) for s, n in sizes.items() for lang, m in (("en", 3), ("de", 1))]
+    docs = spark.createDataFrame(rows, "source string, lang string, n long")
+    mixed = fit_tempered(docs, {"source": 0.7, "lang": 0.85}, "n", 0.8).applied(docs).toPandas()
+    expected = mixed.n * mixed.mix_probability
+    assert expected.sum() == pytest.approx(0.8 * mixed.n.sum()) and mixed.mix_probability.max() <= 1
+    assert (mixed.mix_probability[mixed.source == "rare"] > 1 - 1e-6).all()
+    en, de = (expected[mixed.lang == x].sum() / expected.sum() for x in ("en", "de"))
+    assert en / de == pytest.approx(3**0.85)
+    # the sources that can have their shares have them, as far as they go by what is left
+    got = expected.groupby(mixed.source).sum()
+    assert got["hot"] / got["s0"] == pytest.approx(10**0.7, rel=1e-6)
+
+
+def test_probabilities_stay_within_one_and_meet_all_marginals():
+    draw = np.random.default_rng(6)
+    at = np.array([(a, b, c) for a in range(30) for b in range(4) for c in range(6)]).T
+    for n in (draw.lognormal(5, 0.4, len(at[0])) * np.repeat([9, 1, 0.01], [24, 24 * 28, 24]), draw.pareto(0.8, len(at[0])) * 100 + 1):
+        shares = [(h := np.bincount(x, n)) ** p / (h**p).sum() for x, p in zip(at, (0.7, 0.85, 1.0), strict=True)]
+        for part in (0.05, 0.5, 0.8, 1.0):
+            p = rake_within(n, list(at), shares, part * n.sum())
+            assert p.max() <= 1 and p.min() > 1e-4 and (p * n).sum() == pytest.approx(part * n.sum(), rel=1e-6)
+            if n.max() > 0.1 * n.sum():
+                continue  # a cell as large as this makes the marginals contradict each other
+            for x, share in zip(at, shares, strict=True):
+                got, have = np.bincount(x, p * n), np.bincount(x, n)
+                loose = got < have * (1 - 1e-6)
+                ratio = got[loose] / share[loose]
+                assert ratio.size == 0 or np.allclose(ratio, ratio[0], rtol=1e-4)
+                assert all(have[~loose] <= share[~loose] * (ratio[0] if ratio.size else np.inf) * (1 + 1e-4))
