@@ -22,7 +22,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import partial
 
 import numpy as np
@@ -150,11 +150,18 @@ def sums(units: list[str], table: np.ndarray, place: np.ndarray | None = None) -
 
 @dataclass
 class ToxicModel:
-    """One weight per four letters, and how a document's worst unit becomes a probability."""
+    """One weight per four letters, and how a document's worst unit becomes a probability.
+
+    ``known`` has the scores of words that a worker has seen; they stay with their model.
+    """
 
     table: np.ndarray
     slope: float
     bias: float
+    known: dict[str, float] = field(default_factory=dict, init=False, repr=False, compare=False)
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"known": {}}
 
     def probability(self, worst: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * worst + self.bias, -30, 30)))
@@ -331,9 +338,6 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     return fit(texts, y)
 
 
-_known: dict[int, dict[bytes, float]] = {}
-
-
 def worst_units(texts: list[str], table: np.ndarray, known: dict[str, float]) -> np.ndarray:
     """Largest unit score of each text, without the machine's offset; -1e9 for one without units."""
     words = [words_of(t) for t in texts]
@@ -352,12 +356,11 @@ def worst_units(texts: list[str], table: np.ndarray, known: dict[str, float]) ->
 
 def _score(batches: Iterator[pa.RecordBatch], text: int, model, column: str | None, keep_below: float | None) -> Iterator[pa.RecordBatch]:
     m = model.value
-    known = _known.setdefault(model.id if hasattr(model, "id") else id(model), {})
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
             part = batch.slice(at, 256)
             texts = [t.decode("utf-8", "replace") for t in as_bytes(part.column(text))]
-            p = m.probability(worst_units(texts, m.table, known))
+            p = m.probability(worst_units(texts, m.table, m.known))
             if keep_below is not None:
                 yield part.filter(pa.array(p < keep_below))
             else:

@@ -1,9 +1,11 @@
 """Quality and toxicity: held-out accuracy, and nothing learnt from held-out rows."""
 
 import os
+import pickle
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -102,3 +104,19 @@ def test_without_both_labels(spark, edges, nothing):
         assert found.count() == edges.count() and found.where("score is null").count() == 0
         assert score(nothing, fit(nothing, labels.where("false"))).count() == 0
     assert toxicity.toxicity_scores(edges, toxicity.fit_toxicity(edges, labels)).where("predicted = 1").count() == 0
+
+
+def test_word_scores_stay_with_their_model():
+    # a later broadcast may lie where an earlier one was: here both are the same object
+    class Sent:
+        pass
+
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array(["insulting words"])], ["doc_id", "text"])
+    sent, got = Sent(), []
+    for weight in (0.0, 1.0):
+        table = np.full(1 << 20, weight, np.float32)
+        table[0] = 0
+        sent.value = toxicity.ToxicModel(table, 1.0, 0.0)
+        got.append(next(toxicity._score(iter([batch]), 1, sent, "score", None)).column("score")[0].as_py())
+    assert got[0] == 0.5 and got[1] > 0.9
+    assert pickle.loads(pickle.dumps(sent.value)).known == {} and sent.value.known
