@@ -1,11 +1,14 @@
-"""The ten operators on the whole documents, with SQL where it can say the same."""
+"""The operators on their whole tables, with SQL where it can say the same."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfspark.llm import decontaminate, line_dedup, merkle, mixing, near_dedup, pii, quality, secrets, token_files, toxicity
+from shelfspark.llm import (
+    decontaminate, line_dedup, merkle, mixing, near_dedup, pieces, pii, prefix_trie, quality, secrets, token_files, toxicity, whitening,
+)
+from shelfspark.llm.workspace import Workspace
 from shelfspark.session import staged
 
 END_ID = 2
@@ -19,10 +22,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,11 +101,39 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of conversations that begin like the first of their twenty."""
+    work = Workspace(spark, "prefix-trie")
+    given = prefix_trie.ordered(table(spark, sf_dir, "conversations"), work)
+    rebuilt = prefix_trie.started_by_others(
+        given, work, lambda c: c - c % 20, lambda c: F.crc32(c.cast("string").cast("binary")) % 4, most=3
+    )
+    return prefix_trie.prefix_trie(rebuilt, work)
+
+
+def op12_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encoded_digests(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"), bos=True, eos=True)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per vector and component."""
+    rows, found = whitening.whitened(table(spark, sf_dir, "embeddings"), k=16)
+    each = rows.select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened"))
+    explained = [float(v / found.trace) for v in found.values] if found else []
+    part = F.element_at(F.array(*map(F.lit, explained)).cast("array<double>"), F.col("at") + 1)
+    return each.select(
+        "vec_id", (F.col("at") + 1).alias("component"), F.lit(found.n if found else 0).cast("long").alias("n"), "deviation",
+        "whitened", (part if explained else F.lit(None).cast("double")).alias("explained"),
+        F.lit(found.identity_error if found else None).cast("double").alias("identity_error"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_near_duplicates, op2_personal_data, op3_secrets, op4_merkle_fingerprints, op5_quality, op6_toxicity,
-        op7_line_dedup, op8_decontamination, op9_token_files, op10_mixing,
+        op7_line_dedup, op8_decontamination, op9_token_files, op10_mixing, op11_prefix_trie,
+        op12_pieces, op13_whitening,
     )
 }
 
@@ -148,5 +179,47 @@ marked AS (
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
+""",
+    "op11_prefix_trie": rf"""
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+lengths AS (SELECT conv_id, count(*) AS n FROM turns GROUP BY 1),
+bits AS (
+  SELECT conv_id, n, list_reduce(list_prepend(4294967295::BIGINT, list_transform(str_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+    lambda c, x: list_reduce(list_prepend(xor(c, x), range(8)), lambda v, i: xor(v // 2, (v % 2) * 3988292384))) AS crc
+  FROM lengths),
+convs AS (
+  SELECT b.conv_id, b.conv_id - b.conv_id % 20 AS other_id, xor(crc, 4294967295) % 4 AS h,
+    least(xor(crc, 4294967295) % 4, coalesce(o.n, 0)) AS taken
+  FROM bits b LEFT JOIN lengths o ON o.conv_id = b.conv_id - b.conv_id % 20),
+rebuilt AS (
+  SELECT c.conv_id, pos - h + taken AS pos, role, text FROM turns t JOIN convs c ON t.conv_id = c.conv_id WHERE pos > h
+  UNION ALL
+  SELECT c.conv_id, pos, role, text FROM turns t JOIN convs c ON t.conv_id = c.other_id WHERE pos <= taken),
+hashed AS (
+  SELECT conv_id, pos, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words,
+    string_agg(sha256(length(role) || ':' || role || text), '' ORDER BY pos) OVER (PARTITION BY conv_id ORDER BY pos) AS chain
+  FROM rebuilt),
+prefixes AS (
+  SELECT conv_id, pos AS depth, words, sha256(chain) AS k, max(pos) OVER (PARTITION BY conv_id) = pos AS ends FROM hashed
+  UNION ALL
+  SELECT conv_id, 0, 0, '', conv_id NOT IN (SELECT conv_id FROM rebuilt) FROM convs),
+nodes AS (
+  SELECT depth, k, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * min(words) AS saved,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM prefixes GROUP BY 1, 2),
+paths AS (SELECT p.conv_id, p.depth, p.k, n.conv_id AS top FROM prefixes p JOIN nodes n USING (depth, k)),
+linked AS (
+  SELECT n.*, p.top AS parent_conv_id FROM nodes n LEFT JOIN paths p ON p.conv_id = n.conv_id AND p.depth = n.depth - 1),
+kids AS (SELECT parent_conv_id AS conv_id, depth - 1 AS depth, count(*) AS n_children FROM linked WHERE depth > 0 GROUP BY 1, 2),
+marked AS (SELECT l.*, coalesce(n_children, 0) AS n_children FROM linked l LEFT JOIN kids USING (conv_id, depth)),
+sums AS (
+  SELECT p.top AS conv_id, p.depth, count(*) FILTER (WHERE m.n_children = 0) AS n_leaves, sum(m.saved) AS saved_tokens
+  FROM marked m JOIN paths p ON p.conv_id = m.conv_id AND p.depth <= m.depth GROUP BY 1, 2)
+SELECT conv_id, depth::BIGINT AS depth, parent_conv_id, n_convs::BIGINT AS n_convs, n_children::BIGINT AS n_children,
+  n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, ends_sha256
+FROM marked JOIN sums USING (conv_id, depth)
 """,
 }

@@ -60,6 +60,9 @@ def test_query_equals_sql(spark, given, name):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_covers_the_table(spark, given, name):
     found = QUERIES[name](spark, SF_DIR)
+    if name in ("op11_prefix_trie", "op13_whitening"):
+        assert found.count() > 0
+        return
     assert "doc_id" in found.columns
     if name not in ("op3_secrets", "op8_decontamination"):
         assert found.count() == given[0].count()
@@ -67,4 +70,4 @@ def test_query_covers_the_table(spark, given, name):
 
 def test_registered():
     assert set(QUERIES) | {"pipeline"} <= set(entry_module.queries())
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
