@@ -42,7 +42,11 @@ def order_documents(spark: SparkSession, sf_dir: str, broken: bool) -> DataFrame
 
     With ``broken``, documents of expensive orders lose their last character.
     """
-    o = table(spark, sf_dir, "orders")
+    # the table's rows are dealt out while they are narrow, before documents are made of them
+    o = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderpriority", "o_orderstatus", "o_orderdate", "o_totalprice"
+    )
+    o = o.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "o_orderkey")
     k, c = F.col("o_orderkey"), F.col("o_custkey")
     p, s, y = F.col("o_orderpriority"), F.col("o_orderstatus"), F.year("o_orderdate")
     isbn = F.when(s == "F", _join("978-", c.cast("string"), "-x"))

@@ -30,6 +30,14 @@ def has_optional_group(pattern: str) -> bool:
     return "|" in bare or re.search(r"\)(?:[?*]|\{0?,)", bare) is not None
 
 
+def needs_context(pattern: str) -> bool:
+    """Whether the text around a match may decide what is matched: the pattern looks around,
+    has an anchor or word boundary, or never gives back what it has taken. Its groups can't
+    be taken from the matched text alone."""
+    bare = re.sub(r"\[\^?\]?(?:\\.|[^\]\\])*\]", "x", re.sub(r"\\[^bBAZzG]", "x", pattern))
+    return re.search(r"\(\?(?:=|!|<=|<!|>)|[\^$]|\\[bBAZzG]|[*+?}]\+", bare) is not None
+
+
 def first_match(text: Column, pattern: str, dotall: bool = False) -> Column:
     """Text of the first match, NULL without one: a single scan of ``text``.
 
@@ -48,11 +56,31 @@ def group_of(match: Column, pattern: str, group: int = 1, dotall: bool = False)
     found = F.regexp_extract(match, java, group)
     if not group or not has_optional_group(pattern):
         return found
-    # a reference to a group that took no part fails, one to an empty group matches anywhere
-    return F.when((found != "") | match.rlike(f"^(?:{java})\\{group}"), found)
+    return F.when((found != "") | _took_part(match, java, group), found)
+
+
+def _took_part(text: Column, java: str, group: int) -> Column:
+    """Whether a group that is empty took part in the first match of ``text``.
+
+    A reference to a group that took no part fails, one to an empty group matches anywhere.
+    The match is made once, looking ahead, and not given back for another.
+    """
+    return text.rlike(f"^(?>(?s:.*?)(?={java}))\\{group}")
+
+
+def group_in(text: Column, pattern: str, group: int = 1, dotall: bool = False) -> Column:
+    """One capture group of the first match, taken from the whole text: for patterns that
+    :func:`needs_context` names. NULL without a match, or where the group took no part."""
+    java = java_pattern(pattern, dotall)
+    found = F.regexp_extract(text, java, group)
+    if not group or not has_optional_group(pattern):
+        return F.when(text.rlike(java), found)
+    return F.when((found != "") | (text.rlike(java) & _took_part(text, java, group)), found)
 
 
 def first_group(text: Column, pattern: str, group: int = 1, dotall: bool = False) -> Column:
+    if needs_context(pattern):
+        return group_in(text, pattern, group, dotall)
     return group_of(first_match(text, pattern, dotall), pattern, group, dotall)
 
 

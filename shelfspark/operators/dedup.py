@@ -33,8 +33,8 @@ def first_per_file(
     # filter on the key itself would be pushed below the projection that computes it and
     # compute it a second time.
     first = F.min(F.struct(pos, *carry) if carry else F.col(pos)).alias("first")
-    # A file is never NULL. Saying so keeps Spark from inferring it for one use of this
-    # table and not for another, whose plans would then differ and share no shuffle.
+    # A file is never NULL (see _placed). Saying so keeps Spark from inferring it for one use
+    # of this table and not for another, whose plans would then differ and share no shuffle.
     placed = rows.where(F.col(file).isNotNull())
     grouped = placed.groupBy(key, file).agg(first, F.count(key).alias("_n")).where(F.col("_n") > 0)
     if carry:
@@ -54,6 +54,12 @@ def first_per_key(
     return per_file.groupBy(key).agg(first).select(key, "first.*")
 
 
+def _placed(file: str, value: Column) -> Column:
+    """``value``, unless the row has no file and so no place in the order: that ends the run."""
+    message = F.lit(f"a row has no {file}, so its place in the order is unknown")
+    return F.when(F.col(file).isNull(), F.raise_error(message)).otherwise(value)
+
+
 def _keyed(key: str, has_key: str | None) -> Column:
     return F.col(has_key) if has_key else F.col(key).isNotNull()
 
@@ -70,7 +76,8 @@ def label_duplicates(
 
     A repeat inside a file is ``in_file`` even when the first one there lost to an
     earlier file. Rows without a key are always kept. ``has_key`` names a cheap boolean
-    column equal to "the key is not NULL", which spares computing a costly key twice.
+    column equal to "the key is not NULL", which spares computing a costly key twice. A row
+    whose file is NULL ends the run.
     """
     per_file = first_per_file(rows, key, file, pos)
     marks = per_file.select(file, pos)
@@ -82,7 +89,7 @@ def label_duplicates(
     # the narrow marks are joined with each other first, so that rows meet one table only
     marks = marks.select(file, pos, mark.alias("_mark"))
     label = F.when(~_keyed(key, has_key), KEPT).otherwise(F.coalesce("_mark", F.lit(IN_FILE)))
-    return rows.join(marks, [file, pos], "left").withColumn("label", label).drop("_mark")
+    return rows.join(marks, [file, pos], "left").withColumn("label", _placed(file, label)).drop("_mark")
 
 
 def dedup_first_wins(
@@ -103,7 +110,7 @@ def dedup_first_wins(
     marks = winners.select(file, pos, F.lit(True).alias("_wins"))
     return (
         rows.join(marks, [file, pos], "left")
-        .where(~_keyed(key, has_key) | F.col("_wins"))
+        .where(_placed(file, ~_keyed(key, has_key) | F.col("_wins")))
         .drop("_wins")
     )
 
@@ -146,10 +153,15 @@ def dedup_richest(
             F.count_if(F.col(key) != "").alias("_n"),
         )
         .where(F.col("_n") > 0)
-        .select(key, *[(-F.col(f"_best.{name}")).alias(name) for name in order], "first_seen")
+        .select(F.col(key).alias("_key"), *[(-F.col(f"_best.{name}")).alias(f"_{name}") for name in order], "first_seen")
     )
-    # on the key, too, so that an order that repeats between keys multiplies nothing
-    return rows.join(best, [key, *order])
+    # On the key, too, so that an order that repeats between keys multiplies nothing. The
+    # null-safe comparison keeps Spark from inferring that the key is not NULL and testing it
+    # below the projection that makes it, which would make it again.
+    same = F.col(key).eqNullSafe(F.col("_key"))
+    for name in order:
+        same = same & (F.col(name) == F.col(f"_{name}"))
+    return rows.join(best, same).drop("_key", *[f"_{name}" for name in order])
 
 
 def distinct_keep_order(rows: DataFrame, value: str = "url", order: str = "line_no") -> DataFrame:

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfspark.functions.regex import all_groups, first_group, first_match, group_of
+from shelfspark.functions.regex import all_groups, first_group, first_match, group_in, group_of, needs_context
 from shelfspark.functions.text import WS_CHARS, decode_entities, strip_tags, ws_trim
 from shelfspark.functions.urls import extract_id
 
@@ -103,16 +103,23 @@ def apply_rules(
     """Add one column per rule field; NULL where the rule does not match.
 
     Matches are projected first, together with ``more``: each is referenced by all
-    fields of its rule, and nothing else reads the page.
+    fields of its rule, and nothing else reads the page. Rules whose match depends on the
+    text around it have their groups taken from the page, which costs a scan per group.
     """
+    around = [needs_context(r.pattern) for r in rules]
     matches = {
-        f"_m{i}": first_match(F.col(html), r.pattern, r.dotall) for i, r in enumerate(rules)
+        f"_m{i}": first_match(F.col(html), r.pattern, r.dotall)
+        for i, (r, apart) in enumerate(zip(rules, around, strict=True))
+        if not apart
     }
     out = df.withColumns({**matches, **(more or {})})
     fields = {}
     for i, r in enumerate(rules):
         for name, (group, post) in r.fields.items():
-            value = group_of(F.col(f"_m{i}"), r.pattern, group, r.dotall)
+            if around[i]:
+                value = group_in(F.col(html), r.pattern, group, r.dotall)
+            else:
+                value = group_of(F.col(f"_m{i}"), r.pattern, group, r.dotall)
             for step in post:
                 value = step(value)
             fields[name] = value

@@ -219,3 +219,20 @@ def test_normalisation_equals_python(spark):
         assert r.n == (isbn or None)
         assert r.x == " ".join(text.split()).casefold()
         assert r.w == text.strip()
+
+
+def test_rows_without_a_file_end_the_run(spark):
+    rows = spark.createDataFrame([("f", 0, "k"), (None, 1, "k"), (None, 2, None)], "file_rank string, pos int, key_id string")
+    for made in (dedup_first_wins(rows), label_duplicates(rows)):
+        with pytest.raises(Exception, match="has no file_rank"):
+            made.collect()
+
+
+def test_richest_computes_its_key_once_per_use(spark):
+    """The key's expression stands once in the aggregate's input and once in the joined rows."""
+    rows = spark.range(50).select("id", F.sha2(F.concat(F.lit("k"), F.col("id") % 7), 256).alias("record_key"), (F.col("id") % 3).alias("n_fields"))
+    best = dedup_richest(rows, order="id")
+    assert best._jdf.queryExecution().executedPlan().toString().count("sha2(") <= 2
+    assert {(r.id, r.first_seen) for r in best.collect()} == {
+        (min((i for i in range(k, 50, 7)), key=lambda i: (-(i % 3), i)), k) for k in range(7)
+    }
