@@ -36,8 +36,14 @@ from shelfspark.session import scratch_dir
 # A worker forgets pieces that it hasn't met among the last this many new ones; results don't depend on it.
 REMEMBERED = 200_000
 CHUNK = 128  # documents encoded at a time
-_PIECE = re.compile(" ?[^ ]+")
-_ODD_SPACE = re.compile(r" \s|^ | $")
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+_SIGNS = r"!-&(-/:-@\[-`{-~"  # printable ASCII signs but the apostrophe, which begins contractions
+# A word before a space, a line feed or signs; signs after a word; a sole line feed; else
+# all up to the next space. Each but the last is a token of the pre-tokenizer.
+_PIECE = re.compile(
+    f" ?[{_LETTERS}]+(?=[ \n{_SIGNS}]|$)|(?<=[{_LETTERS}])[{_SIGNS}]+(?=[ \n]|$)|(?<=\\S)\n(?=\\S)| ?[^ ]+"
+)
+_SPACES = re.compile(r" \s")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -102,6 +108,9 @@ class PieceEncoder(dict):
         if 0 < at < len(piece) - 1 and not piece[at - 1].isspace() and not piece[at + 1].isspace():
             # a sole line feed is a token of its own
             return self[piece[:at]] + self["\n"] + self[piece[at + 1 :]]
+        if _is_word(piece):
+            ids = self[piece] = self._word(piece)
+            return ids
         core = piece.rstrip(_TAIL)
         if _is_word(core):
             ids = self.get(core)
@@ -129,7 +138,7 @@ class PieceEncoder(dict):
 
     @staticmethod
     def _pieces(text: str) -> list[str]:
-        if not _ODD_SPACE.search(text):
+        if text[:1] != " " and text[-1:] != " " and not _SPACES.search(text):
             return _PIECE.findall(text)
         first, *rest = text.split(" ")
         # white space that isn't one space before other text goes with the piece it follows
@@ -194,8 +203,7 @@ def _write_ids(batches: Iterator[pa.RecordBatch], folder: str, tokenizer: str, e
             if file is None:
                 file = _Whole(folder, "ids", part)
             data = [x + end for x in model.encode([t or "" for t in rows.column("text").to_pylist()])]
-            for x in data:
-                file.out.write(x)
+            file.out.write(b"".join(data))
             n = rows.num_rows
             counts = pa.array([len(x) // model.dtype.itemsize for x in data], pa.int64())
             yield pa.RecordBatch.from_arrays(
@@ -254,7 +262,7 @@ def write_token_files(
     sums = counts.groupBy("part").agg(F.sum("n_tokens").alias("n_tokens"), F.count("*").alias("n_docs"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     based = sums.withColumn("base", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
-    based.write.mode("overwrite").parquet(f"{folder}/parts")
+    based.coalesce(1).write.mode("overwrite").parquet(f"{folder}/parts")
     table = spark.read.parquet(f"{folder}/parts")
 
     rows = counts.join(table.select("part", "base"), "part").repartition("part").sortWithinPartitions("part", "at")
@@ -298,7 +306,9 @@ def read_token_files(spark: SparkSession, folder: str, tokenizer: str, digest: b
     """One row per document: ``(doc_id, start, n_tokens, ids)``, or ``ids_crc32`` instead of
     ``ids``: the crc32 of the ids as little-endian unsigned 32-bit integers."""
     width = encoder(tokenizer).dtype.itemsize
-    parts = spark.read.parquet(f"{folder}/parts").select("part").repartition("part")
+    parts = spark.read.parquet(f"{folder}/parts").select("part")
+    # by number: a table of a few integers would be read by one task, and so all files by it
+    parts = parts.repartition(max(1, parts.count()))
     name, kind, make = ("ids_crc32", "long", _crc32) if digest else ("ids", "array<long>", lambda ids: ids.astype(np.int64).tolist())
     columns = ["doc_id", "start", "n_tokens", name]
     return parts.mapInArrow(

@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 tokenizers = pytest.importorskip("tokenizers")
 public = pytest.importorskip("public_tokenizers")
@@ -51,3 +52,22 @@ def test_edges(edges, nothing, whole):
     assert by_id[8].n_tokens == len(whole.encode("x " * 60_000, add_special_tokens=False).ids) + 1
     assert sum(r.n_tokens for r in found) == max(r.start + r.n_tokens for r in found)
     assert token_files(nothing, PATH, 2).count() == 0
+
+
+def test_pieces_of_signs_words_and_feeds_equal_the_tokenizer(whole):
+    model = PieceEncoder(PATH)
+    rng = random.Random(8)
+    parts = ["Foo", "bar", "é", "ñtab", "1", "99", "'s", "'", "’s", ".", ",", "!!", "***", "&&&", "_", "-", "\n", " ", "  ", "\t", "😀", "ʼ", "ß", "×", "中", "\r\n"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(12))) for _ in range(4000)]
+    wanted = [whole.encode(t, add_special_tokens=False).ids for t in texts]
+    for t, found, ids in zip(texts, model.encode(texts), wanted, strict=True):
+        assert np.frombuffer(found, model.dtype).tolist() == ids, t
+
+
+def test_files_are_read_by_as_many_tasks_as_there_are_parts(spark, tmp_path):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(400)], "doc_id long, text string")
+    table = write_token_files(docs, str(tmp_path), PATH, 2, parts=6)
+    found = read_token_files(spark, str(tmp_path), PATH, digest=True)
+    assert found.count() == 400 and table.count() == 6
+    tasks = found.select(F.spark_partition_id().alias("p")).distinct().count()
+    assert tasks >= 3 and found.rdd.getNumPartitions() == 6
