@@ -34,7 +34,7 @@ from shelfspark.llm.words import id_and_text
 
 BLOCK_CHARS = 32_000_000  # a block ends with the document that brings it to so many characters
 BLOCK_CHUNKS = 1_500_000  # or to so many distinct chunks
-PAGE_WORDS = 1 << 18  # numbers of a block's documents in a row, but for one long document
+PAGE_WORDS = 1 << 16  # numbers of a block's documents in a row, but for one long document
 SHARDS = 4  # per shuffle partition
 MARK = "▁"
 
