@@ -27,6 +27,8 @@ from shelfspark.operators.membership import (
 from shelfspark.session import scratch_dir
 from shelfspark.sources.sinks import preview
 from shelfspark.streaming.incremental import dedup_batch, read_batches, resume_batch, run_available
+from shelfspark.streaming.keytable import KeyTable, dedup_into
+from shelfspark.streaming.stateful import dedup_with_state
 
 _registry = Registry()
 QUERIES, ORACLE = _registry.queries, _registry.oracle
@@ -265,20 +267,52 @@ _STREAM = _DOCS.replace("min(source) OVER (PARTITION BY norm) < source",
                         "< [length(source)::VARCHAR, source]")
 
 
-@query("stream_dedup", _STREAM + "SELECT doc_id, source FROM labelled WHERE label = 'kept'")
-def stream_dedup(spark, sf_dir):
-    """Two runs over a growing folder; the second knows the keys of the first."""
-    out = scratch_dir(spark, "stream-dedup")
+_STREAM_SQL = _STREAM + "SELECT doc_id, source FROM labelled WHERE label = 'kept'"
+
+
+def _two_waves(spark, sf_dir, label, run):
+    """The rows come in two waves; ``run(stream, folder)`` takes what has come, each time
+    as a query of its own that goes on from the last one's checkpoint."""
+    out = scratch_dir(spark, label)
     rows = document_rows(spark, sf_dir).select(
         "doc_id", "source", F.struct(F.length("source").alias("n"), "source").alias("file_rank"), "key_id"
     )
-    first_wave = F.length("source") <= 4
-    stream = None
-    for wave in (rows.where(first_wave), rows.where(~first_wave)):
-        wave.write.mode("append").parquet(f"{out}/in")
-        stream = stream or spark.readStream.schema(rows.schema).parquet(f"{out}/in")
-        run_available(stream, dedup_batch(out, pos="doc_id"), f"{out}/progress")
-    return read_batches(spark, f"{out}/kept", rows.schema).select("doc_id", "source")
+    # the keys are made once; a wave is a folder that the stream finds
+    rows.withColumn("wave", (F.length("source") > 4).cast("int")).write.partitionBy("wave").parquet(f"{out}/all")
+    for wave in (0, 1):
+        spark.read.schema(rows.schema).parquet(f"{out}/all/wave={wave}").write.mode("append").parquet(f"{out}/in")
+        run(spark.readStream.schema(rows.schema).parquet(f"{out}/in"), out)
+    return out, rows.schema
+
+
+@query("stream_dedup", _STREAM_SQL)
+def stream_dedup(spark, sf_dir):
+    """J1 by the state store: the second run knows the keys of the first from its checkpoint."""
+    out, schema = _two_waves(
+        spark, sf_dir, "stream-dedup",
+        lambda stream, out: dedup_with_state(stream, out, f"{out}/progress", pos="doc_id", carry=("source",)),
+    )
+    return read_batches(spark, f"{out}/kept", schema).select("doc_id", "source")
+
+
+@query("stream_dedup_prefixes", _STREAM_SQL)
+def stream_dedup_prefixes(spark, sf_dir):
+    """J1 by tables of earlier batches under key prefixes."""
+    out, schema = _two_waves(
+        spark, sf_dir, "stream-dedup", lambda stream, out: run_available(stream, dedup_batch(out, pos="doc_id"), f"{out}/progress")
+    )
+    return read_batches(spark, f"{out}/kept", schema).select("doc_id", "source")
+
+
+@query("stream_dedup_compacted", _STREAM_SQL)
+def stream_dedup_compacted(spark, sf_dir):
+    """J1 by a key table that merges its batches; it is read after two runs."""
+    def run(stream, out):
+        table = KeyTable(spark, f"{out}/kept", stream.schema)
+        run_available(stream, dedup_into(table, pos="doc_id"), f"{out}/progress")
+
+    out, schema = _two_waves(spark, sf_dir, "stream-keytable", run)
+    return KeyTable(spark, f"{out}/kept", schema).rows().select("doc_id", "source")
 
 
 @query(
