@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfspark.bindings.tables import Registry, table
 from shelfspark.functions.keys import key_parts
-from shelfspark.functions.records import count_listed, drop_listed, field_names, record_to_json
+from shelfspark.functions.records import count_listed, drop_listed, field_names, json_string, record_to_json
 from shelfspark.plans.clean import CleanJob, keyed_items
 from shelfspark.plans.merge import MergeJob
 from shelfspark.session import scratch_dir
@@ -21,7 +21,8 @@ from shelfspark.sources.json_docs import (
     scan_json_lines,
     unwrap_books,
 )
-from shelfspark.sources.sinks import document_lines, write_json_lines, write_results_with_meta, write_url_list
+from shelfspark.sources.json_splits import scan_json_array
+from shelfspark.sources.sinks import document_lines, write_json_array, write_json_lines, write_results_with_meta, write_url_list
 from shelfspark.sources.text_lists import scan_url_list
 
 _registry = Registry()
@@ -462,6 +463,26 @@ def json_roundtrip(spark, sf_dir):
     )
 
 
+@query(
+    "json_array_splits",
+    """
+SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS pos, o_orderkey,
+  '{"book_id":' || o_orderkey || ',"title":"Order, [' || o_orderkey || '] \\"x\\"","tags":["' || o_orderstatus || '",{"p":"' || o_orderpriority
+  || '"}]}' AS raw FROM orders""",
+)
+def json_array_splits(spark, sf_dir):
+    """All records as one JSON array, written by many tasks and read in splits."""
+    out = scratch_dir(spark, "array")
+    key = F.col("o_orderkey")
+    title = _join("Order, [", key.cast("string"), '] "x"')
+    tags = _join('["', F.col("o_orderstatus"), '",{"p":"', F.col("o_orderpriority"), '"}]')
+    raw = _join('{"book_id":', key.cast("string"), ',"title":', json_string(title), ',"tags":', tags, "}")
+    orders = table(spark, sf_dir, "orders").select(rank_of(F.lit("orders")).alias("file_rank"), key.alias("pos"), raw.alias("raw"))
+    write_json_array(orders, out)
+    items = scan_json_array(spark, f"{out}/*", joined=True)
+    return items.select("pos", F.get_json_object("raw", "$.book_id").cast("bigint").alias("o_orderkey"), "raw")
+
+
 @query(
     "checkpoint_roundtrip",
     """
