@@ -24,6 +24,7 @@ from shelfspark.sources.json_docs import (
 from shelfspark.sources.json_splits import scan_json_array
 from shelfspark.sources.sinks import document_lines, write_json_array, write_json_lines, write_results_with_meta, write_url_list
 from shelfspark.sources.text_lists import scan_url_list
+from shelfspark.sources.versions import VersionedOutput
 
 _registry = Registry()
 QUERIES, ORACLE = _registry.queries, _registry.oracle
@@ -503,6 +504,54 @@ def checkpoint_roundtrip(spark, sf_dir):
     return scan_checkpoint(spark, f"{out}/books", books.schema).union(total)
 
 
+@query(
+    "versioned_output",
+    """
+SELECT 1 AS version, p_type, count(*) AS n, 0::BIGINT AS failed FROM part WHERE p_size <= 25 GROUP BY p_type
+UNION ALL SELECT 2, p_type, count(*), (SELECT count(*) FROM part WHERE p_size > 45) FROM part GROUP BY p_type""",
+)
+def versioned_output(spark, sf_dir):
+    """Records and failures appear together; a version is read while the next is half written."""
+    output = VersionedOutput(spark, scratch_dir(spark, "versions"))
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_size")
+    output.save(books=part.where("p_size <= 25"), failed=part.where("false"))
+    half = output.write(part)  # written, not yet named by any version
+    first = output.read("books").withColumn("version", F.lit(output.latest()))
+    none = output.read("failed")
+    output.publish({"books": [half], "failed": [output.write(part.where("p_size > 45"))]})
+    second = output.read("books").withColumn("version", F.lit(output.latest()))
+    rows = first.unionByName(second).groupBy("version", "p_type").agg(F.count("*").alias("n"))
+    failed = none.agg(F.lit(1).alias("version"), F.count("*").alias("failed")).unionByName(
+        output.read("failed").agg(F.lit(2).alias("version"), F.count("*").alias("failed"))
+    )
+    return rows.join(failed, "version").select("version", "p_type", "n", "failed")
+
+
+@query(
+    "damaged_checkpoint",
+    """
+SELECT p_type, TRUE AS usable, count(*) AS n FROM part GROUP BY p_type
+UNION ALL SELECT p_type, FALSE, 0 FROM part GROUP BY p_type""",
+)
+def damaged_checkpoint(spark, sf_dir):
+    """A10: an earlier run's records, whole and with a part file that isn't what was written."""
+    output = VersionedOutput(spark, scratch_dir(spark, "checkpoint"))
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_size")
+    output.save(books=part)
+    whole = output.load("books", part.schema)
+    other = output.write(part.withColumn("p_size", F.col("p_size") + (F.col("p_partkey") % 100 == 0).cast("int")))
+    output.publish({"books": [{**output.parts("books")[0], "folder": other["folder"]}]})
+    changed = output.load("books", part.schema)
+    types = part.select("p_type").distinct()
+    found = [
+        types.join(x.rows.groupBy("p_type").agg(F.count("*").alias("n")), "p_type", "left").select(
+            "p_type", F.lit(x.reason is None).alias("usable"), F.coalesce("n", F.lit(0)).cast("bigint").alias("n")
+        )
+        for x in (whole, changed)
+    ]
+    return found[0].unionByName(found[1])
+
+
 @query(
     "url_list_roundtrip",
     """

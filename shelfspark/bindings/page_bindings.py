@@ -19,8 +19,11 @@ from shelfspark.operators.extract import (
 )
 from shelfspark.functions.text import strip_tags, ws_trim
 from shelfspark.plans.detail import extract_details
-from shelfspark.session import staged
+from shelfspark.session import scratch_dir, staged
 from shelfspark.sources.sinks import failed_urls
+from shelfspark.sources.versions import VersionedOutput
+from shelfspark.streaming.extraction import extract_available, final_records, run_counts
+from shelfspark.streaming.observed import observed_counts
 
 _registry = Registry()
 QUERIES, ORACLE = _registry.queries, _registry.oracle
@@ -326,6 +329,66 @@ def run_metrics_query(spark, sf_dir):
     return _detail_job(spark, sf_dir).metrics
 
 
+_STREAM_JOB = "WITH " + _BOOKS + """,
+urls AS (
+  SELECT o_custkey AS k, min(o_orderkey) AS line_no, bool_or(o_orderdate < TIMESTAMP '1996-01-01') AS early,
+    min(o_orderkey) FILTER (o_orderdate < TIMESTAMP '1996-01-01') AS early_line,
+    count(*) AS n, count(*) FILTER (o_orderdate >= TIMESTAMP '1996-01-01') AS n_late FROM orders GROUP BY 1),
+tried AS (
+  SELECT u.*, c.*, early AND c.p_partkey IS NOT NULL AND p_type <> 'LARGE' AND p_size > 5 AS at_once,
+    c.p_partkey IS NOT NULL AND p_size > 5 AS good FROM urls u LEFT JOIN counted c ON u.k = c.p_partkey),
+results AS (
+  SELECT *, 'https://books.example/detail/book' || k || '.html' AS url,
+    CASE WHEN at_once OR NOT early THEN 1 ELSE 2 END AS attempts,
+    CASE WHEN good THEN 'ok' WHEN p_partkey IS NULL THEN 'empty' ELSE 'unparsed' END AS status FROM tried)
+"""
+
+
+def _stream_job(spark, sf_dir):
+    """Addresses arrive in two runs; the pages of one type are stored between them."""
+    out = scratch_dir(spark, "stream-extract")
+    orders = table(spark, sf_dir, "orders")
+    url = F.concat(F.lit(HOST + "/detail/book"), "o_custkey", F.lit(".html"))
+    lines = orders.select(url.alias("url"), F.col("o_orderkey").alias("line_no"), "o_orderdate")
+    early = F.col("o_orderdate") < "1996-01-01"
+    detail_pages(spark, sf_dir).select("url", "html", (F.col("p_type") == "LARGE").alias("late")).write.partitionBy("late").parquet(f"{out}/pages")
+    output = VersionedOutput(spark, f"{out}/out", keep=3)
+    with observed_counts(spark) as seen:
+        for chosen, stored in ((early, ["late=false"]), (~early, ["late=false", "late=true"])):
+            lines.where(chosen).select("url", "line_no").write.mode("append").parquet(f"{out}/urls")
+            stream = spark.readStream.schema("url string, line_no bigint").option("maxFilesPerTrigger", 4).parquet(f"{out}/urls")
+            folders = [f"{out}/pages/{f}" for f in stored]
+            extract_available(stream, lambda f=folders: spark.read.schema("url string, html string").parquet(*f), output, f"{out}/progress", HOST, 2)
+    return output, seen.sums["arrived_urls"]
+
+
+@query(
+    "stream_extract",
+    _STREAM_JOB + """
+SELECT url, attempts, status, CASE WHEN good THEN title END AS title, CASE WHEN good THEN n_fields END AS n_fields FROM results""",
+)
+def stream_extract(spark, sf_dir):
+    """Two runs in several batches; failed addresses are tried again in the second."""
+    output, _ = _stream_job(spark, sf_dir)
+    books = final_records(output).select("url", "attempts", F.lit("ok").alias("status"), "title", "n_fields")
+    failed = output.read("open").select("url", "attempts", "status", F.lit(None).cast("string").alias("title"), F.lit(None).cast("int").alias("n_fields"))
+    return books.unionByName(failed)
+
+
+@query(
+    "stream_run_metrics",
+    _STREAM_JOB + """
+SELECT sum(n)::BIGINT AS total_input_urls, sum(n)::BIGINT AS arrived_urls,
+  count(*) FILTER (good) AS total_processed, count(*) FILTER (NOT good) AS failed,
+  count(*) FILTER (good) AS processed_new,
+  (count(*) FILTER (NOT good) + count(*) FILTER (early AND NOT at_once))::BIGINT AS failed_tries FROM results""",
+)
+def stream_run_metrics(spark, sf_dir):
+    """E7 of a stream: counted by a listener and by observed writes, without a second pass."""
+    output, arrived = _stream_job(spark, sf_dir)
+    return run_counts(output).drop("skipped_existing").withColumn("arrived_urls", F.lit(arrived).cast("bigint"))
+
+
 @query("extract_records", "WITH " + _BOOKS + """
 SELECT book_id, CASE WHEN p_size <= 5 THEN 'unparsed' ELSE 'ok' END AS status, year FROM books""")
 def extract_records_query(spark, sf_dir):

@@ -17,8 +17,40 @@ def side_by_side(*totals: DataFrame) -> DataFrame:
     return out.agg(*[F.max(name).alias(name) for name in out.columns])
 
 
-def _zero(name: str):
-    return F.coalesce(F.col(name), F.lit(0)).cast("bigint").alias(name)
+def _contributions(
+    files: DataFrame, items: DataFrame, cross_file: bool, key: str, file: str, pos: str, n_listed: str
+) -> DataFrame:
+    """What every file, item, first of a key in its file and first of a key over all files adds
+    to its file's metrics, one below the other: nothing is joined."""
+    per_file = first_per_file(items, key, file, pos)
+    heads = first_per_key(per_file, key, file, pos) if cross_file else per_file
+    one = F.lit(1).cast("bigint")
+    facts = [c for c in files.columns if c != file]
+    parts = (
+        files.select(file, F.struct(*facts).alias("_facts")),
+        items.select(
+            file, one.alias("items_count"), F.col(n_listed).cast("bigint").alias("removed_count"),
+            F.col(key).isNotNull().cast("bigint").alias("_keyed"),
+        ),
+        per_file.select(file, one.alias("_firsts")),
+        heads.select(file, one.alias("_heads")),
+    )
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part, allowMissingColumns=True)
+    return out
+
+
+def _counts() -> list:
+    def total(name: str):
+        return F.coalesce(F.sum(name), F.lit(0)).cast("bigint")
+
+    firsts, heads = total("_firsts"), total("_heads")
+    return [
+        total("items_count").alias("items_count"), total("removed_count").alias("removed_count"),
+        (total("_keyed") - firsts).alias("duplicates_removed"), (firsts - heads).alias("cross_file_duplicates_removed"),
+        (total("items_count") - total("_keyed") + heads).alias("books_count"),
+    ]
 
 
 def file_metrics(
@@ -37,34 +69,57 @@ def file_metrics(
     firsts that are not the first over all files are cross-file duplicates. Listed
     fields are counted before duplicates go.
     """
-    per_file = first_per_file(items, key, file, pos)
-    totals = items.groupBy(file).agg(
-        F.count("*").alias("items_count"),
-        F.count(key).alias("_keyed"),
-        F.sum(n_listed).alias("removed_count"),
-    )
-    firsts = per_file.groupBy(file).agg(F.count("*").alias("_firsts"))
-    out = files.join(totals, file, "left").join(firsts, file, "left")
-    if cross_file:
-        heads = first_per_key(per_file, key, file, pos)
-        out = out.join(heads.groupBy(file).agg(F.count("*").alias("_heads")), file, "left")
-    else:
-        out = out.withColumn("_heads", F.col("_firsts"))
-    for name in ("items_count", "removed_count", "_keyed", "_firsts", "_heads"):
-        out = out.withColumn(name, _zero(name))
-    return (
-        out.withColumn("duplicates_removed", F.col("_keyed") - F.col("_firsts"))
-        .withColumn("cross_file_duplicates_removed", F.col("_firsts") - F.col("_heads"))
-        .withColumn(
-            "books_count",
-            F.col("items_count")
-            - F.col("duplicates_removed")
-            - F.col("cross_file_duplicates_removed"),
-        )
-        .drop("_keyed", "_firsts", "_heads")
+    added = _contributions(files, items, cross_file, key, file, pos, n_listed)
+    return _shown(added.groupBy(file).agg(F.any_value("_facts", True).alias("_facts"), *_counts()), files, file)
+
+
+def _shown(grouped: DataFrame, files: DataFrame, file: str) -> DataFrame:
+    listed = grouped.where(F.col("_facts").isNotNull())
+    facts = [F.col(file) if c == file else F.col(f"_facts.{c}").alias(c) for c in files.columns]
+    counts = [c for c in grouped.columns if c not in (file, "_facts") and not c.startswith("_")]
+    return listed.select(*facts, *counts)
+
+
+def metrics_rollup(
+    files: DataFrame,
+    items: DataFrame,
+    cross_file: bool = True,
+    key: str = "key_id",
+    file: str = "file_rank",
+    pos: str = "pos",
+    n_listed: str = "n_listed",
+) -> DataFrame:
+    """:func:`file_metrics` and :func:`run_totals` from one aggregate, a rollup over files:
+    for :func:`rolled_files` and :func:`rolled_totals`.
+
+    Every row has the run's tallies of files, which mean something in the total only.
+    """
+    added = _contributions(files, items, cross_file, key, file, pos, n_listed)
+    listed, used = F.col("_facts").isNotNull(), F.col("_facts.skipped").isNull()
+    return added.rollup(file).agg(
+        F.grouping(file).alias("_is_total"),
+        F.any_value("_facts", True).alias("_facts"),
+        *_counts(),
+        F.count_if(listed & used).alias("_files_processed"),
+        F.count_if(listed & ~used).alias("_files_skipped"),
+        F.count_if(listed & used & (F.col("_facts.status") != "ok")).alias("_errors"),
+        F.count_if(listed & used & F.col("_facts.meta_removed")).alias("_meta_removed_files"),
     )
 
 
+def rolled_files(rolled: DataFrame, files: DataFrame, file: str = "file_rank") -> DataFrame:
+    """The rows of :func:`file_metrics`; ``files`` names the columns."""
+    return _shown(rolled.where("_is_total = 0"), files, file)
+
+
+def rolled_totals(rolled: DataFrame) -> DataFrame:
+    """The row of :func:`run_totals`; a skipped file has no items, so the sums need no filter."""
+    names = {n: f"_{n}" for n in ("files_processed", "files_skipped", "errors", "meta_removed_files")}
+    names |= {n: n for n in ("books_count", "removed_count", "duplicates_removed", "cross_file_duplicates_removed")}
+    # of an empty input a rollup gives no row
+    return rolled.where("_is_total = 1").agg(*(F.coalesce(F.max(c), F.lit(0)).alias(n) for n, c in names.items()))
+
+
 def run_totals(per_file: DataFrame) -> DataFrame:
     """Sums over :func:`file_metrics`; skipped files count only as skipped."""
     used = F.col("skipped").isNull()

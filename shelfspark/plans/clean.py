@@ -16,7 +16,7 @@ from shelfspark.operators.dedup import (
     label_duplicates,
     removed_rows,
 )
-from shelfspark.operators.metrics import file_metrics, run_totals
+from shelfspark.operators.metrics import metrics_rollup, rolled_files, rolled_totals
 from shelfspark.session import staged, unstage
 from shelfspark.sources.files import inside
 from shelfspark.sources.json_docs import (
@@ -117,13 +117,18 @@ class CleanJob:
     def report(self) -> DataFrame:
         return duplicates_report(removed_rows(self.labelled), report_fields())
 
+    @cached_property
+    def metrics(self) -> DataFrame:
+        """Metrics of files and of the run, from one aggregate."""
+        return metrics_rollup(self.files.drop("head", "tail"), self.items, self.cross_file)
+
     @property
     def per_file(self) -> DataFrame:
-        return file_metrics(self.files.drop("head", "tail"), self.items, self.cross_file)
+        return rolled_files(self.metrics, self.files.drop("head", "tail"))
 
     @property
     def totals(self) -> DataFrame:
-        return run_totals(self.per_file)
+        return rolled_totals(self.metrics)
 
     @property
     def envelopes(self) -> DataFrame:

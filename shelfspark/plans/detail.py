@@ -13,8 +13,9 @@ from shelfspark.operators.membership import merge_existing_new, url_plan
 from shelfspark.operators.metrics import run_metrics
 from shelfspark.session import staged
 from shelfspark.sources.checkpoint import scan_checkpoint
-from shelfspark.sources.sinks import write_failed_urls, write_results_with_meta
+from shelfspark.sources.sinks import failed_urls, write_failed_urls, write_results_with_meta
 from shelfspark.sources.text_lists import scan_url_list
+from shelfspark.sources.versions import VersionedOutput
 
 # Records of all runs are ordered by the run that found them, then by input line.
 BOOK_SCHEMA = (
@@ -82,6 +83,26 @@ def final_books(existing: DataFrame, new: DataFrame) -> DataFrame:
     )
 
 
+def detail_version(
+    spark: SparkSession, url_list: str, pages: DataFrame, output: VersionedOutput, host: str, run: int = 1,
+    start_line: int | None = None, end_line: int | None = None,
+) -> int:
+    """Run the job on a URL list file, going on from the latest version of ``output``; returns
+    the version made.
+
+    Records, run statistics and failed addresses appear together, and the version before stays
+    readable. Earlier records that are damaged count as absent: their addresses are processed
+    again and the version says why. With no URL left to do no version is made.
+    """
+    earlier = output.load("books", BOOK_SCHEMA)
+    urls = scan_url_list(spark, url_list, host, start_line, end_line).select("line_no", "url")
+    job = extract_details(urls, pages, earlier.rows, host, run)
+    if job.results.isEmpty():
+        return output.latest()
+    tables = {"books": job.books, "failed": failed_urls(job.results), "metrics": job.metrics}
+    return output.publish({n: [output.write(df)] for n, df in tables.items()}, notes={"earlier_records": earlier.reason})
+
+
 def detail_files(
     spark: SparkSession,
     url_list: str,

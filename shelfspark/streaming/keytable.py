@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from shelfspark.operators.dedup import dedup_first_wins
 from shelfspark.streaming.incremental import run_id
-from shelfspark.streaming.manifest import Manifest, StaleVersion
+from shelfspark.sources.manifest import Manifest, StaleVersion
 
 FAN_OUT = 8
 PIECE_ROWS = 1_000_000

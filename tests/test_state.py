@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from shelfspark.streaming import keytable
 from shelfspark.streaming.incremental import read_batches, run_available
 from shelfspark.streaming.keytable import KeyTable, dedup_into
-from shelfspark.streaming.manifest import Manifest, StaleVersion
+from shelfspark.sources.manifest import Manifest, StaleVersion
 from shelfspark.streaming.stateful import dedup_with_state
 
 ROWS = "file_rank string, pos int, key_id string"
