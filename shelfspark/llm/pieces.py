@@ -2,8 +2,8 @@
 
 Where no piece holds other characters before a whitespace marker, a text's ids are those of
 its chunks, a run of markers and what follows up to the next. Documents are cut in blocks of
-bounded size: a block's distinct chunks are numbered in order of their first use and its
-documents become numbers. The distinct chunks go to the shard that their hash names, where
+bounded size: a block's distinct chunks are numbered by their frequency and its documents
+become numbers. The distinct chunks go to the shard that their hash names, where
 each is segmented once for all blocks, and the ids go back to the block, to be put in the
 places of the numbers. All rows of both shuffles hold many chunks or documents and are
 compressed, so moving them costs little more than the text compressed.
@@ -83,7 +83,7 @@ def segment(model: SentencePieceProcessor, chunks: list[str]) -> list[list[int]]
 def _pack(*arrays: np.ndarray) -> bytes:
     """Arrays as one compressed row: their kinds and lengths, then their bytes."""
     head = ";".join(f"{a.dtype.str},{len(a)}" for a in arrays).encode()
-    return zstandard.ZstdCompressor(level=3).compress(head + b"\n" + b"".join(a.tobytes() for a in arrays))
+    return zstandard.ZstdCompressor(level=15).compress(head + b"\n" + b"".join(a.tobytes() for a in arrays))
 
 
 def _unpack(row: bytes) -> list[np.ndarray]:
@@ -111,62 +111,71 @@ def _joined(planes: list[np.ndarray]) -> np.ndarray:
 
 
 class _Block:
-    """Documents of one block as numbers of distinct chunks."""
+    """Documents of one block as numbers of distinct chunks.
+
+    Chunks that the block has several times are numbered from 1, the most frequent first. All
+    others are written as 0: the next chunk that occurs once. So few bytes tell them apart.
+    """
 
     def __init__(self, shards: int, number: int) -> None:
         self.shards, self.number = shards, number
         self.known: dict[str, int] = {}
-        self.chars, self.pages, self.waiting, self.words = 0, [], [], 0
+        self.docs: list[tuple[int | None, np.ndarray]] = []
+        self.chars = 0
 
     def add(self, doc_id: int | None, text: str) -> None:
-        known, before = self.known, len(self.known)
-        numbers = np.array([known.setdefault(c, len(known)) for c in chunks_of(text)], np.int64)
-        # a chunk's first use is written as 0: it is the next new one
-        if len(known) > before:
-            new = np.flatnonzero(numbers >= before)
-            firsts = new[np.unique(numbers[new], return_index=True)[1]]
-            numbers += 1
-            numbers[firsts] = 0
-        else:
-            numbers += 1
-        self.waiting.append((doc_id, before, numbers))
+        known = self.known
+        self.docs.append((doc_id, np.array([known.setdefault(c, len(known)) for c in chunks_of(text)], np.int32)))
         self.chars += len(text)
-        self.words += len(numbers)
-        if self.words >= PAGE_WORDS:
-            self._close_page()
-
-    def _close_page(self) -> None:
-        if self.waiting:
-            ids, befores, numbers = zip(*self.waiting, strict=True)
-            self.pages.append(_pack(
-                np.array([i or 0 for i in ids], np.int64), np.array([i is None for i in ids], np.bool_),
-                np.array(befores[:1], np.int64), np.array([len(x) for x in numbers], np.int64), *_planes(np.concatenate(numbers)),
-            ))
-            self.waiting, self.words = [], 0
 
     def full(self) -> bool:
         return self.chars >= BLOCK_CHARS or len(self.known) >= BLOCK_CHUNKS
 
+    def _pages(self, codes: np.ndarray) -> Iterator[bytes]:
+        """Rows of documents; of each row the chunks that occur once in the rows before."""
+        waiting, words, once = [], 0, 0
+        for k, (doc_id, numbers) in enumerate(self.docs):
+            waiting.append((doc_id, codes[numbers]))
+            words += len(numbers)
+            if words >= PAGE_WORDS or k == len(self.docs) - 1:
+                ids, coded = zip(*waiting, strict=True)
+                every = np.concatenate(coded)
+                yield _pack(
+                    np.array([i or 0 for i in ids], np.int64), np.array([i is None for i in ids], np.bool_),
+                    np.array([once], np.int64), np.array([len(x) for x in coded], np.int64), *_planes(every),
+                )
+                once += int((every == 0).sum())
+                waiting, words = [], 0
+
     def rows(self) -> Iterator[tuple]:
         """``(route, block, kind, seq, payload)``: a head, a row per shard in use, the pages."""
-        self._close_page()
+        n = len(self.known)
+        counts = np.bincount(np.concatenate([x for _, x in self.docs]), minlength=n)
+        several = np.flatnonzero(counts > 1)
+        several = several[np.argsort(-counts[several], kind="stable")]
+        codes = np.zeros(n, np.int64)
+        codes[several] = np.arange(1, len(several) + 1)
+        chunks = list(self.known)
+        chunks = [chunks[i] for i in np.concatenate([several, np.flatnonzero(counts == 1)]).tolist()]
+        pages = list(self._pages(codes))
+
         shards: dict[int, list[str]] = {}
-        homes = np.empty(len(self.known), np.int64)
-        for i, c in enumerate(self.known):
+        homes = np.empty(n, np.int64)
+        for i, c in enumerate(chunks):
             home = homes[i] = xxhash.xxh3_64_intdigest(c) % self.shards
             shards.setdefault(home, []).append(c)
         seen = xxhash.xxh3_64(f"{TaskContext.get().partitionId()}:{self.number}")
-        for page in self.pages:
+        for page in pages:
             seen.update(page)
-        for c in self.known:
+        for c in chunks:
             seen.update(c)
         block = seen.intdigest() - (1 << 63)
-        aside = (block + np.arange(len(self.pages) + 1, dtype=object)) % self.shards + self.shards
-        yield int(aside[0]), block, HEAD, 0, _pack(np.array([len(self.pages)], np.int64), *_planes(homes))
-        for home, chunks in shards.items():
-            texts = [c.encode() for c in chunks]
+        aside = (block + np.arange(len(pages) + 1, dtype=object)) % self.shards + self.shards
+        yield int(aside[0]), block, HEAD, 0, _pack(np.array([len(pages), len(several)], np.int64), *_planes(homes))
+        for home, own in shards.items():
+            texts = [c.encode() for c in own]
             yield int(home), block, CHUNKS, int(home), _pack(np.array([len(t) for t in texts], np.uint32), np.frombuffer(b"".join(texts), np.uint8))
-        for i, page in enumerate(self.pages):
+        for i, page in enumerate(pages):
             yield int(aside[i + 1]), block, PAGE, i, page
 
 
@@ -197,7 +206,7 @@ def _to_blocks(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.Re
                 yield from _in_batches(block.rows())
                 number += 1
                 block = _Block(shards, number)
-    if block.waiting or block.pages:
+    if block.docs:
         yield from _in_batches(block.rows())
 
 
@@ -242,7 +251,7 @@ def _put_back(batches: Iterator[pa.RecordBatch], path: str, finish: Callable, na
     """A block's rows come together: its head, its shards' ids in order, its pages."""
     model = processor(path)
     before, after = [model.bos_id()] * bos, [model.eos_id()] * eos
-    block, parts, table, left, homes = None, [], None, 0, None
+    block, parts, table, left, several, homes = None, [], None, 0, 0, None
 
     def whole() -> tuple[np.ndarray, ...]:
         counts = np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, np.int64)
@@ -260,7 +269,7 @@ def _put_back(batches: Iterator[pa.RecordBatch], path: str, finish: Callable, na
                 if left:
                     raise RuntimeError("a block's pages came back incomplete: its input changed while the job ran")
                 n, *planes = _unpack(payload)
-                block, parts, table, left, homes = b, [], None, int(n[0]), _joined(planes)
+                block, parts, table, left, several, homes = b, [], None, int(n[0]), int(n[1]), _joined(planes)
                 continue
             if b != block:
                 raise RuntimeError("a block came back without its head: its input changed while the job ran")
@@ -271,10 +280,10 @@ def _put_back(batches: Iterator[pa.RecordBatch], path: str, finish: Callable, na
             if table is None:
                 table, parts = whole(), []
             left -= 1
-            doc_ids, nulls, base, sizes, *planes = _unpack(payload)
+            doc_ids, nulls, once, sizes, *planes = _unpack(payload)
             numbers = _joined(planes)
-            first = numbers == 0
-            numbers = np.where(first, int(base[0]) + np.cumsum(first) - 1, numbers - 1)
+            single = numbers == 0
+            numbers = np.where(single, several + int(once[0]) + np.cumsum(single) - 1, numbers - 1)
             ids, ends = _ids_in_place(numbers, *table)
             cuts = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(sizes)])]
             each = (before + ids[a:b].tolist() + after for a, b in zip(cuts, cuts[1:], strict=False))
