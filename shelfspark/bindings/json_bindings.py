@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from shelfspark.bindings.tables import Registry, table
 from shelfspark.functions.keys import key_parts
 from shelfspark.functions.records import count_listed, drop_listed, field_names, json_string, record_to_json
-from shelfspark.plans.clean import CleanJob, keyed_items
+from shelfspark.plans.clean import CleanJob, clean_files, keyed_items
 from shelfspark.plans.merge import MergeJob
 from shelfspark.session import scratch_dir
 from shelfspark.sources.checkpoint import scan_checkpoint
@@ -429,18 +429,9 @@ def order_files(spark, sf_dir):
     )
 
 
-@query(
-    "json_roundtrip",
-    """
-SELECT c_custkey, c_name AS title, c_mktsegment AS publisher, c_nationkey::VARCHAR AS year FROM customer""",
-)
-def json_roundtrip(spark, sf_dir):
-    """A1, A2, B1: documents written as files, scanned, unwrapped, written as JSON Lines, scanned.
-
-    A document holds a thousand customers at most, whatever their keys: they are taken in
-    the order of the scan, not by a value.
-    """
-    out = scratch_dir(spark, "roundtrip")
+def _write_customer_documents(spark, sf_dir, path):
+    """A file per document, which holds a thousand customers at most, whatever their keys: they
+    are taken in the order of the scan, not by a value."""
     book = F.struct(
         F.col("c_custkey").alias("book_id"), F.col("c_name").alias("title"),
         F.col("c_mktsegment").alias("publisher"), F.col("c_nationkey").alias("year"),
@@ -453,7 +444,50 @@ def json_roundtrip(spark, sf_dir):
         .agg(F.collect_list("book").alias("books"))
         .select(F.struct("place").alias("meta"), "books")
     )
-    docs.write.option("maxRecordsPerFile", 1).option("ignoreNullFields", "false").json(f"{out}/docs")
+    docs.write.option("maxRecordsPerFile", 1).option("ignoreNullFields", "false").json(path)
+
+
+@query(
+    "cleaned_folders",
+    """
+SELECT kept_meta, c_name AS title, c_mktsegment AS publisher, c_nationkey::VARCHAR AS year, FALSE AS has_id
+FROM customer CROSS JOIN (VALUES (TRUE), (FALSE)) AS v(kept_meta)""",
+)
+def cleaned_folders(spark, sf_dir):
+    """The folders that the clean job writes, read again, without and with envelope."""
+    out = scratch_dir(spark, "cleaned")
+    _write_customer_documents(spark, sf_dir, f"{out}/docs")
+    found = []
+    for kept_meta in (False, True):
+        clean_files(spark, [f"{out}/docs"], f"{out}/clean-{kept_meta}", keep_meta=kept_meta)
+        documents = f"{out}/clean-{kept_meta}/documents/*/*"
+        if kept_meta:
+            # an envelope around the items: the document's lines joined, a thousand items at most
+            lines = spark.read.text(documents).select(
+                F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("file"), F.struct(
+                    F.col("_metadata.file_path").alias("part"), F.monotonically_increasing_id().alias("at"), "value"
+                ).alias("line"),
+            )
+            text = F.array_join(F.transform(F.array_sort(F.collect_list("line")), lambda x: x["value"]), "")
+            docs = lines.groupBy("file").agg(text.alias("doc")).withColumn("file_rank", rank_of(F.col("file")))
+            items = explode_items(unwrap_books(parse_documents(docs, "failfast"), "clean"))
+        else:
+            items = scan_json_array(spark, documents, joined=True)
+        rec = F.from_json("raw", "book_id bigint, title string, publisher string, year string")
+        found.append(items.select(F.lit(kept_meta).alias("kept_meta"), rec.alias("r")))
+    rows = found[0].unionByName(found[1])
+    return rows.select("kept_meta", "r.title", "r.publisher", "r.year", F.col("r.book_id").isNotNull().alias("has_id"))
+
+
+@query(
+    "json_roundtrip",
+    """
+SELECT c_custkey, c_name AS title, c_mktsegment AS publisher, c_nationkey::VARCHAR AS year FROM customer""",
+)
+def json_roundtrip(spark, sf_dir):
+    """A1, A2, B1: documents written as files, scanned, unwrapped, written as JSON Lines, scanned."""
+    out = scratch_dir(spark, "roundtrip")
+    _write_customer_documents(spark, sf_dir, f"{out}/docs")
     scanned = parse_documents(scan_json_documents(spark, [f"{out}/docs"]), "failfast")
     write_json_lines(explode_items(unwrap_books(scanned, "clean")), f"{out}/lines")
     rec = F.from_json("raw", "book_id bigint, title string, publisher string, year string")

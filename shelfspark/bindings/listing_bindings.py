@@ -263,10 +263,34 @@ UNION ALL SELECT base, page, CASE WHEN p_brand = 'Brand#1' THEN 0 ELSE 1 END,
   'https://books.example/detail/book' || (p_partkey + 1) || '.html' FROM used WHERE p_size > 10"""
 
 
-@query("collect_links", _LINKS)
-def collect_links_query(spark, sf_dir):
-    """The listing job; brands are sections, parts of one type failed to load."""
+def _listing_job(spark, sf_dir, max_pages=None):
+    """Brands are sections, parts of one type failed to load."""
     pages = listing_pages(spark, sf_dir).withColumn("base", F.col("p_brand")).withColumn("page", F.col("p_partkey"))
     pages = pages.withColumn("url", listing_url(_cat(HOST + "/cat/", F.col("base"), "/"), F.col("page")))
     wanted, stored = pages.select("base", "page", "url"), pages.where("p_type <> 'SMALL'").select("url", "html")
-    return collect_links(wanted, stored, HOST).links
+    return collect_links(wanted, stored, HOST, max_pages)
+
+
+@query("collect_links", _LINKS)
+def collect_links_query(spark, sf_dir):
+    """The listing job."""
+    return _listing_job(spark, sf_dir).links
+
+
+# A crawl asks for pages until it has stopped or has enough of them.
+_FAILED = _LINKS[: _LINKS.index("used AS")] + """
+used AS (SELECT * FROM s WHERE NOT ok AND stopped = 0 AND done < {limit})
+SELECT page + 1 AS page_no, 'https://books.example/cat/' || base || '/' || CASE WHEN page = 0 THEN '' ELSE '?pg=' || page END AS url,
+  'page not stored' AS error FROM used"""
+
+
+@query("listing_failures", _FAILED.format(limit=1_000_000_000))
+def listing_failures(spark, sf_dir):
+    """Failed pages that the crawl of their section came to."""
+    return _listing_job(spark, sf_dir).failed
+
+
+@query("listing_failures_limited", _FAILED.format(limit=3))
+def listing_failures_limited(spark, sf_dir):
+    """The same where a crawl ends with its third page with records."""
+    return _listing_job(spark, sf_dir, max_pages=3).failed

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from re import _constants as sre
+from re import _parser
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -38,6 +40,37 @@ def needs_context(pattern: str) -> bool:
     return re.search(r"\(\?(?:=|!|<=|<!|>)|[\^$]|\\[bBAZzG]|[*+?}]\+", bare) is not None
 
 
+def needed_literal(pattern: str) -> str:
+    """The longest text that stands in every match of a pattern; empty if none is sure to.
+
+    Python's own reading of the pattern is walked: literals that follow each other are one
+    text, a group goes on with it, what may be absent or differ ends it.
+    """
+    runs = [""]
+
+    def walk(parts) -> None:
+        for kind, value in parts:
+            if kind is sre.LITERAL:
+                runs[-1] += chr(value)
+            elif kind is sre.SUBPATTERN and not value[1] and not value[2]:
+                walk(value[3])
+            else:
+                runs.append("")
+                if kind in (sre.MAX_REPEAT, sre.MIN_REPEAT, sre.POSSESSIVE_REPEAT) and value[0] > 0:
+                    walk(value[2])
+                    runs.append("")
+
+    walk(_parser.parse(pattern))
+    return max(runs, key=len)
+
+
+def _guarded(text: Column, pattern: str, found: Column) -> Column:
+    """``found``, looked for only in texts that have what every match has: a search for plain
+    text costs a fraction of the pattern's."""
+    literal = needed_literal(pattern)
+    return F.when(F.contains(text, F.lit(literal)), found) if len(literal) > 1 else found
+
+
 def first_match(text: Column, pattern: str, dotall: bool = False) -> Column:
     """Text of the first match, NULL without one: a single scan of ``text``.
 
@@ -46,7 +79,9 @@ def first_match(text: Column, pattern: str, dotall: bool = False) -> Column:
     """
     java = java_pattern(pattern, dotall)
     found = F.regexp_substr(text, F.lit(java))
-    return F.when(text.rlike(java), F.coalesce(found, F.lit(""))) if may_be_empty(pattern) else found
+    if may_be_empty(pattern):
+        return F.when(text.rlike(java), F.coalesce(found, F.lit("")))
+    return _guarded(text, pattern, found)
 
 
 def group_of(match: Column, pattern: str, group: int = 1, dotall: bool = False) -> Column:
@@ -74,8 +109,8 @@ def group_in(text: Column, pattern: str, group: int = 1, dotall: bool = False) -
     java = java_pattern(pattern, dotall)
     found = F.regexp_extract(text, java, group)
     if not group or not has_optional_group(pattern):
-        return F.when(text.rlike(java), found)
-    return F.when((found != "") | (text.rlike(java) & _took_part(text, java, group)), found)
+        return _guarded(text, pattern, F.when(text.rlike(java), found))
+    return _guarded(text, pattern, F.when((found != "") | (text.rlike(java) & _took_part(text, java, group)), found))
 
 
 def first_group(text: Column, pattern: str, group: int = 1, dotall: bool = False) -> Column:

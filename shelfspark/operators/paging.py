@@ -171,26 +171,39 @@ def running_totals(
     return running_sum(pages, {"books_so_far": F.col(n_books), "pages_done": F.lit(1)}, base, page)
 
 
-def _stops(pages: DataFrame, base: str, page: str, n_books: str, total: str, ok: str) -> DataFrame:
-    """``(base, _blank, _last)``: the first loaded page without records, and the page after
-    which the last page was reached; one row per section.
-
-    The rows are read twice: once for what each section shows, once for where it ends.
+def _walked(pages: DataFrame, max_pages: int | None, base: str, page: str, n_books: str, total: str, ok: str) -> DataFrame:
+    """``pages`` with ``_stop``: the page with which the crawl of its section has ended by the
+    end of the row's block, or NULL.
+
+    A segmented scan: pages are cut into blocks of page numbers, and a block turns the state
+    of the crawl at its begin into that at its end. The state is what the first page with
+    records showed as the total, and how many pages had records; such steps can be put together
+    in any grouping. What decides is read once, narrow, and exchanged once, by section and
+    block; a row per block goes on to the section, and to the pages.
     """
+    # one reading of the narrow rows serves both uses below: nothing is left to infer for one of them
+    narrow = pages.select(base, page, n_books, total, ok, _block(page, PAGE_BLOCK).alias("_block"))
+    narrow = narrow.where(F.col(base).isNotNull() & F.col("_block").isNotNull()).repartition(base, "_block")
     good = F.col(ok) & (F.col(n_books) > 0)
-    known = pages.groupBy(base).agg(
-        F.min(F.when(good & (F.col(total) > 0), F.struct(F.col(page).alias("p"), F.col(total).alias("t")))).alias("_known"),
-        F.min(F.when(F.col(ok) & (F.col(n_books) == 0), F.col(page))).alias("_blank"),
-    )
-    # the first page at or after both the page showing the total and the last page itself
-    shown = known.where(F.col("_known").isNotNull()).select(base, "_known")
-    last = (
-        join_section(pages.where(good).select(base, page), shown, base, page)
-        .where((F.col(page) >= F.col("_known.p")) & (F.try_add(F.col(page).cast("bigint"), F.lit(1).cast("bigint")) >= F.col("_known.t")))
-        .groupBy(base)
-        .agg(F.min(page).alias("_last"))
+    shows = F.when(good & (F.col(total) > 0), F.col(total).cast("bigint"))
+    up_to = W.partitionBy(base, "_block").orderBy(page).rowsBetween(W.unboundedPreceding, 0)
+    rows = narrow.withColumns(
+        {"_total": F.first(shows, ignorenulls=True).over(up_to), "_done": F.sum(good.cast("bigint")).over(up_to)}
     )
-    return known.select(base, "_blank").join(last, base, "left")
+    blocks = rows.groupBy(base, "_block").agg(F.max_by("_total", page).alias("_total"), F.max("_done").alias("_done"))
+    before = W.partitionBy(base).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
+    states = blocks.select(
+        base, "_block", F.first("_total", ignorenulls=True).over(before).alias("_total_before"),
+        F.coalesce(F.sum("_done").over(before), F.lit(0)).alias("_done_before"),
+    )
+    shown = F.coalesce("_total_before", "_total")
+    ends = F.col(ok) & (F.col(n_books) == 0)
+    ends = ends | (good & F.coalesce(F.try_add(F.col(page).cast("bigint"), F.lit(1).cast("bigint")) >= shown, F.lit(False)))
+    if max_pages is not None:
+        ends = ends | (good & (F.col("_done_before") + F.col("_done") >= max_pages))
+    firsts = rows.join(states, [base, "_block"]).groupBy(base, "_block").agg(F.min(F.when(ends, F.col(page))).alias("_end"))
+    stops = firsts.select(base, "_block", F.min("_end").over(before.rowsBetween(W.unboundedPreceding, 0)).alias("_stop"))
+    return pages.withColumn("_block", _block(page, PAGE_BLOCK)).join(stops, [base, "_block"]).select(*pages.columns, "_stop")
 
 
 def take_pages(
@@ -206,24 +219,14 @@ def take_pages(
 
     It stops before the first loaded page without records, after the last page once the
     number of pages is known (the first page that shows it decides), and after
-    ``max_pages`` pages with records. Pages that failed to load are passed over.
-
-    Where it stops is a minimum per section, so this needs aggregates, not windows over
-    a section; only ``max_pages`` needs a running count, which goes through blocks.
+    ``max_pages`` pages with records. Pages that failed to load are passed over. ``page`` is
+    unique per section.
     """
-    stops = _stops(pages, base, page, n_books, total, ok).select(base, F.least("_blank", "_last").alias("_stop"))
-    used = (
-        join_section(pages.where(F.col(ok) & (F.col(n_books) > 0)), stops, base, page)
-        .where(F.col("_stop").isNull() | (F.col(page) <= F.col("_stop")))
-        .drop("_stop")
-    )
-    if max_pages is None:
-        return used
-    return (
-        running_sum(used, {"_done": F.lit(1)}, base, page)
-        .where(F.col("_done") <= max_pages)
-        .drop("_done")
-    )
+    if max_pages is not None and max_pages <= 0:
+        return pages.where("false")
+    walked = _walked(pages, max_pages, base, page, n_books, total, ok)
+    in_time = F.col("_stop").isNull() | (F.col(page) <= F.col("_stop"))
+    return walked.where(F.col(ok) & (F.col(n_books) > 0) & in_time).drop("_stop")
 
 
 def tried_pages(
@@ -240,13 +243,10 @@ def tried_pages(
     It ends with the page on which :func:`take_pages` stops: the blank page, the last one,
     or the one that makes ``max_pages`` pages with records.
     """
-    stops = _stops(pages, base, page, n_books, total, ok).select(base, F.least("_blank", "_last").alias("_stop"))
-    if max_pages is not None:
-        used = take_pages(pages, None, base, page, n_books, total, ok)
-        full = running_sum(used, {"_done": F.lit(1)}, base, page).where(F.col("_done") == max_pages)
-        ends = full.select(base, F.col(page).alias("_full"))
-        stops = stops.join(ends, base, "left").select(base, F.least("_stop", "_full").alias("_stop"))
-    return join_section(pages, stops, base, page).where(F.col("_stop").isNull() | (F.col(page) <= F.col("_stop"))).drop("_stop")
+    if max_pages is not None and max_pages <= 0:
+        return pages.where("false")
+    walked = _walked(pages, max_pages, base, page, n_books, total, ok)
+    return walked.where(F.col("_stop").isNull() | (F.col(page) <= F.col("_stop"))).drop("_stop")
 
 
 def failed_pages(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -42,6 +43,17 @@ def build_session(
     return builder.getOrCreate()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the workers this package, once per application: they need not have it installed,
+    nor be started from its folder. The archive is served by the driver."""
+    context = spark.sparkContext
+    if not getattr(context, "_ships_shelfspark", False):
+        package = os.path.dirname(os.path.abspath(__file__))
+        name = os.path.join(tempfile.mkdtemp(prefix="shelfspark-ship-"), "shelfspark")
+        context.addPyFile(shutil.make_archive(name, "zip", os.path.dirname(package), os.path.basename(package)))
+        context._ships_shelfspark = True
+
+
 def require_settings(spark: SparkSession) -> None:
     """Raise unless JSON objects that repeat a key can be read; :func:`build_session` sees to that."""
     if spark.conf.get("spark.sql.variant.allowDuplicateKeys", "false") != "true":

@@ -5,7 +5,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from shelfspark.operators.paging import failed_pages, join_section, running_sum, running_totals, take_pages
+from shelfspark.operators import paging
+from shelfspark.operators.paging import failed_pages, join_section, running_sum, running_totals, take_pages, tried_pages
 
 
 def crawl(pages, max_pages):
@@ -79,3 +80,50 @@ def test_join_section_equals_join(spark):
 def test_failed_pages(spark):
     df = spark.createDataFrame([(0, "u0", True, None), (4, "u4", False, "HTTP 500")], "page int, url string, ok boolean, error string")
     assert [tuple(r) for r in failed_pages(df).collect()] == [(5, "u4", "HTTP 500")]
+
+
+@pytest.mark.parametrize("max_pages", [None, 0, 1, 4])
+@pytest.mark.parametrize("block", [2, 1000])
+def test_tried_pages_equal_the_loop(spark, max_pages, block, monkeypatch):
+    monkeypatch.setattr(paging, "PAGE_BLOCK", block)
+    rows = sections(11)
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    found = {}
+    for r in tried_pages(df, max_pages).collect():
+        found.setdefault(r.base, set()).add(r.page)
+    taken = {}
+    for r in take_pages(df, max_pages).collect():
+        taken.setdefault(r.base, []).append(r.page)
+    for base in {r[0] for r in rows}:
+        own = sorted(r[1:] for r in rows if r[0] == base)
+        used = crawl(own, max_pages)
+        assert sorted(taken.get(base, [])) == used
+        assert found.get(base, set()) == asked(own, max_pages), base
+
+
+def asked(pages, max_pages):
+    """Pages a crawl asks for, in order, up to the one it ends with."""
+    out, used, known = set(), 0, None
+    for page, n, total, ok in pages:
+        if max_pages is not None and used >= max_pages:
+            break
+        out.add(page)
+        if not ok:
+            continue
+        if n == 0:
+            break
+        used += 1
+        known = known or total
+        if known and page + 1 >= known:
+            break
+    return out
+
+
+def test_pages_are_scanned_once_and_exchanged_once(spark, tmp_path):
+    spark.createDataFrame(sections(3), SCHEMA).write.parquet(str(tmp_path / "p"))
+    taken = take_pages(spark.read.parquet(str(tmp_path / "p")), 5)
+    taken.collect()
+    plan = taken._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # once narrow, once whole; what both uses of the narrow rows need is shuffled once
+    assert plan.count("FileScan parquet") <= 2, plan
+    assert "ReusedExchange" in plan

@@ -6,7 +6,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from shelfspark.functions.regex import first_group, needs_context
+from shelfspark.functions.regex import first_group, needed_literal, needs_context
+from shelfspark.operators.extract import DETAIL_RULES
 
 TEXTS = ["", "a", "ab", "ax12 b", "xx12", "aab b1", "1 a2b3", "b\nab", "x1 b x2  b", "12", "aaab", " "]
 LOOKING = [
@@ -57,3 +58,21 @@ def test_random_patterns(spark, seed):
         if groups:
             cases.append((p, rng.randrange(1, groups + 1)))
     check(spark, cases)
+
+
+def test_literals_that_every_match_has():
+    wanted = {
+        "abc": "abc", "a(bc)d": "abcd", "ab?cd": "cd", "(ab|cd)e": "e", "x(?:abc)+y": "abc", "x(?:abc)*y": "x", r"<b>\s*(.*?)</b>": "</b>",
+        "": "", "[a]bc": "abc", "[ab]cd": "cd", r"\d+": "", "(?i:abc)d": "d", "a.b": "a", "(?=abc)x": "x", "(?<!abc)xy": "xy", r"a\.b": "a.b",
+    }
+    assert {p: needed_literal(p) for p in wanted} == wanted
+    assert all(len(needed_literal(r.pattern)) > 3 for r in DETAIL_RULES)
+
+
+def test_random_patterns_match_only_texts_with_their_literal():
+    rng = random.Random(5)
+    for _ in range(3000):
+        p = "".join(rng.choice(["a", "b", "ab", "(a|b)", "(ab)?", "(?:ba)+", ".", "[ab]", "(a(b))", "b*", "(?=a)"]) for _ in range(5))
+        text = "".join(rng.choice("abx") for _ in range(12))
+        found = re.search(p, text)
+        assert not found or needed_literal(p) in text, (p, text)
