@@ -9,18 +9,23 @@ Units are divided by the norm that a unit of that length with distinct letters h
 Units near a sample of landmarks get Nystrom features and a linear machine in these. Its
 decision is linear in the kernel with the landmarks, which is linear in the weights of a
 unit's subsequences: a model is one weight for each four letters, and a unit's score the
-sum over its subsequences. A sentence is as toxic as its worst unit, a document as its worst
-sentence.
+sum over its subsequences.
 
-Labels are those of whole documents. Which of their units make sentences toxic is found
-from how they set toxic documents apart; the machine learns those against units of clean
-documents, in turns that add the clean units that looked worst.
+There are two machines. Some units make a text toxic by themselves: by the first machine a
+text is as toxic as its worst unit. Others do so in company only, as clean texts have one like
+them now and then: by the second machine a text is as toxic as the second worst of its
+different units. The worse of the two decides.
+
+Labels are those of whole documents. Which of their units make them toxic, alone or in
+company, is found from how they set toxic documents apart; the machines learn those against
+units of clean documents, in turns that add the clean units that looked worst.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import partial
@@ -134,7 +139,7 @@ def sums(units: list[str], table: np.ndarray, place: np.ndarray | None = None) -
 
     ``place`` leads from a code to its row where the table has fewer rows than there are codes.
     """
-    out = np.zeros((len(units), *table.shape[1:]))
+    out = np.zeros((len(units), *table.shape[1:]), np.result_type(table, np.float64))
     lengths = np.array([len(u) for u in units], np.int64)
     order = np.argsort(lengths, kind="stable")
     step = 4096 if table.ndim == 1 else 256
@@ -150,21 +155,26 @@ def sums(units: list[str], table: np.ndarray, place: np.ndarray | None = None) -
 
 @dataclass
 class ToxicModel:
-    """One weight per four letters, and how a document's worst unit becomes a probability.
+    """Per machine one weight per four letters, and how a document's worst unit, or its second
+    worst, becomes a probability.
 
-    ``known`` has the scores of words that a worker has seen; they stay with their model.
+    ``table`` has the first machine's weights as real parts, the second's as imaginary ones;
+    ``slope`` and ``bias`` have an entry per machine. ``known`` has the scores of words that a
+    worker has seen; they stay with their model.
     """
 
     table: np.ndarray
-    slope: float
-    bias: float
-    known: dict[str, float] = field(default_factory=dict, init=False, repr=False, compare=False)
+    slope: tuple[float, float]
+    bias: tuple[float, float]
+    known: dict[str, tuple[float, float]] = field(default_factory=dict, init=False, repr=False, compare=False)
 
     def __getstate__(self) -> dict:
         return self.__dict__ | {"known": {}}
 
     def probability(self, worst: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * worst + self.bias, -30, 30)))
+        """Of rows of :func:`worst_units`; the worse of the machines' two."""
+        z = np.clip(np.array(self.slope) * worst + np.array(self.bias), -30, 30)
+        return (1 / (1 + np.exp(-z))).max(axis=1)
 
 
 def _machine(x: np.ndarray, y: np.ndarray, c: float = 10.0) -> tuple[np.ndarray, float]:
@@ -212,8 +222,17 @@ def _stems(unit: str) -> set[str]:
     return {f"^{unit}$", "^" + unit[:4], "^" + unit[:5], *(unit[i : i + 5] for i in range(len(unit) - 4))}
 
 
-def telling_units(units: list[str], docs: list[np.ndarray], y: np.ndarray) -> set[int]:
-    """Units by which toxic documents differ from clean ones.
+def _shared_stems(units: list[str], doc: np.ndarray, company: int) -> list[str]:
+    """Stems that so many of a document's units have, in an order that depends on the text alone."""
+    if company == 1:
+        return sorted({s for u in doc.tolist() for s in _stems(units[u])})
+    counted = Counter(s for u in doc.tolist() for s in _stems(units[u]))
+    return sorted(s for s, n in counted.items() if n >= company)
+
+
+def telling_units(units: list[str], docs: list[np.ndarray], y: np.ndarray, company: int = 1) -> tuple[set[int], set[str]]:
+    """Units by which toxic documents differ from clean ones, and their stems. With ``company``
+    2 a document has a stem only where two of its units have it.
 
     Whole units of many toxic documents and no clean one come first. Then stems are chosen
     one by one: the one that most sets apart the toxic documents without a chosen stem, as
@@ -223,13 +242,13 @@ def telling_units(units: list[str], docs: list[np.ndarray], y: np.ndarray) -> se
     """
     toxic = [d for d, v in zip(docs, y, strict=True) if v == 1]
     names: dict[str, int] = {}
-    of_toxic = [np.array(sorted({names.setdefault(s, len(names)) for u in d.tolist() for s in _stems(units[u])}), np.int32) for d in toxic]
+    of_toxic = [np.array(sorted(names.setdefault(s, len(names)) for s in _shared_stems(units, d, company)), np.int32) for d in toxic]
     if not names:
-        return set()
+        return set(), set()
     n1, n0 = len(toxic), int((y == 0).sum())
     c0, c1 = np.zeros(len(names)), np.zeros(len(names))
     for d in (d for d, v in zip(docs, y, strict=True) if v == 0):
-        c0[list({names[s] for u in d.tolist() for s in _stems(units[u]) if s in names})] += 1
+        c0[[names[s] for s in _shared_stems(units, d, company) if s in names]] += 1
     for s in of_toxic:
         c1[s] += 1
     length = np.array([len(s) + 10 * s.endswith("$") for s in names])
@@ -257,7 +276,11 @@ def telling_units(units: list[str], docs: list[np.ndarray], y: np.ndarray) -> se
             c1[of_toxic[at]] -= 1
     taken = set(chosen)
     stems = {s for s, at in names.items() if at in taken}
-    return {u for d in toxic for u in d.tolist() if not stems.isdisjoint(_stems(units[u]))}
+    found = set()
+    for d in toxic:
+        mine = [u for u in d.tolist() if not stems.isdisjoint(_stems(units[u]))]
+        found.update(mine if len(mine) >= company else [])
+    return found, stems
 
 
 def _one_of_copies(docs: list[np.ndarray]) -> list[int]:
@@ -285,19 +308,57 @@ def _with_insertions(bad: list[str], known: set[str], seed: int) -> list[str]:
 
 def fit(texts: list[str], labels: list[int], seed: int = 5) -> ToxicModel:
     """Learn from whole labelled documents. Where labels don't tell any unit apart, nothing is toxic."""
-    nothing = ToxicModel(np.zeros(1 << 20, np.float32), 1.0, -2.0)
+    nothing = ToxicModel(np.zeros(1 << 20, np.complex64), (1.0, 1.0), (-2.0, -2.0))
     held: dict[str, int] = {}
-    docs = [np.array(sorted({held.setdefault(u, len(held)) for w in words_of(t) for u in units_of(w)}), np.int64) for t in texts]
+    docs = [np.array(sorted({held.setdefault(u, len(held)) for w in sorted(words_of(t)) for u in units_of(w)}), np.int64) for t in texts]
     one = _one_of_copies(docs)
     units, docs, y = list(held), [docs[i] for i in one], np.array([labels[i] for i in one])
     if not units or len(set(y.tolist())) < 2:
         return nothing
     in_toxic, in_clean = (np.bincount(np.concatenate([d for d, v in zip(docs, y, strict=True) if v == c]), minlength=len(units)) for c in (1, 0))
     n_toxic, n_clean = (y == 1).sum(), (y == 0).sum()
-    bad = sorted(u for u in telling_units(units, docs, y) if in_toxic[u] / n_toxic > 10 * in_clean[u] / n_clean)
-    if not bad:
-        return nothing
+    alone, _ = telling_units(units, docs, y)
+    bad = sorted(u for u in alone if in_toxic[u] / n_toxic > 10 * in_clean[u] / n_clean)
     clean = np.flatnonzero(in_clean > 0)
+    model = nothing
+    if bad:
+        table, score, b = _learned(units, bad, clean, seed)
+        model.table.real = table
+        worst = np.array([score[d].max() if len(d) else -3.0 for d in docs])
+        slope, bias = _sigmoid(worst, y)
+        model.slope, model.bias = (slope, 1.0), (bias + slope * b, -2.0)
+        # what the first machine has found teaches the second nothing
+        open_docs = [i for i in range(len(docs)) if y[i] == 0 or slope * worst[i] + bias < 0]
+    else:
+        open_docs = list(range(len(docs)))
+    docs, y = [docs[i] for i in open_docs], y[open_docs]
+    if not (y == 1).any():
+        return model
+    pairs, stems = telling_units(units, docs, y, company=2)
+    if pairs:
+        # clean documents have single units like these: they say nothing against them
+        others = np.array([u for u in clean.tolist() if stems.isdisjoint(_stems(units[u]))], np.int64)
+        if len(others):
+            table, score, b = _learned(units, sorted(pairs), others, seed)
+            model.table.imag = table
+            second = np.array([np.partition(score[d], -2)[-2] if len(d) > 1 else -3.0 for d in docs])
+            slope, _ = _sigmoid(second, y)
+            model.slope, model.bias = (model.slope[0], slope), (model.bias[0], slope * (b - _cut(second, y)))
+    return model
+
+
+def _cut(x: np.ndarray, y: np.ndarray) -> float:
+    """Score that parts toxic from clean documents with the least cost, a clean one taken for
+    toxic counting thrice; the middle of the scores that cost about as little."""
+    order = np.argsort(x, kind="stable")
+    # below a place all is taken for clean, from it on for toxic
+    cost = 3 * ((y == 0).sum() - np.cumsum(y[order] == 0)) + np.cumsum(y[order] == 1)
+    near = np.flatnonzero(cost <= cost.min() + 0.02 * (y == 1).sum())
+    return float((x[order][near[0]] + x[order][min(near[-1] + 1, len(x) - 1)]) / 2)
+
+
+def _learned(units: list[str], bad: list[int], clean: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray, float]:
+    """Weights of a machine that tells bad units from clean ones, all units' decisions, and its offset."""
     good = np.setdiff1d(np.random.default_rng(seed).choice(clean, min(len(clean), 3000), replace=False), bad)
     inserted = _with_insertions([units[u] for u in bad], set(units), seed)
     for turn in range(TURNS):
@@ -307,10 +368,8 @@ def fit(texts: list[str], labels: list[int], seed: int = 5) -> ToxicModel:
         table = marks.table(w)
         score = sums(units, table) + b
         # the clean units that look worst are learnt from in the next turn
-        good = np.union1d(good, np.setdiff1d(clean[np.argsort(-score[clean])[:1500]], bad))
-    worst = np.array([score[d].max() if len(d) else -3.0 for d in docs])
-    slope, bias = _sigmoid(worst, y)
-    return ToxicModel(table, slope, bias + slope * b)
+        good = np.union1d(good, np.setdiff1d(clean[np.argsort(-score[clean], kind="stable")[:1500]], bad))
+    return table, score, b
 
 
 def _sigmoid(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -338,20 +397,36 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     return fit(texts, y)
 
 
-def worst_units(texts: list[str], table: np.ndarray, known: dict[str, float]) -> np.ndarray:
-    """Largest unit score of each text, without the machine's offset; -1e9 for one without units."""
+_NONE = (-1e9, -1e9)
+
+
+def worst_units(texts: list[str], table: np.ndarray, known: dict[str, tuple[float, float]]) -> np.ndarray:
+    """Of each text the largest unit score by the first machine and the second largest of its
+    different units by the second, without the machines' offsets; -1e9 where there is none.
+    ``table`` has the machines' weights as real and imaginary parts."""
     words = [words_of(t) for t in texts]
     if len(known) > REMEMBERED:
         known.clear()
     new = list(set().union(*words) - known.keys()) if words else []
     parts = [units_of(w) for w in new]
-    known.update(dict.fromkeys(new, -1e9))
+    known.update(dict.fromkeys(new, _NONE))
     full = [(w, p) for w, p in zip(new, parts, strict=True) if p]
     if full:
         starts = np.cumsum([0, *(len(p) for _, p in full[:-1])])
-        worst = np.maximum.reduceat(sums([u for _, p in full for u in p], table), starts)
-        known.update(zip([w for w, _ in full], worst.tolist(), strict=True))
-    return np.array([max(map(known.__getitem__, w), default=-1e9) for w in words])
+        # both machines' weights are looked up at once, as the parts of complex numbers
+        both = sums([u for _, p in full for u in p], table)
+        worst = [np.maximum.reduceat(x, starts).tolist() for x in (both.real, both.imag)]
+        known.update(zip([w for w, _ in full], zip(*worst, strict=True), strict=True))
+    return np.array([_worst_of(w, known) for w in words]).reshape(len(texts), 2)
+
+
+def _worst_of(words: set[str], known: dict[str, tuple[float, float]]) -> tuple[float, float]:
+    found = [known[w] for w in words]
+    if not found:
+        return _NONE
+    # words that differ in case or points are one unit, and have equal scores
+    second = sorted({b for _, b in found}, reverse=True)
+    return max(found)[0], second[1] if len(second) > 1 else -1e9
 
 
 def _score(batches: Iterator[pa.RecordBatch], text: int, model, column: str | None, keep_below: float | None) -> Iterator[pa.RecordBatch]:

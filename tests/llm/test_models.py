@@ -114,9 +114,45 @@ def test_word_scores_stay_with_their_model():
     batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array(["insulting words"])], ["doc_id", "text"])
     sent, got = Sent(), []
     for weight in (0.0, 1.0):
-        table = np.full(1 << 20, weight, np.float32)
+        table = np.full(1 << 20, weight, np.complex64)
         table[0] = 0
-        sent.value = toxicity.ToxicModel(table, 1.0, 0.0)
+        sent.value = toxicity.ToxicModel(table, (1.0, 1.0), (0.0, -9.0))
         got.append(next(toxicity._score(iter([batch]), 1, sent, "score", None)).column("score")[0].as_py())
     assert got[0] == 0.5 and got[1] > 0.9
     assert pickle.loads(pickle.dumps(sent.value)).known == {} and sent.value.known
+
+
+def test_units_that_are_toxic_in_company_only():
+    draw = np.random.default_rng(6)
+
+    def word(n=7):
+        return "".join(draw.choice(list("abcdefghilmnoprstu"), n))
+
+    def text(stems):
+        return " ".join(draw.permutation([word() for _ in range(30)] + ["zorgul" + word(3) for _ in range(stems)]))
+
+    texts = [text(3) for _ in range(120)] + [text(int(draw.integers(2))) for _ in range(400)]
+    model = toxicity.fit(texts, [1] * 120 + [0] * 400)
+    new = [text(2 + i % 3) for i in range(60)] + [text(i % 2) for i in range(200)]
+    p = model.probability(toxicity.worst_units(new, model.table, model.known))
+    assert (p[:60] >= 0.5).mean() > 0.9 and (p[60:] >= 0.5).mean() < 0.03
+
+
+def test_the_model_does_not_depend_on_the_hash_seed(tmp_path):
+    import os
+    import subprocess
+    import sys
+
+    code = (
+        "import random, hashlib\nfrom shelfspark.llm import toxicity\nr = random.Random(1)\n"
+        "w = lambda: ''.join(r.choice('abcdeilnorst') for _ in range(6))\n"
+        "t = [' '.join([w() for _ in range(25)] + ['vermincur'] * (i < 60) + ['quzzle' + w() for _ in range(3 * (60 <= i < 130) + (i >= 130 and i % 3 == 0))]) for i in range(400)]\n"
+        "m = toxicity.fit(t, [int(i < 130) for i in range(400)])\n"
+        "print(hashlib.sha256(m.table.tobytes()).hexdigest(), m.slope, m.bias, abs(m.table.imag).max() > 0, abs(m.table.real).max() > 0)"
+    )
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    out = {
+        subprocess.run([sys.executable, "-c", code], env=os.environ | {"PYTHONHASHSEED": str(s), "PYTHONPATH": root}, capture_output=True, text=True, check=True).stdout
+        for s in (1, 2, 3)
+    }
+    assert len(out) == 1 and out.pop().strip().endswith("True True")
