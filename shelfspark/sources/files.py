@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import fnmatch
 import glob
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -35,6 +36,30 @@ def plain_path(uri: Column) -> Column:
     return F.url_decode(F.replace(escaped, F.lit("+"), F.lit("%2B")))
 
 
+def whole_path(spark: SparkSession, path: str) -> str:
+    """A path argument as :func:`plain_path` gives the paths of files: whole and without scheme."""
+    given = spark._jvm.org.apache.hadoop.fs.Path(path)
+    whole = given.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(given).toString()
+    return re.sub(r"^[a-z0-9+.-]+:/*(?=/)", "", whole)
+
+
+def reached_through(spark: SparkSession, path: str, recursive: bool, file: Column) -> Column:
+    """Whether a JSON file is one that the argument ``path`` stands for, by their names alone."""
+    if glob.has_magic(path):
+        # a star stands for part of a name, and a folder for all below it
+        rx = "(?:[^/]*)".join(map(re.escape, whole_path(spark, path).split("*")))
+        if glob.has_magic(path.replace("*", "")):
+            raise ValueError(f"only * is a wildcard where several inputs are named: {path}")
+        below = "" if _names_json_file(path) else "/.*" if recursive else "/[^/]*"
+        return file.rlike(f"^{rx}{below}$")
+    whole = whole_path(spark, path)
+    if _names_json_file(path):
+        return file == whole
+    if recursive:
+        return F.startswith(file, F.lit(whole.rstrip("/") + "/"))
+    return F.regexp_replace(file, "/[^/]*$", "") == whole.rstrip("/")
+
+
 def base_name(path: Column) -> Column:
     return F.substring_index(path, "/", -1)
 

@@ -19,8 +19,8 @@ from shelfspark.sources.files import (
     exclude_files,
     plain_path,
     rank_of,
+    reached_through,
     read_arguments,
-    select_files,
 )
 from shelfspark.sources.text_lists import numbered_lines
 
@@ -42,7 +42,11 @@ def scan_json_documents(
     exclude_paths: Sequence[str] = (),
     missing_ok: bool = True,
 ) -> DataFrame:
-    """Whole files as ``(file, file_rank, doc)``."""
+    """Whole files as ``(file, file_rank, doc)``.
+
+    A file that several arguments stand for is read through the first of them only: the others
+    leave it out by its name, so contents are neither read twice nor joined with anything.
+    """
     def read(target, options):
         return (
             spark.read.options(**options).text(target, wholetext=True)
@@ -52,13 +56,11 @@ def scan_json_documents(
     docs = exclude_files(
         read_arguments(spark, paths, read, recursive, missing_ok), exclude, exclude_paths
     )
-    docs = docs.withColumn("file_rank", rank_of(F.col("file"), F.col("arg")))
-    if len(paths) > 1:
-        # a file reached through two arguments keeps its first rank only; ranks come from
-        # the listing, which reads no contents
-        ranks = select_files(spark, paths, recursive, exclude, exclude_paths)
-        docs = docs.join(ranks, ["file", "file_rank"], "left_semi")
-    return docs.select("file", "file_rank", "doc")
+    repeated = F.lit(False)
+    for arg, path in enumerate(paths[:-1]):
+        repeated = repeated | ((F.col("arg") > arg) & reached_through(spark, path, recursive, F.col("file")))
+    docs = docs.where(~repeated) if len(paths) > 1 else docs
+    return docs.select("file", rank_of(F.col("file"), F.col("arg")).alias("file_rank"), "doc")
 
 
 def parse_documents(docs: DataFrame, mode: str = "permissive") -> DataFrame:

@@ -276,3 +276,21 @@ def test_damaged_checkpoint_raises(spark, tmp_path):
     with pytest.raises(Exception):  # noqa: B017 - Spark's own error
         scan_checkpoint(spark, str(folder), "id long").collect()
     assert scan_checkpoint(spark, str(tmp_path / "none"), "id long").count() == 0
+
+
+def test_overlapping_arguments_read_each_file_once_without_a_join(spark, tmp_path):
+    for name in ("a/x.json", "a/y.json", "a/b/z.json", "c/w.json", "a b+c%/q.json"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text('[{"n":"%s"}]' % name)
+    root = str(tmp_path)
+    cases = [
+        ([f"{root}/a/y.json", f"{root}/a"], True), ([f"{root}/a", root], True), ([root, f"{root}/a/x.json"], True),
+        ([f"{root}/a/x.json", f"{root}/a/x.json"], False), ([f"{root}/a", f"{root}/a/b"], False), ([f"{root}/a", f"{root}/a/"], False),
+        ([f"{root}/a b+c%", root], True), ([f"{root}/*/x.json", f"{root}/a"], True), ([f"{root}/c", root], True),
+    ]
+    for paths, recursive in cases:
+        docs = scan_json_documents(spark, paths, recursive=recursive)
+        found = sorted((r.file, r.file_rank) for r in docs.select("file", "file_rank").collect())
+        expected = sorted((r.file, r.file_rank) for r in select_files(spark, paths, recursive).collect())
+        assert found == expected, paths
+        assert "Join" not in docs._jdf.queryExecution().executedPlan().toString()
