@@ -23,7 +23,9 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     end are ignored, and an empty table gives an empty one.
     """
     ends = links.select(F.col(a).alias("src"), F.col(b).alias("dst")).where(F.col("src") != F.col("dst"))
-    both = _narrow(ends.unionByName(ends.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct(), "links")
+    # both directions of a row, so that what makes the links runs once
+    turned = F.array(F.struct("src", "dst"), F.struct(F.col("dst").alias("src"), F.col("src").alias("dst")))
+    both = _narrow(ends.select(F.explode(turned).alias("e")).select("e.*").distinct(), "links")
     labels = both.groupBy(F.col("src").alias("node")).agg(F.min("dst").alias("least"))
     labels = _narrow(labels.select("node", F.least("node", "least").alias("component")), "labels")
     while True:

@@ -35,7 +35,8 @@ BANDS, ROWS = 40, 5  # at similarity 0.8 a pair shares no band once in 8 million
 WORDS = 8  # 64-bit words of an odd sketch
 DEVIATIONS = 5  # standard deviations by which a pair at the threshold may look less alike
 GROUP = 128  # members that meet one copy of a hub
-BLOCK = 1024  # documents of a block, about
+BLOCK = 256  # documents that visitors are compared with at once
+SHARE = 256  # visitors of a block that are compared in one task
 
 _SIGNED = pa.schema(
     [("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_key", pa.binary()), ("bands", pa.list_(pa.int64())), ("sketch", pa.list_(pa.int64()))]
@@ -166,14 +167,14 @@ class _Residents:
 
 
 def _visit(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by block, its residents before its visitors."""
+    """Rows come sorted by copy of a block, its residents before its visitors."""
     here, block, farthest = _Residents(), None, largest_distance(percent / 100)
     for batch in batches:
-        names = ("home", "block", "visits", "doc_id", "part", "sketch", "shingles")
+        names = ("home", "block", "copy", "visits", "doc_id", "part", "sketch", "shingles")
         linked = []
-        for home, no, visits, doc, part, sketch, data in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
-            if (home, no) != block:
-                here, block = _Residents(), (home, no)
+        for home, no, copy, visits, doc, part, sketch, data in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
+            if (home, no, copy) != block:
+                here, block = _Residents(), (home, no, copy)
             mine = np.frombuffer(data, np.uint64)
             if not visits:
                 here.rows.append((doc, part, sketch, mine))
@@ -242,9 +243,10 @@ def near_duplicates(
     wanted = texts.join(alike.select("doc_id").hint("merge"), "doc_id", "left_semi").mapInArrow(partial(_sets, k=k), "doc_id long, shingles binary")
     sets = staged(wanted.dropDuplicates(["doc_id"]), "sets")
 
-    links = _packed(confirmed(_packed(_hub_pairs(buckets, alike, percent), "hub-pairs"), sets, percent), "links")
+    # sets are compared by as many tasks as there are partitions, and only what is found is packed
+    links = staged(confirmed(_packed(_hub_pairs(buckets, alike, percent), "hub-pairs"), sets, percent), "links")
     parts = connected_components(links)
-    parts = connected_components(links.unionByName(_visited(buckets, alike, sets, parts, percent)))
+    parts = connected_components(links.unionByName(staged(_visited(buckets, alike, sets, parts, percent), "visited")))
 
     of_class = classes.join(parts, classes.class_id == parts.node, "left").select(
         "set_key", F.coalesce("component", "class_id").alias("component_id")
@@ -288,7 +290,8 @@ def _visited(buckets: DataFrame, alike: DataFrame, sets: DataFrame, parts: DataF
 
     A document's home is the most central of its buckets' hubs, and the documents of a home
     are dealt into blocks. A bucket's members outside its largest component visit the blocks
-    of all its members.
+    of all its members. A block with many visitors is copied, and they are dealt over its
+    copies, so that a task has at most a block and a share of its visitors.
     """
     named = buckets.select("bucket", "doc_id").join(parts.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     named = named.select("bucket", "doc_id", F.coalesce("component", "doc_id").alias("part"))
@@ -307,7 +310,12 @@ def _visited(buckets: DataFrame, alike: DataFrame, sets: DataFrame, parts: DataF
     in_bucket = named.join(residents.drop("part"), "doc_id").select("bucket", "home", "block").distinct()
     visitors = named.where(F.col("part") != F.col("largest")).select("bucket", "doc_id", "part")
     visits = visitors.join(in_bucket, "bucket").select("doc_id", "part", "home", "block").distinct()
-    both = residents.withColumn("visits", F.lit(False)).unionByName(visits.withColumn("visits", F.lit(True)))
+    visits = _packed(visits, "visits")
+    copies = visits.groupBy("home", "block").agg(F.ceil(F.count("*") / SHARE).alias("copies"))
+    shared = residents.join(copies, ["home", "block"]).withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
+    dealt = visits.join(copies, ["home", "block"]).withColumn("copy", F.pmod(F.xxhash64("doc_id"), F.col("copies")))
+    columns = ("doc_id", "part", "home", "block", "copy")
+    both = shared.select(*columns, F.lit(False).alias("visits")).unionByName(dealt.select(*columns, F.lit(True).alias("visits")))
     whole = both.join(alike.select("doc_id", "sketch"), "doc_id").join(sets, "doc_id")
-    ordered = whole.repartition("home", "block").sortWithinPartitions("home", "block", "visits", "doc_id")
+    ordered = whole.repartition("home", "block", "copy").sortWithinPartitions("home", "block", "copy", "visits", "doc_id")
     return ordered.mapInArrow(partial(_visit, percent=percent), "a long, b long")
