@@ -71,3 +71,32 @@ def test_query_covers_the_table(spark, given, name):
 def test_registered():
     assert set(QUERIES) | {"pipeline"} <= set(entry_module.queries())
     assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
+
+
+LONG = " ".join(f"word{i}" for i in range(60))
+
+
+def test_near_duplicates_are_decided_by_row(spark):
+    other = " ".join(f"other{i}" for i in range(60))
+    rows = [
+        (1, LONG), (5, LONG), (5, other), (5, other), (None, LONG), (None, LONG + " more"), (None, None), (None, ""), (7, None), (7, None), (8, "short text"),
+        (9, "unlike " + other.replace("other", "x")), (None, "no id at all " + other.replace("other", "y")),
+    ]
+    docs = spark.createDataFrame([(*r, "en", "s", 0, 1, True) for r in rows], "doc_id long, text string, lang string, source string, n_chars long, kept int, component_id boolean")
+    left = corpus_pipeline.drop_near_duplicates(spark, docs, SF_DIR)
+    assert left.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=repr) == sorted(
+        [(1, LONG), (5, other), (None, None), (None, ""), (7, None), (7, None), (8, "short text"), rows[11], rows[12]], key=repr
+    )
+
+
+def test_stages_take_awkward_rows(spark, edges):
+    rows = edges
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before = rows
+        rows = staged(stage(spark, rows, SF_DIR), "stage")
+        assert rows.columns == edges.columns, name
+        assert rows.exceptAll(before).count() == 0, name
+        if name in ("toxicity", "decontamination"):
+            assert rows.count() == before.count(), name
+    assert corpus_pipeline.STAGES[-1][1](spark, rows, SF_DIR).count() == rows.where("doc_id is not null").count()
