@@ -3,6 +3,11 @@
 Each stage takes all rows that the one before kept and returns the columns of ``documents``,
 but the last, which returns the documents of the token files. Between stages the rows are
 written as Parquet to the shared folder.
+
+Stages decide by row: rows that share an id, or have none, are judged by their own texts. A
+null text is empty; empty texts are neither toxic, nor copies, nor benchmark passages. An empty
+table stays empty. Columns beside those of ``documents`` pass through, whatever their names,
+but for names that begin with ``_pipeline``.
 """
 
 from __future__ import annotations
@@ -14,6 +19,8 @@ from shelfspark.llm import decontaminate, mixing, near_dedup, token_files, toxic
 from shelfspark.llm.queries import END_ID, MIX_PART, MIX_POWERS, table, tokenizer_path, with_topic
 from shelfspark.session import staged
 
+ROW = "_pipeline_row"
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the model trained on the labels doesn't reject."""
@@ -21,11 +28,15 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, the one with the least id; five-word shingles, similarity 0.8."""
-    found = near_dedup.near_duplicates(docs, k=5, percent=80)
-    # the same plan at every size: the ids outgrow a broadcast soon
-    gone = found.where(~F.col("kept")).select("doc_id").distinct().hint("merge")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group of near-duplicates, that with the least id, rows without an id
+    last, the earlier on a tie; five-word shingles, similarity 0.8."""
+    numbered = staged(docs.withColumn(ROW, F.monotonically_increasing_id()), "pipeline-numbered")
+    found = near_dedup.near_duplicates(numbered, id_col=ROW, k=5, percent=80)
+    found = found.select(F.col("doc_id").alias(ROW), F.col("component_id").alias("_pipeline_group"))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", ROW)
+    first = numbered.select(ROW, "doc_id").join(found, ROW).groupBy("_pipeline_group").agg(F.min(order)[ROW].alias(ROW))
+    # the same plan at every size: the rows' numbers outgrow a broadcast soon
+    return numbered.join(first.select(ROW).hint("merge"), ROW, "left_semi").select(*docs.columns)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
