@@ -8,8 +8,9 @@ from shelfspark.bindings.tables import Registry, table
 from shelfspark.functions.keys import key_parts, with_dedup_key
 from shelfspark.functions.text import WS_CLASS, decode_entities, normalize_isbn, normalize_text, strip_tags
 from shelfspark.functions.urls import extract_id
+from shelfspark.session import scratch_dir
 from shelfspark.sources.html import decode_page, encode_page
-from shelfspark.sources.text_lists import expand_page_range, page_list_urls, page_urls, urls_from_lines
+from shelfspark.sources.text_lists import expand_page_range, index_lines, indexed_lines, page_list_urls, page_urls, urls_from_lines
 
 _registry = Registry()
 QUERIES, ORACLE = _registry.queries, _registry.oracle
@@ -125,6 +126,28 @@ def scan_url_list_query(spark, sf_dir):
     return urls_from_lines(numbered, HOST, start_line=2)
 
 
+@query(
+    "indexed_lines",
+    """
+WITH l AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS value, unnest(range(len(string_split(text, chr(10))))) AS pos FROM documents),
+n AS (SELECT doc_id // 100 AS place, value, row_number() OVER (PARTITION BY doc_id // 100 ORDER BY doc_id, pos) AS line_no FROM l)
+SELECT place, line_no, sha256(value) AS line FROM n WHERE line_no BETWEEN 50 AND 300""",
+)
+def indexed_lines_query(spark, sf_dir):
+    """Line numbers of written files, read by a range that leaves most row groups out."""
+    out = scratch_dir(spark, "lines")
+    # a file per hundred documents, their lines in order
+    place = F.expr("doc_id div 100")
+    lines = table(spark, sf_dir, "documents").select(place.alias("place"), "doc_id", F.posexplode(F.split("text", "\n", -1)).alias("pos", "value"))
+    spread = lines.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "place").sortWithinPartitions("place", "doc_id", "pos")
+    spread.select("place", "value").write.partitionBy("place").option("lineSep", "\n").text(f"{out}/text")
+    index_lines(spark, f"{out}/text/*", f"{out}/index")
+    found = indexed_lines(spark, f"{out}/index", 50, 300)
+    number = F.regexp_extract("file", "/place=([0-9]+)/", 1).cast("bigint")
+    return found.select(number.alias("place"), "line_no", F.sha2("value", 256).alias("line"))
+
+
 @query(
     "page_urls",
     """

@@ -84,6 +84,7 @@ BLOCKED_SIGN = "Try harder"
 SNIPPET_CHARS = 120
 SIGNIFICANT = ("title", "author", "isbn", "publisher")
 
+# The fields of a record, in order.
 RECORD_COLUMNS = (
     "detail_url", "book_id", "title_from_title", "author_from_title", "meta_description",
     "category_path", "category_urls", "category", "category_url",

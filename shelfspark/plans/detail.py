@@ -18,15 +18,9 @@ from shelfspark.sources.text_lists import scan_url_list
 from shelfspark.sources.versions import VersionedOutput
 
 # Records of all runs are ordered by the run that found them, then by input line.
-BOOK_SCHEMA = (
-    "run int, pos bigint, detail_url string, book_id string, title_from_title string, "
-    "author_from_title string, meta_description string, category_path string, "
-    "category_urls array<string>, category string, category_url string, author string, "
-    "author_key string, author_search_url string, title string, series string, "
-    "publisher string, binding string, pages int, year int, isbn string, format string, "
-    "language string, date_added string, image_large_url string, image_thumb_url string, "
-    "has_image boolean, view_counter_id string, annotation string, in_stock boolean, "
-    "in_stock_text string, prev_book_url string, next_book_url string, n_fields int"
+_KINDS = {"category_urls": "array<string>", "pages": "int", "year": "int", "has_image": "boolean", "in_stock": "boolean"}
+BOOK_SCHEMA = ", ".join(
+    ["run int", "pos bigint", *(f"{c} {_KINDS.get(c, 'string')}" for c in RECORD_COLUMNS), "n_fields int"]
 )
 _COLUMNS = ("run", "pos", *RECORD_COLUMNS, "n_fields")
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from shelfspark.functions.text import ws_trim
 from shelfspark.functions.urls import absolute_url, listing_url
+from shelfspark.session import staged, unstage
 from shelfspark.sources.files import plain_path
 
 # Pages put into one array before it is exploded.
@@ -53,6 +54,43 @@ def numbered_lines(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame
     )
 
 
+def index_lines(spark: SparkSession, paths: Sequence[str] | str, folder: str, group_bytes: int = 1 << 20) -> None:
+    """Number the lines of files once, into ``folder``, for :func:`indexed_lines`.
+
+    The files are read once; numbers come from the rows' places in their splits and the few
+    sums of splits, taken from what was read. Rows are kept in the order of their numbers in
+    groups of about ``group_bytes``, each of which knows its least and largest number, so a
+    range of lines is read from the groups that have some of it.
+    """
+    told = staged(
+        spark.read.text(list(paths) if not isinstance(paths, str) else paths).select(
+            F.col("_metadata.file_path").alias("uri"), F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("row_id"), "value",
+        ),
+        "lines",
+    )
+    before = W.partitionBy("uri").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
+    blocks = told.groupBy("uri", "block").agg(F.min("row_id").alias("first_id"), F.count("*").alias("n"))
+    blocks = blocks.select("uri", "block", "first_id", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    numbered = told.join(blocks, ["uri", "block"]).select(
+        plain_path(F.col("uri")).alias("file"), (F.col("before") + F.col("row_id") - F.col("first_id") + 1).alias("line_no"), "value"
+    )
+    ordered = numbered.repartitionByRange("file", "line_no").sortWithinPartitions("file", "line_no")
+    ordered.write.option("parquet.block.size", group_bytes).option("parquet.page.size", min(group_bytes, 1 << 16)).parquet(folder)
+    unstage(told)
+
+
+def indexed_lines(spark: SparkSession, folder: str, start_line: int | None = None, end_line: int | None = None) -> DataFrame:
+    """``(file, line_no, value)`` of lines that :func:`index_lines` has numbered, the range inclusive.
+
+    Row groups without a line of the range aren't read.
+    """
+    lines = spark.read.schema("file string, line_no bigint, value string").parquet(folder)
+    if start_line is not None:
+        lines = lines.where(F.col("line_no") >= start_line)
+    return lines if end_line is None else lines.where(F.col("line_no") <= end_line)
+
+
 def urls_from_lines(
     lines: DataFrame,
     host: str,

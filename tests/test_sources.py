@@ -25,6 +25,8 @@ from shelfspark.sources.json_docs import (
     unwrap_books,
 )
 from shelfspark.sources.text_lists import (
+    index_lines,
+    indexed_lines,
     expand_page_range,
     explode_range,
     numbered_lines,
@@ -32,6 +34,7 @@ from shelfspark.sources.text_lists import (
     page_urls,
     scan_url_list,
 )
+from shelfspark.streaming.stateful import settings
 
 HOST = "https://books.example"
 SHAPES = {
@@ -294,3 +297,27 @@ def test_overlapping_arguments_read_each_file_once_without_a_join(spark, tmp_pat
         expected = sorted((r.file, r.file_rank) for r in select_files(spark, paths, recursive).collect())
         assert found == expected, paths
         assert "Join" not in docs._jdf.queryExecution().executedPlan().toString()
+
+
+def test_indexed_lines_equal_the_files_and_read_few_groups(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    texts = {"a": [f"line {i}" for i in range(5000)], "b": ["", "x", "", "é"], "c": [f"{i}" * 3 for i in range(2500)]}
+    for name, lines in texts.items():
+        (tmp_path / f"{name}.txt").write_text("\n".join(lines) + "\n")
+    with settings(spark, {"spark.sql.files.maxPartitionBytes": "8k", "spark.sql.files.openCostInBytes": "1"}):
+        index_lines(spark, f"{tmp_path}/*.txt", str(tmp_path / "index"), group_bytes=4096)
+    rows = indexed_lines(spark, str(tmp_path / "index")).collect()
+    got = {name: [r.value for r in sorted(rows, key=lambda r: r.line_no) if r.file.endswith(f"/{name}.txt")] for name in texts}
+    assert got == texts
+    part = indexed_lines(spark, str(tmp_path / "index"), 1001, 1010)
+    assert sorted((r.file[-5], r.line_no, r.value) for r in part.collect()) == sorted(
+        (name, i + 1, texts[name][i]) for name in "ac" for i in range(1000, 1010)
+    )
+    assert "GreaterThanOrEqual(line_no,1001), LessThanOrEqual(line_no,1010)" in part._jdf.queryExecution().executedPlan().toString()
+    ranges = []
+    for f in (tmp_path / "index").glob("*.parquet"):
+        meta = pq.ParquetFile(f).metadata
+        ranges += [meta.row_group(g).column(1).statistics for g in range(meta.num_row_groups)]
+    # the groups know their ranges, and few of them have a line of this one
+    assert sum(s.min <= 1010 and s.max >= 1001 for s in ranges) < 0.5 * len(ranges)
