@@ -226,6 +226,30 @@ def extract_page_fields(spark, sf_dir):
     return apply_rules(table(spark, sf_dir, "pages"), PAGE_RULES).drop("url", "html")
 
 
+# Groups that the text around them decides on; the SQL says the same by what it takes along.
+LOOKING_RULES = (
+    rule("title_begin", r"(?<=<title>)([A-Za-z]+)"),
+    rule("heading_end", r"([A-Za-z]+)(?=</h1>)"),
+    rule("plain_paragraph", r"<p>(?!<b>)([^<]{1,40})"),
+    rule("last_tag", r"<(/[a-z]+)>$"),
+    FieldRule(r"(?:<!-- (ad) |<(main))(?=[^<]*>)", {"ad": (1, ()), "main": (2, ())}),
+)
+
+
+@query(
+    "look_around_rules",
+    f"""
+SELECT page_id, {_sql_group('<title>([A-Za-z]+)')} AS title_begin, {_sql_group('([A-Za-z]+)</h1>')} AS heading_end,
+  trim({_sql_group('<p>([^<]{1,40})')}) AS plain_paragraph, {_sql_group('<(/[a-z]+)>$')} AS last_tag,
+  nullif({_sql_group('(?:<!-- (ad) |<(main))[^<]*>', group=1)}, '') AS ad,
+  nullif({_sql_group('(?:<!-- (ad) |<(main))[^<]*>', group=2)}, '') AS main
+FROM pages""",
+)
+def look_around_rules(spark, sf_dir):
+    """I6, I8 with patterns that look around, have anchors, or leave groups out."""
+    return apply_rules(table(spark, sf_dir, "pages"), LOOKING_RULES).drop("url", "html")
+
+
 @query(
     "page_links",
     """
