@@ -36,6 +36,7 @@ from shelfspark.llm.words import as_bytes, id_and_text, mixed, shingles, word_ha
 Common = tuple[np.ndarray, np.ndarray]  # shingles and their weights
 
 BITS, BLOCKS, RADIUS = 64, 8, 23
+CELLS = 1 << 20  # windows times items that are compared at once
 BLOCK_CHARS = 20_000_000
 _EDGE = b".,;:!?\"'()[]{}|*#$%&<>-"
 
@@ -143,15 +144,27 @@ class Benchmark:
         return np.stack([near[:, self.prints[which, block]] for block in range(BLOCKS)])
 
     def within(self, size: int, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Windows and items of all fingerprints within RADIUS of an item of this size."""
+        """Windows and items of all fingerprints within RADIUS of an item of this size.
+
+        Windows are looked up in slices of at most CELLS windows times items, however many
+        windows a document has; only those within the radius are kept of a slice.
+        """
+        which = self.of_size[size]
+        step = max(1, CELLS // max(1, len(which)))
+        found = [self._within(size, prints[at : at + step], at) for at in range(0, len(prints), step)]
+        if not found:
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        return np.concatenate([w for w, _ in found]), np.concatenate([i for _, i in found])
+
+    def _within(self, size: int, prints: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray]:
         tables, which = self.tables[size], self.of_size[size]
         named = tables[0][prints[:, 0]]
         for block in range(1, BLOCKS):
-            named = named | tables[block][prints[:, block]]
+            named |= tables[block][prints[:, block]]
         windows, items = np.nonzero(named)
         items = which[items]
         close = _POP8[self.prints[items] ^ prints[windows]].sum(1) <= RADIUS
-        return windows[close], items[close]
+        return windows[close] + first, items[close]
 
     def exact(self, item: int, found: np.ndarray) -> float:
         """Similarity of a window's shingles and an item's: shared over joint weight or number, whichever is more."""

@@ -144,3 +144,22 @@ def test_document_with_fewer_words_than_the_item(spark):
     assert {d for d, i in got if i == 2} == {d for d, t in texts.items() if plain(items[2], t) >= 0.8}
     kept = {r.doc_id for r in without_benchmark(docs, bench).collect()}
     assert kept == set(texts) - {d for d, _ in got}
+
+
+def test_fingerprints_alone_find_nearly_all(monkeypatch):
+    """The Hamming index by itself, without the index of rare shingles: its recall is measured."""
+    items, texts = templated()
+    bench = Benchmark([(i, t.encode()) for i, t in items.items()], 5, 0.8)
+    expected = {(d, i) for d, t in texts.items() for i, *_ in bench.matches(t.encode())}
+    monkeypatch.setattr(Benchmark, "named", lambda *_: np.empty(0, np.int64))
+    got = {(d, i) for d, t in texts.items() for i, *_ in bench.matches(t.encode())}
+    assert got <= expected and len(got) >= 0.95 * len(expected), len(got) / len(expected)
+
+
+def test_slices_of_windows_give_the_same(monkeypatch):
+    items, texts = templated()
+    bench = Benchmark([(i, t.encode()) for i, t in items.items()], 5, 0.8)
+    expected = {d: bench.matches(t.encode()) for d, t in texts.items()}
+    monkeypatch.setattr("shelfspark.llm.decontaminate.CELLS", 50)
+    assert {d: bench.matches(t.encode()) for d, t in texts.items()} == expected
+    assert [len(x) for x in bench.within(50, np.empty((0, 8), np.uint8))] == [0, 0]
