@@ -2,8 +2,9 @@
 
 Paragraphs are lines. A paragraph is cut into pieces of about PIECE words and the paragraphs
 into sections of about SECTION, each where the content says so (a word's hash, a paragraph's
-digest, or an empty paragraph), so an edit changes the pieces it touches and no others. A
-node's digest covers those of its children; the root tells whether two texts are equal, and
+digest, or an empty paragraph), so an edit changes the pieces it touches and no others. What
+has no spaces for LONG bytes, such as Chinese or minified text, is cut where a rolling hash of
+its bytes says so, between characters, into pieces of LEAST to MOST bytes. A node's digest covers those of its children; the root tells whether two texts are equal, and
 only where digests differ does a comparison descend.
 
 A fingerprint is text: the root, ``|``, and the sections joined by ``;``, each with its
@@ -23,9 +24,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from shelfspark.llm.words import id_and_text, text_batches, word_hashes
+from shelfspark.llm.words import id_and_text, mixed, text_batches, word_hashes
 
 PIECE, SECTION, LEAF = 8, 8, 12
+LONG, LEAST, MOST = 512, 32, 512  # bytes
+WINDOW, EVERY = 24, 64  # bytes that a rolling hash covers, and bytes from cut to cut, about
 DOCS_PER_RANGE, MOST_RANGES = 500, 100_000
 
 
@@ -34,6 +37,32 @@ def _digest(data: bytes) -> bytes:
 
 
 def _pieces(line: bytes) -> list[bytes]:
+    return [part for piece in _worded(line) for part in (_rolled(piece) if len(piece) > LONG else [piece])]
+
+
+def _rolled(piece: bytes) -> list[bytes]:
+    """A long piece, cut where the hash of the bytes before says so."""
+    data = np.frombuffer(piece, np.uint8)
+    n = len(data) - WINDOW + 1
+    rolling = np.zeros(n, np.uint64)
+    for j in range(WINDOW):
+        rolling = mixed(rolling * np.uint64(31) + data[j : j + n].astype(np.uint64) + np.uint64(1))
+    begins = np.append((data & 0xC0) != 0x80, True)  # places where a character begins
+    places = np.flatnonzero(rolling % np.uint64(EVERY) == 0) + WINDOW
+    cuts, at = [], 0
+    for place in [*places[begins[places]].tolist(), len(data)]:
+        while place - at > MOST:
+            at += MOST
+            while not begins[at]:
+                at -= 1
+            cuts.append(at)
+        if place - at >= LEAST or place == len(data):
+            cuts.append(place)
+            at = place
+    return [piece[a:b] for a, b in zip([0, *cuts], cuts, strict=False) if b > a]
+
+
+def _worded(line: bytes) -> list[bytes]:
     words = line.split(b" ")
     if len(words) <= 1:
         return [line]

@@ -2,7 +2,7 @@
 
 import hashlib
 
-from shelfspark.llm.merkle import compare, edited_by_next, edited_paragraphs, fingerprint, fingerprints, likeness
+from shelfspark.llm.merkle import LONG, MOST, _pieces, compare, edited_by_next, edited_paragraphs, fingerprint, fingerprints, likeness
 
 
 def test_edited_texts(given):
@@ -50,3 +50,20 @@ def test_edges(edges, nothing, spark):
     sole = edited_by_next(spark.createDataFrame([(5, "abcd")], "doc_id long, text string")).first()
     assert sole.edited_sha256 == hashlib.sha256(b"abab").hexdigest() and sole.near_next == 1.0
     assert edited_by_next(nothing).count() == 0 and fingerprints(nothing).count() == 0
+
+
+def test_texts_without_spaces_are_cut_too():
+    import random
+
+    rng = random.Random(3)
+    for letters in ("的一是不了人我在有他这为之大来以个中上们", "abcdef{};=", "x\t1\u00e9", "😀😁😂"):
+        text = "".join(rng.choice(letters) for _ in range(6000))
+        data = text.encode()
+        parts = _pieces(data)
+        assert b"".join(parts) == data and max(map(len, parts)) <= MOST and all(p.decode() for p in parts)
+        half = "".join(rng.choice(letters) for _ in range(3000))
+        near = likeness(fingerprint(data), fingerprint((text[:3000] + half).encode()))
+        assert 0.4 < near < 0.62
+        # an insertion in front moves no other cut
+        assert likeness(fingerprint(data), fingerprint(("zz" + text).encode())) > 0.9
+    assert len(_pieces(b"9" * 5000)) >= 5000 // MOST and _pieces(b"a" * LONG) == [b"a" * LONG]
