@@ -32,7 +32,7 @@ THRESHOLD = 0.9
 # A character that marks a joint inside a chain. A text's own give way to one that no pattern has.
 _JOINT, _INSTEAD = "\x01", "\x02"
 
-# Endings and names for the gazetteer labelers.
+# Endings and names for the gazetteer labelers.
 ENDINGS = ("com", "org", "net", "edu", "gov", "io", "info", "biz", "de", "fr", "es", "uk", "eu", "it", "nl", "ch", "at", "us")
 PROVIDERS = ("gmail", "yahoo", "hotmail", "outlook", "icloud", "proton", "gmx", "example", "mail")
 

@@ -28,7 +28,7 @@ CANDIDATE = (
     r"|(?<![A-Za-z0-9+/_\-])(?=[A-Za-z+/_\-]*+[0-9])[A-Za-z0-9+/_\-]{12,}+={0,2}"
 )
 
-# Word parts of the dictionary, names of secrets, and signs of made-up ones.
+# Word parts of the dictionary, names of secrets, and signs of made-up ones.
 WORD_PARTS = (
     "tion|ment|able|ible|ness|ing|the|and|for|with|from|that|this|have|are|was|not|you|all|can|her|his|one|our|out|day|get|has|him|how|man|new|now|old|"
     "see|two|way|who|did|its|let|put|say|she|too|use|test|name|user|file|page|data|http|https|www|com|org|net|html|index|version|release|example|"
@@ -120,9 +120,10 @@ def fit_forest(labelled: DataFrame):
 
 
 def scored(found: DataFrame, forest) -> DataFrame:
-    """Candidates with ``score``, the forest's probability of a secret; without a forest 1."""
+    """Candidates with ``score``, the forest's probability of a secret. Without a forest, for
+    want of both labels, only a provider's format is taken for one."""
     if forest is None:
-        return found.withColumn("score", F.lit(1.0))
+        return found.withColumn("score", F.when(F.col("match").rlike(SURE), 1.0).otherwise(0.0))
     ready = VectorAssembler(inputCols=list(FEATURES), outputCol="_x").transform(with_features(found))
     return forest.transform(ready).withColumn("score", vector_to_array("_p")[1]).select(*found.columns, "score")
 
