@@ -459,7 +459,7 @@ def cleaned_folders(spark, sf_dir):
     _write_customer_documents(spark, sf_dir, f"{out}/docs")
     found = []
     for kept_meta in (False, True):
-        clean_files(spark, [f"{out}/docs"], f"{out}/clean-{kept_meta}", keep_meta=kept_meta)
+        clean_files(spark, [f"{out}/docs"], f"{out}/clean-{kept_meta}", keep_meta=kept_meta).release()
         documents = f"{out}/clean-{kept_meta}/documents/*/*"
         if kept_meta:
             # an envelope around the items: the document's lines joined, a thousand items at most

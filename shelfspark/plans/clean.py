@@ -102,6 +102,12 @@ class CleanJob:
         if self.stage and "rows" in self.__dict__:
             unstage(self.rows)
 
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.release()
+
     @cached_property
     def labelled(self) -> DataFrame:
         return label_duplicates(self.items, cross_file=self.cross_file)
@@ -155,7 +161,8 @@ def clean_files(
 
     ``documents`` gets the cleaned documents, ``metrics`` one row per file, ``totals`` one
     row for the run, ``report`` the removed records if asked for. Documents that can't be
-    read raise at the end, when all outputs have been written.
+    read raise at the end, when all outputs have been written. The job that is returned still has
+    its staged rows, until it is released or the ``with`` block that it stands in ends.
     """
     docs = scan_json_documents(spark, paths, recursive, [*exclude, inside(output)])
     job = CleanJob(docs, dedup_key, cross_file, fields, keep_meta)

@@ -11,7 +11,7 @@ from shelfspark.operators.dedup import dedup_richest
 from shelfspark.operators.extract import RECORD_COLUMNS, extract_records
 from shelfspark.operators.membership import merge_existing_new, url_plan
 from shelfspark.operators.metrics import run_metrics
-from shelfspark.session import staged
+from shelfspark.session import staged, unstage
 from shelfspark.sources.checkpoint import scan_checkpoint
 from shelfspark.sources.sinks import failed_urls, write_failed_urls, write_results_with_meta
 from shelfspark.sources.text_lists import scan_url_list
@@ -33,6 +33,12 @@ class DetailResult:
     results: DataFrame
     books: DataFrame
     metrics: DataFrame
+    staged: bool = False
+
+    def release(self) -> None:
+        """Remove the staged results; no table of this job can be read afterwards."""
+        if self.staged:
+            unstage(self.results)
 
 
 def extract_details(
@@ -58,7 +64,7 @@ def extract_details(
     good = results.where(F.col("status") == "ok").withColumnRenamed("line_no", "pos")
     # addresses in the plan are distinct and new, and a record's address is the one it was asked for by
     new = good.withColumn("run", F.lit(run))
-    return DetailResult(plan, results, final_books(existing, new), run_metrics(plan, results, existing))
+    return DetailResult(plan, results, final_books(existing, new), run_metrics(plan, results, existing), stage)
 
 
 def final_books(existing: DataFrame, new: DataFrame) -> DataFrame:
@@ -91,10 +97,13 @@ def detail_version(
     earlier = output.load("books", BOOK_SCHEMA)
     urls = scan_url_list(spark, url_list, host, start_line, end_line).select("line_no", "url")
     job = extract_details(urls, pages, earlier.rows, host, run)
-    if job.results.isEmpty():
-        return output.latest()
-    tables = {"books": job.books, "failed": failed_urls(job.results), "metrics": job.metrics}
-    return output.publish({n: [output.write(df)] for n, df in tables.items()}, notes={"earlier_records": earlier.reason})
+    try:
+        if job.results.isEmpty():
+            return output.latest()
+        tables = {"books": job.books, "failed": failed_urls(job.results), "metrics": job.metrics}
+        return output.publish({n: [output.write(df)] for n, df in tables.items()}, notes={"earlier_records": earlier.reason})
+    finally:
+        job.release()
 
 
 def detail_files(
@@ -120,8 +129,11 @@ def detail_files(
         existing = scan_checkpoint(spark, f"{resume_from}/books", BOOK_SCHEMA)
     urls = scan_url_list(spark, url_list, host, start_line, end_line).select("line_no", "url")
     job = extract_details(urls, pages, existing, host, run)
-    if job.results.isEmpty():
-        return existing
-    write_results_with_meta(job.books, job.metrics, output)
-    write_failed_urls(job.results, f"{output}/failed")
+    try:
+        if job.results.isEmpty():
+            return existing
+        write_results_with_meta(job.books, job.metrics, output)
+        write_failed_urls(job.results, f"{output}/failed")
+    finally:
+        job.release()
     return spark.read.schema(BOOK_SCHEMA).parquet(f"{output}/books")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfspark.operators.paging import block_links, failed_pages, pagination_info, take_pages, tried_pages
-from shelfspark.session import staged
+from shelfspark.session import staged, unstage
 from shelfspark.sources.sinks import write_url_list
 from shelfspark.sources.text_lists import expand_page_range, page_list_urls, page_urls
 
@@ -20,6 +20,12 @@ class ListingResult:
     pages: DataFrame
     links: DataFrame
     failed: DataFrame
+    loaded: DataFrame | None = None
+
+    def release(self) -> None:
+        """Remove what was staged; no table of this job can be read afterwards."""
+        if self.loaded is not None:
+            unstage(self.loaded)
 
 
 def collect_links(
@@ -49,7 +55,8 @@ def collect_links(
         loaded = staged(loaded, "listing-pages")
     used = take_pages(loaded, max_pages)
     rows = used.select("base", "page", F.posexplode("links").alias("block_no", "detail_url"))
-    return ListingResult(used.drop("links"), rows, failed_pages(tried_pages(loaded.drop("links"), max_pages)))
+    failed = failed_pages(tried_pages(loaded.drop("links"), max_pages))
+    return ListingResult(used.drop("links"), rows, failed, loaded if stage else None)
 
 
 def wanted_pages(
@@ -76,4 +83,5 @@ def listing_files(
     job = collect_links(wanted, stored, host, max_pages)
     write_url_list(job.links.orderBy("base", "page", "block_no"), f"{output}/urls")
     job.failed.write.json(f"{output}/failed")
+    job.release()
     return spark.read.text(f"{output}/urls").withColumnRenamed("value", "detail_url")

@@ -71,6 +71,12 @@ class MergeJob:
         if self.stage and "rows" in self.__dict__:
             unstage(self.rows)
 
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.release()
+
     @property
     def merged(self) -> DataFrame:
         items = self.items.select("file", "file_rank", "pos", "is_object", "raw", "key_id", "n_listed", "repeats")
@@ -109,7 +115,8 @@ def merge_files(
     """Merge a folder into a new folder ``output``: ``records``, ``metrics`` and ``report``.
 
     Records are JSON Lines, in input order if ``ordered``; with ``as_array`` their part
-    files in name order form one JSON array.
+    files in name order form one JSON array. The job that is returned still has its staged
+    rows, until it is released or the ``with`` block that it stands in ends.
     """
     docs = scan_json_documents(spark, [folder], recursive, [inside(output)], exclude_paths)
     job = MergeJob(docs, dedup_key, unwrap, clean_fields)

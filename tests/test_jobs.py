@@ -240,3 +240,21 @@ def test_staged_and_direct_runs_agree(docs):
         results = [job(docs(texts), stage=stage) for stage in (True, False)]
         frames = [r.kept if job is CleanJob else r.merged for r in results]
         assert records(frames[0]) == records(frames[1])
+
+
+def test_staged_rows_go_with_their_job(spark, tmp_path):
+    import os
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text('[{"title":"t"}]')
+
+    def folder(job):
+        return os.path.dirname(job.rows.inputFiles()[0]).removeprefix("file://")
+
+    with clean_files(spark, [str(tmp_path / "in")], str(tmp_path / "out")) as job:
+        assert job.totals.first().books_count == 1 and os.path.isdir(folder(job))
+        cleaned = folder(job)
+    with merge_files(spark, str(tmp_path / "in"), str(tmp_path / "merged")) as job:
+        assert job.metrics.first().items_read == 1
+        merged = folder(job)
+    assert not os.path.exists(cleaned) and not os.path.exists(merged)
