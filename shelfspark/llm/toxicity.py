@@ -284,12 +284,14 @@ def telling_units(units: list[str], docs: list[np.ndarray], y: np.ndarray, compa
 
 
 def _one_of_copies(docs: list[np.ndarray]) -> list[int]:
-    """Places of documents without those that share most units with an earlier one, by MinHash."""
+    """Places of documents without those that share most units with an earlier one, by MinHash:
+    of documents with nine tenths of their units in common all but 3 in 100 are found, of those
+    with three tenths, such as two of one language, 1 in 100 is left out."""
     draw = np.random.default_rng(3)
-    times = draw.integers(0, 1 << 62, (4, 2), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    times = draw.integers(0, 1 << 62, (4, 5), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
     seen, out = set(), []
     for at, d in enumerate(docs):
-        keys = {(i, *(int((mixed(d.astype(np.uint64) * t)).min()) for t in row)) for i, row in enumerate(times)} if len(d) else {at}
+        keys = {(i, *(int((mixed((d.astype(np.uint64) + np.uint64(1)) * t)).min()) for t in row)) for i, row in enumerate(times)} if len(d) else {at}
         if not keys & seen:
             out.append(at)
         seen |= keys

@@ -156,3 +156,12 @@ def test_the_model_does_not_depend_on_the_hash_seed(tmp_path):
         for s in (1, 2, 3)
     }
     assert len(out) == 1 and out.pop().strip().endswith("True True")
+
+
+def test_documents_that_share_a_common_unit_are_no_copies():
+    draw = np.random.default_rng(8)
+    # unit 0 is in all of them, and each has most of its units for itself
+    docs = [np.unique(np.concatenate([[0], draw.integers(1, 100_000, 80)])) for _ in range(300)]
+    near = [np.unique(np.append(d[:-3], draw.integers(1, 100_000, 3))) for d in docs[:100]]
+    kept = toxicity._one_of_copies(docs + near)
+    assert len([i for i in kept if i < 300]) == 300 and len([i for i in kept if i >= 300]) < 15
