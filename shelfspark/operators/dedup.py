@@ -161,7 +161,8 @@ def dedup_richest(
     same = F.col(key).eqNullSafe(F.col("_key"))
     for name in order:
         same = same & (F.col(name) == F.col(f"_{name}"))
-    return rows.join(best, same).drop("_key", *[f"_{name}" for name in order])
+    # as many rows as there are keys: no broadcast, whatever their estimated size
+    return rows.join(best.hint("merge"), same).drop("_key", *[f"_{name}" for name in order])
 
 
 def distinct_keep_order(rows: DataFrame, value: str = "url", order: str = "line_no") -> DataFrame:

@@ -14,7 +14,8 @@ def url_plan(urls: DataFrame, processed: DataFrame, url: str = "url", order: str
     URLs are made distinct before the join, so one URL repeated in a third of the
     lines reaches the join as a single row.
     """
-    done = processed.where(F.col(url) != "").select(url).distinct().withColumn("_done", F.lit(True))
+    # alike at every size: addresses outgrow a broadcast long before their estimated size does
+    done = processed.where(F.col(url) != "").select(url).distinct().withColumn("_done", F.lit(True)).hint("merge")
     return (
         distinct_keep_order(urls, url, order)
         .join(done, url, "left")

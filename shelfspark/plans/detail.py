@@ -57,7 +57,11 @@ def extract_details(
     """
     plan = url_plan(urls, existing.select(F.col("detail_url").alias("url")))
     todo = plan.where(~F.col("is_processed")).select("url", "line_no")
-    found = todo.join(pages.select("url", "html"), "url", "left")
+    # Spark reckons a page by its column's type, not its length, and would send all pages to every
+    # executor through the driver; and tasks are as many for short pages that compress well
+    parts = int(todo.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    stored = pages.select("url", "html").repartition(parts, "url").hint("merge")
+    found = todo.repartition(parts, "url").join(stored, "url", "left")
     results = extract_records(found, host, keep=("line_no", "url"))
     if stage:
         results = staged(results, "detail-results")
