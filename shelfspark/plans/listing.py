@@ -39,8 +39,11 @@ def collect_links(
     shared folder, since several steps need it.
     """
     links = F.filter(block_links(F.col("html"), host), lambda u: u.isNotNull())
+    # by sorting, as Spark reckons pages by their column's type, and would hold all of them in every task
+    parts = int(wanted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    pages = stored.select("url", "html").repartition(parts, "url").hint("merge")
     loaded = (
-        wanted.join(stored.select("url", "html"), "url", "left")
+        wanted.repartition(parts, "url").join(pages, "url", "left")
         .withColumn("ok", F.col("html").isNotNull())
         .withColumn("links", links)
         .withColumn("total_pages", pagination_info(F.col("html"))["total_pages"])

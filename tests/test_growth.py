@@ -16,3 +16,9 @@ def test_detail_pages_are_no_broadcast(spark):
     job = extract_details(urls, pages, spark.createDataFrame([], BOOK_SCHEMA), HOST, stage=False)
     assert "BroadcastHashJoin" not in physical(job.results)
     assert "BroadcastHashJoin" not in physical(job.books)
+
+
+def test_listing_pages_are_no_broadcast(spark):
+    wanted = spark.createDataFrame([("a", 0, HOST + "/a")], "base string, page long, url string")
+    stored = spark.createDataFrame([(HOST + "/a", "<html>")], "url string, html string")
+    assert "SortMergeJoin [url" in physical(collect_links(wanted, stored, HOST, stage=False).pages)
