@@ -8,6 +8,7 @@ from shelfspark.bindings.tables import Registry, table
 from shelfspark.functions.urls import listing_url
 from shelfspark.operators.paging import (
     failed_pages,
+    has_keyword,
     keyword_context,
     listing_blocks,
     pagination_info,
@@ -59,7 +60,9 @@ def listing_html():
 
 
 def listing_pages(spark, sf_dir):
-    return table(spark, sf_dir, "part").withColumn("html", listing_html())
+    # the table's rows are dealt out while they are narrow, before pages are made of them
+    part = table(spark, sf_dir, "part").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "p_partkey")
+    return part.withColumn("html", listing_html())
 
 
 @query(
@@ -136,10 +139,9 @@ SELECT {id}, word, excerpt[1:500] AS head, right(excerpt, 200) AS tail FROM z
 )
 def keyword_context_query(spark, sf_dir):
     """I15 on whole pages."""
-    pages = table(spark, sf_dir, "pages").select(
-        "page_id", keyword_context(F.col("html"), ("tionhe", "</h1>")).alias("c")
-    )
-    return pages.where("c is not null").select("page_id", "c.word", "c.head", "c.tail")
+    words = ("tionhe", "</h1>")
+    pages = table(spark, sf_dir, "pages").where(has_keyword(F.col("html"), words))
+    return pages.select("page_id", keyword_context(F.col("html"), words).alias("c")).select("page_id", "c.word", "c.head", "c.tail")
 
 
 _CELL = """'<td><a href="?pg=' || ({n}) || '">' || ({n} + 1) || '</a></td>'"""
@@ -161,8 +163,8 @@ _LISTING_SQL = (
 )
 def pager_context(spark, sf_dir):
     """I15 on listing pages, cut at the table end."""
-    pages = listing_pages(spark, sf_dir).select("p_partkey", keyword_context(F.col("html")).alias("c"))
-    return pages.where("c is not null").select("p_partkey", "c.word", "c.head", "c.tail")
+    pages = listing_pages(spark, sf_dir).where(has_keyword(F.col("html")))
+    return pages.select("p_partkey", keyword_context(F.col("html")).alias("c")).select("p_partkey", "c.word", "c.head", "c.tail")
 
 
 @query(

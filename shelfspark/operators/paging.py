@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -78,24 +78,50 @@ def keyword_context(html: Column, words: Sequence[str] = PAGER_WORDS) -> Column:
     Struct of the word and the first and last characters of the excerpt; NULL when no
     word occurs.
     """
-    word, place = F.lit(None).cast("string"), F.lit(0)
-    for w in reversed(words):
-        at = F.instr(html, w)
-        word, place = F.when(at > 0, F.lit(w)).otherwise(word), F.when(at > 0, at).otherwise(place)
-    # offsets below are 0-based, as ends of half-open ranges
-    start = F.greatest(F.lit(0), place - 1 - CONTEXT_BEFORE)
-    end = F.least(F.length(html), place - 1 + CONTEXT_AFTER)
-    table_end = F.position(F.lit(CONTEXT_END), html, place) - 1
-    end = F.when((table_end > 0) & (table_end < end), table_end + len(CONTEXT_END)).otherwise(end)
-    excerpt = F.substring(html, (start + 1).cast("int"), (end - start).cast("int"))
-    return F.when(
-        place > 0,
-        F.struct(
-            word.alias("word"),
-            F.substring(excerpt, 1, CONTEXT_HEAD).alias("head"),
-            F.right(excerpt, F.lit(CONTEXT_TAIL)).alias("tail"),
-        ),
-    )
+
+    def first_of(rest: Sequence[str]) -> Column:
+        if not rest:
+            return F.lit(None).cast("struct<word:string,place:int>")
+        return _once(
+            F.instr(html, rest[0]),
+            lambda at: F.when(at > 0, F.struct(F.lit(rest[0]).alias("word"), at.alias("place"))).otherwise(first_of(rest[1:])),
+        )
+
+    def around(found: Column) -> Column:
+        # offsets below are 0-based, as ends of half-open ranges
+        place = found["place"]
+        start = F.greatest(F.lit(0), place - 1 - CONTEXT_BEFORE)
+        end = F.least(F.length(html), place - 1 + CONTEXT_AFTER)
+        cut = _once(
+            F.struct(end.alias("end"), (F.position(F.lit(CONTEXT_END), html, place) - 1).alias("table_end")),
+            lambda x: F.when((x["table_end"] > 0) & (x["table_end"] < x["end"]), x["table_end"] + len(CONTEXT_END)).otherwise(x["end"]),
+        )
+        excerpt = F.substring(html, (start + 1).cast("int"), (cut - start).cast("int"))
+        return _once(
+            excerpt,
+            lambda text: F.struct(
+                found["word"].alias("word"),
+                F.substring(text, 1, CONTEXT_HEAD).alias("head"),
+                F.right(text, F.lit(CONTEXT_TAIL)).alias("tail"),
+            ),
+        )
+
+    return _once(first_of(words), lambda found: F.when(found.isNotNull(), around(found)))
+
+
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once a row, however often it is used: looking for
+    a word costs a pass over the page."""
+    return F.transform(F.array(value), use)[0]
+
+
+def has_keyword(html: Column, words: Sequence[str] = PAGER_WORDS) -> Column:
+    """Whether :func:`keyword_context` gives a row: a filter on its result would be pushed below
+    it, and make it twice."""
+    found = F.lit(False)
+    for w in words:
+        found = found | F.contains(html, F.lit(w))
+    return found
 
 
 def block_links(html: Column, host: str) -> Column:

@@ -1,5 +1,8 @@
 """What must not grow with the tables: plans that hold all pages in one place, work done twice."""
 
+from pyspark.sql import functions as F
+
+from shelfspark.operators.paging import has_keyword, keyword_context
 from shelfspark.plans.detail import BOOK_SCHEMA, extract_details
 from shelfspark.plans.listing import collect_links
 
@@ -10,6 +13,10 @@ def physical(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_detail_pages_are_no_broadcast(spark):
     urls = spark.createDataFrame([(1, HOST + "/detail/book1.html")], "line_no long, url string")
     pages = spark.createDataFrame([(HOST + "/detail/book1.html", "<html>")], "url string, html string")
@@ -22,3 +29,22 @@ def test_listing_pages_are_no_broadcast(spark):
     wanted = spark.createDataFrame([("a", 0, HOST + "/a")], "base string, page long, url string")
     stored = spark.createDataFrame([(HOST + "/a", "<html>")], "url string, html string")
     assert "SortMergeJoin [url" in physical(collect_links(wanted, stored, HOST, stage=False).pages)
+
+
+def test_keyword_context_looks_once(spark):
+    texts = ["x" * 300 + "Страницы: 1</table>y", "страниц", "nothing", "", None, "</table>Страницы" + "z" * 2000]
+    pages = spark.createDataFrame(list(enumerate(texts)), "id int, html string")
+    found = pages.select("id", has_keyword(F.col("html")).alias("has"), keyword_context(F.col("html")).alias("c")).collect()
+    assert {r.id for r in found if r.has} == {r.id for r in found if r.c is not None} == {0, 1, 5}
+    at = next(r.c for r in found if r.id == 0)
+    assert (at.word, at["head"], at.tail) == ("Страницы", "x" * 200 + "Страницы: 1</table>", ("x" * 200 + "Страницы: 1</table>")[-200:])
+    # a search for each of the two words, not one for each use of a place
+    assert optimized(pages.repartition(2).select(keyword_context(F.col("html")).alias("c"))).lower().count("instr(") == 2
+
+
+def test_pager_context_makes_pages_in_all_partitions(spark):
+    from shelfspark.bindings.listing_bindings import pager_context
+
+    plan = pager_context(spark, "/root/testdata/sf0.001")
+    assert plan.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert "isnotnull(c" not in optimized(plan)
