@@ -48,3 +48,14 @@ def test_pager_context_makes_pages_in_all_partitions(spark):
     plan = pager_context(spark, "/root/testdata/sf0.001")
     assert plan.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert "isnotnull(c" not in optimized(plan)
+
+
+def test_many_pages_in_a_file(spark, tmp_path):
+    from shelfspark.sources.html import PAGE_END, scan_html_pages, write_html_pages
+
+    pages = ["<html>Страницы\n«»</html>", "второй\r\nряд \"x\" 'y'\n", "é ☃ 😀", "", " <b> "]
+    out = str(tmp_path / "pages")
+    write_html_pages(spark.createDataFrame([(p,) for p in pages], "html string").coalesce(1), out)
+    assert len(list((tmp_path / "pages").glob("part-*"))) == 1
+    found = [r.html for r in scan_html_pages(spark, out, PAGE_END).collect()]
+    assert sorted(found) == sorted([*pages[:2], "&#233; &#9731; &#128512;", *pages[3:]])
