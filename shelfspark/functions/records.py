@@ -42,7 +42,8 @@ def _names(fields: Sequence[str]) -> Column:
 
 def json_string(text: Column) -> Column:
     """``text`` as a quoted JSON string; characters beyond ASCII stay as they are."""
-    return F.to_json(text.cast("variant"))
+    # most names need no escapes
+    return F.when(text.rlike("^[A-Za-z0-9_ .-]*$"), F.concat(F.lit('"'), text, F.lit('"'))).otherwise(F.to_json(text.cast("variant")))
 
 
 def field_names(raw: Column) -> Column:

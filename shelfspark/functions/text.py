@@ -90,9 +90,10 @@ def casefold(text: Column) -> Column:
     """
     native = F.replace(F.lower(text), F.lit("ß"), F.lit("ss"))
     letters, single, several = _foldings()
-    full = F.translate(text, letters, single)
-    for letter, folding in several:
-        full = F.replace(full, F.lit(letter), F.lit(folding))
+    # one look-up a letter: a replacement for each of the foldings makes code too long to be compiled
+    table = F.create_map(*[F.lit(x) for pair in several for x in pair])
+    folded = F.transform(F.split(F.translate(text, letters, single), ""), lambda c: F.coalesce(F.try_element_at(table, c), c))
+    full = F.array_join(folded, "")
     plain = F.octet_length(text) == F.length(text)
     return F.when(plain, F.lower(text)).when(text.rlike(_rare_letters()), full).otherwise(native)
 

@@ -74,9 +74,8 @@ def parse_documents(docs: DataFrame, mode: str = "permissive") -> DataFrame:
         raise ValueError(f"unknown mode {mode!r}")
     require_settings(docs.sparkSession)
     wrapped = F.try_parse_json(F.concat(F.lit("["), F.col("doc"), F.lit("]")))
-    usable = F.is_valid_utf8(F.col("doc")) & (
-        F.size(F.try_variant_get("_w", "$", "array<variant>")) == 1
-    )
+    # one element: without a second one, and a first one is looked up below
+    usable = F.is_valid_utf8(F.col("doc")) & F.variant_get("_w", "$[1]", "variant").isNull()
     parsed = docs.withColumn("_w", wrapped).withColumn(
         "v", F.when(usable, F.variant_get("_w", "$[0]", "variant"))
     )

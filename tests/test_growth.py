@@ -59,3 +59,17 @@ def test_many_pages_in_a_file(spark, tmp_path):
     assert len(list((tmp_path / "pages").glob("part-*"))) == 1
     found = [r.html for r in scan_html_pages(spark, out, PAGE_END).collect()]
     assert sorted(found) == sorted([*pages[:2], "&#233; &#9731; &#128512;", *pages[3:]])
+
+
+def test_parsing_copies_no_elements(spark):
+    from shelfspark.functions.text import casefold
+    from shelfspark.sources.json_docs import parse_documents
+
+    texts = ["[1,2]", "1", "null", "", "1,2", "[1", '{"a":1} x']
+    docs = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "file string, doc string").repartition(2)
+    parsed = parse_documents(docs)
+    assert [r.error is None for r in parsed.orderBy("file").collect()] == [True, True, True, False, False, False, False]
+    assert "array<variant>" not in parsed._jdf.queryExecution().toString()
+    # letters that fold to several are looked up, not replaced one kind after the other
+    folded = docs.select(casefold(F.col("doc")).alias("c"))
+    assert folded._jdf.queryExecution().optimizedPlan().toString().count("replace(") < 5
