@@ -20,17 +20,20 @@ def write_json_lines(items: DataFrame, path: str, ordered: bool = False, raw: st
     items.select(raw).write.text(path)
 
 
-def document_lines(items: DataFrame, envelopes: DataFrame, raw: str = "raw") -> DataFrame:
+def document_lines(items: DataFrame, envelopes: DataFrame, raw: str = "raw", single: bool = False) -> DataFrame:
     """Items and envelopes as lines ``(file, rank, seq, line)`` which, joined in order, form
     one JSON document per file.
 
     ``envelopes`` has ``file``, ``head`` and ``tail``. The comma goes in front of every
     item but the first of its document. Nothing is collected: a document with most of the
-    items spreads over many partitions.
+    items spreads over many partitions. ``single`` says that all items are of one document,
+    so that the one row with its first place is sent to them.
     """
     place = ["file", "file_rank", "pos"]
     first = items.groupBy("file").agg(F.min(F.struct("file_rank", "pos")).alias("first"))
     marks = first.select("file", "first.*", F.lit(True).alias("_first"))
+    if single:
+        marks = marks.hint("broadcast")
     comma = F.when(F.col("_first"), F.lit("")).otherwise(F.lit(","))
     body = items.join(marks, place, "left").select(
         "file",
@@ -65,7 +68,7 @@ def write_json_array(items: DataFrame, path: str, name: str = "merged") -> None:
     """All items in input order as one JSON array, spread over part files."""
     spark = items.sparkSession
     envelope = spark.createDataFrame([(name, "[", "]")], "file string, head string, tail string")
-    write_documents(document_lines(items.withColumn("file", F.lit(name)), envelope), path)
+    write_documents(document_lines(items.withColumn("file", F.lit(name)), envelope, single=True), path)
 
 
 def write_duplicates_report(report: DataFrame, dedup_key: str, path: str) -> None:
