@@ -36,12 +36,27 @@ ENTITIES = (
     ("&laquo;", "«"),
 )
 
+_BLANK_START = 16  # characters looked at before a whole text is
+_SPACES = 64
+
 
 def ws_trim(text: Column) -> Column:
     """Strip whitespace of any kind from both ends."""
     return F.btrim(text, F.lit(WS_CHARS))
 
 
+def is_blank(text: Column) -> Column:
+    """Whether there is nothing but whitespace.
+
+    A text that begins otherwise is read no further. Else long runs of spaces, the common kind,
+    are taken out by a search for bytes, which changes no answer; only the rest is looked at
+    character by character.
+    """
+    start = F.btrim(F.substring(text, 1, _BLANK_START), F.lit(WS_CHARS)) == ""
+    rest = F.replace(text, F.lit(" " * _SPACES), F.lit(""))
+    return start & rest.rlike(rf"\A{_WS_FAST}*\z")
+
+
 def collapse_ws(text: Column) -> Column:
     """Runs of whitespace become one space; none is left at the ends."""
     return F.btrim(F.regexp_replace(text, _WS_FAST + "+", " "))

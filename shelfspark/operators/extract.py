@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfspark.functions.regex import all_groups, first_group, first_match, group_in, group_of, needs_context
-from shelfspark.functions.text import WS_CHARS, decode_entities, strip_tags, ws_trim
+from shelfspark.functions.text import decode_entities, is_blank, strip_tags, ws_trim
 from shelfspark.functions.urls import extract_id
 
 
@@ -228,16 +228,17 @@ def classify_page(pages: DataFrame, html: str = "html") -> DataFrame:
     text) or ``ok``.
     """
     text, status = F.col(html), F.col("status")
-    blank = text.isNull() | (F.btrim(text, F.lit(WS_CHARS)) == "")
+    blank = text.isNull() | is_blank(text)
     marked = F.lit(False)
     for sign in MARKUP_SIGNS:
         marked = marked | F.contains(text, F.lit(sign))
     snippet = ws_trim(F.translate(F.substring(text, 1, SNIPPET_CHARS), "\n\r", "  "))
     return pages.withColumn(
         "status",
-        F.when(F.contains(text, F.lit(BLOCKED_SIGN)), "blocked")
+        # no sign is blank, so a blank page need not be searched for any
+        F.when(blank, "empty")
+        .when(F.contains(text, F.lit(BLOCKED_SIGN)), "blocked")
         .when(marked, "ok")
-        .when(blank, "empty")
         .otherwise("no_markup"),
     ).withColumn(
         "error",

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfspark.functions.regex import first_group, first_match
-from shelfspark.functions.text import decode_entities, strip_tags
+from shelfspark.functions.text import decode_entities, is_blank, strip_tags
 from shelfspark.functions.urls import absolute_url, extract_id
 from shelfspark.operators.extract import DETAIL_RULES, apply_rules, classify_page, extract_records, parse_detail_page
 from shelfspark.operators.paging import (
@@ -292,3 +292,17 @@ def test_pager_numbers_beyond_int(spark):
     info = df.select(pagination_info(F.col("html")).alias("i")).first().i
     assert info.pages == [5, 2147483647, 99999999999] and info.total_pages is None
     assert sorted(r.page for r in visible_pages(df).collect()) == [5, 2147483647, 99999999999]
+
+
+def test_blank_pages(spark):
+    texts = ["", " ", "\xa0" + " " * 200 + "\n", " " * 63 + "\x1f" * 70 + "\u3000", " " * 64 + "x", "\xa0" * 20 + " " * 500 + ".",
+             " " * 640, "x" + " " * 100, " \u200b" + " " * 64, "\u2028" * 40 + "<html", "\n" * 17 + "Try harder", None]
+    pages = spark.createDataFrame(list(enumerate(texts)), "id int, html string").repartition(2)
+    found = {r.id: r for r in classify_page(pages).collect()}
+    assert [found[i].status == "empty" for i in range(len(texts))] == [t is None or not t.strip() for t in texts]
+    assert (found[9].status, found[10].status) == ("ok", "blocked")
+    blank = {r.id: r.b for r in pages.select("id", is_blank(F.col("html")).alias("b")).collect()}
+    assert all(blank[i] == (None if t is None else not t.strip()) for i, t in enumerate(texts))
+    # trimming looks at characters one by one, so it gets the begin of a text, never all of it
+    trimmed = re.findall(r"trim\((.{9})", classify_page(pages).select("status")._jdf.queryExecution().optimizedPlan().toString(), re.I)
+    assert trimmed and not any("html#" in t for t in trimmed)
