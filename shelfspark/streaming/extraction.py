@@ -69,7 +69,10 @@ def extraction_batch(
             marked.where("has IS NULL").select("url", "line_no", F.lit(0).alias("attempts"))
             .unionByName(again.select("url", "line_no", "attempts"))
         )
-        found = todo.join(pages().select("url", "html"), "url", "left")
+        # by a given number, since pages are small when compressed and long to extract: partitions
+        # that were merged by size would be little more than the cores
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        found = todo.repartition(n, "url").join(pages().select("url", "html").repartition(n, "url"), "url", "left")
         skipped, tried = Observation(), Observation()
         good = F.col("status") == "ok"
         results = extract_records(found, host, keep=("url", "line_no", "attempts")).observe(

@@ -73,3 +73,17 @@ def test_parsing_copies_no_elements(spark):
     # letters that fold to several are looked up, not replaced one kind after the other
     folded = docs.select(casefold(F.col("doc")).alias("c"))
     assert folded._jdf.queryExecution().optimizedPlan().toString().count("replace(") < 5
+
+
+def test_batches_of_a_stream_are_no_more_with_more_splits(spark, tmp_path):
+    from shelfspark.bindings.page_bindings import _stream_job
+    from shelfspark.streaming.stateful import settings
+
+    given = "/root/testdata/sf0.001"
+    spark.read.parquet(f"{given}/orders.parquet").repartition(20).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.read.parquet(f"{given}/part.parquet").write.parquet(f"{tmp_path}/part.parquet")
+    with settings(spark, {"spark.sql.files.maxPartitionBytes": "1k", "spark.sql.files.openCostInBytes": "1"}):
+        assert spark.read.parquet(f"{tmp_path}/orders.parquet").rdd.getNumPartitions() >= 20
+        output, _ = _stream_job(spark, str(tmp_path))
+    # each meets all pages: two batches a run, numbered from 0, where there were five
+    assert list(output.notes()["batches"].values()) == [3]
